@@ -135,7 +135,12 @@ def class_metrics(
 
 
 def fold_summary(fold_scores: DataFrame, by: Sequence[str], score: str = "score") -> DataFrame:
-    """Mean and population deviation of a score over folds."""
+    """Mean and population deviation of a score over folds.
+
+    Rounded to 12 places first: sums of doubles depend on the order of tasks in their last
+    bits, which must not decide a tie of the final rounding.
+    """
     return fold_scores.groupBy(*by).agg(
-        F.round(F.avg(score), 6).alias("mean_score"), F.round(F.stddev_pop(score), 6).alias("std_score")
+        F.round(F.round(F.avg(score), 12), 6).alias("mean_score"),
+        F.round(F.round(F.stddev_pop(score), 12), 6).alias("std_score"),
     )

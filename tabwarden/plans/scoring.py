@@ -24,9 +24,10 @@ def run(
     key: str,
     log_path: str,
     dead_path: str,
+    allowed_values: bool = False,
 ) -> DataFrame:
     """Append the prediction log and the dead letters; returns the batch summary."""
-    batch = scoring.score_batch(df, contract, spec, score)
+    batch = scoring.score_batch(df, contract, spec, score, allowed_values)
     writers.append_log(scoring.prediction_log(batch.scored, request_id, model_version, at, features, key), log_path)
     writers.append_log(scoring.dead_letters(batch.dead, request_id, at, features, key), dead_path)
     return batch.summary
