@@ -1,2 +1,127 @@
-QUERIES = {}
-ORACLES = {}
+"""Queries: training, cross-validation, evaluation, scoring with fitted models."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabwarden.catalog import frames as fr
+from tabwarden.functions import sizing
+from tabwarden.operators import lineage, metrics, score, train
+from tabwarden.operators.clean import CleanSpec
+from tabwarden.operators.contract import from_dict
+from tabwarden.plans import training
+from tabwarden.sources import readers, writers
+
+#: Small grids of the same shape as the default ones; the data decides the work.
+GRIDS = {
+    "logistic_regression": {"C": [0.1, 1.0], "penalty": ["l1", "l2"], "max_iter": [50]},
+    "random_forest": {"n_estimators": [10, 20], "max_depth": [5, 8], "min_samples_leaf": [1, 4], "bootstrap": [True]},
+    "gradient_boosting": {"n_estimators": [5, 10], "learning_rate": [0.1], "max_depth": [3], "subsample": [0.8, 1.0]},
+}
+FOLDS = 3
+FEATURES = [*fr.NUMERIC, *fr.CATEGORICAL]
+
+CONTRACT = from_dict(
+    {
+        "columns": {
+            "c_custkey": {"required": True, "nullable": False},
+            "c_acctbal": {"nullable": True, "min": 50.0, "max": 9900.0},
+            "n_orders": {"required": True, "nullable": False, "min": 3},
+            "c_mktsegment": {"required": True, "nullable": False},
+        }
+    }
+)
+
+_runs: dict[tuple[str, str], training.TrainingRun] = {}
+
+
+def _run(spark, d) -> training.TrainingRun:
+    """One training run per session and input, shared by the queries below."""
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _runs:
+        path = training.prepare(fr.churn(spark, d), CleanSpec(), fr.LABEL, [fr.KEY], FOLDS)
+        _runs[at] = training.run(path, spark, fr.LABEL, GRIDS, folds=FOLDS, skip=[fr.KEY])
+    return _runs[at]
+
+
+def _test_part(spark, d):
+    return readers.read_part(spark, _run(spark, d).path, "test")
+
+
+def train_candidates(spark, d):
+    return _run(spark, d).metrics
+
+
+def cv_summary(spark, d):
+    return _run(spark, d).cv
+
+
+def lineage_train(spark, d):
+    run = _run(spark, d)
+    part = readers.read_part(spark, run.path, "train")
+    return lineage.training(part, [fr.KEY, *fr.CATEGORICAL], run.cv)
+
+
+def training_decision(spark, d):
+    return _run(spark, d).decision
+
+
+def _best(spark, d):
+    run = _run(spark, d)
+    name = run.decision.first()["best_model"]
+    return next(c for c in run.candidates if c.name == name)
+
+
+def feature_importance(spark, d):
+    return train.feature_importance(spark, _best(spark, d).model)
+
+
+def champion_metrics(spark, d):
+    """The best model as champion, stored, loaded and measured again."""
+    path = sizing.run_dir(spark, "model")
+    _best(spark, d).model.save(path)
+    from pyspark.ml import PipelineModel
+
+    return train.champion_metrics(PipelineModel.load(path), _test_part(spark, d), fr.LABEL)
+
+
+def score_batch(spark, d):
+    """A CSV batch of all customers scored by the best model; log and dead letters counted."""
+    model = _best(spark, d).model
+    base = sizing.run_dir(spark, "batch")
+    writers.write_csv(fr.churn(spark, d).drop(fr.LABEL), f"{base}/in")
+    schema = fr.churn(spark, d).drop(fr.LABEL).schema
+    batch = readers.read_batch(spark, f"{base}/in", schema)
+    out = score.score_batch(batch, CONTRACT, CleanSpec(), lambda df: score.with_probability(df, model))
+    at = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    log = score.prediction_log(out.scored, F.lit("req-1"), F.lit("v1"), at, FEATURES, fr.KEY)
+    writers.append_log(log, f"{base}/log")
+    writers.append_log(score.dead_letters(out.dead, F.lit("req-1"), at, FEATURES, fr.KEY), f"{base}/dead")
+    good = spark.read.parquet(f"{base}/log").agg(F.count(F.lit(1)).alias("logged"), F.avg("prediction_output.probability").alias("p"))
+    dead = spark.read.parquet(f"{base}/dead").agg(F.count(F.lit(1))).scalar()
+    return good.select("logged", dead.alias("dead"), F.col("p").between(0, 1).alias("mean_in_range"))
+
+
+def foreign_model(spark, d):
+    """A model that only knows pandas frames, scored through Arrow batches."""
+
+    def predict(pdf):
+        return (pdf["n_orders"] / (pdf["n_orders"] + 10.0)).to_numpy()
+
+    frame = fr.churn(spark, d).select(fr.KEY, "n_orders")
+    return score.with_foreign_probability(frame, predict).select(fr.KEY, F.round("p", 6).alias("p"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        train_candidates, cv_summary, lineage_train, training_decision, feature_importance, champion_metrics, score_batch, foreign_model,
+    )
+}
+
+ORACLES = {
+    "score_batch": f"""WITH {fr.CHURN_SQL}, bad AS (
+        SELECT *, coalesce(c_acctbal < 50, false) OR coalesce(c_acctbal > 9900, false) OR n_orders < 3 AS is_bad FROM churn)
+        SELECT count(*) FILTER (NOT is_bad) AS logged, count(*) FILTER (is_bad) AS dead, true AS mean_in_range FROM bad""",
+    "foreign_model": f"WITH {fr.CHURN_SQL} SELECT c_custkey, round(n_orders / (n_orders + 10.0::DOUBLE), 6) AS p FROM churn",
+}

@@ -1,2 +1,115 @@
-QUERIES = {}
-ORACLES = {}
+"""Queries that run a stream to the end of the given events and return what it wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabwarden.catalog import frames as fr
+from tabwarden.catalog.lifecycle import verdict_history
+from tabwarden.functions import sizing
+from tabwarden.operators import profile
+from tabwarden.operators.clean import CleanSpec
+from tabwarden.operators.contract import from_dict
+from tabwarden.streaming import jobs
+
+EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+DELAY = "1 hour"
+
+EVENT_CONTRACT = from_dict(
+    {
+        "columns": {
+            "event_id": {"required": True, "nullable": False},
+            "event_type": {"required": True, "nullable": False, "allowed_values": ["view", "click", "purchase", "signup"]},
+            "value": {"nullable": False, "min": 1.0, "max": 200.0},
+        }
+    }
+)
+
+
+def _stream(spark, d):
+    return spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(d)
+
+
+def stream_windows(spark, d):
+    """Statistics of closed daily windows, each written once."""
+    out, checkpoint = jobs.folders(fr.table(spark, d, "events"), "windows")
+    jobs.run_to_end(
+        jobs.window_stats_job(_stream(spark, d), "ts", ["event_type"], ["value"], "1 day", None, DELAY, out, checkpoint)
+    )
+    stats = spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
+    return stats.withColumns(
+        {"total": F.round("total", 2), **{c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}}
+    )
+
+
+def stream_drift(spark, d):
+    """Closed sliding windows judged against the first half of the events."""
+    first, _ = fr.halves(fr.table(spark, d, "events"), "ts", fr.EVENT_CUT)
+    shares = sizing.cut_lineage(profile.value_distribution(first, ["event_type"]), "shares")
+    means = sizing.cut_lineage(profile.numeric_summary(first, ["value"]), "means")
+    out, checkpoint = jobs.folders(first, "drift")
+    jobs.run_to_end(
+        jobs.drift_job(
+            _stream(spark, d), "ts", shares, means, ["event_type"], ["value"], "7 days", "1 day", DELAY, out, checkpoint
+        )
+    )
+    found = spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
+    return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def stream_score_dlq(spark, d):
+    """Micro-batches validated and scored by a formula; both branches side by side."""
+    base = sizing.run_dir(spark, "stream-scoring")
+    jobs.run_to_end(
+        jobs.scoring_job(
+            _stream(spark, d).drop("props"), EVENT_CONTRACT, CleanSpec(), lambda df: df.withColumn("p", F.col("value") / 200.0),
+            f"{base}/scored", f"{base}/dead", f"{base}/checkpoint", allowed_values=True,
+        )
+    )
+    scored = spark.read.parquet(f"{base}/scored/batch=*").select("event_id", F.lit("scored").alias("branch"), F.lit(0).alias("n_errors"))
+    dead = spark.read.parquet(f"{base}/dead/batch=*").select("event_id", F.lit("dead").alias("branch"), F.size("errors").alias("n_errors"))
+    return scored.unionByName(dead)
+
+
+def stream_cooldown(spark, d):
+    """The verdict history as a stream through the stateful cooldown."""
+    verdicts = verdict_history(spark, d)
+    path = sizing.run_dir(spark, "verdicts")
+    verdicts.write.parquet(path)
+    stream = spark.readStream.schema(verdicts.schema).parquet(path)
+    out, checkpoint = jobs.folders(verdicts, "cooldown")
+    jobs.run_to_end(jobs.append_job(jobs.cooldown_actions(stream, "monitor", "at", "drifted"), out, checkpoint))
+    return spark.read.parquet(f"{out}/batch=*").withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+QUERIES = {f.__name__: f for f in (stream_windows, stream_drift, stream_score_dlq, stream_cooldown)}
+
+from tabwarden.catalog.lifecycle import _FIRES, _HISTORY  # noqa: E402
+
+_CLOSED = "window_start + INTERVAL {size} DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
+
+ORACLES = {
+    "stream_windows": f"""WITH w AS (SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, value FROM events),
+        s AS (SELECT window_start, 'event_type' AS feature, false AS "numeric", event_type AS value, count(*) AS n, NULL::DOUBLE AS total FROM w GROUP BY ALL
+          UNION ALL SELECT window_start, 'value', true, NULL, count(value), round(sum(value), 2) FROM w GROUP BY window_start)
+        SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, feature, "numeric", value, n, total FROM s WHERE {_CLOSED.format(size=1)}""",
+    "stream_drift": f"""WITH w AS (SELECT date_trunc('day', ts)::TIMESTAMP - to_days(i::INT) AS window_start, event_type, value FROM events, range(7) AS r(i)),
+        closed AS (SELECT * FROM w WHERE {_CLOSED.format(size=7)}),
+        early AS (SELECT * FROM events WHERE ts < TIMESTAMP '{fr.EVENT_CUT}'),
+        base AS (SELECT event_type, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS r FROM early GROUP BY event_type),
+        share AS (SELECT window_start, event_type, count(*) / CAST(sum(count(*)) OVER (PARTITION BY window_start) AS DOUBLE) AS r FROM closed GROUP BY window_start, event_type),
+        grid AS (SELECT window_start, event_type FROM (SELECT DISTINCT window_start FROM closed), (SELECT event_type FROM base UNION SELECT event_type FROM share)),
+        psi AS (SELECT window_start, round(sum((a - e) * ln(a / e)), 4) AS score FROM (
+            SELECT g.window_start, greatest(coalesce(b.r, 0), 1e-4::DOUBLE) AS e, greatest(coalesce(s.r, 0), 1e-4::DOUBLE) AS a
+            FROM grid g LEFT JOIN base b USING (event_type) LEFT JOIN share s USING (window_start, event_type)
+            WHERE b.r IS NOT NULL OR s.r IS NOT NULL) GROUP BY window_start),
+        shift AS (SELECT window_start, round(CASE WHEN e <> 0 THEN abs(a - e) / abs(e) ELSE abs(a) END, 4) AS score
+            FROM (SELECT window_start, avg(value) AS a FROM closed GROUP BY window_start), (SELECT avg(value) AS e FROM early))
+        SELECT window_start, 'event_type' AS feature, 'categorical' AS type, 'psi' AS metric, score, score > 0.2 AS is_drifted FROM psi
+        UNION ALL SELECT window_start, 'value', 'numerical', 'relative_mean_shift', score, score > 0.1 FROM shift""",
+    "stream_score_dlq": """WITH e AS (SELECT event_id, ((value < 1)::INT + (value > 200)::INT + (event_type = 'error')::INT)::INTEGER AS n_errors FROM events)
+        SELECT event_id, CASE WHEN n_errors = 0 THEN 'scored' ELSE 'dead' END AS branch, n_errors FROM e""",
+    "stream_cooldown": f"""WITH RECURSIVE {_HISTORY}, {_FIRES}
+        SELECT monitor, h."at", CASE WHEN NOT drifted THEN 'healthy' WHEN f."at" IS NULL THEN 'suppressed' ELSE 'fire' END AS action
+        FROM history h LEFT JOIN (SELECT DISTINCT monitor, "at" FROM fires) f USING (monitor, "at")""",
+}

@@ -37,6 +37,25 @@ def psi(expected: DataFrame, actual: DataFrame, by: Sequence[str] = ()) -> DataF
     return scored.where((F.col("_e") > 0) & (F.col("_a") > 0)).drop("_e", "_a")
 
 
+def psi_against(expected: DataFrame, actual: DataFrame, by: Sequence[str]) -> DataFrame:
+    """PSI of many groups against one baseline, without a copy of the baseline per group.
+
+    A baseline value that a group lacks adds ``term(e, floor)``. The sum of that over the whole
+    baseline is one number per feature; values a group does have are then exchanged for their
+    real term, so only rows of the groups themselves are joined.
+    """
+    absent = stats.psi_term(F.col("expected"), F.lit(None).cast("double"))
+    e = expected.select(F.col("feature").alias("_f"), F.col("value").alias("_v"), F.col("ratio").alias("expected"))
+    # One row per feature.
+    base = e.groupBy(F.col("_f").alias("_bf")).agg(F.sum(absent).alias("_base"))
+    joined = actual.join(e, (F.col("feature") == F.col("_f")) & F.col("value").eqNullSafe(F.col("_v")), "left")
+    change = stats.psi_term(F.col("expected"), F.col("ratio")) - F.when(F.col("expected").isNotNull(), absent).otherwise(0.0)
+    per_group = joined.groupBy(*by, "feature").agg(F.sum(change).alias("_change"))
+    return per_group.join(base, F.col("feature") == F.col("_bf")).select(
+        *by, "feature", F.round(F.col("_change") + F.col("_base"), 4).alias("score")
+    )
+
+
 def mean_shift(expected: DataFrame, actual: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Relative mean shift per feature from two ``(feature, mean)`` tables."""
     a = actual.select(*by, "feature", F.col("mean").alias("_actual"))
@@ -82,11 +101,12 @@ def detect(baseline: DataFrame, current: DataFrame, section: str = "features", *
     The type comes from the baseline; features without current statistics are left out.
     """
     def shares(report: DataFrame) -> DataFrame:
-        rows = report.where((F.col("section") == section) & (F.col("stat") == "ratio"))
+        # The type is a literal in each branch of a fresh report: the other branch is pruned.
+        rows = report.where((F.col("section") == section) & (F.col("feature_type") == "categorical"))
         return rows.select("feature", "value", F.col("number").alias("ratio"))
 
     def means(report: DataFrame) -> DataFrame:
-        rows = report.where((F.col("section") == section) & (F.col("stat") == "mean"))
+        rows = report.where((F.col("section") == section) & (F.col("feature_type") == "numerical") & (F.col("stat") == "mean"))
         return rows.select("feature", F.col("number").alias("mean"))
 
     return verdicts(psi(shares(baseline), shares(current)), mean_shift(means(baseline), means(current)), **options)
@@ -114,10 +134,9 @@ def tagged_distribution(df: DataFrame, columns: Sequence[str], is_actual: Column
         .groupBy("feature", "value")
         .agg(F.count_if("_actual").alias("a"), F.count_if(~F.col("_actual")).alias("e"))
     )
-    totals = df.agg(F.struct(F.count_if(is_actual).alias("a"), F.count_if(~is_actual).alias("e")).alias("t")).scalar()
-    return counts.withColumn("_t", totals).select(
-        "feature",
-        "value",
-        F.try_divide(F.col("e").cast("double"), F.col("_t.e").cast("double")).alias("expected"),
-        F.try_divide(F.col("a").cast("double"), F.col("_t.a").cast("double")).alias("actual"),
+    # One row per column, summed from the counts: the table is scanned once.
+    totals = counts.groupBy(F.col("feature").alias("_f")).agg(F.sum("a").alias("_a"), F.sum("e").alias("_e"))
+    share = {n: F.try_divide(F.col(c).cast("double"), F.col(t).cast("double")).alias(n) for n, c, t in (("expected", "e", "_e"), ("actual", "a", "_a"))}
+    return counts.join(F.broadcast(totals), F.col("feature") == F.col("_f")).select(
+        "feature", "value", share["expected"], share["actual"]
     )

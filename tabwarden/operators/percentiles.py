@@ -1,116 +1,137 @@
 """Exact interpolated percentiles at any size.
 
-The built-in ``percentile`` keeps a map of all distinct values in one task. That is fine
-for small inputs; for large ones a sketch first brackets every wanted rank, and only the
-values inside the brackets are counted, cut into slices, and sorted.
+The built-in ``percentile`` keeps a map of all distinct values in one task. That is fine for
+small inputs. For large ones a sketch first brackets every wanted rank; then rows below each
+bracket are counted and the values inside are counted, cut into slices and sorted slice by
+slice. Two passes after the sketch, and only values near a wanted rank are shuffled.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwarden.functions import sizing
 
+#: The sketch is off by at most 1/ACCURACY of the rows; brackets are twice as wide.
 ACCURACY = 1000
 SLICES = 1024
 #: Inputs up to this many values get a bracket as wide as the column.
 WIDE_ROWS = 50 * ACCURACY
 
 
+def percentile_stats(columns: Sequence[str], probs: Mapping[str, float]) -> list[Column]:
+    """Built-in aggregates, one array per column, to be read with ``percentile_cells``."""
+    points = F.array(*[F.lit(float(p)) for p in probs.values()])
+    return [F.percentile(F.col(c).cast("double"), points).alias(f"_q{i}") for i, c in enumerate(columns)]
+
+
+def percentile_cells(i: int, probs: Mapping[str, float]) -> dict[str, Column]:
+    return {n: F.try_element_at(F.col(f"_q{i}"), F.lit(j + 1)) for j, n in enumerate(probs)}
+
+
 def exact_percentiles(
     df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], small_bytes: int | None = None
 ) -> DataFrame:
-    """One row per column: ``feature`` and one DOUBLE per entry of ``probs``."""
-    if sizing.is_small(df, small_bytes):
-        points = F.array(*[F.lit(float(p)) for p in probs.values()])
-        wide = df.agg(*[F.percentile(F.col(c).cast("double"), points).alias(f"_{i}") for i, c in enumerate(columns)])
-        rows = [
-            F.struct(
-                F.lit(c).alias("feature"),
-                *[F.try_element_at(F.col(f"_{i}"), F.lit(j + 1)).alias(n) for j, n in enumerate(probs)],
-            )
-            for i, c in enumerate(columns)
-        ]
-        return wide.select(F.inline(F.array(*rows)))
-    return _bracketed(df, columns, probs)
+    """One row per column: ``feature`` and one DOUBLE per entry of ``probs``.
 
+    A large input is sketched by a job of its own when this is called.
+    """
+    if not sizing.is_small(df, small_bytes):
+        return _bracketed(df, columns, probs)
+    rows = [
+        F.struct(F.lit(c).alias("feature"), *[v.alias(n) for n, v in percentile_cells(i, probs).items()])
+        for i, c in enumerate(columns)
+    ]
+    return df.agg(*percentile_stats(columns, probs)).select(F.inline(F.array(*rows)))
 
-def _bracketed(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
-    values = list(probs.values())
+
+def _brackets(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float]) -> list[tuple]:
+    """``(id, feature, prob, lo, hi, rank, frac)`` of every wanted point that has values."""
     slack = 2.0 / ACCURACY
-    lows = [max(p - slack, 0.0) for p in values]
-    highs = [min(p + slack, 1.0) for p in values]
+    lows = [max(p - slack, 0.0) for p in probs.values()]
+    highs = [min(p + slack, 1.0) for p in probs.values()]
     stats = []
     for i, name in enumerate(columns):
         c = F.col(name).cast("double")
-        stats += [
-            F.count(c).alias(f"n{i}"),
-            F.min(c).alias(f"min{i}"),
-            F.max(c).alias(f"max{i}"),
-            F.percentile_approx(c, lows + highs, ACCURACY).alias(f"q{i}"),
-        ]
-    sketch = df.agg(*stats)
-
-    brackets = []
+        stats += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"a{i}"), F.max(c).alias(f"b{i}")]
+        stats.append(F.percentile_approx(c, lows + highs, ACCURACY).alias(f"q{i}"))
+    row = df.agg(*stats).first()
+    out = []
     for i, name in enumerate(columns):
-        n, q, low, high = F.col(f"n{i}"), F.col(f"q{i}"), F.col(f"min{i}"), F.col(f"max{i}")
+        n = row[f"n{i}"]
+        if not n:
+            continue
         for j, (prob, p) in enumerate(probs.items()):
             narrow = n > WIDE_ROWS
-            lo = F.when(narrow & F.lit(lows[j] > 0), q[j]).otherwise(low)
-            hi = F.when(narrow & F.lit(highs[j] < 1), q[j + len(values)]).otherwise(high)
-            place = F.lit(float(p)) * (n - 1)
-            brackets.append(
-                F.struct(
-                    F.lit(name).alias("feature"),
-                    F.lit(prob).alias("prob"),
-                    lo.alias("lo"),
-                    hi.alias("hi"),
-                    F.floor(place).alias("rank"),
-                    (place - F.floor(place)).alias("frac"),
-                )
-            )
+            lo = row[f"q{i}"][j] if narrow and lows[j] > 0 else row[f"a{i}"]
+            hi = row[f"q{i}"][j + len(probs)] if narrow and highs[j] < 1 else row[f"b{i}"]
+            place = float(p) * (n - 1)
+            out.append((len(out), name, prob, float(lo), float(hi), math.floor(place), place - math.floor(place)))
+    return out
+
+
+def _bracketed(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    spark = df.sparkSession
+    brackets = _brackets(df, columns, probs)
     # Columns times probabilities: as many rows as the caller wrote down.
-    bracket = sketch.select(F.inline(F.array(*brackets))).where(F.col("rank") >= 0)
-
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "feature", "value")
-    near = (
-        long.where(F.col("value").isNotNull())
-        .join(F.broadcast(bracket), "feature")
-        .where(F.col("value") <= F.col("hi"))
-        .withColumn("inside", F.when(F.col("value") >= F.col("lo"), F.col("value")))
-        .groupBy("feature", "prob", "lo", "hi", "rank", "frac", "inside")
-        .agg(F.count(F.lit(1)).alias("n"))
+    every = spark.createDataFrame([(c,) for c in columns], "feature string")
+    if not brackets:
+        return every.select("feature", *[F.lit(None).cast("double").alias(p) for p in probs])
+    table = F.broadcast(
+        spark.createDataFrame(brackets, "id int, feature string, prob string, lo double, hi double, rank bigint, frac double")
     )
-    # Everything below the bracket is one row per (feature, prob), in slice -1.
+
+    def value(name: str) -> Column:
+        return F.col(name).cast("double")
+
+    below = df.agg(*[F.count_if(value(name) < lo).alias(f"_{i}") for i, name, _, lo, *_ in brackets])
+    below = below.select(
+        F.inline(F.array(*[F.struct(F.lit(i).alias("id"), F.col(f"_{i}").alias("below")) for i, *_ in brackets]))
+    )
+    inside = [value(name).between(lo, hi) for _, name, _, lo, hi, *_ in brackets]
+    any_inside = inside[0]
+    for hit in inside[1:]:
+        any_inside = any_inside | hit
+    hits = F.array_compact(
+        F.array(
+            *[F.when(hit, F.struct(F.lit(b[0]).alias("id"), value(b[1]).alias("value"))) for hit, b in zip(inside, brackets)]
+        )
+    )
+    counted = df.where(any_inside).select(F.inline(hits)).groupBy("id", "value").agg(F.count(F.lit(1)).alias("n"))
     width = F.col("hi") - F.col("lo")
-    piece = F.when(F.col("inside").isNull(), -1).when(width <= 0, 0).otherwise(
-        F.least(F.floor((F.col("inside") - F.col("lo")) / width * SLICES), F.lit(SLICES - 1))
+    piece = F.when(width <= 0, 0).otherwise(
+        F.least(F.floor((F.col("value") - F.col("lo")) / width * SLICES), F.lit(SLICES - 1))
     )
-    sliced = near.withColumn("slice", piece.cast("int"))
-    up_to = Window.partitionBy("feature", "prob").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
-    slices = (
-        sliced.groupBy("feature", "prob", "rank", "slice")
+    sliced = counted.join(table, "id").select("id", "value", "n", piece.cast("int").alias("slice"))
+
+    before = Window.partitionBy("id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        sliced.groupBy("id", "slice")
         .agg(F.sum("n").alias("m"))
-        .withColumn("end", F.sum("m").over(up_to))
-        .where((F.col("end") > F.col("rank")) & (F.col("end") - F.col("m") <= F.col("rank") + 1))
-        .select("feature", "prob", "slice", (F.col("end") - F.col("m")).alias("start"))
+        .withColumn("in_front", F.coalesce(F.sum("m").over(before), F.lit(0)))
+        .join(F.broadcast(below), "id")
+        .join(table, "id")
+        .withColumn("start", F.col("below") + F.col("in_front"))
+        # Slices that hold the rank or the one after it: at most two per point.
+        .where((F.col("start") + F.col("m") > F.col("rank")) & (F.col("start") <= F.col("rank") + 1))
+        .select("id", "slice", "start", "rank", "frac")
     )
-    inside = Window.partitionBy("feature", "prob", "slice").orderBy("inside").rowsBetween(Window.unboundedPreceding, 0)
-    ends = (
-        sliced.join(slices, ["feature", "prob", "slice"])
-        .withColumn("end", F.sum("n").over(inside) + F.col("start"))
+    in_slice = Window.partitionBy("id", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (
+        sliced.join(F.broadcast(starts), ["id", "slice"])
+        .withColumn("end", F.col("start") + F.sum("n").over(in_slice))
         .withColumn("begin", F.col("end") - F.col("n"))
     )
 
-    def at(rank):
-        return F.max(F.when((F.col("begin") <= rank) & (rank < F.col("end")), F.col("inside")))
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("begin") <= rank) & (rank < F.col("end")), F.col("value")))
 
-    found = ends.groupBy("feature", "prob", "frac").agg(at(F.col("rank")).alias("a"), at(F.col("rank") + 1).alias("b"))
+    pairs = placed.groupBy("id", "frac").agg(at(F.col("rank")).alias("a"), at(F.col("rank") + 1).alias("b"))
     point = F.col("a") + (F.coalesce(F.col("b"), F.col("a")) - F.col("a")) * F.col("frac")
-    points = found.select("feature", "prob", point.alias("v"))
-    names = points.groupBy("feature").agg(*[F.max(F.when(F.col("prob") == p, F.col("v"))).alias(p) for p in probs])
-    everything = sketch.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature")) for c in columns])))
-    return everything.join(names, "feature", "left")
+    points = pairs.select("id", point.alias("v")).join(table, "id")
+    wide = points.groupBy("feature").agg(*[F.max(F.when(F.col("prob") == p, F.col("v"))).alias(p) for p in probs])
+    return every.join(F.broadcast(wide), "feature", "left")

@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabwarden import fixed
+from tabwarden.functions import sizing
 from tabwarden.operators.clean import feature_groups
-from tabwarden.operators.percentiles import exact_percentiles
+from tabwarden.operators.percentiles import exact_percentiles, percentile_cells, percentile_stats
 
 
 def _rows(wide: DataFrame, per_column: dict[str, dict[str, Column]], by: Sequence[str] = (), key: str = "feature") -> DataFrame:
@@ -52,6 +52,21 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
     return pairs.groupBy("column").agg(F.count("value").alias("unique_values"))
 
 
+def _with_percentiles(df: DataFrame, stats: list[Column], cells: dict[str, dict[str, Column]], columns: Sequence[str], probs, key: str) -> DataFrame:
+    """Aggregate ``stats`` and exact percentiles; one pass where the input fits the built-in."""
+    if sizing.is_small(df):
+        wide = df.agg(*stats, *percentile_stats(columns, probs))
+        merged = {c: {**cells[c], **percentile_cells(i, probs)} if c in columns else cells[c] for i, c in _numbered(cells, columns)}
+        return _rows(wide, merged, key=key)
+    points = exact_percentiles(df, columns, probs).withColumnRenamed("feature", key)
+    # One row per column on both sides.
+    return _rows(df.agg(*stats), cells, key=key).join(F.broadcast(points), key, "left")
+
+
+def _numbered(cells, columns):
+    return [(list(columns).index(c) if c in columns else -1, c) for c in cells]
+
+
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Min, max, mean and exact median of numeric columns."""
     stats = []
@@ -59,29 +74,39 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         v = F.col(c).cast("double")
         stats += [F.min(v).alias(f"a{i}"), F.max(v).alias(f"b{i}"), F.avg(v).alias(f"m{i}")]
     cells = {c: {"min": F.col(f"a{i}"), "max": F.col(f"b{i}"), "mean": F.col(f"m{i}")} for i, c in enumerate(columns)}
-    summary = _rows(df.agg(*stats), cells, key="column")
-    medians = exact_percentiles(df, columns, {"median": 0.5}).withColumnRenamed("feature", "column")
-    return summary.join(F.broadcast(medians), "column")
+    return _with_percentiles(df, stats, cells, columns, {"median": 0.5}, "column")
 
 
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """The generated schema: type, nullability, distinct count and numeric range per column."""
     numeric, _ = feature_groups(df)
-    nulls = df.agg(*[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)).alias(f"_{i}") for i, c in enumerate(df.columns)])
-    cells = {
-        f.name: {"dtype": F.lit(f.dataType.simpleString()), "nullable": F.col(f"_{i}")}
-        for i, f in enumerate(df.schema.fields)
-    }
-    # Every side has one row per column of the table.
-    out = _rows(nulls, cells, key="column").join(F.broadcast(distinct_counts(df, df.columns, approximate)), "column", "left")
-    if numeric:
-        return out.join(F.broadcast(numeric_profile(df, numeric)), "column", "left")
-    return out.select("*", *[F.lit(None).cast("double").alias(n) for n in ("min", "max", "mean", "median")])
+    stats, cells = [], {}
+    for i, f in enumerate(df.schema.fields):
+        stats.append(F.coalesce(F.bool_or(F.col(f.name).isNull()), F.lit(False)).alias(f"z{i}"))
+        cells[f.name] = {"dtype": F.lit(f.dataType.simpleString()), "nullable": F.col(f"z{i}")}
+        if f.name in numeric:
+            v = F.col(f.name).cast("double")
+            stats += [F.min(v).alias(f"a{i}"), F.max(v).alias(f"b{i}"), F.avg(v).alias(f"m{i}")]
+        none = F.lit(None).cast("double")
+        for name, short in (("min", "a"), ("max", "b"), ("mean", "m")):
+            cells[f.name][name] = F.col(f"{short}{i}") if f.name in numeric else none
+    if numeric and sizing.is_small(df):
+        for c in cells:
+            cells[c].setdefault("median", F.lit(None).cast("double"))
+    profile = (
+        _with_percentiles(df, stats, cells, numeric, {"median": 0.5}, "column")
+        if numeric
+        else _rows(df.agg(*stats), cells, key="column").withColumn("median", F.lit(None).cast("double"))
+    )
+    # One row per column on both sides.
+    counts = F.broadcast(distinct_counts(df, df.columns, approximate))
+    return profile.join(counts, "column", "left").select(
+        "column", "dtype", "nullable", "unique_values", "min", "max", "mean", "median"
+    )
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Missing ratio, mean, sample deviation, min and max; one pass, any grouping."""
-    stats = []
+def _summary_stats(columns: Sequence[str]) -> tuple[list[Column], dict[str, dict[str, Column]]]:
+    stats, cells = [], {}
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
         stats += [
@@ -91,23 +116,21 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
             F.min(v).alias(f"a{i}"),
             F.max(v).alias(f"b{i}"),
         ]
-    wide = df.groupBy(*by).agg(*stats) if by else df.agg(*stats)
-    cells = {
-        c: {
-            "missing_ratio": F.col(f"z{i}"),
-            "mean": F.col(f"m{i}"),
-            "std": F.col(f"s{i}"),
-            "min": F.col(f"a{i}"),
-            "max": F.col(f"b{i}"),
-        }
-        for i, c in enumerate(columns)
-    }
-    return _rows(wide, cells, by)
+        names = {"missing_ratio": "z", "mean": "m", "std": "s", "min": "a", "max": "b"}
+        cells[c] = {n: F.col(f"{short}{i}") for n, short in names.items()}
+    return stats, cells
+
+
+def numeric_summary(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Missing ratio, mean, sample deviation, min and max; one pass, any grouping."""
+    stats, cells = _summary_stats(columns)
+    return _rows(df.groupBy(*by).agg(*stats) if by else df.agg(*stats), cells, by)
 
 
 def numeric_baseline(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``numeric_summary`` plus exact percentiles, one row per column."""
-    return numeric_summary(df, columns).join(F.broadcast(exact_percentiles(df, columns, fixed.QUANTILES)), "feature")
+    stats, cells = _summary_stats(columns)
+    return _with_percentiles(df, stats, cells, columns, fixed.QUANTILES, "feature")
 
 
 def value_distribution(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -166,16 +189,12 @@ def baseline_report(
         stats = [c for c in summary.columns if c != "feature"]
         long = summary.unpivot(["feature"], stats, "stat", "number")
         parts.append(_section(long, "features", "numerical", F.lit(None).cast("string")))
-    if categorical:
-        shares = value_distribution(frame, categorical).select(
-            "feature", "value", F.lit("ratio").alias("stat"), F.col("ratio").alias("number")
-        )
-        parts.append(_section(shares, "features", "categorical", F.col("value")))
-    if target:
-        shares = target_baseline(frame, target).select(
-            "feature", "value", F.lit("ratio").alias("stat"), F.col("ratio").alias("number")
-        )
-        parts.append(_section(shares, "target", "categorical", F.col("value")))
+    for section, names in (("features", categorical), ("target", [target] if target else [])):
+        if names:
+            shares = value_distribution(frame, names).select(
+                "feature", "value", F.lit("ratio").alias("stat"), F.col("ratio").alias("number")
+            )
+            parts.append(_section(shares, section, "categorical", F.col("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -186,7 +205,3 @@ def _section(df: DataFrame, section: str, kind: str, value: Column) -> DataFrame
     return df.select(
         F.lit(section).alias("section"), "feature", F.lit(kind).alias("feature_type"), "stat", value.alias("value"), "number"
     )
-
-
-def is_numeric(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.NumericType)

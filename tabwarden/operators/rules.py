@@ -65,11 +65,15 @@ def error_details(annotated: DataFrame, key: Sequence[str]) -> DataFrame:
     return annotated.select(*key, F.inline("errors"))
 
 
-def batch_summary(annotated: DataFrame) -> DataFrame:
+def batch_counters() -> dict[str, Column]:
     """Rows received, accepted and rejected; errors are counted apart from rows."""
-    return annotated.agg(
-        F.count(F.lit(1)).alias("total_rows_received"),
-        F.count_if(F.size("errors") == 0).alias("total_success"),
-        F.count_if(F.size("errors") > 0).alias("total_failed_rows"),
-        F.coalesce(F.sum(F.size("errors")), F.lit(0)).cast("bigint").alias("total_errors"),
-    )
+    return {
+        "total_rows_received": F.count(F.lit(1)),
+        "total_success": F.count_if(F.size("errors") == 0),
+        "total_failed_rows": F.count_if(F.size("errors") > 0),
+        "total_errors": F.coalesce(F.sum(F.size("errors").cast("bigint")), F.lit(0).cast("bigint")),
+    }
+
+
+def batch_summary(annotated: DataFrame) -> DataFrame:
+    return annotated.agg(*[c.alias(n) for n, c in batch_counters().items()])

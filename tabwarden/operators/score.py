@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,7 +93,13 @@ def score_batch(
     spec: cleaning.CleanSpec,
     score: Callable[[DataFrame], DataFrame],
     allowed_values: bool = False,
+    seen: Observation | None = None,
 ) -> ScoredBatch:
-    """Clean, check, split and score a batch. All three results share the annotated plan."""
+    """Clean, check, split and score a batch. All results come from one annotated plan.
+
+    ``seen`` collects the batch counters while the scored side is written.
+    """
     annotated = rules.annotate(cleaning.clean(df, spec, "score"), contract, allowed_values)
-    return ScoredBatch(score(rules.valid_rows(annotated)), rules.invalid_rows(annotated), rules.batch_summary(annotated))
+    counters = rules.batch_counters()
+    watched = annotated.observe(seen, *[c.alias(n) for n, c in counters.items()]) if seen else annotated
+    return ScoredBatch(score(rules.valid_rows(watched)), rules.invalid_rows(annotated), rules.batch_summary(annotated))

@@ -4,8 +4,8 @@ A row's place in its stratum is its rank by a seeded hash key. Instead of rankin
 ``hash_cuts`` finds the hash value at each cut rank: counts per (stratum, hash prefix)
 locate the prefix that holds the cut, and only rows with that prefix are looked at one by
 one. Rows are then compared with their stratum's cuts, in a map-side join once the cuts are
-counted and found few, so the big table is scanned and never shuffled, however lopsided the
-strata are. Copies of one key
+counted and found few. The table is scanned three times and never shuffled, however lopsided
+the strata are; hand in a stored table, not a long plan. Copies of one key
 share a hash and stay on one side of a cut.
 """
 
@@ -46,6 +46,9 @@ def hash_cuts(
             "_s", "_p", F.col("_cut.i").alias("_i"), (F.col("_rank") - F.col("_end") + F.col("_n")).alias("_local")
         )
     )
+    # One row per (stratum, cut). Counted and held before the second scan, so that the scan is
+    # filtered by a broadcast and only rows of cut prefixes are shuffled.
+    located = known_small(located)
     # Copies collapse before the join: one row per distinct hash inside the few cut prefixes.
     wanted = located.select(F.col("_s").alias("_ws"), F.col("_p").alias("_wp")).distinct()
     near = (
@@ -122,8 +125,7 @@ def require_two_classes(df: DataFrame, target: str) -> DataFrame:
 def split_counts(df: DataFrame, split: str = "split") -> DataFrame:
     """Rows and share of every part."""
     counts = df.groupBy(split).agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy()  # over one row per part
-    return counts.withColumn("ratio", F.round(F.col("n") / F.sum("n").over(whole), 4))
+    return counts.withColumn("ratio", F.round(F.col("n") / counts.agg(F.sum("n")).scalar(), 4))
 
 
 def target_distribution(df: DataFrame, target: str, split: str = "split") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +42,17 @@ def windowed_stats(
         for c in numeric
     ]
     long = timed.select(at, F.explode(F.array(*cells)).alias("_c")).select(at, "_c.*")
-    frame = F.window(at, size, slide) if slide else F.window(at, size)
-    return (
-        long.groupBy(frame.alias("w"), "feature", "numeric", "value")
-        .agg(F.count_if(~F.col("numeric") | F.col("x").isNotNull()).alias("n"), F.sum("x").alias("total"))
-        .select(
-            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "feature", "numeric", "value", "n", "total"
-        )
-    )
+    keys = ["feature", "numeric", "value"]
+    counts = [F.count_if(~F.col("numeric") | F.col("x").isNotNull()).alias("n"), F.sum("x").alias("total")]
+    if slide and not watermark and pd.Timedelta(size) % pd.Timedelta(slide) == pd.Timedelta(0):
+        # A batch is summed per pane of one slide first; only pane sums are copied to windows.
+        panes = long.groupBy(F.window(at, slide).alias("_p"), *keys).agg(*counts)
+        windows = panes.groupBy(F.window(F.col("_p.start"), size, slide).alias("w"), *keys)
+        grouped = windows.agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    else:
+        frame = F.window(at, size, slide) if slide else F.window(at, size)
+        grouped = long.groupBy(frame.alias("w"), *keys).agg(*counts)
+    return grouped.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "n", "total")
 
 
 def shares(stats: DataFrame) -> DataFrame:
@@ -70,13 +74,10 @@ def means(stats: DataFrame) -> DataFrame:
 
 def drift_against(stats: DataFrame, expected_shares: DataFrame, expected_means: DataFrame) -> DataFrame:
     """Verdicts per window against one fixed baseline."""
-    # Each window needs the baseline's keys next to its own: baseline rows per (window, feature).
-    present = stats.where(~F.col("numeric")).select("window_start", "feature").distinct()
-    expected = expected_shares.select("feature", "value", "ratio").join(present, "feature")
     actual = means(stats)
     known = actual.select("window_start", "feature").join(expected_means.select("feature", "mean"), "feature")
     return drift.verdicts(
-        drift.psi(expected.select("window_start", "feature", "value", "ratio"), shares(stats), ["window_start"]),
+        drift.psi_against(expected_shares, shares(stats), ["window_start"]),
         drift.mean_shift(known, actual, ["window_start"]),
         ["window_start"],
     )
