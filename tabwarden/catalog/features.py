@@ -16,12 +16,12 @@ def _training_part(df):
 def feature_groups(spark, d):
     frame = fr.churn(spark, d)
     numeric, categorical = clean.feature_groups(clean.feature_frame(frame, fr.LABEL), both=True)
-    kinds = F.array(
-        *[F.struct(F.lit(c).alias("feature"), F.lit(k).alias("kind")) for k, cs in (("numerical", numeric), ("categorical", categorical)) for c in cs]
-    )
-    counted = [F.count(c).alias(c) for c in (*numeric, *categorical)]
-    present = frame.agg(*counted).unpivot([], [*numeric, *categorical], "feature", "present")
-    return frame.limit(1).select(F.inline(kinds)).join(present, "feature")
+    cells = [
+        F.struct(F.lit(c).alias("feature"), F.lit(kind).alias("kind"), F.col(c).alias("present"))
+        for kind, names in (("numerical", numeric), ("categorical", categorical))
+        for c in names
+    ]
+    return frame.agg(*[F.count(c).alias(c) for c in (*numeric, *categorical)]).select(F.inline(F.array(*cells)))
 
 
 def impute_median(spark, d):

@@ -75,7 +75,7 @@ def current_stats(spark, d):
 def value_counts(spark, d):
     """Categories of a column by falling frequency."""
     lines = fr.table(spark, d, "lineitem")
-    return profile.value_distribution(lines, ["l_partkey"]).select("value", "n").orderBy(F.desc("n"), "value")
+    return profile.value_counts(lines, ["l_partkey"]).select("value", "n").orderBy(F.desc("n"), "value")
 
 
 def psi_by_feature(spark, d):

@@ -23,7 +23,9 @@ def value_bucket(df: DataFrame, column: str, buckets: int, weights_from: DataFra
     )
     return (
         df.withColumn("_bounds", bounds.scalar())
-        .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col(column))))
+        # Never NULL, so no null filter is pushed into one of the two uses and the shuffle of
+        # ``df`` stays shared.
+        .withColumn("_bucket", F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(column))), F.lit(0)))
         .drop("_bounds")
     )
 

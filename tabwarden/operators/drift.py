@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabwarden import fixed
 from tabwarden.functions import stats
+from tabwarden.operators.profile import long_cells
 
 
 def compare_distributions(expected: DataFrame, actual: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -128,15 +129,13 @@ def summary(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def tagged_distribution(df: DataFrame, columns: Sequence[str], is_actual: Column) -> DataFrame:
     """Both shares of every value in one scan and one shuffle, for two parts of one table."""
-    text = df.select(*[F.col(c).cast("string").alias(c) for c in columns], is_actual.alias("_actual"))
     counts = (
-        text.unpivot(["_actual"], list(columns), "feature", "value")
+        long_cells(df.withColumn("_actual", is_actual), columns, ["_actual"])
         .groupBy("feature", "value")
         .agg(F.count_if("_actual").alias("a"), F.count_if(~F.col("_actual")).alias("e"))
     )
-    # One row per column, summed from the counts: the table is scanned once.
-    totals = counts.groupBy(F.col("feature").alias("_f")).agg(F.sum("a").alias("_a"), F.sum("e").alias("_e"))
-    share = {n: F.try_divide(F.col(c).cast("double"), F.col(t).cast("double")).alias(n) for n, c, t in (("expected", "e", "_e"), ("actual", "a", "_a"))}
-    return counts.join(F.broadcast(totals), F.col("feature") == F.col("_f")).select(
-        "feature", "value", share["expected"], share["actual"]
-    )
+    # Every column has the same totals; the shuffle of the counts is reused for them.
+    k = len(columns)
+    totals = counts.agg(F.struct(F.expr(f"sum(a) div {k}").alias("a"), F.expr(f"sum(e) div {k}").alias("e")).alias("t")).scalar()
+    share = {n: F.try_divide(F.col(c).cast("double"), F.col(f"_t.{c}").cast("double")).alias(n) for n, c in (("expected", "e"), ("actual", "a"))}
+    return counts.withColumn("_t", totals).select("feature", "value", share["expected"], share["actual"])

@@ -133,25 +133,44 @@ def numeric_baseline(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _with_percentiles(df, stats, cells, columns, fixed.QUANTILES, "feature")
 
 
-def value_distribution(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows ``(by…, feature, value, n, ratio)``, the missing value included as NULL.
+def long_cells(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows ``(by…, feature, value)`` of all cells, values as text.
+
+    Companion columns ride inside the unpivoted cell: identifier columns of an unpivot keep two
+    uses of the same counts from sharing one shuffle.
+    """
+    cells = [F.struct(F.col(c).cast("string").alias("v"), *by).alias(c) for c in columns]
+    long = df.select(*cells).unpivot([], list(columns), "feature", "_cell")
+    return long.select(*[F.col(f"_cell.{b}").alias(b) for b in by], "feature", F.col("_cell.v").alias("value"))
+
+
+def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows ``(by…, feature, value, n)``, the missing value included as NULL.
 
     One shuffle for all columns; tasks first count their own values, so a value that fills a
     third of the table travels as one row per task. No value is cut off: a column of ids makes
     a long table, never a big task.
     """
-    text = df.select(*by, *[F.col(c).cast("string").alias(c) for c in columns])
-    counts = text.unpivot(list(by), list(columns), "feature", "value").groupBy(*by, "feature", "value")
-    counts = counts.agg(F.count(F.lit(1)).alias("n"))
-    # Summed from the counts, whose shuffle is reused: no second scan of the table.
+    return long_cells(df, columns, by).groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def value_distribution(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``value_counts`` with the share of each value as ``ratio``.
+
+    Totals are summed from the counts, whose shuffle is reused: no second scan of the table.
+    """
+    counts = value_counts(df, columns, by)
+    if not by:
+        # Missing cells are counted, so every column has the same total.
+        total = counts.agg(F.expr(f"sum(n) div {len(columns)}")).scalar()
+        return counts.withColumn("ratio", F.col("n") / total)
     totals = counts.groupBy(*[F.col(b).alias(f"_{b}") for b in by], F.col("feature").alias("_f")).agg(
         F.sum("n").alias("_total")
     )
     on = F.col("feature") == F.col("_f")
     for b in by:
         on = on & F.col(b).eqNullSafe(F.col(f"_{b}"))
-    # Without groups there is one total per column of the table.
-    joined = counts.join(totals if by else F.broadcast(totals), on)
+    joined = counts.join(totals, on)
     return joined.select(*by, "feature", "value", "n", (F.col("n") / F.col("_total")).alias("ratio"))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwarden import fixed
+from tabwarden.functions import sizing
 from tabwarden.operators import metrics
 from tabwarden.operators.encode import TabularEncoder
 
@@ -75,6 +76,21 @@ def build_pipeline(name: str, params: Mapping[str, Any], numeric, categorical, r
     return Pipeline(stages=[encoder, classifier(name, params, rows, label)])
 
 
+def fit(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
+    """Fit, and let go of the training summary.
+
+    A summary holds its session; once the session has observed a query, a model that still
+    has one can no longer be sent to executors. A stored model has none.
+    """
+    model = pipeline.fit(rows)
+    last = model.stages[-1]
+    if getattr(last, "hasSummary", False):
+        path = sizing.run_dir(rows.sparkSession, "stage")
+        last.save(path)
+        model = PipelineModel([*model.stages[:-1], type(last).load(path)])
+    return model
+
+
 def scored(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Kept columns and the probability of the positive class as ``p``."""
     return model.transform(df).select(*keep, vector_to_array("probability")[1].alias("p"))
@@ -94,16 +110,16 @@ def cross_validate(
     """Recall of every (draw, fold). Fits run side by side, each one a distributed job; all
     validation folds are measured in one pass."""
 
-    def fit(job):
+    def one(job):
         i, k = job
         part = train.where(F.col(fold) != k)
-        model = build_pipeline(name, draws[i], numeric, categorical, rows * (folds - 1) // folds, label).fit(part)
+        model = fit(build_pipeline(name, draws[i], numeric, categorical, rows * (folds - 1) // folds, label), part)
         out = scored(model, train.where(F.col(fold) == k), [F.col(label).alias("label")])
         return out.select(F.lit(i).alias("draw"), F.lit(k).alias("fold"), "label", "p")
 
     jobs = list(itertools.product(range(len(draws)), range(folds)))
     with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
-        frames = pool.map(inheritable_thread_target(train.sparkSession)(fit), jobs)
+        frames = pool.map(inheritable_thread_target(train.sparkSession)(one), jobs)
     every = frames[0]
     for f in frames[1:]:
         every = every.unionByName(f)
@@ -133,7 +149,7 @@ def train_candidate(
     scores = cross_validate(train, name, points, numeric, categorical, label, fold, folds, rows, parallelism)
     means = [sum(s for _, s in per) / folds for per in scores]
     best = max(range(len(points)), key=lambda i: means[i])
-    model = build_pipeline(name, points[best], numeric, categorical, rows, label).fit(train)
+    model = fit(build_pipeline(name, points[best], numeric, categorical, rows, label), train)
     return Candidate(name, points[best], model, scores[best])
 
 

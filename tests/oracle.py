@@ -83,7 +83,8 @@ def main() -> int:
                 why = None
                 state = f"{len(queries[name](spark, sf_dir).collect())} rows, no SQL"
         except Exception as e:  # noqa: BLE001
-            why = state = f"FAIL {type(e).__name__}: {str(e)[:600]}"
+            lines = [s for s in str(e).splitlines() if not s.lstrip().startswith("at ")]
+            why = state = f"FAIL {type(e).__name__}: " + " | ".join(lines)[:1500]
         failed += why is not None
         print(f"{name:32s} {time.time() - t:6.2f}s {state}", flush=True)
     spark.stop()
