@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabwarden.catalog import frames as fr
-from tabwarden.operators import decide, lineage, metrics
+from tabwarden.operators import decide, lineage, metrics, registry
 
 MODEL = ["model"]
 
@@ -69,11 +69,16 @@ def lineage_evaluate(spark, d):
     return lineage.evaluation(found, decide.champion_decision(decide.select_candidate(found), champion))
 
 
+def registry_version_metrics(spark, d):
+    """The metrics that would be stored with the chosen version."""
+    return registry.version_metrics(lineage_evaluate(spark, d)).drop("approved", "reason")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         confusion_by_model, class_metrics, roc_auc, average_precision, log_loss, threshold_predictions, fold_scores,
-        rank_candidates, select_candidate, champion_decision, lineage_evaluate,
+        rank_candidates, select_candidate, champion_decision, lineage_evaluate, registry_version_metrics,
     )
 }
 
@@ -115,6 +120,8 @@ _DECISION = """CASE WHEN champion_recall IS NULL THEN 'approved: no champion'
   champion_recall IS NULL OR round(recall - champion_recall, 6) >= 0.01::DOUBLE AS approved"""
 
 ORACLES = {
+    "registry_version_metrics": f"""{_BY_MODEL}, every AS (SELECT 1 AS g, * FROM rates), {_walk(0.005, 'every', 'g')}
+        SELECT model, r.recall, r.precision, f1 FROM rates r JOIN best ON best_model = model""",
     "confusion_by_model": f"{_BY_MODEL} SELECT model, tn, fp, fn, tp FROM cells",
     "class_metrics": f"""{_BY_MODEL}, {_AUC}, {_AP}, {_LL}
         SELECT model, n_samples, tn, fp, fn, tp, accuracy, precision, recall, f1, 0.5::DOUBLE AS threshold, roc_auc, pr_auc, log_loss

@@ -123,12 +123,20 @@ def class_gate(spark, d):
     return split.require_two_classes(fr.churn(spark, d), fr.LABEL)
 
 
+def union_documents(spark, d):
+    """Two writers of event documents, one of which never learned the nested number."""
+    events = fr.table(spark, d, "events")
+    old = events.where("event_type IN ('view', 'click')").select("event_id", "event_type", "value")
+    new = readers.json_fields(events.where("event_type NOT IN ('view', 'click')"), "props", "k INT").select("event_id", "event_type", "k")
+    return readers.union_documents(old, new)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         scan_window_flatten, io_roundtrip, report_roundtrip, load_overwrite_append, split_part_train,
         clean_customer_train, clean_customer_score, dedupe_rows, dedupe_on_key, duplicate_count, dataset_fingerprint,
-        stratified_sample, stratified_split, stratified_folds, split_counts, target_distribution, class_gate,
+        stratified_sample, stratified_split, stratified_folds, split_counts, target_distribution, class_gate, union_documents,
     )
 }
 
@@ -148,6 +156,8 @@ _ORDERS = _RANKED.format(key="o_orderkey", stratum="o_orderstatus", seed=42, sou
 _CHURN = fr.CHURN_SQL + ", " + _RANKED.format(key="c_custkey", stratum="churn", seed=42, source="churn")
 
 ORACLES = {
+    "union_documents": """SELECT event_id, event_type, CASE WHEN event_type IN ('view', 'click') THEN value END AS value,
+        CASE WHEN event_type NOT IN ('view', 'click') THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k FROM events""",
     "scan_window_flatten": f"""SELECT event_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
         FROM events WHERE ts >= TIMESTAMP '{ASOF}' - INTERVAL 7 DAY AND ts < TIMESTAMP '{ASOF}'""",
     "io_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",

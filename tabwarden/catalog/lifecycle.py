@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabwarden.catalog import frames as fr
 from tabwarden.functions import sizing
 from tabwarden.functions.stats import mean_shift
-from tabwarden.operators import clean, encode, lineage, registry, split, trigger
+from tabwarden.operators import clean, encode, lineage, profile, registry, split, trigger
 from tabwarden.plans import monitoring
 
 
@@ -70,6 +70,21 @@ def registry_register(spark, d):
     return registry.pointer(spark.read.schema(registry.SCHEMA).parquet(path))
 
 
+def registry_stored_baseline(spark, d):
+    """Baselines of two versions stored; the one behind the pointer comes back."""
+    path = sizing.run_dir(spark, "baselines")
+    halves = fr.halves(fr.table(spark, d, "orders"), "o_orderdate", fr.ORDER_CUT)
+    for version, rows in zip(("v1", "v2"), halves):
+        frame = rows.select("o_totalprice", "o_orderpriority", "o_orderstatus")
+        registry.store_artifact(profile.baseline_report(frame, target="o_orderstatus", percentiles=False), path, "orders", version)
+    versions = fr.table(spark, d, "orders").select(
+        F.lit("orders").alias("name"),
+        F.when(F.col("o_orderdate") < F.lit(fr.ORDER_CUT).cast("timestamp_ntz"), "v1").otherwise("v2").alias("version"),
+        F.lit(True).alias("promoted"), F.col("o_orderdate").alias("registered_at"),
+    )
+    return registry.load_artifact(path, registry.pointer(versions)).withColumn("number", F.round("number", 6))
+
+
 STEP = "6 hours"
 
 
@@ -122,7 +137,7 @@ def lineage_transform(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        registry_next_version, registry_pointer, registry_version_artifacts, registry_register, trigger_cooldown, trigger_decide,
+        registry_next_version, registry_pointer, registry_version_artifacts, registry_register, registry_stored_baseline, trigger_cooldown, trigger_decide,
         monitoring_decision, lineage_ingest, lineage_transform,
     )
 }
@@ -152,6 +167,11 @@ def _hash(columns):
 _SUMS = "count(*) AS n_rows, CAST(sum(h::HUGEINT) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor"
 
 ORACLES = {
+    "registry_stored_baseline": f"""WITH {_profiling._ORDERS}, b AS ({_profiling._union([
+        _profiling._long_numeric_sql("late", ["o_totalprice"], {k: v for k, v in _profiling._STATS.items() if not k.startswith("p")}),
+        _profiling._long_shares_sql("late", ["o_orderpriority"]),
+        _profiling._long_shares_sql("late", ["o_orderstatus"], "target")])})
+        SELECT 'orders' AS name, 'v2' AS version, * FROM b""",
     "registry_next_version": f"""WITH {_REG}, names AS (SELECT DISTINCT o_orderpriority AS name FROM orders UNION SELECT c_mktsegment FROM customer)
         SELECT name, 'v' || (coalesce(max(num), 0) + 1)::VARCHAR AS next_version FROM names LEFT JOIN reg USING (name) GROUP BY name""",
     "registry_pointer": f"WITH {_REG} SELECT name, 'v' || max(num)::VARCHAR AS version FROM reg WHERE promoted GROUP BY name",

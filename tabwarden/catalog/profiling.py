@@ -141,12 +141,21 @@ def window_over_window_drift(spark, d):
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def fast_lane_summary(spark, d):
+    """One row per daily window: features analysed and whether any drifted."""
+    found = drift.summary(window_over_window_drift(spark, d), by=["window_start"])
+    return found.select(
+        "window_start", (F.col("window_start") + F.expr("INTERVAL 1 DAY")).alias("window_end"),
+        F.col("total_features_evaluated").alias("features_analyzed"), "drift_detected",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         table_shape, null_counts, column_profile, numeric_profile, distinct_counts, baseline_numeric, baseline_categorical,
         baseline_target, baseline_report, current_stats, value_counts, psi_by_feature, mean_shift_by_feature, drift_report,
-        drift_summary, drift_against_stored, skipped_features, target_drift, sliding_window_distribution, window_over_window_drift,
+        drift_summary, drift_against_stored, skipped_features, target_drift, sliding_window_distribution, window_over_window_drift, fast_lane_summary,
     )
 }
 
@@ -312,3 +321,6 @@ ORACLES = {
         SELECT d AS window_start, 'event_type' AS feature, 'categorical' AS type, 'psi' AS metric, score, score > 0.2 AS is_drifted FROM psi
         UNION ALL SELECT d, 'value', 'numerical', 'relative_mean_shift', score, score > 0.1 FROM shift""",
 }
+
+ORACLES["fast_lane_summary"] = f"""SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, count(*) AS features_analyzed,
+    bool_or(is_drifted) AS drift_detected FROM ({ORACLES["window_over_window_drift"]}) GROUP BY window_start"""

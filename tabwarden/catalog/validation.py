@@ -118,11 +118,29 @@ def output_violations(spark, d):
     return score.output_violations(_formula(cleaned)).select("customer_id", F.round("p", 6).alias("p"))
 
 
+RULES_CONTRACT = contract.from_dict(
+    {
+        "ingestion_rules": {"allow_type_coercion": True, "drop_unknown_columns": True, "case_sensitive_values": False},
+        "columns": {
+            "customer_id": {"expected_dtype": "integer"},
+            "segment": {"expected_dtype": "string", "allowed_values": ["Building", "Machinery", "Furniture"]},
+            "balance": {"expected_dtype": "floating"},
+        },
+    }
+)
+
+
+def ingestion_rules(spark, d):
+    """Undeclared columns dropped, text numbers coerced, case folded to declared categories."""
+    rows = fr.dirty(spark, d).withColumns({"customer_id": F.col("customer_id").cast("string"), "segment": F.trim("segment")})
+    return contract.apply_ingestion_rules(rows, RULES_CONTRACT)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         contract_check, contract_summary, dataset_constraints, row_violations, valid_rows, dlq_rows, batch_summary,
-        prediction_log, dead_letter_log, live_snapshot, output_violations,
+        prediction_log, dead_letter_log, live_snapshot, output_violations, ingestion_rules,
     )
 }
 
@@ -150,6 +168,10 @@ checks AS (
 _LOGGED_SQL = fr.ERRORS_SQL + """, good AS (SELECT * FROM cleaned WHERE customer_id NOT IN (SELECT customer_id FROM found))"""
 
 ORACLES = {
+    "ingestion_rules": f"""WITH {fr.DIRTY_SQL}, t AS (SELECT customer_id, trim(segment, ' ') AS segment, balance FROM dirty)
+        SELECT customer_id, CASE lower(segment) WHEN 'building' THEN 'Building' WHEN 'machinery' THEN 'Machinery'
+            WHEN 'furniture' THEN 'Furniture' ELSE segment END AS segment,
+          CASE WHEN regexp_matches(balance, {fr.NUMERIC_SQL}) THEN TRY_CAST(trim(balance) AS DOUBLE) END AS balance FROM t""",
     "contract_check": f"{_CHECKS_SQL} SELECT * FROM checks",
     "contract_summary": f"""{_CHECKS_SQL} SELECT count(*) FILTER (status = 'error') AS errors, count(*) FILTER (status = 'warning') AS warnings,
         count(*) FILTER (status = 'error') = 0 AS passed FROM checks""",

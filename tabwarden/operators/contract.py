@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabwarden.functions import cells
+
 LEVELS = ["pass", "warning", "error"]
 
 #: Physical names under which contracts may list a Spark type.
@@ -214,19 +216,25 @@ def check_dataset(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def apply_ingestion_rules(df: DataFrame, contract: Contract) -> DataFrame:
-    """Drop undeclared columns and fold case, as the contract's ingestion rules say."""
+    """Drop undeclared columns, coerce declared numbers and fold case, as the contract says."""
     rules = contract.ingestion
     out = df
     if rules.get("drop_unknown_columns", False):
         out = out.select(*[c for c in out.columns if c in contract.columns])
-    if not rules.get("case_sensitive_values", True):
-        folded = {}
-        for name, r in contract.columns.items():
-            if name in out.columns and r.get("allowed_values"):
-                text = F.lower(F.col(name).cast("string"))
-                kept = F.col(name).cast("string")
-                for value in r["allowed_values"]:
-                    kept = F.when(text == str(value).lower(), F.lit(str(value))).otherwise(kept)
-                folded[name] = kept
-        out = out.withColumns(folded) if folded else out
-    return out
+    changes: dict[str, Column] = {}
+    for name, rule in contract.columns.items():
+        if name not in out.columns:
+            continue
+        is_text = isinstance(out.schema[name].dataType, T.StringType)
+        kind = rule.get("expected_dtype")
+        if is_text and kind in ("floating", "integer") and rules.get("allow_type_coercion", True):
+            number = cells.to_number(F.col(name))
+            whole = F.when(number == F.floor(number), number.cast("bigint"))
+            changes[name] = number if kind == "floating" else whole
+        elif is_text and rule.get("allowed_values") and not rules.get("case_sensitive_values", True):
+            text = F.lower(F.col(name))
+            kept = F.col(name)
+            for value in rule["allowed_values"]:
+                kept = F.when(text == str(value).lower(), F.lit(str(value))).otherwise(kept)
+            changes[name] = kept
+    return out.withColumns(changes) if changes else out

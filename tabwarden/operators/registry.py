@@ -75,3 +75,26 @@ def resolve(pointers: DataFrame, versions: DataFrame, *columns: str) -> DataFram
 
 def append(registry_path: str, rows: DataFrame) -> None:
     rows.write.mode("append").parquet(registry_path)
+
+
+def version_metrics(evaluation: DataFrame) -> DataFrame:
+    """The metrics that go with a version: those of the chosen candidate."""
+    return evaluation.where("is_best").drop("is_best")
+
+
+def store_artifact(df: DataFrame, path: str, name: str, version: str) -> None:
+    """Write a baseline or metrics table under its model name and version."""
+    df.write.mode("errorifexists").parquet(f"{path}/name={name}/version={version}")
+
+
+def load_artifact(path: str, pointers: DataFrame) -> DataFrame:
+    """Artifact rows of the versions that pointers name; a pointer without rows is an error.
+
+    Names and versions are partitions: only the pointed ones are read.
+    """
+    stored = pointers.sparkSession.read.parquet(path)
+    out = stored.join(F.broadcast(pointers.select("name", "version")), ["name", "version"])
+    missing = pointers.join(stored.select("name", "version").distinct(), ["name", "version"], "left_anti")
+    if not missing.isEmpty():
+        raise ValueError(f"no stored artifact for {[tuple(r) for r in missing.select('name', 'version').take(5)]}")
+    return out

@@ -59,3 +59,11 @@ def trailing_window(df: DataFrame, at: str, asof: Column | str, days: int = fixe
 def json_fields(df: DataFrame, column: str, schema: str) -> DataFrame:
     """Replace a JSON text column by its fields; absent keys are NULL."""
     return df.withColumn("_json", F.from_json(column, schema)).select(*[c for c in df.columns if c != column], "_json.*")
+
+
+def union_documents(*frames: DataFrame) -> DataFrame:
+    """Documents of writers with different fields: union of columns, absent ones NULL."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
