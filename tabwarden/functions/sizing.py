@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -61,11 +62,15 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tabwarden-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir()
     return base.rstrip("/")
 
 
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tabwarden-")
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

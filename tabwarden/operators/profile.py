@@ -179,9 +179,13 @@ def categorical_baseline(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return value_distribution(df, columns)
 
 
-def target_baseline(df: DataFrame, target: str) -> DataFrame:
+def _require(df: DataFrame, target: str) -> None:
     if target not in df.columns:
         raise ValueError(f"target column {target} not found")
+
+
+def target_baseline(df: DataFrame, target: str) -> DataFrame:
+    _require(df, target)
     return value_distribution(df, [target])
 
 
@@ -199,6 +203,8 @@ def baseline_report(
     """
     if not df.columns:
         raise ValueError("baseline of a frame without columns")
+    if target:
+        _require(df, target)
     keep = [c for c in df.columns if c not in exclude]
     frame = df.select(*keep)
     numeric, categorical = feature_groups(frame, exclude=[target] if target else [])
