@@ -123,7 +123,7 @@ def lineage_ingest(spark, d):
     """Orders without their id, duplicates removed, split by status: the whole lineage row set."""
     raw = fr.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     columns = ["o_custkey", "o_orderstatus", "o_orderpriority"]
-    cleaned = clean.distinct_rows(raw.drop("o_orderkey"))
+    cleaned = sizing.cut_lineage(clean.distinct_rows(raw.drop("o_orderkey")), "cleaned")
     parts = split.stratified_split(cleaned, "o_orderstatus", columns)
     return lineage.ingestion(raw, cleaned, parts, "split", columns)
 

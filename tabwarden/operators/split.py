@@ -1,12 +1,12 @@
 """Reproducible stratified splits that never move the rows.
 
 A row's place in its stratum is its rank by a seeded hash key. Instead of ranking rows,
-``hash_cuts`` finds the hash value at each cut rank: counts per (stratum, hash prefix)
-locate the prefix that holds the cut, and only rows with that prefix are looked at one by
-one. Rows are then compared with their stratum's cuts, in a map-side join once the cuts are
-counted and found few. The table is scanned three times and never shuffled, however lopsided
-the strata are; hand in a stored table, not a long plan. Copies of one key
-share a hash and stay on one side of a cut.
+``hash_cuts`` finds the hash value at each cut rank: counts per (stratum, hash prefix) locate
+the prefix that holds the cut, counts per next digits narrow it down, and only the hashes that
+are left are ordered one by one. Rows are then compared with their stratum's cuts, in a
+map-side join once the cuts are counted and found few. The table is scanned three times and
+never shuffled, however lopsided the strata are; hand in a stored table, not a long plan.
+Copies of one key share a hash and stay on one side of a cut.
 """
 
 from __future__ import annotations
@@ -18,59 +18,69 @@ from pyspark.sql import functions as F
 
 from tabwarden import fixed
 from tabwarden.functions import cells
-from tabwarden.functions.sizing import known_small
+from tabwarden.functions.sizing import is_small, known_small
 
-#: Hex digits of the hash that name a bucket: 65,536 buckets per stratum.
-PREFIX_DIGITS = 4
+#: Hex digits of the hash that name a bucket. A large table is cut twice by this many.
+PREFIX_DIGITS = 3
+SMALL_PREFIX_DIGITS = 2
+
+
+def _locate(counts: DataFrame, ranks: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """Find the ``order`` value that holds each rank of a ``by`` group.
+
+    ``counts`` has ``_n`` rows per (by, order); ``ranks`` has ``(by…, _i, _rank)``. Returns
+    ``(by…, order, _i, _rank)`` with the rank counted from the start of that value.
+    """
+    through = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    ended = counts.withColumn("_end", F.sum("_n").over(through))
+    wanted = ranks.select(*[F.col(b).alias(f"r{b}") for b in by], "_i", "_rank")
+    hit = (F.col("_rank") >= F.col("_end") - F.col("_n")) & (F.col("_rank") < F.col("_end"))
+    for b in by:
+        hit = hit & F.col(b).eqNullSafe(F.col(f"r{b}"))
+    return ended.join(wanted, hit).select(*by, order, "_i", (F.col("_rank") - F.col("_end") + F.col("_n")).alias("_rank"))
+
+
+def _among(rows: DataFrame, wanted: DataFrame, on: Sequence[str]) -> DataFrame:
+    w = wanted.select(*[F.col(c).alias(f"w{c}") for c in on])
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"w{c}"))
+    return rows.join(w, same, "left_semi")
 
 
 def hash_cuts(
-    df: DataFrame, stratum: str, key: Sequence[str], weights: Sequence[int], seed: int, digits: int = PREFIX_DIGITS
+    df: DataFrame, stratum: str, key: Sequence[str], weights: Sequence[int], seed: int, digits: int | None = None
 ) -> DataFrame:
     """One row per stratum: ``cuts``, the ascending hash values at which the parts after the
     first begin. A part that begins beyond the last row gets a cut above every hash."""
+    small = digits is None and is_small(df)
+    if digits is None:
+        digits = SMALL_PREFIX_DIGITS if small else PREFIX_DIGITS
     total = sum(weights)
     marks = [sum(weights[: i + 1]) for i in range(len(weights) - 1)]
-    keyed = df.select(F.col(stratum).alias("_s"), cells.hash_key(seed, *[F.col(k) for k in key]).alias("_h"))
-    prefixed = keyed.withColumn("_p", F.substring("_h", 1, digits))
-
-    per_prefix = prefixed.groupBy("_s", "_p").agg(F.count(F.lit(1)).alias("_n"))
-    through = Window.partitionBy("_s").orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("_s")
-    located = (
-        per_prefix.withColumns({"_end": F.sum("_n").over(through), "_all": F.sum("_n").over(whole)})
-        .withColumn("_cut", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(m).alias("m")) for i, m in enumerate(marks)])))
-        .withColumn("_rank", F.expr(f"(_all * _cut.m) div {total}"))
-        .where((F.col("_rank") >= F.col("_end") - F.col("_n")) & (F.col("_rank") < F.col("_end")))
-        .select(
-            "_s", "_p", F.col("_cut.i").alias("_i"), (F.col("_rank") - F.col("_end") + F.col("_n")).alias("_local")
-        )
+    hashed = df.select(F.col(stratum).alias("_s"), cells.hash_key(seed, *[F.col(k) for k in key]).alias("_h"))
+    rows = hashed.withColumns({"_p": F.substring("_h", 1, digits), "_q": F.substring("_h", digits + 1, digits)})
+
+    counts = rows.groupBy("_s", "_p").agg(F.count(F.lit(1)).alias("_n"))
+    cut = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(m).alias("m")) for i, m in enumerate(marks)]))
+    ranks = (
+        counts.groupBy("_s").agg(F.sum("_n").alias("_all")).select("_s", "_all", cut.alias("_c"))
+        .select("_s", F.col("_c.i").alias("_i"), F.expr(f"(_all * _c.m) div {total}").alias("_rank"))
     )
     # One row per (stratum, cut). Counted and held before the second scan, so that the scan is
     # filtered by a broadcast and only rows of cut prefixes are shuffled.
-    located = known_small(located)
-    # Copies collapse before the join: one row per distinct hash inside the few cut prefixes.
-    wanted = located.select(F.col("_s").alias("_ws"), F.col("_p").alias("_wp")).distinct()
-    near = (
-        prefixed.join(wanted, F.col("_s").eqNullSafe(F.col("_ws")) & (F.col("_p") == F.col("_wp")), "left_semi")
-        .groupBy("_s", "_p", "_h")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    inside = Window.partitionBy("_s", "_p").orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = near.withColumn("_end", F.sum("_n").over(inside))
-    n = ranked.alias("n")
-    c = located.alias("c")
-    at_cut = n.join(
-        c,
-        F.col("n._s").eqNullSafe(F.col("c._s"))
-        & (F.col("n._p") == F.col("c._p"))
-        # A hash begins a part if it is the first whose rows start at or after the cut rank.
-        & (F.col("c._local") < F.col("n._end"))
-        & (F.col("c._local") >= F.col("n._end") - F.col("n._n")),
-    ).select(F.col("c._s").alias("_s"), F.col("c._i").alias("_i"), F.col("n._h").alias("_h"))
+    at_prefix = known_small(_locate(counts, ranks, ["_s"], "_p"))
+    # Copies of a key collapse into one row with their number.
+    near = _among(rows, at_prefix, ["_s", "_p"]).groupBy("_s", "_p", "_q", "_h").agg(F.count(F.lit(1)).alias("_n"))
+    if small:
+        at_hash = _locate(near, at_prefix, ["_s", "_p"], "_h")
+    else:
+        finer = near.groupBy("_s", "_p", "_q").agg(F.sum("_n").alias("_n"))
+        at_finer = _locate(finer, at_prefix, ["_s", "_p"], "_q")
+        at_hash = _locate(_among(near, at_finer, ["_s", "_p", "_q"]), at_finer, ["_s", "_p", "_q"], "_h")
     # 'g' sorts above every hex digit.
     slots = [F.coalesce(F.max(F.when(F.col("_i") == i, F.col("_h"))), F.lit("g")) for i in range(len(marks))]
-    return at_cut.groupBy("_s").agg(F.array(*slots).alias("cuts"))
+    return at_hash.groupBy("_s").agg(F.array(*slots).alias("cuts"))
 
 
 def stratified_split(
@@ -80,7 +90,7 @@ def stratified_split(
     weights: Mapping[str, int] | None = None,
     seed: int = fixed.SEED,
     into: str = "split",
-    digits: int = PREFIX_DIGITS,
+    digits: int | None = None,
 ) -> DataFrame:
     """Add ``into``: the part of each row. Exact per stratum up to the copies of one key."""
     weights = dict(weights or fixed.SPLIT_WEIGHTS)

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,17 +65,27 @@ def run(
     champion: PipelineModel | None = None,
     folds: int = fixed.N_FOLDS,
     draws: int = 1,
-    parallelism: int = 4,
+    parallelism: int = 8,
     skip: Sequence[str] = (),
 ) -> TrainingRun:
-    """Train every candidate on the stored training part and decide on the test part."""
+    """Train every candidate on the stored training part and decide on the test part.
+
+    ``parallelism`` bounds the fits that run side by side; each of them keeps its own copy of
+    the training rows on the executors, so lower it when those do not fit.
+    """
     fit_rows, test_rows = (readers.read_part(spark, path, p) for p in ("train", "test"))
     checks = gate(fit_rows.drop("fold", *skip), contract) if contract else None
     numeric, categorical = cleaning.feature_groups(fit_rows, exclude=[label, "fold", *skip], both=True)
-    candidates = [
-        train.train_candidate(fit_rows, name, grid, numeric, categorical, label, folds=folds, draws=draws, parallelism=parallelism)
-        for name, grid in grids.items()
-    ]
+    lanes = max(1, min(len(grids), parallelism))
+
+    def one(item):
+        name, grid = item
+        return train.train_candidate(
+            fit_rows, name, grid, numeric, categorical, label, folds=folds, draws=draws, parallelism=max(1, parallelism // lanes)
+        )
+
+    with ThreadPool(lanes) as pool:
+        candidates = pool.map(inheritable_thread_target(spark)(one), list(grids.items()))
     result = train.evaluate(candidates, test_rows, label)
     current = train.champion_metrics(champion, test_rows, label)
     decision = decide.champion_decision(decide.select_candidate(result), current)
