@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 SMALL_INPUT_BYTES = 32 << 20
 #: Rows a report-sized frame may have to be held by the driver.
 MAX_LOCAL_ROWS = 10_000
-#: A side is broadcast by hand only when the planner proves it smaller than this.
-BROADCAST_BYTES = 64 << 20
+#: Most pieces a global order is cut into.
+MAX_BUCKETS = 4096
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -31,7 +31,7 @@ def rank_buckets(df: DataFrame, limit: int | None = None) -> int:
     """How many pieces a global order is cut into: one if it fits a task, else many."""
     if is_small(df, limit):
         return 1
-    return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return min(MAX_BUCKETS, max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def known_small(df: DataFrame, limit: int = MAX_LOCAL_ROWS) -> DataFrame:
@@ -46,13 +46,6 @@ def known_small(df: DataFrame, limit: int = MAX_LOCAL_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def broadcast_checked(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint if the planner's own upper estimate is small; otherwise leave the
-    choice to adaptive execution, which decides on measured shuffle sizes."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return F.broadcast(df) if size <= limit else df
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

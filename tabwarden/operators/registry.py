@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwarden.functions.cells import clean_path
+from tabwarden.functions.sizing import known_small
 
 SCHEMA = T.StructType(
     [
@@ -93,7 +94,7 @@ def load_artifact(path: str, pointers: DataFrame) -> DataFrame:
     Names and versions are partitions: only the pointed ones are read.
     """
     stored = pointers.sparkSession.read.parquet(path)
-    out = stored.join(F.broadcast(pointers.select("name", "version")), ["name", "version"])
+    out = stored.join(known_small(pointers.select("name", "version")), ["name", "version"])
     missing = pointers.join(stored.select("name", "version").distinct(), ["name", "version"], "left_anti")
     if not missing.isEmpty():
         raise ValueError(f"no stored artifact for {[tuple(r) for r in missing.select('name', 'version').take(5)]}")

@@ -158,15 +158,19 @@ def fold_frame(spark: SparkSession, candidates: Sequence[Candidate]) -> DataFram
     return spark.createDataFrame(rows, "model string, params string, fold int, score double")
 
 
+def scored_by_all(candidates: Sequence[Candidate], df: DataFrame, label: str) -> DataFrame:
+    """``(model, label, p)`` of every candidate from one scan: the models run one after another
+    on the same row."""
+    out = df
+    for i, c in enumerate(candidates):
+        out = c.model.transform(out).select(*out.columns, vector_to_array("probability")[1].alias(f"_p{i}"))
+    cells = [F.struct(F.lit(c.name).alias("model"), F.col(f"_p{i}").alias("p")) for i, c in enumerate(candidates)]
+    return out.select(F.col(label).alias("label"), F.inline(F.array(*cells)))
+
+
 def evaluate(candidates: Sequence[Candidate], test: DataFrame, label: str) -> DataFrame:
     """Metrics of every candidate on the same rows, in one job."""
-    frames = [
-        scored(c.model, test, [F.col(label).alias("label")]).withColumn("model", F.lit(c.name)) for c in candidates
-    ]
-    every = frames[0]
-    for f in frames[1:]:
-        every = every.unionByName(f)
-    return metrics.class_metrics(every, ["model"])
+    return metrics.class_metrics(scored_by_all(candidates, test, label), ["model"])
 
 
 METRICS_SCHEMA = "n_samples bigint, recall double, precision double, f1 double, roc_auc double, pr_auc double, log_loss double"

@@ -23,6 +23,10 @@ from tabwarden.operators import decide, metrics, profile, split, train
 from tabwarden.sources import readers, writers
 
 
+#: Training tables up to this size are fitted by one task per job.
+ONE_TASK_BYTES = 4 << 20
+
+
 @dataclass
 class TrainingRun:
     path: str
@@ -42,8 +46,11 @@ def prepare(
     cleaned = cleaning.distinct_rows(cleaning.clean(df, spec, "train"))
     cleaned = sizing.cut_lineage(cleaning.require_target(cleaned, stratum), "cleaned")
     parts = split.stratified_split(cleaned, stratum, key, seed=seed)
-    # The fold hash has its own seed, so a fold is not a slice of the split's order.
-    writers.write_parts(split.stratified_folds(parts, stratum, key, folds, seed + 1).drop(*drop), path)
+    # Folds are equal shares of every class of every part. Their hash has its own seed, so a
+    # fold is not a slice of the split's order.
+    within = parts.withColumn("_within", F.concat_ws("|", "split", F.col(stratum).cast("string")))
+    folded = split.stratified_folds(within, "_within", key, folds, seed + 1).drop("_within", *drop)
+    writers.write_parts(folded, path, "split", "fold")
     return path
 
 
@@ -74,6 +81,9 @@ def run(
     the training rows on the executors, so lower it when those do not fit.
     """
     fit_rows, test_rows = (readers.read_part(spark, path, p) for p in ("train", "test"))
+    if sizing.is_small(fit_rows, ONE_TASK_BYTES):
+        # Iterative fits on few rows are all scheduling: one task each, many fits at a time.
+        fit_rows = fit_rows.coalesce(1)
     checks = gate(fit_rows.drop("fold", *skip), contract) if contract else None
     numeric, categorical = cleaning.feature_groups(fit_rows, exclude=[label, "fold", *skip], both=True)
     lanes = max(1, min(len(grids), parallelism))

@@ -16,9 +16,9 @@ def load_table(df: DataFrame, path: str, replace: bool = True, fmt: str = "parqu
     return int(seen.get["n"])
 
 
-def write_parts(df: DataFrame, path: str, column: str = "split", fmt: str = "parquet") -> None:
-    """All parts of a split in one write, one directory per part."""
-    df.write.mode("overwrite").partitionBy(column).format(fmt).option("header", True).save(path)
+def write_parts(df: DataFrame, path: str, *columns: str, fmt: str = "parquet") -> None:
+    """All parts of a split in one write, one directory per part (and fold)."""
+    df.write.mode("overwrite").partitionBy(*(columns or ("split",))).format(fmt).option("header", True).save(path)
 
 
 def write_csv(df: DataFrame, path: str, replace: bool = True) -> None:
