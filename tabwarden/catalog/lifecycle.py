@@ -90,9 +90,9 @@ STEP = "6 hours"
 
 def verdict_history(spark, d):
     """Drift verdict per event type and six-hour window: mean value against the overall mean."""
-    e = fr.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    e = fr.table(spark, d, "events")
     overall = e.groupBy("event_type").agg(F.avg("value").alias("expected"))
-    per = e.groupBy("event_type", F.window("ts", STEP)["start"].cast("timestamp_ntz").alias("at")).agg(F.avg("value").alias("actual"))
+    per = e.groupBy("event_type", F.window("ts", STEP)["start"].alias("at")).agg(F.avg("value").alias("actual"))
     return per.join(overall, "event_type").select(
         F.col("event_type").alias("monitor"), "at", (F.round(mean_shift(F.col("expected"), F.col("actual")), 4) > 0.1).alias("drifted")
     )

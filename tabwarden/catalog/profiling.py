@@ -69,7 +69,8 @@ def baseline_report(spark, d):
 
 def current_stats(spark, d):
     _, second = fr.halves(fr.events(spark, d), "ts", fr.EVENT_CUT)
-    return _rounded(profile.baseline_report(second, exclude=["event_id", "ts", "user_id"]), 6, "number")
+    live = profile.placeholder_target(second, "label")
+    return _rounded(profile.baseline_report(live, target="label", exclude=["event_id", "ts", "user_id"]), 6, "number")
 
 
 def value_counts(spark, d):
@@ -293,7 +294,11 @@ ORACLES = {
         _long_shares_sql("early", ["o_orderpriority"]),
         _long_shares_sql("early", ["o_orderstatus"], "target"),
     ]),
-    "current_stats": f"WITH {_EV} " + _union([_long_numeric_sql("late", ["value", "k"], _STATS), _long_shares_sql("late", ["event_type"])]),
+    "current_stats": f"WITH {_EV} " + _union([
+        _long_numeric_sql("late", ["value", "k"], _STATS),
+        _long_shares_sql("late", ["event_type"]),
+        _long_shares_sql("(SELECT 'Inference_Unlabelled' AS label FROM late)", ["label"], "target"),
+    ]),
     "value_counts": "SELECT l_partkey::VARCHAR AS value, count(*) AS n FROM lineitem GROUP BY l_partkey",
     "psi_by_feature": f"WITH {_LINES} " + _psi_sql([*LINE_CATEGORICAL, "l_linenumber"], "early", "late"),
     "mean_shift_by_feature": f"WITH {_LINES} " + _shift_sql(LINE_NUMERIC, "early", "late"),

@@ -189,6 +189,11 @@ def target_baseline(df: DataFrame, target: str) -> DataFrame:
     return value_distribution(df, [target])
 
 
+def placeholder_target(df: DataFrame, target: str) -> DataFrame:
+    """Live rows have no label yet: one constant class stands for it in a report."""
+    return df.withColumn(target, F.lit(fixed.UNLABELLED))
+
+
 #: One long shape for every statistic, so a stored baseline needs one table.
 BASELINE_COLUMNS = ["section", "feature", "feature_type", "stat", "value", "number"]
 

@@ -30,9 +30,7 @@ def windowed_stats(
     Categories count in ``n`` under their ``value``; numeric features have a NULL value, the
     count of present cells in ``n`` and their sum in ``total``.
     """
-    timed = event_time(df, at)
-    if watermark:
-        timed = timed.withWatermark(at, watermark)
+    timed = event_time(df, at).withWatermark(at, watermark) if watermark else df
     empty = F.lit(None)
     cells = [
         F.struct(F.lit(c).alias("feature"), F.lit(False).alias("numeric"), F.col(c).cast("string").alias("value"), empty.cast("double").alias("x"))
