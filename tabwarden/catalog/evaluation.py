@@ -46,8 +46,9 @@ def _by_language(spark, d):
 
 
 def rank_candidates(spark, d):
-    ranked = decide.rank_candidates(_by_language(spark, d).where("lang = 'en'"))
-    return ranked.select("model", "recall", "precision")
+    """Every (model, language) pair as a candidate, best recall first."""
+    candidates = _by_language(spark, d).withColumn("candidate", F.concat_ws("-", "model", "lang"))
+    return decide.rank_candidates(candidates, "candidate").select("candidate", "recall", "precision")
 
 
 def select_candidate(spark, d):
@@ -131,7 +132,7 @@ ORACLES = {
     "log_loss": f"WITH {fr.SCORED_SQL}, {_LL} SELECT * FROM ll",
     "threshold_predictions": f"WITH {fr.SCORED_SQL} SELECT doc_id, model, (p >= 0.5)::INTEGER AS predicted FROM scored",
     "fold_scores": f"{_BY_LANG} SELECT model, round(avg(recall)::DECIMAL(18, 12), 6)::DOUBLE AS mean_score, round(stddev_pop(recall)::DECIMAL(18, 12), 6)::DOUBLE AS std_score FROM rates GROUP BY model",
-    "rank_candidates": f"{_BY_LANG} SELECT model, recall, precision FROM rates WHERE lang = 'en'",
+    "rank_candidates": f"{_BY_LANG} SELECT model || '-' || lang AS candidate, recall, precision FROM rates",
     "select_candidate": f"{_BY_LANG}, {_walk(0.3)} SELECT * FROM best",
     "champion_decision": f"""{_BY_LANG}, {_walk(0.005)}, c AS (SELECT lang, recall AS champion_recall FROM rates WHERE model = 'middle' AND lang IN ('en', 'fr', 'de'))
         SELECT lang, best_model, recall, precision, champion_recall, round(recall - champion_recall, 6) AS gain, {_DECISION}

@@ -42,10 +42,16 @@ def map_closed(c: Column, mapping: Mapping) -> Column:
     return out
 
 
-def map_open(c: Column, mapping: Mapping) -> Column:
-    """Value map over text that keeps unmapped input as it is."""
+def code_text(c: Column, numeric: bool) -> Column:
+    """A code as text; a whole number is written without a fraction, so 1.0 and 1 are one code."""
     text = c.cast("string")
-    return F.coalesce(map_closed(text, {str(k): v for k, v in mapping.items()}), text)
+    return F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(text) if numeric else text
+
+
+def map_codes(code: Column, mapping: Mapping, keep_unmapped: bool) -> Column:
+    """Value map over codes as text; unmapped codes are kept or become NULL."""
+    mapped = map_closed(code, {str(k): v for k, v in mapping.items()})
+    return F.coalesce(mapped, code) if keep_unmapped else mapped
 
 
 def safe_ratio(a: Column, b: Column) -> Column:

@@ -67,12 +67,8 @@ def clean(df: DataFrame, spec: CleanSpec, mode: str) -> DataFrame:
             changes[name] = cells.to_number(F.col(name))
     for name, mapping in spec.value_maps.items():
         if name in out.columns:
-            c = F.col(name)
-            changes[name] = (
-                cells.map_closed(c.cast("string"), {str(k): v for k, v in mapping.items()})
-                if train
-                else cells.map_open(c, mapping)
-            )
+            code = cells.code_text(F.col(name), isinstance(out.schema[name].dataType, T.NumericType))
+            changes[name] = cells.map_codes(code, mapping, keep_unmapped=not train)
     if train and spec.target and spec.target_map and spec.target in out.columns:
         changes[spec.target] = cells.map_closed(F.col(spec.target), spec.target_map)
     if changes:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -14,21 +15,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwarden.functions import sizing
-from tabwarden.operators.percentiles import exact_percentiles
+from tabwarden.operators.percentiles import exact_percentiles, percentile_stats
 
 #: Name of the category that stands for a missing value; it sorts last.
 MISSING = "nan"
 
 
 def fit_numeric(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, float]]:
-    """Median, and mean and population deviation after imputation, per column."""
-    medians = {r["feature"]: r["median"] for r in exact_percentiles(df, columns, {"median": 0.5}).collect()}
-    aggs = []
+    """Median, and mean and population deviation after imputation, per column.
+
+    Imputation adds copies of the median, so both follow from the moments of the present
+    values: no pass over imputed rows.
+    """
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.var_pop(v).alias(f"v{i}")]
+    median = {"median": 0.5}
+    if sizing.is_small(df):
+        row = df.agg(*aggs, *percentile_stats(columns, median)).first()
+        medians = {c: row[f"_q{i}"][0] if row[f"n{i}"] else None for i, c in enumerate(columns)}
+    else:
+        row = df.agg(*aggs).first()
+        medians = {r["feature"]: r["median"] for r in exact_percentiles(df, columns, median).collect()}
+    fits = {}
     for i, c in enumerate(columns):
-        v = F.coalesce(F.col(c).cast("double"), F.lit(medians[c]).cast("double"))
-        aggs += [F.avg(v).alias(f"m{i}"), F.stddev_pop(v).alias(f"s{i}")]
-    row = df.agg(*aggs).first()
-    return {c: {"median": medians[c], "mean": row[f"m{i}"], "std": row[f"s{i}"]} for i, c in enumerate(columns)}
+        n, rows, mid = row[f"n{i}"], row["rows"], medians[c]
+        if not n:
+            fits[c] = {"median": None, "mean": None, "std": None}
+            continue
+        gaps = rows - n
+        mean = (n * row[f"m{i}"] + gaps * mid) / rows
+        spread = n * (row[f"v{i}"] + (row[f"m{i}"] - mean) ** 2) + gaps * (mid - mean) ** 2
+        fits[c] = {"median": mid, "mean": mean, "std": math.sqrt(spread / rows)}
+    return fits
 
 
 def imputed(column: str, fit: dict[str, float]) -> Column:
@@ -37,7 +57,10 @@ def imputed(column: str, fit: dict[str, float]) -> Column:
 
 def scaled(column: str, fit: dict[str, float]) -> Column:
     """Standard score with the population deviation; a constant column becomes 0."""
-    spread = fit["std"] if fit["std"] else 1.0
+    if fit["mean"] is None:
+        return imputed(column, fit)
+    # Moments of a constant column may leave dust behind.
+    spread = fit["std"] if fit["std"] > 1e-12 * max(1.0, abs(fit["mean"])) else 1.0
     return (imputed(column, fit) - F.lit(fit["mean"])) / F.lit(spread)
 
 
@@ -129,9 +152,11 @@ class TabularEncoder(Estimator, _EncoderParams, DefaultParamsReadable, DefaultPa
             levels[r["feature"]].append(r["category"])
         for c in categorical:
             levels[c].sort(key=lambda v: (v == MISSING, v))
+        # A column without any value has no median and gives no output.
+        fits = {c: f for c, f in fit_numeric(dataset, numeric).items() if f["median"] is not None}
         model = TabularEncoderModel()
         model._set(
-            state=json.dumps({"numeric": fit_numeric(dataset, numeric), "levels": levels}),
+            state=json.dumps({"numeric": fits, "levels": levels}),
             scale=self.getOrDefault("scale"),
             outputCol=self.getOrDefault("outputCol"),
         )

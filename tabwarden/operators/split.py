@@ -92,7 +92,10 @@ def stratified_split(
     into: str = "split",
     digits: int | None = None,
 ) -> DataFrame:
-    """Add ``into``: the part of each row. Exact per stratum up to the copies of one key."""
+    """Add ``into``: the part of each row. Exact per stratum up to the copies of one key.
+
+    The cuts are found by two jobs when this is called; assigning the rows is lazy.
+    """
     weights = dict(weights or fixed.SPLIT_WEIGHTS)
     names = list(weights)
     cuts = known_small(hash_cuts(df, stratum, key, list(weights.values()), seed, digits))

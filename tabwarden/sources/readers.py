@@ -35,10 +35,19 @@ def require_rows(df: DataFrame) -> DataFrame:
     return df
 
 
-def read_documents(spark: SparkSession, fmt: str, path: str, schema: StructType | str | None = None, drop: tuple[str, ...] = ("_id",), **options) -> DataFrame:
+def read_documents(
+    spark: SparkSession,
+    fmt: str,
+    path: str,
+    schema: StructType | str | None = None,
+    drop: tuple[str, ...] = ("_id",),
+    nonempty: bool = False,
+    **options,
+) -> DataFrame:
     """A whole collection without its storage id; the format is any installed connector."""
     reader = spark.read.format(fmt).options(**options)
-    return (reader.schema(schema) if schema else reader).load(path).drop(*drop)
+    rows = (reader.schema(schema) if schema else reader).load(path).drop(*drop)
+    return require_rows(rows) if nonempty else rows
 
 
 def read_report(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabwarden.functions import cells, stats
 from tabwarden.operators import clean, contract, decide, drift, metrics, percentiles, rules, score, trigger
 from tabwarden.operators.profile import baseline_report, column_profile, numeric_summary
+from tabwarden.plans import monitoring
 from tabwarden.sources import readers, writers
 
 
@@ -119,6 +120,21 @@ def test_clean_modes(spark):
         clean.require_target(clean.clean(df, spec, "train"), "y").collect()
 
 
+@pytest.mark.parametrize("kind", ["int", "double", "string"])
+def test_codes_of_any_type(spark, kind):
+    df = spark.createDataFrame([("1",), ("0",), ("2",), (None,)], "s string").select(F.col("s").cast(kind).alias("s"))
+    spec = clean.CleanSpec(value_maps={"s": {1: "Yes", 0: "No"}})
+    assert [r["s"] for r in clean.clean(df, spec, "train").collect()] == ["Yes", "No", None, None]
+    assert [r["s"] for r in clean.clean(df, spec, "score").collect()] == ["Yes", "No", "2", None]
+
+
+def test_an_empty_live_window_is_no_drift(spark):
+    rows = spark.createDataFrame([(1.0, "a"), (2.0, "b")], "x double, c string")
+    run = monitoring.compare_windows(rows, rows.limit(0))
+    assert not run.summary.first()["drift_detected"]
+    assert not monitoring.compare_windows(rows, rows).summary.first()["drift_detected"]
+
+
 def test_strip_takes_every_whitespace(spark):
     df = spark.createDataFrame([("\t a b \n",)], "t string")
     assert clean.strip_strings(df).first()["t"] == "a b"

@@ -177,6 +177,13 @@ def test_encoder_round_trip(spark, tmp_path):
         encode.TabularEncoder(numericCols=["x"], categoricalCols=["c"], maxCategories=1).fit(df)
 
 
+def test_a_column_without_values_gives_no_output(spark):
+    df = spark.createDataFrame([(1.0, None, "a"), (2.0, None, "b")], "x double, y double, c string")
+    model = encode.TabularEncoder(numericCols=["x", "y"], categoricalCols=["c"]).fit(df)
+    assert model.output_names() == ["x", "c_a", "c_b"]
+    assert [list(r["features"].toArray()) for r in model.transform(df).collect()] == [[1.0, 1.0, 0.0], [2.0, 0.0, 1.0]]
+
+
 def test_constant_column_scales_to_zero(spark):
     df = spark.createDataFrame([(2.0,), (2.0,)], "x double")
     assert encode.impute_and_scale(df, ["x"], encode.fit_numeric(df, ["x"])).first()["x"] == 0.0
