@@ -26,6 +26,11 @@ MIN_REASON = "Column '{column}' value falls below minimum ({bound})."
 MAX_REASON = "Column '{column}' value exceeds maximum ({bound})."
 ALLOWED_REASON = "Column '{column}' value is not an allowed category."
 
+MISSING_REQUIRED = "Missing required column"
+INVALID_DTYPE = "Invalid dtype '{found}', expected semantic type '{expected}'"
+NULLS_PRESENT = "Null values present in non-nullable column"
+UNEXPECTED_COLUMN = "Unexpected column not defined in reference schema"
+
 UNLABELLED = "Inference_Unlabelled"
 TRIGGER_REASON = "Data Drift Detected"
 

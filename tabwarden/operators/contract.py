@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabwarden import fixed
 from tabwarden.functions import cells
 
 LEVELS = ["pass", "warning", "error"]
@@ -133,16 +134,10 @@ def check_profile(profile: DataFrame, contract: Contract) -> DataFrame:
     )
     details = F.array_compact(
         F.array(
-            F.when(absent & F.col("r.required"), F.lit("Missing required column")),
+            F.when(absent & F.col("r.required"), F.lit(fixed.MISSING_REQUIRED)),
             F.when(absent & ~F.col("r.required"), F.lit("Missing optional column")),
-            F.when(
-                bad_type,
-                F.concat(
-                    F.lit("Invalid dtype '"), F.col("p.dtype"), F.lit("', expected semantic type '"),
-                    F.col("r.expected_dtype"), F.lit("'"),
-                ),
-            ),
-            F.when(bad_null, F.lit("Null values present in non-nullable column")),
+            F.when(bad_type, _dtype_text(F.col("p.dtype"), F.col("r.expected_dtype"))),
+            F.when(bad_null, F.lit(fixed.NULLS_PRESENT)),
             F.when(low, F.lit("Observed min below expected min")),
             F.when(high, F.lit("Observed max above expected max")),
         )
@@ -152,11 +147,18 @@ def check_profile(profile: DataFrame, contract: Contract) -> DataFrame:
     extra = unknown.select(
         F.col("p.column").alias("column"),
         F.lit("error" if _forbids_unknown(contract) else "warning").alias("status"),
-        F.array(F.lit("Unexpected column not defined in reference schema")).alias("details"),
+        F.array(F.lit(fixed.UNEXPECTED_COLUMN)).alias("details"),
     )
     return declared.unionByName(extra)
 
 
+def _dtype_text(found: Column, expected: Column) -> Column:
+    """The fixed message with its two places filled in."""
+    head, rest = fixed.INVALID_DTYPE.split("{found}")
+    middle, tail = rest.split("{expected}")
+    return F.concat(F.lit(head), found, F.lit(middle), expected, F.lit(tail))
+
+
 def _forbids_unknown(contract: Contract) -> bool:
     return bool(contract.ingestion.get("reject_unknown_columns", False))
 

@@ -29,6 +29,14 @@ def read_batch(spark: SparkSession, path: str, schema: StructType | str, **optio
     return require_rows(df)
 
 
+def stream_batches(spark: SparkSession, path: str, schema: StructType | str, max_files: int | None = None, **options) -> DataFrame:
+    """A landing folder of CSV batches as a stream; ``max_files`` bounds a micro-batch."""
+    opts = {"header": True, "nullValue": fixed.CSV_NULL_TOKEN, "emptyValue": "", "pathGlobFilter": "*.csv", **options}
+    if max_files:
+        opts["maxFilesPerTrigger"] = max_files
+    return nan_cells_to_null(spark.readStream.schema(schema).options(**opts).csv(path))
+
+
 def require_rows(df: DataFrame) -> DataFrame:
     if df.isEmpty():
         raise ValueError("the source has no rows")

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from tabwarden.catalog import streams
 from tabwarden.functions import sizing
 from tabwarden.operators import profile, trigger
+from tabwarden.operators.clean import CleanSpec
+from tabwarden.operators.contract import from_dict
+from tabwarden.sources import readers
 from tabwarden.streaming import jobs, windows
 
 
@@ -53,3 +56,26 @@ def test_scoring_batches_are_idempotent(spark, sf):
     for _ in range(2):
         spark.range(3).write.mode("overwrite").parquet(jobs.batch_path(path, 0))
     assert spark.read.parquet(f"{path}/batch=*").count() == 3
+
+
+def test_csv_batches_land_once(spark, tmp_path):
+    contract = from_dict({"columns": {"k": {"required": True, "nullable": False}, "x": {"nullable": False, "min": 0}}})
+    landing, base = tmp_path / "in", sizing.run_dir(spark, "landing")
+    landing.mkdir()
+
+    def run():
+        stream = readers.stream_batches(spark, str(landing), "k string, x string", max_files=1)
+        jobs.run_to_end(
+            jobs.scoring_job(
+                stream, contract, CleanSpec(numeric_text=("x",)), lambda df: df.withColumn("p", F.col("x") / 10),
+                f"{base}/scored", f"{base}/dead", f"{base}/checkpoint",
+            )
+        )
+
+    (landing / "a.csv").write_text("k,x\na,1\nb,na\n")
+    (landing / "b.csv").write_text("k,x\nc,-1\nd,5\n")
+    run()
+    (landing / "c.csv").write_text("k,x\ne,7\n")
+    run()
+    assert sorted(r["k"] for r in spark.read.parquet(f"{base}/scored/batch=*").collect()) == ["a", "d", "e"]
+    assert sorted(r["k"] for r in spark.read.parquet(f"{base}/dead/batch=*").collect()) == ["b", "c"]
