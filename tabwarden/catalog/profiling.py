@@ -132,14 +132,12 @@ def target_drift(spark, d):
 
 def sliding_window_distribution(spark, d):
     stats = windows.windowed_stats(fr.table(spark, d, "events"), "ts", ["event_type"], ["value"], "7 days", "1 day")
-    zone_less = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
-    return _rounded(stats, 2, "total").withColumns(zone_less)
+    return _rounded(stats, 2, "total")
 
 
 def window_over_window_drift(spark, d):
     stats = windows.windowed_stats(fr.table(spark, d, "events"), "ts", ["event_type"], ["value"], "1 day")
-    out = windows.drift_against_previous(stats, "1 DAY")
-    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return windows.drift_against_previous(stats, "1 DAY")
 
 
 def fast_lane_summary(spark, d):

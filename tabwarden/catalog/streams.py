@@ -37,9 +37,7 @@ def stream_windows(spark, d):
         jobs.window_stats_job(_stream(spark, d), "ts", ["event_type"], ["value"], "1 day", None, DELAY, out, checkpoint)
     )
     stats = spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
-    return stats.withColumns(
-        {"total": F.round("total", 2), **{c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}}
-    )
+    return stats.withColumn("total", F.round("total", 2))
 
 
 def stream_drift(spark, d):
@@ -53,8 +51,7 @@ def stream_drift(spark, d):
             _stream(spark, d), "ts", shares, means, ["event_type"], ["value"], "7 days", "1 day", DELAY, out, checkpoint
         )
     )
-    found = spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
-    return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
 
 
 def stream_score_dlq(spark, d):
@@ -79,7 +76,7 @@ def stream_cooldown(spark, d):
     stream = spark.readStream.schema(verdicts.schema).parquet(path)
     out, checkpoint = jobs.folders(verdicts, "cooldown")
     jobs.run_to_end(jobs.append_job(jobs.cooldown_actions(stream, "monitor", "at", "drifted"), out, checkpoint))
-    return spark.read.parquet(f"{out}/batch=*").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    return spark.read.parquet(f"{out}/batch=*").withColumn("at", F.col("at").cast("timestamp_ntz"))  # as it came in
 
 
 QUERIES = {f.__name__: f for f in (stream_windows, stream_drift, stream_score_dlq, stream_cooldown)}

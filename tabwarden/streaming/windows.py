@@ -5,15 +5,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwarden.operators import drift
 
 
 def event_time(df: DataFrame, at: str) -> DataFrame:
-    """Zone-less times to instants: watermarks need them. The session zone should be UTC."""
-    return df.withColumn(at, F.col(at).cast("timestamp"))
+    """Zone-less times as UTC instants, whatever the session zone: watermarks need instants."""
+    if not _zone_less(df, at):
+        return df
+    return df.withColumn(at, F.from_utc_timestamp(F.col(at).cast("timestamp"), F.current_timezone()))
+
+
+def wall_time(c: Column) -> Column:
+    """UTC instants back to zone-less times."""
+    return F.to_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz")
+
+
+def _zone_less(df: DataFrame, at: str) -> bool:
+    return isinstance(df.schema[at].dataType, T.TimestampNTZType)
 
 
 def windowed_stats(
@@ -25,7 +37,9 @@ def windowed_stats(
     slide: str | None = None,
     watermark: str | None = None,
 ) -> DataFrame:
-    """``(window_start, window_end, feature, value, n, total)`` in one stateful aggregation.
+    """``(window_start, window_end, feature, numeric, value, n, total)`` in one stateful aggregation.
+
+    Windows are of the type of ``at``; zone-less times count as UTC.
 
     Categories count in ``n`` under their ``value``; numeric features have a NULL value, the
     count of present cells in ``n`` and their sum in ``total``.
@@ -50,7 +64,10 @@ def windowed_stats(
     else:
         frame = F.window(at, size, slide) if slide else F.window(at, size)
         grouped = long.groupBy(frame.alias("w"), *keys).agg(*counts)
-    return grouped.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "n", "total")
+    start, end = F.col("w.start"), F.col("w.end")
+    if watermark and _zone_less(df, at):
+        start, end = wall_time(start), wall_time(end)
+    return grouped.select(start.alias("window_start"), end.alias("window_end"), *keys, "n", "total")
 
 
 def shares(stats: DataFrame) -> DataFrame:
