@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabwarden.catalog import frames as fr
+from tabwarden.catalog import profiling
 from tabwarden.functions import sizing
 from tabwarden.functions.stats import mean_shift
 from tabwarden.operators import clean, encode, lineage, profile, registry, split, trigger
@@ -146,17 +147,15 @@ _REG = """reg AS (
   SELECT o_orderpriority AS name, (year(o_orderdate) - 1995) * 12 + month(o_orderdate) AS num,
          date_trunc('month', o_orderdate)::TIMESTAMP AS registered_at, count(*) FILTER (o_orderstatus = 'F') * 3 > count(*) AS promoted, count(*) AS n_samples
   FROM orders GROUP BY ALL)"""
-_HISTORY = """history AS (
+HISTORY_SQL = """history AS (
   SELECT event_type AS monitor, "at", round(CASE WHEN e <> 0 THEN abs(a - e) / abs(e) ELSE abs(a) END, 4) > 0.1 AS drifted
   FROM (SELECT event_type, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS "at", avg(value) AS a FROM events GROUP BY ALL)
   JOIN (SELECT event_type, avg(value) AS e FROM events GROUP BY event_type) USING (event_type))"""
-_FIRES = """fires AS (
+FIRES_SQL = """fires AS (
   SELECT monitor, min("at") AS "at" FROM history WHERE drifted GROUP BY monitor
   UNION ALL
   SELECT f.monitor, min(h."at") FROM fires f JOIN history h ON h.monitor = f.monitor AND h.drifted AND h."at" >= f."at" + INTERVAL 1 DAY GROUP BY f.monitor, f."at")"""
 
-from tabwarden.catalog import profiling as _profiling  # noqa: E402
-
 
 
 def _hash(columns):
@@ -167,10 +166,10 @@ def _hash(columns):
 _SUMS = "count(*) AS n_rows, CAST(sum(h::HUGEINT) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor"
 
 ORACLES = {
-    "registry_stored_baseline": f"""WITH {_profiling._ORDERS}, b AS ({_profiling._union([
-        _profiling._long_numeric_sql("late", ["o_totalprice"], {k: v for k, v in _profiling._STATS.items() if not k.startswith("p")}),
-        _profiling._long_shares_sql("late", ["o_orderpriority"]),
-        _profiling._long_shares_sql("late", ["o_orderstatus"], "target")])})
+    "registry_stored_baseline": f"""WITH {profiling.ORDERS}, b AS ({profiling.union([
+        profiling.long_numeric_sql("late", ["o_totalprice"], {k: v for k, v in profiling.STATS.items() if not k.startswith("p")}),
+        profiling.long_shares_sql("late", ["o_orderpriority"]),
+        profiling.long_shares_sql("late", ["o_orderstatus"], "target")])})
         SELECT 'orders' AS name, 'v2' AS version, * FROM b""",
     "registry_next_version": f"""WITH {_REG}, names AS (SELECT DISTINCT o_orderpriority AS name FROM orders UNION SELECT c_mktsegment FROM customer)
         SELECT name, 'v' || (coalesce(max(num), 0) + 1)::VARCHAR AS next_version FROM names LEFT JOIN reg USING (name) GROUP BY name""",
@@ -186,15 +185,15 @@ ORACLES = {
         SELECT name, 'v' || num::VARCHAR AS version FROM (
           SELECT name, max(num) AS num FROM reg WHERE promoted AND name NOT IN (SELECT name FROM a) GROUP BY name
           UNION ALL SELECT name, coalesce((SELECT max(num) FROM reg r WHERE r.name = a.name), 0) + 1 FROM a)""",
-    "trigger_cooldown": f"""WITH RECURSIVE {_HISTORY}, {_FIRES}
+    "trigger_cooldown": f"""WITH RECURSIVE {HISTORY_SQL}, {FIRES_SQL}
         SELECT monitor, h."at", drifted, CASE WHEN NOT drifted THEN 'healthy' WHEN f."at" IS NULL THEN 'suppressed' ELSE 'fire' END AS action,
           CASE WHEN drifted AND f."at" IS NOT NULL THEN 'Data Drift Detected' END AS reason
         FROM history h LEFT JOIN (SELECT DISTINCT monitor, "at" FROM fires) f USING (monitor, "at")""",
-    "trigger_decide": f"""WITH {_HISTORY}, latest AS (SELECT monitor, max("at") AS "at", arg_max(drifted, "at") AS drifted FROM history GROUP BY monitor),
+    "trigger_decide": f"""WITH {HISTORY_SQL}, latest AS (SELECT monitor, max("at") AS "at", arg_max(drifted, "at") AS drifted FROM history GROUP BY monitor),
         state AS (SELECT h.monitor, max(h."at") AS last_trigger FROM history h JOIN latest l ON h.monitor = l.monitor AND h."at" < l."at" WHERE h.drifted GROUP BY h.monitor)
         SELECT monitor, "at", drifted, last_trigger, CASE WHEN NOT drifted THEN 'healthy' WHEN "at" < last_trigger + INTERVAL 2 DAY THEN 'suppressed' ELSE 'fire' END AS action
         FROM latest LEFT JOIN state USING (monitor)""",
-    "monitoring_decision": f"""WITH {_profiling._EV}, v AS (SELECT score > CASE type WHEN 'numerical' THEN 0.001 ELSE 0.2 END AS is_drifted FROM ({_profiling._EVENT_VERDICTS}))
+    "monitoring_decision": f"""WITH {profiling.EV}, v AS (SELECT score > CASE type WHEN 'numerical' THEN 0.001 ELSE 0.2 END AS is_drifted FROM ({profiling.EVENT_VERDICTS}))
         SELECT count(*) AS total_features_evaluated, count(*) FILTER (is_drifted) AS drifted_features_count, bool_or(is_drifted) AS drift_detected,
           (SELECT max(ts) FROM events WHERE event_type = 'error') AS last_trigger,
           CASE WHEN NOT bool_or(is_drifted) THEN 'healthy'

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tabwarden.catalog import frames as fr
 from tabwarden.functions import sizing
-from tabwarden.operators import lineage, metrics, score, train
+from tabwarden.operators import lineage, score, train
 from tabwarden.operators.clean import CleanSpec
 from tabwarden.operators.contract import from_dict
 from tabwarden.plans import training
@@ -80,8 +81,6 @@ def champion_metrics(spark, d):
     """The best model as champion, stored, loaded and measured again."""
     path = sizing.run_dir(spark, "model")
     _best(spark, d).model.save(path)
-    from pyspark.ml import PipelineModel
-
     return train.champion_metrics(PipelineModel.load(path), _test_part(spark, d), fr.LABEL)
 
 

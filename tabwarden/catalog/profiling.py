@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabwarden import fixed
 from tabwarden.catalog import frames as fr
 from tabwarden.functions import sizing
+from tabwarden.functions.stats import psi_term
 from tabwarden.operators import drift, profile
 from tabwarden.plans import monitoring
 from tabwarden.streaming import windows
@@ -83,8 +84,6 @@ def psi_by_feature(spark, d):
     lines = fr.table(spark, d, "lineitem")
     late = F.col("l_shipdate") >= F.lit(fr.SHIP_CUT).cast("timestamp_ntz")
     both = drift.tagged_distribution(lines, [*LINE_CATEGORICAL, "l_linenumber"], late)
-    from tabwarden.functions.stats import psi_term
-
     return both.groupBy("feature").agg(F.round(F.sum(psi_term(F.col("expected"), F.col("actual"))), 4).alias("score"))
 
 
@@ -159,12 +158,12 @@ QUERIES = {
 }
 
 
-def _union(parts):
+def union(parts):
     return " UNION ALL ".join(parts)
 
 
 def _profile_sql(source, columns, key="\"column\""):
-    return _union(
+    return union(
         f"SELECT '{c}' AS {key}, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, round(avg({c}), 6) AS mean, "
         f"round(quantile_cont({c}::DOUBLE, 0.5), 6) AS median FROM {source}"
         for c in columns
@@ -173,7 +172,7 @@ def _profile_sql(source, columns, key="\"column\""):
 
 def _summary_sql(source, columns):
     q = ", ".join(f"round(quantile_cont({{c}}::DOUBLE, {p}), 6) AS {n}" for n, p in fixed.QUANTILES.items())
-    return _union(
+    return union(
         (
             f"SELECT '{c}' AS feature, round(avg(({c} IS NULL)::INT), 6) AS missing_ratio, round(avg({c}), 6) AS mean, "
             f"round(stddev_samp({c}), 6) AS std, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, " + q.format(c=c) + f" FROM {source}"
@@ -183,15 +182,15 @@ def _summary_sql(source, columns):
 
 
 def _shares_sql(source, columns):
-    return _union(
+    return union(
         f"SELECT '{c}' AS feature, {c}::VARCHAR AS value, count(*) AS n, round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 8) AS ratio "
         f"FROM {source} GROUP BY {c}"
         for c in columns
     )
 
 
-def _long_numeric_sql(source, columns, stats):
-    return _union(
+def long_numeric_sql(source, columns, stats):
+    return union(
         f"SELECT 'features' AS section, '{c}' AS feature, 'numerical' AS feature_type, '{name}' AS stat, NULL::VARCHAR AS value, "
         f"round(({expr.format(c=c)})::DOUBLE, 6) AS number FROM {source}"
         for c in columns
@@ -199,22 +198,22 @@ def _long_numeric_sql(source, columns, stats):
     )
 
 
-def _long_shares_sql(source, columns, section="features"):
-    return _union(
+def long_shares_sql(source, columns, section="features"):
+    return union(
         f"SELECT '{section}' AS section, '{c}' AS feature, 'categorical' AS feature_type, 'ratio' AS stat, {c}::VARCHAR AS value, "
         f"round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS number FROM {source} GROUP BY {c}"
         for c in columns
     )
 
 
-_STATS = {
+STATS = {
     "missing_ratio": "avg(({c} IS NULL)::INT)", "mean": "avg({c})", "std": "stddev_samp({c})", "min": "min({c})", "max": "max({c})",
     **{n: f"quantile_cont({{c}}::DOUBLE, {p})" for n, p in fixed.QUANTILES.items()},
 }
 
 
 def _psi_sql(columns, expected, actual):
-    return _union(
+    return union(
         f"""SELECT '{c}' AS feature, round(sum((a - e) * ln(a / e)), 4) AS score FROM (
           SELECT greatest(coalesce(x.r, 0), 1e-4::DOUBLE) AS e, greatest(coalesce(y.r, 0), 1e-4::DOUBLE) AS a
           FROM (SELECT {c} AS v, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS r FROM {expected} GROUP BY {c}) x
@@ -225,7 +224,7 @@ def _psi_sql(columns, expected, actual):
 
 
 def _shift_sql(columns, expected, actual):
-    return _union(
+    return union(
         f"""SELECT '{c}' AS feature, round(CASE WHEN e <> 0 THEN abs(a - e) / abs(e) ELSE abs(a) END, 4) AS score
           FROM (SELECT (SELECT avg({c}) FROM {expected}) AS e, (SELECT avg({c}) FROM {actual}) AS a)"""
         for c in columns
@@ -239,11 +238,11 @@ def _verdict_sql(categorical, numeric, expected, actual):
 
 _LINES = f"""early AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '{fr.SHIP_CUT}'),
   late AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '{fr.SHIP_CUT}')"""
-_ORDERS = f"""early AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{fr.ORDER_CUT}'),
+ORDERS = f"""early AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{fr.ORDER_CUT}'),
   late AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '{fr.ORDER_CUT}')"""
-_EV = f"""{fr.EVENTS_SQL}, early AS (SELECT * FROM ev WHERE ts < TIMESTAMP '{fr.EVENT_CUT}'),
+EV = f"""{fr.EVENTS_SQL}, early AS (SELECT * FROM ev WHERE ts < TIMESTAMP '{fr.EVENT_CUT}'),
   late AS (SELECT * FROM ev WHERE ts >= TIMESTAMP '{fr.EVENT_CUT}')"""
-_EVENT_VERDICTS = _verdict_sql(["event_type"], ["value", "k"], "early", "late")
+EVENT_VERDICTS = _verdict_sql(["event_type"], ["value", "k"], "early", "late")
 _CHURN_TYPES = [
     ("c_custkey", "bigint", True), ("c_acctbal", "double", True), ("n_orders", "bigint", True), ("total_price", "double", True),
     ("avg_price", "double", True), ("c_mktsegment", "string", False), ("n_name", "string", False), ("last_priority", "string", False),
@@ -262,7 +261,7 @@ def _column_profile_sql():
         parts.append(
             f"SELECT '{c}' AS \"column\", '{t}' AS dtype, bool_or({c} IS NULL) AS nullable, count(DISTINCT {c}) AS unique_values, {stats} FROM churn"
         )
-    return f"WITH {fr.CHURN_SQL} " + _union(parts)
+    return f"WITH {fr.CHURN_SQL} " + union(parts)
 
 
 _LINE_TYPES = [
@@ -272,40 +271,40 @@ _LINE_TYPES = [
 ]
 
 ORACLES = {
-    "table_shape": _union(
+    "table_shape": union(
         f"SELECT '{c}' AS \"column\", '{t}' AS dtype, count(*) AS n_rows, {len(_LINE_TYPES)}::BIGINT AS n_columns FROM lineitem" for c, t in _LINE_TYPES
     ),
     "null_counts": f"WITH {fr.CHURN_SQL} "
-    + _union(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS nulls FROM churn" for c, _, _ in _CHURN_TYPES),
+    + union(f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS nulls FROM churn" for c, _, _ in _CHURN_TYPES),
     "column_profile": _column_profile_sql(),
     "numeric_profile": _profile_sql("lineitem", LINE_NUMERIC),
-    "distinct_counts": _union(
+    "distinct_counts": union(
         f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS unique_values FROM lineitem"
         for c in ["l_partkey", "l_suppkey", "l_returnflag", "l_linenumber"]
     ),
     "baseline_numeric": f"WITH {_LINES} " + _summary_sql("early", LINE_NUMERIC),
     "baseline_categorical": f"WITH {_LINES} " + _shares_sql("early", LINE_CATEGORICAL),
-    "baseline_target": f"WITH {_ORDERS} " + _shares_sql("early", ["o_orderstatus"]),
-    "baseline_report": f"WITH {_ORDERS} "
-    + _union([
-        _long_numeric_sql("early", ["o_totalprice"], _STATS),
-        _long_shares_sql("early", ["o_orderpriority"]),
-        _long_shares_sql("early", ["o_orderstatus"], "target"),
+    "baseline_target": f"WITH {ORDERS} " + _shares_sql("early", ["o_orderstatus"]),
+    "baseline_report": f"WITH {ORDERS} "
+    + union([
+        long_numeric_sql("early", ["o_totalprice"], STATS),
+        long_shares_sql("early", ["o_orderpriority"]),
+        long_shares_sql("early", ["o_orderstatus"], "target"),
     ]),
-    "current_stats": f"WITH {_EV} " + _union([
-        _long_numeric_sql("late", ["value", "k"], _STATS),
-        _long_shares_sql("late", ["event_type"]),
-        _long_shares_sql("(SELECT 'Inference_Unlabelled' AS label FROM late)", ["label"], "target"),
+    "current_stats": f"WITH {EV} " + union([
+        long_numeric_sql("late", ["value", "k"], STATS),
+        long_shares_sql("late", ["event_type"]),
+        long_shares_sql("(SELECT 'Inference_Unlabelled' AS label FROM late)", ["label"], "target"),
     ]),
     "value_counts": "SELECT l_partkey::VARCHAR AS value, count(*) AS n FROM lineitem GROUP BY l_partkey",
     "psi_by_feature": f"WITH {_LINES} " + _psi_sql([*LINE_CATEGORICAL, "l_linenumber"], "early", "late"),
     "mean_shift_by_feature": f"WITH {_LINES} " + _shift_sql(LINE_NUMERIC, "early", "late"),
-    "drift_report": f"WITH {_EV} {_EVENT_VERDICTS}",
-    "drift_summary": f"""WITH {_EV} SELECT count(*) AS total_features_evaluated, count(*) FILTER (is_drifted) AS drifted_features_count,
-        bool_or(is_drifted) AS drift_detected FROM ({_EVENT_VERDICTS})""",
+    "drift_report": f"WITH {EV} {EVENT_VERDICTS}",
+    "drift_summary": f"""WITH {EV} SELECT count(*) AS total_features_evaluated, count(*) FILTER (is_drifted) AS drifted_features_count,
+        bool_or(is_drifted) AS drift_detected FROM ({EVENT_VERDICTS})""",
     "drift_against_stored": f"WITH {_LINES} " + _verdict_sql(LINE_CATEGORICAL, LINE_NUMERIC, "early", "late"),
     "skipped_features": "SELECT 'k' AS feature FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL GROUP BY 1",
-    "target_drift": f"""WITH {_ORDERS} SELECT feature, 'categorical' AS type, 'psi' AS metric, score, score > 0.2 AS is_drifted
+    "target_drift": f"""WITH {ORDERS} SELECT feature, 'categorical' AS type, 'psi' AS metric, score, score > 0.2 AS is_drifted
         FROM ({_psi_sql(["o_orderstatus"], "early", "late")})""",
     "sliding_window_distribution": """WITH w AS (
           SELECT date_trunc('day', ts)::TIMESTAMP - to_days(i::INT) AS window_start, event_type, value FROM events, range(7) AS r(i)),

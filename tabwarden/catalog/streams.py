@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabwarden.catalog import frames as fr
-from tabwarden.catalog.lifecycle import verdict_history
+from tabwarden.catalog.lifecycle import FIRES_SQL, HISTORY_SQL, verdict_history
 from tabwarden.functions import sizing
 from tabwarden.operators import profile
 from tabwarden.operators.clean import CleanSpec
@@ -76,13 +76,11 @@ def stream_cooldown(spark, d):
     stream = spark.readStream.schema(verdicts.schema).parquet(path)
     out, checkpoint = jobs.folders(verdicts, "cooldown")
     jobs.run_to_end(jobs.append_job(jobs.cooldown_actions(stream, "monitor", "at", "drifted"), out, checkpoint))
-    return spark.read.parquet(f"{out}/batch=*").withColumn("at", F.col("at").cast("timestamp_ntz"))  # as it came in
+    return spark.read.parquet(f"{out}/batch=*").withColumn("at", F.col("at").cast("timestamp_ntz"))
 
 
 QUERIES = {f.__name__: f for f in (stream_windows, stream_drift, stream_score_dlq, stream_cooldown)}
 
-from tabwarden.catalog.lifecycle import _FIRES, _HISTORY  # noqa: E402
-
 _CLOSED = "window_start + INTERVAL {size} DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
 
 ORACLES = {
@@ -106,7 +104,7 @@ ORACLES = {
         UNION ALL SELECT window_start, 'value', 'numerical', 'relative_mean_shift', score, score > 0.1 FROM shift""",
     "stream_score_dlq": """WITH e AS (SELECT event_id, ((value < 1)::INT + (value > 200)::INT + (event_type = 'error')::INT)::INTEGER AS n_errors FROM events)
         SELECT event_id, CASE WHEN n_errors = 0 THEN 'scored' ELSE 'dead' END AS branch, n_errors FROM e""",
-    "stream_cooldown": f"""WITH RECURSIVE {_HISTORY}, {_FIRES}
+    "stream_cooldown": f"""WITH RECURSIVE {HISTORY_SQL}, {FIRES_SQL}
         SELECT monitor, h."at", CASE WHEN NOT drifted THEN 'healthy' WHEN f."at" IS NULL THEN 'suppressed' ELSE 'fire' END AS action
         FROM history h LEFT JOIN (SELECT DISTINCT monitor, "at" FROM fires) f USING (monitor, "at")""",
 }

@@ -45,7 +45,7 @@ def map_closed(c: Column, mapping: Mapping) -> Column:
 def code_text(c: Column, numeric: bool) -> Column:
     """A code as text; a whole number is written without a fraction, so 1.0 and 1 are one code."""
     text = c.cast("string")
-    return F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(text) if numeric else text
+    return F.when(c == F.floor(c), c.try_cast("bigint").cast("string")).otherwise(text) if numeric else text
 
 
 def map_codes(code: Column, mapping: Mapping, keep_unmapped: bool) -> Column:

@@ -231,7 +231,7 @@ def apply_ingestion_rules(df: DataFrame, contract: Contract) -> DataFrame:
         kind = rule.get("expected_dtype")
         if is_text and kind in ("floating", "integer") and rules.get("allow_type_coercion", True):
             number = cells.to_number(F.col(name))
-            whole = F.when(number == F.floor(number), number.cast("bigint"))
+            whole = F.when(number == F.floor(number), number.try_cast("bigint"))
             changes[name] = number if kind == "floating" else whole
         elif is_text and rule.get("allowed_values") and not rules.get("case_sensitive_values", True):
             text = F.lower(F.col(name))

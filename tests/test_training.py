@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tabwarden import fixed
 from tabwarden.operators import train
