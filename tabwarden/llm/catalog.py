@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from tabwarden.llm import chat_trees, huffman, mixing, quality_rules, url_cascade
+from tabwarden.llm import chat_trees, huffman, mixing, quality_rules, simhash_trie, superkmer, url_cascade
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_url_cascade": url_cascade.query,
     "op3_token_blocks": huffman.query,
     "op4_chat_trees": chat_trees.query,
+    "op6_simhash_trie": simhash_trie.query,
     "op8_mix_sources": mixing.query,
+    "op10_superkmer_dedup": superkmer.query,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op2_url_cascade": url_cascade.ORACLE,
     "op4_chat_trees": chat_trees.ORACLE,
     "op8_mix_sources": mixing.ORACLE,
+    "op10_superkmer_dedup": superkmer.ORACLE,
 }

@@ -27,6 +27,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,11 +55,11 @@ class WordCoder:
     """Ids of single words, as little-endian 32-bit integers, remembered up to ``KEEP`` words.
 
     A word goes through the library's normalizer, pre-tokenizer and model one by one, which skips the
-    offsets that ``encode`` keeps. Printable ASCII words are lower-cased and cut by the pattern of the
+    offsets that ``encode`` keeps. ASCII words come lower-cased and are cut by the pattern of the
     tokenizer file directly. Words that may hold an added token are encoded whole.
     """
 
-    KEEP = 600_000
+    KEEP = 1_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -74,26 +75,48 @@ class WordCoder:
         self.find = regex.compile(split[0]["pattern"]["Regex"]).findall if self.by_word else None
         self.added = tuple(x["content"] for x in spec.get("added_tokens", []))
 
-    def _fresh(self, word: str) -> bytes:
-        if any(x in word for x in self.added):
-            ids = self.whole.encode(word, add_special_tokens=False).ids
-        elif word.isascii() and word.isprintable():
-            ids = [t.id for piece in self.find(word.lower()) for t in self.model.tokenize(piece)]
-        else:
+    def _model(self, pieces) -> bytes:
+        return np.array([t.id for piece in pieces for t in self.model.tokenize(piece)], "<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = self.known[piece] = self._model((piece,))
+        return ids
+
+    def _other(self, word: str) -> bytes:
+        ids = self.known.get(word)
+        if ids is None:
             cut = self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(word))
-            ids = [t.id for piece, _ in cut for t in self.model.tokenize(piece)]
-        return np.array(ids, "<u4").tobytes()
+            ids = self.known[word] = self._model(piece for piece, _ in cut)
+        return ids
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word whose ASCII letters are lower-cased if it is ASCII throughout."""
+        if word.isascii():
+            if word.isalpha():
+                return self._piece(word)
+            if word.isprintable() and not any(x in word for x in self.added):
+                return b"".join([self._piece(x) for x in self.find(word)])
+        elif not any(x in word for x in self.added):
+            core = word.rstrip(".,;:!?")
+            if core[-1:].isalpha() and len(core) < len(word):  # the marks behind a letter are a piece of their own
+                return self._other(core) + self._piece(word[len(core) :])
+            return self._other(word)
+        return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def lower(self, flat: pa.Array) -> pa.Array:
+        """ASCII words in lower case, but for those that would become an added token."""
+        lower = pc.ascii_lower(flat)
+        plain = pc.string_is_ascii(flat)
+        for x in self.added:
+            plain = pc.and_not(plain, pc.match_substring(lower, x.lower()))
+        return pc.if_else(plain, lower, flat)
 
     def many(self, distinct: list[str]) -> list[bytes]:
-        if len(self.known) + len(distinct) > self.KEEP:
+        if len(self.known) > self.KEEP:
             self.known.clear()
-        known, out = self.known, []
-        for word in distinct:
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = self._fresh(word)
-            out.append(ids)
-        return out
+        return [self.word(w) for w in distinct]
 
 
 _CODERS: dict[str, WordCoder] = {}
@@ -112,7 +135,7 @@ def _document_ids(texts, coder: WordCoder) -> list[bytes]:
         whole = coder.whole.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() + end for x in whole]
     flat, counts = words.split_words(texts)
-    at, distinct = words.coded(flat)
+    at, distinct = words.coded(coder.lower(flat))
     known = coder.many(distinct.to_pylist())
     sizes = np.fromiter((len(x) // 4 for x in known), np.int64, len(known))
     table = np.frombuffer(b"".join(known), "<u4")
