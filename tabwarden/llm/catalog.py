@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
-from tabwarden.llm import chat_trees, huffman, mixing, quality_rules, simhash_trie, superkmer, url_cascade
+from tabwarden.llm import (
+    chat_trees,
+    huffman,
+    language,
+    mixing,
+    pairwise_quality,
+    quality_rules,
+    simhash_trie,
+    superkmer,
+    templates,
+    url_cascade,
+)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_url_cascade": url_cascade.query,
     "op3_token_blocks": huffman.query,
     "op4_chat_trees": chat_trees.query,
+    "op5_language_network": language.query,
     "op6_simhash_trie": simhash_trie.query,
+    "op7_pairwise_quality": pairwise_quality.query,
     "op8_mix_sources": mixing.query,
+    "op9_template_leaks": templates.query,
     "op10_superkmer_dedup": superkmer.query,
 }
 ORACLES = {
