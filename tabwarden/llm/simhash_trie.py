@@ -280,6 +280,24 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of each component stays, the one with the smallest id; columns as they were.
+
+    Rows with one id are one document: it goes if any of its rows stands behind a smaller id, and
+    else its smallest text stays once. Rows without an id cannot be named; all of them stay.
+    """
+    groups = sizing.cut_lineage(near_groups(docs).where("doc_id IS NOT NULL"), "groups")
+    ids = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("behind"), F.count(F.lit(1)).alias("n"))
+    gone = sizing.cut_lineage(ids.where("behind OR n > 1").select(F.col("doc_id").alias("gone_id"), "behind"), "gone")
+    rest = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    twice = gone.where("NOT behind").select("gone_id")
+    if twice.isEmpty():
+        return rest
+    rows = docs.join(twice, docs["doc_id"] == twice["gone_id"], "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return rest.unionByName(rows.groupBy("doc_id").agg(F.min_by(whole, F.coalesce("text", F.lit(""))).alias("row")).select("row.*"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

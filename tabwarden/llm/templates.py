@@ -172,7 +172,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit, columns as they were. Null ids are kept if no null id has a hit."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("bad_id"))
+    bad = sizing.cut_lineage(contaminated(docs, benchmark).select(F.col("doc_id").alias("bad_id")), "leaks")
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
 
 
