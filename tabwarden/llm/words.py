@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Text handed to one step inside a task, in bytes; a longer single text is handled alone.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -108,5 +108,5 @@ def window_starts(counts: np.ndarray, width: int) -> np.ndarray:
 
 def small_batches(spark) -> None:
     """Let Arrow batches end at a few MB, so that rows with long texts do not pile up in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
