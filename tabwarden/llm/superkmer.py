@@ -38,7 +38,7 @@ from tabwarden.llm import words
 
 WINDOW, MINIMISER = 13, 3
 #: Text in a block, and packed text in a bucket (about three times the input travels).
-BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 16 << 20
+BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 10 << 20
 _SPREAD = 3
 _LAST = np.iinfo(np.int64).max
 _SPACE, _LINE = " ", "\n"
