@@ -53,21 +53,21 @@ def unescape_role(role: Column) -> Column:
 
 
 def _jumps(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """Per message depth and score sum of its way up; and tables of jumps of 1, 2, 4, … messages."""
+    """Per message depth and score sum of its way up; and tables of jumps of 1, 2, 4, … messages.
+
+    Only messages whose way up is not yet known to its end take part in a round.
+    """
     now = sizing.cut_lineage(nodes.select("tree", "msg", F.col("parent").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("depth")), "tree0")
-    steps = [now]
-    longest = now.count()
-    for k in range(1, max(1, math.ceil(math.log2(longest + 1))) + 1):
-        open_ = now.where("up IS NOT NULL")
+    steps, rounds = [now], math.ceil(math.log2(now.count() + 1)) + 1
+    done, open_ = now.where("up IS NULL"), now.where("up IS NOT NULL")
+    for k in range(1, rounds + 1):  # what is open after that hangs on a cycle
         if open_.isEmpty():
             break
-        above = now.select("tree", F.col("msg").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"), F.col("depth").alias("depth2"))
-        now = now.join(above, ["tree", "up"], "left").select(
-            "tree", "msg", F.col("up2").alias("up"), (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")
-        )
-        now = sizing.cut_lineage(now, f"tree{k}")
-        steps.append(now)
-    return now.where("up IS NULL"), steps
+        above = done.unionByName(open_).select("tree", F.col("msg").alias("up"), F.col("up").alias("up2"), F.col("total").alias("total2"), F.col("depth").alias("depth2"))
+        longer = open_.join(above, ["tree", "up"]).select("tree", "msg", F.col("up2").alias("up"), (F.col("total") + F.col("total2")).alias("total"), (F.col("depth") + F.col("depth2")).alias("depth"))
+        steps.append(sizing.cut_lineage(longer, f"tree{k}"))
+        done, open_ = done.unionByName(steps[-1].where("up IS NULL")), steps[-1].where("up IS NOT NULL")
+    return done, steps
 
 
 def branches(messages: DataFrame, top: int = 1) -> tuple[DataFrame, DataFrame]:
