@@ -135,7 +135,9 @@ def _document_ids(texts, coder: WordCoder) -> list[bytes]:
         whole = coder.whole.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() + end for x in whole]
     flat, counts = words.split_words(texts)
-    at, distinct = words.coded(coder.lower(flat))
+    at, distinct = words.coded(flat)
+    lower_at, distinct = words.coded(coder.lower(distinct))
+    at = lower_at[at]
     known = coder.many(distinct.to_pylist())
     sizes = np.fromiter((len(x) // 4 for x in known), np.int64, len(known))
     table = np.frombuffer(b"".join(known), "<u4")
@@ -161,12 +163,11 @@ def id_counts(tokens: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for batch in batches:
-            for piece in batch.column("ids").to_pylist():
-                seen = np.bincount(np.frombuffer(piece, "<u4"))
-                if len(seen) > len(total):
-                    total = np.pad(total, (0, len(seen) - len(total)))
-                total[: len(seen)] += seen
+        for piece in words.steps(batches, "ids"):
+            seen = np.bincount(np.frombuffer(b"".join(piece.column("ids").to_pylist()), "<u4"))
+            if len(seen) > len(total):
+                total = np.pad(total, (0, len(seen) - len(total)))
+            total[: len(seen)] += seen
         ids = np.flatnonzero(total)
         yield pa.record_batch([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
