@@ -147,24 +147,31 @@ def _document_ids(texts, coder: WordCoder) -> list[bytes]:
     return [ids[a:b].tobytes() + end for a, b in zip(upto[:-1], upto[1:])]
 
 
-def tokenize(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """``doc_id``, ``crc`` of the ids as little-endian 32-bit integers, ``ids`` as such bytes, the end id included."""
+def id_type(tokenizer: str) -> str:
+    """The narrowest integers that hold every id on the way to the blocks."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_file(tokenizer).get_vocab().values(), default=0) < 1 << 16 else "<u4"
+
+
+def tokenize(docs: DataFrame, tokenizer: str, kind: str) -> DataFrame:
+    """``doc_id``, ``crc`` of the ids as little-endian 32-bit integers, ``ids`` as bytes of ``kind``, the end id included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in words.steps(batches, "text", TOKENIZE_BYTES):
             out = _document_ids(piece.column("text"), _coder(tokenizer))
-            yield pa.record_batch([piece.column("doc_id"), pa.array([zlib.crc32(x) for x in out], pa.int64()), pa.array(out, pa.binary())], ["doc_id", "crc", "ids"])
+            yield pa.record_batch([piece.column("doc_id"), pa.array([zlib.crc32(x) for x in out], pa.int64()), pa.array([np.frombuffer(x, "<u4").astype(kind).tobytes() for x in out], pa.binary())], ["doc_id", "crc", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, crc bigint, ids binary")
 
 
-def id_counts(tokens: DataFrame) -> DataFrame:
+def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
     """``id``, ``n`` over all documents, summed inside tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for piece in words.steps(batches, "ids"):
-            seen = np.bincount(np.frombuffer(b"".join(piece.column("ids").to_pylist()), "<u4"))
+            seen = np.bincount(np.frombuffer(b"".join(piece.column("ids").to_pylist()), kind))
             if len(seen) > len(total):
                 total = np.pad(total, (0, len(seen) - len(total)))
             total[: len(seen)] += seen
@@ -266,8 +273,9 @@ def write(docs: DataFrame, tokenizer: str, path: str, limit: int = LIMIT) -> Non
     """Write ``path/blocks`` and ``path/codebook``."""
     spark = docs.sparkSession
     words.small_batches(spark)
-    tokens = sizing.cut_lineage(tokenize(docs, tokenizer), "tokens")
-    counted = id_counts(tokens).toPandas()  # one row per vocabulary entry at most
+    kind = id_type(tokenizer)
+    tokens = sizing.cut_lineage(tokenize(docs, tokenizer, kind), "tokens")
+    counted = id_counts(tokens, kind).toPandas()  # one row per vocabulary entry at most
     counts = np.zeros(int(counted["id"].max()) + 1 if len(counted) else 1, np.int64)
     counts[counted["id"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
     lengths = code_lengths(counts, limit)
@@ -292,7 +300,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, limit: int = LIMIT) -> Non
         for batch in batches:
             for doc, piece in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
                 doc_ids.append(doc)
-                held.append(np.frombuffer(piece, "<u4"))
+                held.append(np.frombuffer(piece, kind))
                 size += len(held[-1])
                 if size >= BLOCK_IDS:
                     yield block()
