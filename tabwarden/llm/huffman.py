@@ -40,7 +40,7 @@ END_ID = 1
 BLOCK_IDS, STRIDE, LIMIT = 1 << 16, 256, 18
 _READ_BLOCKS = 16
 #: Text tokenized in one step.
-TOKENIZE_BYTES = 4 << 20
+TOKENIZE_BYTES = 6 << 20
 
 BLOCK_SCHEMA = "part int, seq int, local_start bigint, n_ids bigint, doc_ids array<bigint>, n_tokens array<bigint>, checkpoints array<bigint>, payload binary"
 
@@ -59,7 +59,7 @@ class WordCoder:
     tokenizer file directly. Words that may hold an added token are encoded whole.
     """
 
-    KEEP = 400_000
+    KEEP = 600_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer

@@ -42,6 +42,8 @@ UNITS = frozenset(
 )
 #: Bits of the filter in front of the join (1 MB).
 FILTER_BITS = 1 << 23
+#: Text looked at in one step; each distinct word of a step is cut into tokens once.
+STEP_BYTES = 3 << 20
 _TOKEN = regex.compile(r"\p{L}[\p{L}\p{M}]*(?:['’-]\p{L}[\p{L}\p{M}]*)*|\d+(?:[.,]\d+)*")
 _NAMES, _PLAIN = 0, 1
 _SLOTS = ("<number>", "<unit>", "<name>")
@@ -149,7 +151,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bits = _bits(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in words.steps(batches, "text"):
+        for piece in words.steps(batches, "text", STEP_BYTES):
             tokens, chosen = _Tokens(piece.column("text")), []
             for width in widths:
                 for form in (_NAMES, _PLAIN):
