@@ -97,7 +97,7 @@ class WordCoder:
             if word.isalpha():
                 return self._piece(word)
             if word.isprintable() and not any(x in word for x in self.added):
-                return b"".join([self._piece(x) for x in self.find(word)])
+                return b"".join([self._piece(x) for x in self.find(word.lower())])
         elif not any(x in word for x in self.added):
             core = word.rstrip(".,;:!?")
             if core[-1:].isalpha() and len(core) < len(word):  # the marks behind a letter are a piece of their own

@@ -31,7 +31,8 @@ from tabwarden.llm import words
 
 HIDDEN, STRETCH, LANES = 8, 64, 2048
 SAMPLE_DOCS, SAMPLE_CHARS = 400, 512
-EPOCHS, BATCH, RATE = 10, 256, 0.02
+#: Updates of the weights, whatever the size of the sample; stretches in each; first step size.
+UPDATES, BATCH, RATE = 500, 256, 0.02
 UNKNOWN = "und"
 #: A document is accepted with at least this mean probability.
 MIN_SCORE = 0.5
@@ -160,7 +161,7 @@ def stretches(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return x.reshape(-1, STRETCH), np.minimum(STRETCH, sizes[text] - nth * STRETCH), text
 
 
-def fit(passages: list[tuple[str, str]], seed: int = 7, epochs: int = EPOCHS) -> Network:
+def fit(passages: list[tuple[str, str]], seed: int = 7, updates: int = UPDATES) -> Network:
     """Train on (language, passage) pairs."""
     classes = sorted({c for c, _ in passages})
     net = Network(classes, seed)
@@ -171,14 +172,13 @@ def fit(passages: list[tuple[str, str]], seed: int = 7, epochs: int = EPOCHS) ->
     valid = (np.arange(STRETCH) < size[:, None]).astype(np.float32)
     rng, step = np.random.default_rng(seed), 0
     m, v = ({k: np.zeros_like(a) for k, a in net.w.items()} for _ in range(2))
-    total = epochs * -(-len(x) // BATCH)
-    for _ in range(epochs):
+    while step < updates:
         order = rng.permutation(len(x))
         for begin in range(0, len(x), BATCH):
             pick = order[begin : begin + BATCH]
             _, grad = net.gradient(x[pick], valid[pick], y[pick])
             step += 1
-            rate = RATE * (1 - step / (total + 1))
+            rate = RATE * max(0.0, 1 - step / (updates + 1))
             for k, g in grad.items():
                 m[k] = 0.9 * m[k] + 0.1 * g
                 v[k] = 0.99 * v[k] + 0.01 * g * g
