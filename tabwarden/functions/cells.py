@@ -13,8 +13,8 @@ NUMERIC_TEXT = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def strip_whitespace(c: Column) -> Column:
-    """Remove every kind of leading and trailing whitespace (``trim`` removes spaces only)."""
-    return F.regexp_replace(F.regexp_replace(c, r"^\s+", ""), r"\s+$", "")
+    """Remove every kind of leading and trailing whitespace, Unicode's included (``trim`` removes spaces only)."""
+    return F.regexp_replace(F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+", ""), r"(?U)[\s\x1c-\x1f]+$", "")
 
 
 def to_number(c: Column) -> Column:

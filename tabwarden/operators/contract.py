@@ -24,6 +24,8 @@ PHYSICAL_NAMES = {
     "smallint": ["smallint", "int16", "integer"],
     "double": ["double", "float64", "floating"],
     "float": ["float", "float32", "floating"],
+    "tinyint": ["tinyint", "int8", "integer"],
+    "decimal": ["decimal", "numeric", "floating"],
     "boolean": ["boolean", "bool"],
 }
 
@@ -120,7 +122,7 @@ def check_profile(profile: DataFrame, contract: Contract) -> DataFrame:
     j = rules.join(p, F.col("r.column") == F.col("p.column"), "left")
     absent = F.col("p.column").isNull()
     severity = F.when(F.col("r.severity") == "error", 2).otherwise(1)
-    bad_type = ~absent & ~F.array_contains("r.allowed_dtypes", F.col("p.dtype"))
+    bad_type = ~absent & ~F.array_contains("r.allowed_dtypes", F.regexp_replace("p.dtype", r"^decimal\(.*", "decimal"))
     bad_null = ~absent & F.col("r.not_null") & F.col("p.nullable")
     low = F.col("p.min") < F.col("r.lo")
     high = F.col("p.max") > F.col("r.hi")

@@ -55,8 +55,11 @@ def register(registry: DataFrame, approved: DataFrame) -> DataFrame:
 
 
 def refuse_existing(registry: DataFrame, rows: DataFrame) -> DataFrame:
-    """Only rows whose (name, version) is not registered yet."""
-    return rows.join(registry.select("name", "version"), ["name", "version"], "left_anti")
+    """The rows, if none of their (name, version) is registered yet; else an error."""
+    known = rows.join(registry.select("name", "version"), ["name", "version"], "left_semi").select("name", "version").take(5)
+    if known:
+        raise ValueError(f"already registered: {[tuple(r) for r in known]}")
+    return rows
 
 
 def pointer(registry: DataFrame) -> DataFrame:
@@ -91,9 +94,12 @@ def store_artifact(df: DataFrame, path: str, name: str, version: str) -> None:
 def load_artifact(path: str, pointers: DataFrame) -> DataFrame:
     """Artifact rows of the versions that pointers name; a pointer without rows is an error.
 
-    Names and versions are partitions: only the pointed ones are read.
+    Names and versions are partitions. Pointers are one row per model, so they become literals
+    and only the partitions they name are read.
     """
+    named = pointers.select("name", "version").distinct().collect()
     stored = pointers.sparkSession.read.parquet(path)
+    stored = stored.where(F.col("name").isin([r["name"] for r in named]) & F.col("version").isin([r["version"] for r in named]))
     out = stored.join(known_small(pointers.select("name", "version")), ["name", "version"])
     missing = pointers.join(stored.select("name", "version").distinct(), ["name", "version"], "left_anti")
     if not missing.isEmpty():

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwarden import fixed
 from tabwarden.functions import cells
@@ -32,7 +33,7 @@ def row_errors(df: DataFrame, contract: Contract, allowed_values: bool = False)
         c = F.col(name)
         if rule.get("nullable") is False:
             found.append(F.when(c.isNull(), _error(name, fixed.NULL_REASON.format(column=name))))
-        number = cells.to_number(c)
+        number = c.cast("double") if isinstance(df.schema[name].dataType, T.NumericType) else cells.to_number(c)
         if "min" in rule:
             found.append(F.when(number < float(rule["min"]), _error(name, fixed.MIN_REASON.format(column=name, bound=rule["min"]))))
         if "max" in rule:

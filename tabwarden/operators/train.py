@@ -177,16 +177,17 @@ METRICS_SCHEMA = "n_samples bigint, recall double, precision double, f1 double,
 
 
 def champion_metrics(model: PipelineModel | None, test: DataFrame, label: str) -> DataFrame:
-    """Metrics of the champion on the same rows; no rows if it is absent or does not fit them."""
+    """Metrics of the champion on the same rows; no rows if it is absent or fails on them in any way."""
     names = [part.split()[0] for part in METRICS_SCHEMA.split(", ")]
     none = test.sparkSession.createDataFrame([], METRICS_SCHEMA)
     if model is None:
         return none
     try:
         rows = scored(model, test, [F.col(label).alias("label")])
-    except ValueError:
+        found = metrics.class_metrics(rows.withColumn("model", F.lit("champion")), ["model"]).select(*names).collect()  # one row
+    except Exception:  # noqa: BLE001  a champion that cannot be scored is no champion
         return none
-    return metrics.class_metrics(rows.withColumn("model", F.lit("champion")), ["model"]).select(*names)
+    return test.sparkSession.createDataFrame(found, METRICS_SCHEMA)
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:

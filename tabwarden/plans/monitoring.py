@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwarden import fixed
-from tabwarden.operators import drift, profile
+from tabwarden.operators import clean, drift, profile
 from tabwarden.operators.trigger import action, cooldown_active
 
 
@@ -24,13 +24,32 @@ def compare_windows(baseline: DataFrame, live: DataFrame, exclude: Sequence[str]
     """Drift of live rows against baseline rows. Only means and shares enter a verdict, so the
     reports leave percentiles out."""
     b = profile.baseline_report(baseline, exclude=exclude, percentiles=False)
-    return against_stored(b, live, exclude, **thresholds)
+    return against_stored(b, live, exclude, _types(baseline, exclude), **thresholds)
 
 
-def against_stored(report: DataFrame, live: DataFrame, exclude: Sequence[str] = (), **thresholds) -> MonitoringRun:
-    """Drift of live rows against a stored baseline report."""
+def _types(df: DataFrame, exclude: Sequence[str]) -> dict[str, str]:
+    numeric, categorical = clean.feature_groups(df, exclude=exclude)
+    return {c: "numerical" for c in numeric} | {c: "categorical" for c in categorical}
+
+
+def against_stored(
+    report: DataFrame, live: DataFrame, exclude: Sequence[str] = (), types: Mapping[str, str] | None = None, **thresholds
+) -> MonitoringRun:
+    """Drift of live rows against a stored baseline report.
+
+    No live rows is an error: an empty window says nothing about drift. A feature whose type has
+    changed between the two sides is drifted, by the metric ``type_changed``.
+    """
+    if live.isEmpty():
+        raise ValueError("no live rows to compare with the baseline")
     c = profile.baseline_report(live, exclude=exclude, percentiles=False)
     verdicts = drift.detect(report, c, **thresholds)
+    if types is None:  # one row per feature of the stored report
+        types = dict(report.where("section = 'features'").select("feature", "feature_type").distinct().collect())
+    now = _types(live, exclude)
+    changed = [(f, t, "type_changed", None, True) for f, t in sorted(types.items()) if now.get(f, t) != t]
+    if changed:
+        verdicts = verdicts.unionByName(live.sparkSession.createDataFrame(changed, verdicts.schema))
     return MonitoringRun(verdicts, drift.summary(verdicts), drift.skipped_features(report, c))
 
 

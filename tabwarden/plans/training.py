@@ -23,8 +23,9 @@ from tabwarden.operators import decide, metrics, profile, split, train
 from tabwarden.sources import readers, writers
 
 
-#: Training tables up to this size are fitted by one task per job.
-ONE_TASK_BYTES = 4 << 20
+#: Rows of a partition of the training rows, and the fewest partitions. Rows are dealt by the hash of
+#: all their cells and sorted, so a fit depends on the rows alone, not on how they were stored.
+FIT_ROWS, FIT_PARTITIONS = 100_000, 8
 
 
 @dataclass
@@ -63,6 +64,12 @@ def gate(train_rows: DataFrame, contract: contracts.Contract) -> DataFrame:
     return checks
 
 
+def deal(rows: DataFrame) -> DataFrame:
+    """The same rows in partitions and an order that follow from the rows alone."""
+    pieces = max(FIT_PARTITIONS, rows.count() // FIT_ROWS)
+    return rows.repartition(pieces, *rows.columns).sortWithinPartitions(*rows.columns)
+
+
 def run(
     path: str,
     spark,
@@ -81,9 +88,7 @@ def run(
     the training rows on the executors, so lower it when those do not fit.
     """
     fit_rows, test_rows = (readers.read_part(spark, path, p) for p in ("train", "test"))
-    if sizing.is_small(fit_rows, ONE_TASK_BYTES):
-        # Iterative fits on few rows are all scheduling: one task each, many fits at a time.
-        fit_rows = fit_rows.coalesce(1)
+    fit_rows = deal(fit_rows)
     checks = gate(fit_rows.drop("fold", *skip), contract) if contract else None
     numeric, categorical = cleaning.feature_groups(fit_rows, exclude=[label, "fold", *skip], both=True)
     lanes = max(1, min(len(grids), parallelism))

@@ -73,11 +73,8 @@ def drift_job(
     stats = windows.windowed_stats(stream, at, categorical, numeric, size, slide, watermark)
 
     def judge(df: DataFrame, batch_id: int) -> None:
-        closed = df.persist()
-        try:
-            windows.drift_against(closed, baseline_shares, baseline_means).write.mode("overwrite").parquet(batch_path(out, batch_id))
-        finally:
-            closed.unpersist()
+        closed = sizing.cut_lineage(df, "closed-windows")  # read twice below
+        windows.drift_against(closed, baseline_shares, baseline_means).write.mode("overwrite").parquet(batch_path(out, batch_id))
 
     return start(stats, judge, checkpoint)
 
@@ -95,12 +92,9 @@ def scoring_job(
     """Validate and score each micro-batch; rejected rows keep their errors."""
 
     def handle(df: DataFrame, batch_id: int) -> None:
-        annotated = rules.annotate(cleaning.clean(df, spec, "score"), contract, allowed_values).persist()
-        try:
-            score(rules.valid_rows(annotated)).write.mode("overwrite").parquet(batch_path(scored_path, batch_id))
-            rules.invalid_rows(annotated).write.mode("overwrite").parquet(batch_path(dead_path, batch_id))
-        finally:
-            annotated.unpersist()
+        annotated = sizing.cut_lineage(rules.annotate(cleaning.clean(df, spec, "score"), contract, allowed_values), "annotated")
+        score(rules.valid_rows(annotated)).write.mode("overwrite").parquet(batch_path(scored_path, batch_id))
+        rules.invalid_rows(annotated).write.mode("overwrite").parquet(batch_path(dead_path, batch_id))
 
     return start(stream, handle, checkpoint)
 

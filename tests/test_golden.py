@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwarden.functions import cells, stats
-from tabwarden.operators import clean, contract, decide, drift, metrics, percentiles, rules, score, trigger
+from tabwarden.operators import clean, contract, decide, drift, metrics, percentiles, registry, rules, score, trigger
 from tabwarden.operators.profile import baseline_report, column_profile, numeric_summary
-from tabwarden.plans import monitoring
+from tabwarden.plans import monitoring, training
 from tabwarden.sources import readers, writers
 
 
@@ -128,15 +128,36 @@ def test_codes_of_any_type(spark, kind):
     assert [r["s"] for r in clean.clean(df, spec, "score").collect()] == ["Yes", "No", "2", None]
 
 
-def test_an_empty_live_window_is_no_drift(spark):
+def test_an_empty_live_window_is_an_error(spark):
     rows = spark.createDataFrame([(1.0, "a"), (2.0, "b")], "x double, c string")
-    run = monitoring.compare_windows(rows, rows.limit(0))
-    assert not run.summary.first()["drift_detected"]
+    with pytest.raises(ValueError, match="no live rows"):
+        monitoring.compare_windows(rows, rows.limit(0))
     assert not monitoring.compare_windows(rows, rows).summary.first()["drift_detected"]
 
 
+@pytest.mark.parametrize("kinds", [("x double", "x string"), ("x string", "x double")])
+def test_a_changed_type_is_drift(spark, kinds):
+    before, after = (spark.createDataFrame([("1", "a"), ("2", "b")], "x string, c string").selectExpr(f"CAST(x AS {k.split()[1]}) AS x", "c") for k in kinds)
+    rows = {r["feature"]: r for r in monitoring.compare_windows(before, after).verdicts.collect()}
+    assert rows["x"]["metric"] == "type_changed" and rows["x"]["is_drifted"]
+    assert not rows["c"]["is_drifted"]
+
+
+def test_a_known_version_is_refused(spark):
+    rows = spark.createDataFrame([("m", "v1")], "name string, version string")
+    assert registry.refuse_existing(rows.limit(0), rows).count() == 1
+    with pytest.raises(ValueError, match="already registered"):
+        registry.refuse_existing(rows, rows)
+
+
+def test_fits_do_not_depend_on_the_partitions_of_the_rows(spark):
+    rows = spark.range(500).selectExpr("id", "id % 7 AS x", "cast(id % 3 AS string) AS c")
+    dealt = [training.deal(rows.repartition(n)).rdd.glom().collect() for n in (1, 5)]
+    assert dealt[0] == dealt[1]
+
+
 def test_strip_takes_every_whitespace(spark):
-    df = spark.createDataFrame([("\t a b \n",)], "t string")
+    df = spark.createDataFrame([("\t\u00a0 a b \u3000\n",)], "t string")
     assert clean.strip_strings(df).first()["t"] == "a b"
 
 

@@ -196,7 +196,8 @@ def test_registry(spark, tmp_path):
     rows = [("m", "v9", True, None, None, None, None, None), ("m", "v10", False, None, None, None, None, None)]
     some = spark.createDataFrame(rows, registry.SCHEMA)
     assert registry.next_version(some).first()["next_version"] == "v11"
-    assert registry.refuse_existing(some, some).count() == 0
+    with pytest.raises(ValueError, match="already registered"):
+        registry.refuse_existing(some, some)
     assert registry.pointer(some).first()["version"] == "v9"
     base = spark.createDataFrame([("f", 1.0)], "feature string, number double")
     registry.store_artifact(base, str(tmp_path / "b"), "m", "v9")
