@@ -101,7 +101,7 @@ def upper_pairs(nodes: list[tuple[int, int]], errors: int) -> list[tuple[int, in
     """Pairs of places in ``nodes`` whose prefixes keep within the errors of the first half."""
     children: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for d, p in nodes:
-        while d and (p >> 1, d - 1) is not None:
+        while d:
             up = (d - 1, p >> 1)
             kids = children.setdefault(up, [])
             if (d, p) in kids:
