@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabwarden import fixed
 from tabwarden.catalog import frames as fr
 from tabwarden.functions import sizing
-from tabwarden.operators import clean, fingerprint, split
+from tabwarden.operators import clean, fingerprint, rules, split
+from tabwarden.operators.contract import from_dict
 from tabwarden.sources import readers, writers
 
 ASOF = "2024-01-31 00:00:00"
@@ -28,6 +30,36 @@ def io_roundtrip(spark, d):
     return readers.read_documents(spark, "json", f"{base}/json", ORDER_SCHEMA)
 
 
+def csv_reordered_batch(spark, d):
+    """Customers written in another column order than the declared one."""
+    path = sizing.run_dir(spark, "reordered")
+    writers.write_csv(fr.table(spark, d, "customer").select("c_acctbal", "c_name", "c_mktsegment", "c_custkey"), path)
+    return readers.read_batch(spark, path, "c_custkey bigint, c_mktsegment string, c_acctbal double")
+
+
+def csv_null_tokens(spark, d):
+    """Every missing token in turn as segment, and one text that only looks like a token."""
+    path = sizing.run_dir(spark, "tokens")
+    texts = [*fixed.CSV_NULL_TOKENS, "na"]
+    turn = F.col("c_custkey") % 25
+    written = F.when(turn < len(texts), F.element_at(F.array(*map(F.lit, texts)), (turn + 1).cast("int"))).otherwise(F.col("c_mktsegment"))
+    writers.write_csv(fr.table(spark, d, "customer").select(written.alias("segment"), "c_custkey"), path)
+    return readers.read_batch(spark, path, "c_custkey bigint, segment string")
+
+
+def batch_missing_column(spark, d):
+    """A batch whose header lacks a required column is refused as a whole."""
+    path = sizing.run_dir(spark, "lacking")
+    writers.write_csv(fr.table(spark, d, "customer").select("c_mktsegment", "c_custkey"), path)
+    batch = readers.read_batch(spark, path, "c_custkey bigint, c_acctbal double, c_mktsegment string")
+    try:
+        rules.require_columns(batch, from_dict({"columns": {"c_acctbal": {"required": True}}}))
+        refused = False
+    except ValueError:
+        refused = True
+    return batch.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("refused", F.lit(refused))
+
+
 def report_roundtrip(spark, d):
     """A report written as one JSON file and read back with its schema."""
     base = sizing.run_dir(spark, "report")
@@ -134,7 +166,7 @@ def union_documents(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_window_flatten, io_roundtrip, report_roundtrip, load_overwrite_append, split_part_train,
+        scan_window_flatten, io_roundtrip, csv_reordered_batch, csv_null_tokens, batch_missing_column, report_roundtrip, load_overwrite_append, split_part_train,
         clean_customer_train, clean_customer_score, dedupe_rows, dedupe_on_key, duplicate_count, dataset_fingerprint,
         stratified_sample, stratified_split, stratified_folds, split_counts, target_distribution, class_gate, union_documents,
     )
@@ -161,6 +193,10 @@ ORACLES = {
     "scan_window_flatten": f"""SELECT event_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
         FROM events WHERE ts >= TIMESTAMP '{ASOF}' - INTERVAL 7 DAY AND ts < TIMESTAMP '{ASOF}'""",
     "io_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
+    "csv_reordered_batch": "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",
+    "csv_null_tokens": f"""SELECT c_custkey, CASE WHEN c_custkey % 25 > {len(fixed.CSV_NULL_TOKENS)} THEN c_mktsegment
+        WHEN c_custkey % 25 = {len(fixed.CSV_NULL_TOKENS)} THEN 'na' END AS segment FROM customer""",
+    "batch_missing_column": "SELECT count(*) AS n_rows, true AS refused FROM customer",
     "report_roundtrip": "SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY o_orderpriority",
     "load_overwrite_append": f"""SELECT data_source, TIMESTAMP '{ASOF}' AS ingested_at_utc, count(*) AS stored_rows, count(*) AS inserted_rows
         FROM (SELECT 'first' AS data_source FROM customer UNION ALL SELECT 'second' FROM customer WHERE c_acctbal < 0) GROUP BY data_source""",

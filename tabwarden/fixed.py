@@ -19,11 +19,15 @@ QUANTILES = {"p10": 0.10, "p25": 0.25, "p50": 0.50, "p75": 0.75, "p90": 0.90}
 
 TRAIN_NULL_TOKENS = ("na",)
 SCORE_NULL_TOKENS = ("na", "", " ")
-CSV_NULL_TOKEN = "NA"
+CSV_NULL_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+    "None", "n/a", "nan", "null",
+)
 
 NULL_REASON = "Column '{column}' contains null/missing values."
 MIN_REASON = "Column '{column}' value falls below minimum ({bound})."
 MAX_REASON = "Column '{column}' value exceeds maximum ({bound})."
+MALFORMED_REASON = "Malformed line: "
 ALLOWED_REASON = "Column '{column}' value is not an allowed category."
 
 MISSING_REQUIRED = "Missing required column"

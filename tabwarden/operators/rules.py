@@ -12,6 +12,9 @@ from tabwarden import fixed
 from tabwarden.functions import cells
 from tabwarden.operators.contract import Contract
 
+#: Column of ``readers.read_csv(corrupt=…)`` whose lines are errors of their rows.
+CORRUPT_LINE = "_corrupt_line"
+
 
 def require_columns(df: DataFrame, contract: Contract) -> None:
     """A batch without a required column cannot be processed at all."""
@@ -27,6 +30,10 @@ def _error(column: str, reason: str) -> Column:
 def row_errors(df: DataFrame, contract: Contract, allowed_values: bool = False) -> Column:
     """Array of ``(column, error_reason)`` of one row."""
     found: list[Column] = []
+    if CORRUPT_LINE in df.columns:
+        line = F.col(CORRUPT_LINE)
+        malformed = F.struct(F.lit(CORRUPT_LINE).alias("column"), F.concat(F.lit(fixed.MALFORMED_REASON), line).alias("error_reason"))
+        found.append(F.when(line.isNotNull(), malformed))
     for name, rule in contract.columns.items():
         if name not in df.columns:
             continue

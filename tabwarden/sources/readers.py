@@ -2,39 +2,92 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 from tabwarden import fixed
-from tabwarden.operators.clean import nan_cells_to_null
+from tabwarden.functions import cells
+
+
+def _text_options(options: dict) -> dict:
+    # enforceSchema off: a file whose header differs from the folder's is an error, not shifted cells.
+    return {"header": True, "enforceSchema": False, "emptyValue": "", "mode": "PERMISSIVE", **options}
+
+
+def _text_schema(names: Sequence[str], corrupt: str | None) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*names, *([corrupt] if corrupt else [])]])
+
+
+def _cell(name: str, kind: T.DataType, options: dict) -> Column:
+    text = cells.tokens_to_null(F.col(f"`{name}`"), fixed.CSV_NULL_TOKENS)
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return cells.to_number(text).cast(kind)
+    plain = cells.strip_whitespace(text)
+    if isinstance(kind, T.IntegralType):  # a whole number may be written as 3.0
+        number = cells.to_number(text)
+        return F.coalesce(plain.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+    form = options.get("dateFormat" if isinstance(kind, T.DateType) else "timestampFormat")
+    if form and isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.try_to_timestamp(plain, F.lit(form)).cast(kind)
+    return plain.try_cast(kind)
+
 
+def _typed(rows: DataFrame, schema: T.StructType, corrupt: str | None, options: dict) -> DataFrame:
+    """The declared columns that the file has, by name and in their types."""
+    found = [f for f in schema.fields if f.name in rows.columns]
+    return rows.select(*[_cell(f.name, f.dataType, options).alias(f.name) for f in found], *([F.col(corrupt)] if corrupt else []))
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str, first_file: bool = False, **options) -> DataFrame:
-    """CSV with a header and an explicit schema. Empty cells and the null token are NULL.
 
-    ``first_file`` keeps the rows of the alphabetically first file of a folder.
+def _declared(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str, first_file: bool = False, corrupt: str | None = None, **options
+) -> DataFrame:
+    """CSV by the names in its header; the declared columns come back in the declared order.
+
+    A declared column that the header lacks is absent from the result, so that
+    ``rules.require_columns`` can refuse the batch; further columns are left out. Missing tokens,
+    empty cells and cells that are not of their type are NULL. ``first_file`` keeps the rows of the
+    alphabetically first file of a folder. ``corrupt`` names a column that keeps the raw text of lines
+    with too few or too many cells (NULL elsewhere).
     """
-    opts = {"header": True, "nullValue": fixed.CSV_NULL_TOKEN, "emptyValue": "", "mode": "PERMISSIVE", **options}
-    df = spark.read.schema(schema).options(**opts).csv(path)
+    declared, opts = _declared(schema), _text_options(options)
     if first_file:
-        first = sorted(df.inputFiles())[0]
-        df = spark.read.schema(schema).options(**opts).csv(first)
-    return nan_cells_to_null(df)
+        path = sorted(spark.read.options(**opts).schema(_text_schema(declared.names, None)).csv(path).inputFiles())[0]
+    names = spark.read.options(**opts).csv(path).columns
+    if not names:
+        return spark.createDataFrame([], declared)
+    if corrupt:
+        opts["columnNameOfCorruptRecord"] = corrupt
+    return _typed(spark.read.schema(_text_schema(names, corrupt)).options(**opts).csv(path), declared, corrupt, options)
 
 
-def read_batch(spark: SparkSession, path: str, schema: StructType | str, **options) -> DataFrame:
+def read_batch(spark: SparkSession, path: str, schema: T.StructType | str, **options) -> DataFrame:
     """A scoring batch; only ``.csv`` files are taken, and a batch without rows is refused."""
     df = read_csv(spark, path, schema, pathGlobFilter="*.csv", **options)
     return require_rows(df)
 
 
-def stream_batches(spark: SparkSession, path: str, schema: StructType | str, max_files: int | None = None, **options) -> DataFrame:
-    """A landing folder of CSV batches as a stream; ``max_files`` bounds a micro-batch."""
-    opts = {"header": True, "nullValue": fixed.CSV_NULL_TOKEN, "emptyValue": "", "pathGlobFilter": "*.csv", **options}
+def stream_batches(
+    spark: SparkSession, path: str, schema: T.StructType | str, max_files: int | None = None, corrupt: str | None = None, **options
+) -> DataFrame:
+    """A landing folder of CSV batches as a stream; ``max_files`` bounds a micro-batch.
+
+    A stream knows its columns before its files: a header other than the declared one is an error.
+    """
+    declared, opts = _declared(schema), {**_text_options(options), "pathGlobFilter": "*.csv"}
     if max_files:
         opts["maxFilesPerTrigger"] = max_files
-    return nan_cells_to_null(spark.readStream.schema(schema).options(**opts).csv(path))
+    if corrupt:
+        opts["columnNameOfCorruptRecord"] = corrupt
+    return _typed(spark.readStream.schema(_text_schema(declared.names, corrupt)).options(**opts).csv(path), declared, corrupt, options)
 
 
 def require_rows(df: DataFrame) -> DataFrame:
@@ -47,7 +100,7 @@ def read_documents(
     spark: SparkSession,
     fmt: str,
     path: str,
-    schema: StructType | str | None = None,
+    schema: T.StructType | str | None = None,
     drop: tuple[str, ...] = ("_id",),
     nonempty: bool = False,
     **options,
@@ -58,7 +111,7 @@ def read_documents(
     return require_rows(rows) if nonempty else rows
 
 
-def read_report(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+def read_report(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 

@@ -276,6 +276,31 @@ def test_csv_edges(spark, tmp_path):
         readers.read_batch(spark, str(tmp_path / "empty"), "k int, t string")
 
 
+def test_csv_goes_by_header_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("b,x y,a\n1.5,p,7\n nan ,None,8.0\n1d,,oops\n")
+    rows = readers.read_csv(spark, str(tmp_path), "a int, b double, `x y` string, absent string")
+    assert rows.dtypes == [("a", "int"), ("b", "double"), ("x y", "string")]
+    assert [tuple(r) for r in rows.collect()] == [(7, 1.5, "p"), (8, None, None), (None, None, None)]
+    with pytest.raises(ValueError):
+        rules.require_columns(rows, contract.from_dict({"columns": {"absent": {"required": True}}}))
+
+
+def test_csv_headers_of_one_folder_agree(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n3,4\n")
+    (tmp_path / "b.csv").write_text("b,a\n5,6\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(tmp_path), "a int, b int").collect()
+
+
+def test_csv_malformed_lines_are_dead_letters(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n3\n4,5,6\n")
+    rows = readers.read_csv(spark, str(tmp_path), "b int, a int", corrupt=rules.CORRUPT_LINE)
+    marked = rules.annotate(rows, contract.from_dict({"columns": {"a": {"required": True}}}))
+    assert [r["a"] for r in rules.valid_rows(marked).collect()] == [1]
+    reasons = [e["error_reason"] for r in rules.invalid_rows(marked).collect() for e in r["errors"]]
+    assert sorted(reasons) == ["Malformed line: 3", "Malformed line: 4,5,6"]
+
+
 def test_load_counts(spark, tmp_path):
     df = spark.range(7)
     assert writers.load_table(df, str(tmp_path / "t")) == 7
