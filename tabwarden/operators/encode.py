@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
@@ -126,29 +126,27 @@ class _EncoderParams(Params):
     categoricalCols = Param(Params._dummy(), "categoricalCols", "categorical inputs", TypeConverters.toListString)
     scale = Param(Params._dummy(), "scale", "standardize numeric inputs", TypeConverters.toBoolean)
     dropFirst = Param(Params._dummy(), "dropFirst", "drop the first category", TypeConverters.toBoolean)
-    maxCategories = Param(Params._dummy(), "maxCategories", "categories a vector may hold", TypeConverters.toInt)
     outputCol = Param(Params._dummy(), "outputCol", "vector column", TypeConverters.toString)
 
 
 class TabularEncoder(Estimator, _EncoderParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Numeric block, then one-hot block, as one vector; refits with its pipeline."""
+    """Numeric block, then one-hot block, as one sparse vector; refits with its pipeline.
+
+    The model holds a name per category. ``one_hot_rows`` encodes without a model in memory.
+    """
 
     @keyword_only
-    def __init__(self, numericCols=None, categoricalCols=None, scale=False, dropFirst=False, maxCategories=10_000, outputCol="features"):
+    def __init__(self, numericCols=None, categoricalCols=None, scale=False, dropFirst=False, outputCol="features"):
         super().__init__()
-        self._setDefault(scale=False, dropFirst=False, maxCategories=10_000, outputCol="features")
+        self._setDefault(scale=False, dropFirst=False, outputCol="features")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> "TabularEncoderModel":
         numeric = self.getOrDefault("numericCols")
         categorical = self.getOrDefault("categoricalCols")
-        limit = self.getOrDefault("maxCategories")
         levels: dict[str, list[str]] = {c: [] for c in categorical}
         kept = encoded_categories(fit_categories(dataset, categorical), self.getOrDefault("dropFirst"))
-        rows = kept.limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"more than {limit} categories: use one_hot_rows, which has no vector to fill")
-        for r in rows:
+        for r in kept.collect():  # a name per output of the model, which holds them anyway
             levels[r["feature"]].append(r["category"])
         for c in categorical:
             levels[c].sort(key=lambda v: (v == MISSING, v))
@@ -183,9 +181,12 @@ class TabularEncoderModel(Model, _EncoderParams, DefaultParamsReadable, DefaultP
             raise ValueError(f"columns missing for this model: {missing}")
         number = scaled if self.getOrDefault("scale") else imputed
         cells = [number(c, f) for c, f in fit["numeric"].items()]
-        for c, values in fit["levels"].items():
-            text = F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
-            cells += [F.when(text == v, 1.0).otherwise(0.0) for v in values]
         names = [f"_f{i}" for i in range(len(cells))]
         wide = dataset.select("*", *[c.alias(n) for c, n in zip(cells, names)])
+        marks = [f"{i}:{v}" for i, values in enumerate(fit["levels"].values()) for v in values]
+        if marks:
+            held = [F.concat(F.lit(f"{i}:"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(MISSING))) for i, c in enumerate(fit["levels"])]
+            one_hot = CountVectorizerModel.from_vocabulary(marks, inputCol="_marks", outputCol="_one_hot")
+            wide = one_hot.setBinary(True).transform(wide.withColumn("_marks", F.array(*held))).drop("_marks")
+            names.append("_one_hot")
         return VectorAssembler(inputCols=names, outputCol=self.getOrDefault("outputCol")).transform(wide).drop(*names)

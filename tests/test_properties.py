@@ -173,8 +173,6 @@ def test_encoder_round_trip(spark, tmp_path):
     assert got == [[0.0, 1.0, 0.0], [0.0, 0.0, 0.0]]
     with pytest.raises(ValueError, match="missing"):
         loaded.transform(new.drop("c"))
-    with pytest.raises(ValueError, match="categories"):
-        encode.TabularEncoder(numericCols=["x"], categoricalCols=["c"], maxCategories=1).fit(df)
 
 
 def test_a_column_without_values_gives_no_output(spark):
@@ -231,3 +229,12 @@ def test_broadcasts_are_checked(spark):
     big = spark.range(10)
     assert sizing.known_small(big, 9).count() == 10
     assert sizing.input_bytes(spark.range(10)) > 0
+
+
+def test_encoder_holds_many_categories(spark):
+    df = spark.range(50_000).select(F.col("id").cast("double").alias("x"), F.format_string("v%06d", "id").alias("c"))
+    model = encode.TabularEncoder(numericCols=["x"], categoricalCols=["c"]).fit(df)
+    assert len(model.output_names()) == 50_001
+    probe = spark.createDataFrame([(1.0, "v000007"), (2.0, "unseen"), (3.0, None)], "x double, c string")
+    vectors = [r["features"] for r in model.transform(probe).orderBy("x").collect()]
+    assert [(v.size, v.indices.tolist()) for v in vectors] == [(50_001, [0, 8]), (50_001, [0]), (50_001, [0])]
