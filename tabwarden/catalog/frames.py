@@ -13,6 +13,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+HASH_SUMS_SQL = "count(*) AS n_rows, CAST(sum(h::HUGEINT) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor"
+
+
+def row_hash_sql(columns: list[str]) -> str:
+    """SQL of ``fingerprint.row_hash``; doubles below ten million have one text form in both engines."""
+    text = " || ".join(f"coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '~')" for c in columns)
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+
+
 # --- one row per customer, with a label -------------------------------------------------
 
 LABEL_CUT = "2001-01-01 00:00:00"
@@ -31,7 +43,7 @@ def churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_customer = orders.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.round(F.sum("o_totalprice"), 2).alias("total_price"),
-        F.round(F.avg("o_totalprice"), 4).alias("avg_price"),
+        F.round(F.avg("o_totalprice"), 7).alias("avg_price"),
         F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("last_priority"),
         (F.max("o_orderdate") < F.lit(LABEL_CUT).cast("timestamp_ntz")).cast("int").alias(LABEL),
     )
@@ -53,7 +65,7 @@ CHURN_SQL = f"""churn AS (
          n_orders, total_price, avg_price, c_mktsegment, n_name, last_priority, churn
   FROM customer JOIN nation ON c_nationkey = n_nationkey
   JOIN (SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price,
-               round(avg(o_totalprice), 4) AS avg_price,
+               round(avg(o_totalprice), 7) AS avg_price,
                max(CASE WHEN rn = 1 THEN o_orderpriority END) AS last_priority,
                CAST(max(o_orderdate) < TIMESTAMP '{LABEL_CUT}' AS INTEGER) AS churn
         FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn

@@ -116,8 +116,8 @@ def duplicate_count(spark, d):
 
 
 def dataset_fingerprint(spark, d):
-    c = fingerprint.fingerprint(fr.table(spark, d, "customer"), ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
-    o = fingerprint.fingerprint(fr.table(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
+    """Every cell of customers and orders, prices and dates included."""
+    c, o = (fingerprint.fingerprint(fr.table(spark, d, t)) for t in ("customer", "orders"))
     return c.select(F.lit("customer").alias("dataset"), "*").unionByName(o.select(F.lit("orders").alias("dataset"), "*"))
 
 
@@ -140,7 +140,9 @@ def stratified_folds(spark, d):
 
 
 def _churn_split(spark, d):
-    return split.stratified_split(fr.churn(spark, d), fr.LABEL, [fr.KEY])
+    """Customers are stored first: the split scans its input several times."""
+    stored = sizing.cut_lineage(fr.churn(spark, d).select(fr.KEY, fr.LABEL), "churn")
+    return split.stratified_split(stored, fr.LABEL, [fr.KEY])
 
 
 def split_counts(spark, d):
@@ -174,9 +176,7 @@ QUERIES = {
 
 
 def _fingerprint_sql(dataset: str, columns: list[str]) -> str:
-    text = " || ".join(f"coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '~')" for c in columns)
-    return f"""SELECT '{dataset}' AS dataset, count(*) AS n_rows, CAST(sum(h::HUGEINT) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor
-  FROM (SELECT ('0x' || substr(md5({text}), 1, 15))::BIGINT AS h FROM {dataset})"""
+    return f"SELECT '{dataset}' AS dataset, {fr.HASH_SUMS_SQL} FROM (SELECT {fr.row_hash_sql(columns)} AS h FROM {dataset})"
 
 
 _RANKED = """ranked AS (
@@ -214,9 +214,9 @@ ORACLES = {
         SELECT doc_id, lang, md5(text) AS text_md5, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""",
     "duplicate_count": """SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS distinct_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
         FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey, o_orderstatus, o_orderpriority)""",
-    "dataset_fingerprint": _fingerprint_sql("customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
+    "dataset_fingerprint": _fingerprint_sql("customer", fr.CUSTOMER_COLUMNS)
     + " UNION ALL "
-    + _fingerprint_sql("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]),
+    + _fingerprint_sql("orders", fr.ORDER_COLUMNS),
     "stratified_sample": """SELECT o_orderkey, o_orderstatus FROM orders
         WHERE ('0x' || substr(md5('42|' || o_orderkey::VARCHAR), 1, 8))::BIGINT % 1000000
               < CASE o_orderstatus WHEN 'F' THEN 500000 WHEN 'O' THEN 200000 WHEN 'P' THEN 100000 ELSE 0 END""",

@@ -122,17 +122,17 @@ def monitoring_decision(spark, d):
 
 def lineage_ingest(spark, d):
     """Orders without their id, duplicates removed, split by status: the whole lineage row set."""
-    raw = fr.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    columns = ["o_custkey", "o_orderstatus", "o_orderpriority"]
+    raw = fr.table(spark, d, "orders").select(*fr.ORDER_COLUMNS)
+    columns = [c for c in fr.ORDER_COLUMNS if c != "o_orderkey"]
     cleaned = sizing.cut_lineage(clean.distinct_rows(raw.drop("o_orderkey")), "cleaned")
     parts = split.stratified_split(cleaned, "o_orderstatus", columns)
-    return lineage.ingestion(raw, cleaned, parts, "split", columns)
+    return lineage.ingestion(raw, parts, "split", columns, "o_orderstatus")
 
 
 def lineage_transform(spark, d):
     frame = fr.churn(spark, d)
     widths = encode.cardinality(encode.fit_categories(frame, fr.CATEGORICAL))
-    return lineage.transformation(frame.select("n_orders", *fr.CATEGORICAL), ["n_orders"], fr.CATEGORICAL, widths)
+    return lineage.transformation(frame, fr.NUMERIC, fr.CATEGORICAL, widths)
 
 
 QUERIES = {
@@ -156,15 +156,6 @@ FIRES_SQL = """fires AS (
   UNION ALL
   SELECT f.monitor, min(h."at") FROM fires f JOIN history h ON h.monitor = f.monitor AND h.drifted AND h."at" >= f."at" + INTERVAL 1 DAY GROUP BY f.monitor, f."at")"""
 
-
-
-def _hash(columns):
-    text = " || ".join(f"coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '~')" for c in columns)
-    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
-
-
-_SUMS = "count(*) AS n_rows, CAST(sum(h::HUGEINT) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor"
-
 ORACLES = {
     "registry_stored_baseline": f"""WITH {profiling.ORDERS}, b AS ({profiling.union([
         profiling.long_numeric_sql("late", ["o_totalprice"], {k: v for k, v in profiling.STATS.items() if not k.startswith("p")}),
@@ -199,15 +190,20 @@ ORACLES = {
           CASE WHEN NOT bool_or(is_drifted) THEN 'healthy'
                WHEN TIMESTAMP '2024-01-31 12:00:00' < (SELECT max(ts) FROM events WHERE event_type = 'error') + INTERVAL 1 DAY THEN 'suppressed' ELSE 'fire' END AS action
         FROM v""",
-    "lineage_ingest": f"""WITH c AS (SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders),
-        r AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5('42|' || o_custkey::VARCHAR || '|' || o_orderstatus || '|' || o_orderpriority)) - 1 AS r,
+    "lineage_ingest": f"""WITH c AS (SELECT DISTINCT {', '.join(fr.ORDER_COLUMNS[1:])} FROM orders),
+        r AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5('42|' || {" || '|' || ".join(c + '::VARCHAR' for c in fr.ORDER_COLUMNS[1:])})) - 1 AS r,
                 count(*) OVER (PARTITION BY o_orderstatus) AS n FROM c),
-        parts AS (SELECT CASE WHEN r < n * 70 // 100 THEN 'train' WHEN r < n * 85 // 100 THEN 'validation' ELSE 'test' END AS dataset,
-                {_hash(["o_custkey", "o_orderstatus", "o_orderpriority"])} AS h FROM r)
-        SELECT 'raw' AS dataset, {_SUMS}, NULL::DOUBLE AS ratio FROM (SELECT {_hash(["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])} AS h FROM orders)
-        UNION ALL SELECT 'cleaned', {_SUMS}, NULL FROM parts
-        UNION ALL SELECT dataset, {_SUMS}, round(count(*) / CAST((SELECT count(*) FROM parts) AS DOUBLE), 4) FROM parts GROUP BY dataset""",
+        parts AS (SELECT CASE WHEN r < n * 70 // 100 THEN 'train' WHEN r < n * 85 // 100 THEN 'validation' ELSE 'test' END AS dataset, o_orderstatus,
+                {fr.row_hash_sql(fr.ORDER_COLUMNS[1:])} AS h FROM r),
+        per_class AS (SELECT dataset, o_orderstatus, count(*) AS n FROM parts GROUP BY ALL),
+        classes AS (SELECT dataset, list(o_orderstatus || '=' || n::VARCHAR ORDER BY o_orderstatus) AS target_counts FROM per_class GROUP BY dataset
+          UNION ALL SELECT 'cleaned', list(o_orderstatus || '=' || n::VARCHAR ORDER BY o_orderstatus)
+            FROM (SELECT o_orderstatus, CAST(sum(n) AS BIGINT) AS n FROM per_class GROUP BY o_orderstatus)),
+        found AS (SELECT 'raw' AS dataset, {fr.HASH_SUMS_SQL}, NULL::DOUBLE AS ratio FROM (SELECT {fr.row_hash_sql(fr.ORDER_COLUMNS)} AS h FROM orders)
+        UNION ALL SELECT 'cleaned', {fr.HASH_SUMS_SQL}, NULL FROM parts
+        UNION ALL SELECT dataset, {fr.HASH_SUMS_SQL}, round(count(*) / CAST((SELECT count(*) FROM parts) AS DOUBLE), 4) FROM parts GROUP BY dataset)
+        SELECT * FROM found LEFT JOIN classes USING (dataset)""",
     "lineage_transform": f"""WITH {fr.CHURN_SQL}, w AS (SELECT count(DISTINCT c_mktsegment) + count(DISTINCT n_name) + count(DISTINCT last_priority) AS t FROM churn)
-        SELECT {_SUMS}, 1 AS numeric_features, 3 AS categorical_features, max(t) - 2 AS linear_width, max(t) + 1 AS tree_width
-        FROM (SELECT {_hash(["n_orders", "c_mktsegment", "n_name", "last_priority"])} AS h FROM churn), w""",
+        SELECT {fr.HASH_SUMS_SQL}, 4 AS numeric_features, 3 AS categorical_features, max(t) + 1 AS linear_width, max(t) + 4 AS tree_width
+        FROM (SELECT {fr.row_hash_sql([*fr.NUMERIC, *fr.CATEGORICAL])} AS h FROM churn), w""",
 }

@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from tabwarden import fixed
 from tabwarden.catalog import frames as fr
 from tabwarden.functions import sizing
-from tabwarden.operators import lineage, score, train
+from tabwarden.operators import lineage, metrics, score, train
 from tabwarden.operators.clean import CleanSpec
 from tabwarden.operators.contract import from_dict
 from tabwarden.plans import training
 from tabwarden.sources import readers, writers
 
-#: Small grids of the same shape as the default ones; the data decides the work.
+#: Grids of the default shape with fewer trees and iterations: each boosting round and each iteration is
+#: a Spark job of its own, so the drawn 300 rounds and 500 iterations are thousands of jobs on any table.
 GRIDS = {
     "logistic_regression": {"C": [0.1, 1.0], "penalty": ["l1", "l2"], "max_iter": [50]},
     "random_forest": {"n_estimators": [10, 20], "max_depth": [5, 8], "min_samples_leaf": [1, 4], "bootstrap": [True]},
     "gradient_boosting": {"n_estimators": [5, 10], "learning_rate": [0.1], "max_depth": [3], "subsample": [0.8, 1.0]},
 }
-FOLDS = 3
 FEATURES = [*fr.NUMERIC, *fr.CATEGORICAL]
+TRAINED = [fr.KEY, *FEATURES, fr.LABEL]
 
 CONTRACT = from_dict(
     {
@@ -40,48 +42,92 @@ def _run(spark, d) -> training.TrainingRun:
     """One training run per session and input, shared by the queries below."""
     at = (spark.sparkContext.applicationId, d)
     if at not in _runs:
-        path = training.prepare(fr.churn(spark, d), CleanSpec(), fr.LABEL, [fr.KEY], FOLDS)
-        _runs[at] = training.run(path, spark, fr.LABEL, GRIDS, folds=FOLDS, skip=[fr.KEY])
+        path = training.prepare(fr.churn(spark, d), CleanSpec(), fr.LABEL, [fr.KEY])
+        _runs[at] = training.run(path, spark, fr.LABEL, GRIDS, skip=[fr.KEY])
     return _runs[at]
 
 
-def _test_part(spark, d):
-    return readers.read_part(spark, _run(spark, d).path, "test")
+def training_folds(spark, d):
+    """Customers per part, class and fold of the stored split."""
+    stored = spark.read.parquet(_run(spark, d).path)
+    return stored.groupBy("split", fr.LABEL, "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _checked(measured):
+    """Counts of a metrics table that SQL can repeat, and whether its rates follow from them."""
+    rates = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
+    again = metrics.rates(measured.select("model", "tn", "fp", "fn", "tp").withColumnRenamed("model", "_model"))
+    again = again.select("_model", F.struct("accuracy", "precision", "recall", "f1").alias("_again"))
+    in_range = F.col("log_loss") >= 0
+    for r in rates:
+        in_range = in_range & F.col(r).between(0, 1)
+    return measured.join(again, F.col("model") == F.col("_model")).select(
+        "model", "n_samples",
+        (F.col("tp") + F.col("fn")).alias("positives"), (F.col("tn") + F.col("fp")).alias("negatives"),
+        (F.struct("accuracy", "precision", "recall", "f1") == F.col("_again")).alias("rates_follow"), in_range.alias("in_range"),
+    )
 
 
 def train_candidates(spark, d):
-    return _run(spark, d).metrics
+    """Every candidate on the test part."""
+    return _checked(_run(spark, d).metrics)
+
+
+def validation_metrics(spark, d):
+    """Every candidate on the validation part."""
+    return _checked(_run(spark, d).validation)
 
 
 def cv_summary(spark, d):
-    return _run(spark, d).cv
+    """Drawn parameters of every candidate; its recall over the folds lies where it can."""
+    return _run(spark, d).cv.select(
+        "model", "params", F.col("mean_score").between(0, 1).alias("mean_in_range"), F.col("std_score").between(0, 0.5).alias("std_in_range")
+    )
 
 
 def lineage_train(spark, d):
+    """The training rows behind every candidate, all of their cells hashed."""
     run = _run(spark, d)
     part = readers.read_part(spark, run.path, "train")
-    return lineage.training(part, [fr.KEY, *fr.CATEGORICAL], run.cv)
+    return lineage.training(part, TRAINED, run.cv).select("model", "params", "train_rows", "train_hash_sum")
 
 
 def training_decision(spark, d):
-    return _run(spark, d).decision
+    """The decision without a champion; the best recall is missed by a tolerance per step at most."""
+    run = _run(spark, d)
+    top = run.metrics.agg(F.max("recall")).scalar()
+    slack = fixed.RECALL_TOLERANCE * (len(run.candidates) - 1)
+    return run.decision.withColumn("_top", top).select(
+        F.col("best_model").isin([c.name for c in run.candidates]).alias("known_model"),
+        (F.col("recall") >= F.col("_top") - slack - 1e-9).alias("near_best"), "champion_recall", "approved", "reason",
+    )
+
+
+def _candidate(spark, d, name):
+    return next(c for c in _run(spark, d).candidates if c.name == name)
 
 
 def _best(spark, d):
-    run = _run(spark, d)
-    name = run.decision.first()["best_model"]
-    return next(c for c in run.candidates if c.name == name)
+    return _candidate(spark, d, _run(spark, d).decision.first()["best_model"])
 
 
 def feature_importance(spark, d):
-    return train.feature_importance(spark, _best(spark, d).model)
+    """Outputs of the forest: shares that sum to 1, up to the five places of each."""
+    found = train.feature_importance(spark, _candidate(spark, d, "random_forest").model)
+    total = found.agg(F.sum("importance")).scalar()
+    return found.withColumn("_total", total).select(
+        "feature", F.col("importance").between(0, 1).alias("in_range"), F.col("_total").between(0.999, 1.001).alias("sums_to_one")
+    )
 
 
 def champion_metrics(spark, d):
-    """The best model as champion, stored, loaded and measured again."""
-    path = sizing.run_dir(spark, "model")
-    _best(spark, d).model.save(path)
-    return train.champion_metrics(PipelineModel.load(path), _test_part(spark, d), fr.LABEL)
+    """The best model as champion: stored, loaded and measured again, it measures the same."""
+    best, path = _best(spark, d), sizing.run_dir(spark, "model")
+    best.model.save(path)
+    test = readers.read_part(spark, _run(spark, d).path, "test")
+    again = train.champion_metrics(PipelineModel.load(path), test, fr.LABEL)
+    before = _run(spark, d).metrics.where(F.col("model") == best.name).select(F.struct(*again.columns)).scalar()
+    return again.withColumn("_before", before).select("n_samples", (F.struct(*again.columns) == F.col("_before")).alias("same"))
 
 
 def score_batch(spark, d):
@@ -114,11 +160,41 @@ def foreign_model(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        train_candidates, cv_summary, lineage_train, training_decision, feature_importance, champion_metrics, score_batch, foreign_model,
+        training_folds, train_candidates, validation_metrics, cv_summary, lineage_train, training_decision, feature_importance, champion_metrics, score_batch, foreign_model,
     )
 }
 
+_PARTS = f"""{fr.CHURN_SQL}, ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY churn ORDER BY md5('42|' || c_custkey::VARCHAR)) - 1 AS r, count(*) OVER (PARTITION BY churn) AS n FROM churn),
+  parted AS (SELECT *, CASE WHEN r < n * 70 // 100 THEN 'train' WHEN r < n * 85 // 100 THEN 'validation' ELSE 'test' END AS split FROM ranked),
+  dealt AS (SELECT *, row_number() OVER (PARTITION BY split, churn ORDER BY md5('43|' || c_custkey::VARCHAR)) - 1 AS i, count(*) OVER (PARTITION BY split, churn) AS m FROM parted),
+  parts AS (SELECT *, CAST((i >= m // 5)::INT + (i >= m * 2 // 5)::INT + (i >= m * 3 // 5)::INT + (i >= m * 4 // 5)::INT AS INTEGER) AS fold FROM dealt),
+  drawn AS (SELECT * FROM (VALUES
+    ('logistic_regression', '{{"C": 0.1, "max_iter": 50, "penalty": "l1"}}'),
+    ('random_forest', '{{"bootstrap": true, "max_depth": 5, "min_samples_leaf": 4, "n_estimators": 10}}'),
+    ('gradient_boosting', '{{"learning_rate": 0.1, "max_depth": 3, "n_estimators": 5, "subsample": 0.8}}')) AS t(model, params))"""
+
+
+def _measured(part: str) -> str:
+    return f"""WITH {_PARTS} SELECT model, count(*) AS n_samples, count(*) FILTER (churn = 1) AS positives, count(*) FILTER (churn = 0) AS negatives,
+        true AS rates_follow, true AS in_range FROM parts, drawn WHERE split = '{part}' GROUP BY model"""
+
+
 ORACLES = {
+    "training_folds": f"WITH {_PARTS} SELECT split, churn, fold, count(*) AS n FROM parts GROUP BY ALL",
+    "train_candidates": _measured("test"),
+    "validation_metrics": _measured("validation"),
+    "cv_summary": f"WITH {_PARTS} SELECT model, params, true AS mean_in_range, true AS std_in_range FROM drawn",
+    "lineage_train": f"""WITH {_PARTS} SELECT model, params, count(*) AS train_rows, CAST(sum(h::HUGEINT) AS VARCHAR) AS train_hash_sum
+        FROM (SELECT {fr.row_hash_sql(TRAINED)} AS h FROM parts WHERE split = 'train'), drawn GROUP BY ALL""",
+    "training_decision": """SELECT true AS known_model, true AS near_best, NULL::DOUBLE AS champion_recall, true AS approved,
+        'approved: no champion' AS reason FROM (SELECT count(*) FROM orders)""",
+    "feature_importance": f"WITH {_PARTS}, names AS ("
+    + " UNION ".join(
+        [f"SELECT '{c}' AS feature" for c in fr.NUMERIC] + [f"SELECT '{c}_' || {c} FROM parts WHERE split = 'train'" for c in fr.CATEGORICAL]
+    )
+    + ") SELECT feature, true AS in_range, true AS sums_to_one FROM names",
+    "champion_metrics": f"WITH {_PARTS} SELECT count(*) AS n_samples, true AS same FROM parts WHERE split = 'test'",
     "score_batch": f"""WITH {fr.CHURN_SQL}, bad AS (
         SELECT *, coalesce(c_acctbal < 50, false) OR coalesce(c_acctbal > 9900, false) OR n_orders < 3 AS is_bad FROM churn)
         SELECT count(*) FILTER (NOT is_bad) AS logged, count(*) FILTER (is_bad) AS dead, true AS mean_in_range FROM bad""",

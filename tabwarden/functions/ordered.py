@@ -9,21 +9,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def value_bucket(df: DataFrame, column: str, buckets: int, weights_from: DataFrame | None = None) -> DataFrame:
+#: Pieces of a global order for each shuffle partition of the session, so that AQE can even them out.
+PIECES_PER_PARTITION = 4
+
+
+def value_bucket(df: DataFrame, column: str, buckets: int) -> DataFrame:
     """Add ``_bucket``: the position of ``column`` among ``buckets`` quantile bounds.
 
-    The bounds come from a sketch that runs as a scalar subquery of the same plan. They
-    only decide which task sees a value, never the result.
+    The bounds come from a sketch of ``df`` itself that runs as a scalar subquery of the same
+    plan and reuses its shuffle. They only decide which task sees a value, never the result.
     """
-    if buckets <= 1:
-        return df.withColumn("_bucket", F.lit(0))
-    source = df if weights_from is None else weights_from
     steps = [i / buckets for i in range(1, buckets)]
     sketch = F.array_distinct(F.percentile_approx(F.col(column).cast("double"), steps, max(1000, 2 * buckets)))
     # Two short searches instead of a long one: among every ``stride``-th bound, then between two.
     stride = max(1, math.isqrt(buckets))
     coarse = F.filter("b", lambda _, i: i % stride == 0)
-    bounds = source.agg(sketch.alias("b")).select(F.struct("b", coarse.alias("c")).alias("s"))
+    bounds = df.agg(sketch.alias("b")).select(F.struct("b", coarse.alias("c")).alias("s"))
     x = F.col(column)
     rank = F.size(F.filter("_bounds.c", lambda b: b < x))
     start = (rank - 1) * stride
@@ -42,23 +43,20 @@ def running_totals(
     by: Sequence[str],
     order: str,
     totals: Mapping[str, str],
-    buckets: int = 1,
     descending: bool = False,
-    weights_from: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add, per ``by`` group, inclusive running sums along ``order``.
 
-    ``totals`` maps a source column to the name of its running sum. With ``buckets > 1``
-    the order is cut by value: each task sums one (group, bucket), and a table with one row
-    per (group, bucket) carries the sums of the buckets before.
+    ``totals`` maps a source column to the name of its running sum. The order is cut by value:
+    each task sums one (group, bucket), and a table with one row per (group, bucket) carries the
+    sums of the buckets before. The number of buckets follows the session's shuffle partitions.
     """
     by = list(by)
     direction = F.col(order).desc() if descending else F.col(order).asc()
-    if buckets <= 1:
-        w = Window.partitionBy(*by).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({name: F.sum(src).over(w) for src, name in totals.items()})
-
-    cut = value_bucket(df, order, buckets, weights_from)
+    if buckets is None:
+        buckets = PIECES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = value_bucket(df, order, buckets)
     bucket_dir = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     before = Window.partitionBy(*by).orderBy(bucket_dir).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

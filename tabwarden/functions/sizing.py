@@ -1,4 +1,4 @@
-"""Size checks and shared folders: the places where a plan depends on how big its input is."""
+"""Shared folders, and tables in them that cut a plan."""
 
 from __future__ import annotations
 
@@ -7,43 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: Below this many bytes of scanned files one task can hold any group of the input.
-SMALL_INPUT_BYTES = 32 << 20
-#: Rows a report-sized frame may have to be held by the driver.
-MAX_LOCAL_ROWS = 10_000
-#: Most pieces a global order is cut into.
-MAX_BUCKETS = 4096
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Bytes behind the leaves of a plan. Starts no job; unknown sources count as huge."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    return input_bytes(df) <= (SMALL_INPUT_BYTES if limit is None else limit)
-
-
-def rank_buckets(df: DataFrame, limit: int | None = None) -> int:
-    """How many pieces a global order is cut into: one if it fits a task, else many."""
-    if is_small(df, limit):
-        return 1
-    return min(MAX_BUCKETS, max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-
-
-def known_small(df: DataFrame, limit: int = MAX_LOCAL_ROWS) -> DataFrame:
-    """Run a report-sized frame and hand its counted rows to a broadcast join.
-
-    Fetches at most ``limit + 1`` rows. Beyond the limit the frame comes back as it was and
-    takes part in ordinary shuffled joins.
-    """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def shared_dir(spark: SparkSession) -> str:

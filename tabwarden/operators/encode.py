@@ -14,8 +14,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwarden.functions import sizing
-from tabwarden.operators.percentiles import exact_percentiles, percentile_stats
+from tabwarden.operators.percentiles import exact_percentiles
 
 #: Name of the category that stands for a missing value; it sorts last.
 MISSING = "nan"
@@ -31,13 +30,8 @@ def fit_numeric(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, fl
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.var_pop(v).alias(f"v{i}")]
-    median = {"median": 0.5}
-    if sizing.is_small(df):
-        row = df.agg(*aggs, *percentile_stats(columns, median)).first()
-        medians = {c: row[f"_q{i}"][0] if row[f"n{i}"] else None for i, c in enumerate(columns)}
-    else:
-        row = df.agg(*aggs).first()
-        medians = {r["feature"]: r["median"] for r in exact_percentiles(df, columns, median).collect()}
+    row = df.agg(*aggs).first()
+    medians = {r["feature"]: r["median"] for r in exact_percentiles(df, columns, {"median": 0.5}).collect()}
     fits = {}
     for i, c in enumerate(columns):
         n, rows, mid = row[f"n{i}"], row["rows"], medians[c]
@@ -94,7 +88,7 @@ def one_hot_rows(df: DataFrame, key: Sequence[str], columns: Sequence[str], cate
     Works for any number of categories. A category that was not fitted gives no row, which is
     the all-zeros encoding.
     """
-    outputs = sizing.known_small(encoded_categories(categories, drop_first))
+    outputs = encoded_categories(categories, drop_first)
     text = df.select(*key, *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in columns])
     long = text.unpivot(list(key), list(columns), "feature", "category")
     return long.join(outputs, ["feature", "category"]).select(

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from tabwarden.operators import fingerprint as fp
 
 
-def ingestion(raw: DataFrame, cleaned: DataFrame, split: DataFrame, split_col: str, columns: Sequence[str]) -> DataFrame:
-    """Rows, share and fingerprint of the raw table, the cleaned table and every part.
+def ingestion(raw: DataFrame, split: DataFrame, split_col: str, columns: Sequence[str], target: str) -> DataFrame:
+    """Rows, share, fingerprint and rows per target value of the raw table, the cleaned table and
+    every part.
 
-    The cleaned table is the union of its parts: its own fingerprint is added up from theirs,
-    so the split frame is scanned once.
+    The cleaned table is the union of its parts: its fingerprint and its counts are added up from
+    theirs. Target counts are ``value=n`` texts in the order of the values; the raw table, whose
+    target is not cleaned yet, has none.
     """
     raw_row = fp.fingerprint(raw).select(F.lit("raw").alias("dataset"), "n_rows", "hash_sum", "hash_xor")
     parts = fp.fingerprint(split, columns, by=[split_col]).select(F.col(split_col).alias("dataset"), "n_rows", "hash_sum", "hash_xor")
@@ -24,7 +26,13 @@ def ingestion(raw: DataFrame, cleaned: DataFrame, split: DataFrame, split_col: s
         F.bit_xor("hash_xor").alias("hash_xor"),
     ).select(F.lit("cleaned").alias("dataset"), "n_rows", "hash_sum", "hash_xor")
     total = parts.agg(F.sum("n_rows")).scalar()
-    out = raw_row.unionByName(whole).unionByName(parts)
+    label = F.coalesce(F.col(target).cast("string"), F.lit("null"))
+    per_class = split.groupBy(F.col(split_col).alias("dataset"), label.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    every = per_class.unionByName(per_class.groupBy("value").agg(F.sum("n").alias("n")).withColumn("dataset", F.lit("cleaned")))
+    cell = F.struct("value", F.concat_ws("=", "value", F.col("n").cast("string")).alias("text"))
+    # One entry per class of the target.
+    classes = every.groupBy("dataset").agg(F.array_sort(F.collect_list(cell))["text"].alias("target_counts"))
+    out = raw_row.unionByName(whole).unionByName(parts).join(classes, "dataset", "left")
     is_part = ~F.col("dataset").isin("raw", "cleaned")
     return out.withColumn("ratio", F.when(is_part, F.round(F.col("n_rows") / total, 4)))
 

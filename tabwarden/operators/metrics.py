@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwarden import fixed
-from tabwarden.functions import cells, sizing, stats
+from tabwarden.functions import cells, stats
 from tabwarden.functions.ordered import running_totals
 
 
@@ -51,31 +51,19 @@ def score_counts(scored: DataFrame, by: Sequence[str], label: str = "label", p:
     )
 
 
-def roc_auc(
-    scored: DataFrame, by: Sequence[str], label: str = "label", p: str = "p", small_bytes: int | None = None
-) -> DataFrame:
+def roc_auc(scored: DataFrame, by: Sequence[str], label: str = "label", p: str = "p") -> DataFrame:
     """Mann-Whitney form of the area under the ROC curve, ties at half weight."""
-    buckets = sizing.rank_buckets(scored, small_bytes)
-    ranked = running_totals(
-        score_counts(scored, by, label, p), by, "score", {"neg": "neg_through"}, buckets,
-        weights_from=scored.select(F.col(p).alias("score")),
-    )
+    ranked = running_totals(score_counts(scored, by, label, p), by, "score", {"neg": "neg_through"})
     wins = F.col("pos").cast("double") * (F.col("neg_through") - F.col("neg") / 2)
     out = ranked.groupBy(*by).agg(F.sum(wins).alias("_u"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     pairs = F.col("_p").cast("double") * F.col("_n")
     return out.select(*by, F.round(F.try_divide(F.col("_u"), pairs), 6).alias("roc_auc"))
 
 
-def average_precision(
-    scored: DataFrame, by: Sequence[str], label: str = "label", p: str = "p", small_bytes: int | None = None
-) -> DataFrame:
+def average_precision(scored: DataFrame, by: Sequence[str], label: str = "label", p: str = "p") -> DataFrame:
     """Step-wise area under the precision-recall curve."""
-    buckets = sizing.rank_buckets(scored, small_bytes)
     counted = score_counts(scored, by, label, p).withColumn("n", F.col("pos") + F.col("neg"))
-    ranked = running_totals(
-        counted, by, "score", {"pos": "ctp", "n": "cn"}, buckets, descending=True,
-        weights_from=scored.select(F.col(p).alias("score")),
-    )
+    ranked = running_totals(counted, by, "score", {"pos": "ctp", "n": "cn"}, descending=True)
     step = F.try_divide(F.col("pos").cast("double") * F.col("ctp"), F.col("cn").cast("double"))
     out = ranked.groupBy(*by).agg(F.sum(step).alias("_s"), F.sum("pos").alias("_p"))
     return out.select(*by, F.round(F.try_divide(F.col("_s"), F.col("_p").cast("double")), 6).alias("pr_auc"))
@@ -91,19 +79,14 @@ def class_metrics(
     label: str = "label",
     p: str = "p",
     threshold: float = fixed.DECISION_THRESHOLD,
-    small_bytes: int | None = None,
 ) -> DataFrame:
     """Every metric in one row per model, from one shuffle on (model, score).
 
     Rows collapse to one per distinct score. Confusion counts, log loss and both areas are all
     functions of that smaller table, so the input is read and shuffled once.
     """
-    buckets = sizing.rank_buckets(scored, small_bytes)
     counted = score_counts(scored, by, label, p).withColumn("n", F.col("pos") + F.col("neg"))
-    ranked = running_totals(
-        counted, by, "score", {"pos": "ctp", "n": "cn"}, buckets, descending=True,
-        weights_from=scored.select(F.col(p).alias("score")),
-    )
+    ranked = running_totals(counted, by, "score", {"pos": "ctp", "n": "cn"}, descending=True)
     s, pos, neg = F.col("score"), F.col("pos"), F.col("neg")
     hit = s >= threshold
     one, zero = F.lit(1), F.lit(0)

@@ -1,7 +1,7 @@
 """Exact interpolated percentiles at any size.
 
-The built-in ``percentile`` keeps a map of all distinct values in one task. That is fine for
-small inputs. For large ones a sketch first brackets every wanted rank; then rows below each
+The built-in ``percentile`` keeps a map of all distinct values in one task. Here a sketch first
+brackets every wanted rank; then rows below each
 bracket are counted and the values inside are counted, cut into slices and sorted slice by
 slice. Two passes after the sketch, and only values near a wanted rank are shuffled.
 """
@@ -14,8 +14,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwarden.functions import sizing
-
 #: The sketch is off by at most 1/ACCURACY of the rows; brackets are twice as wide.
 ACCURACY = 1000
 SLICES = 1024
@@ -23,32 +21,6 @@ SLICES = 1024
 WIDE_ROWS = 50 * ACCURACY
 
 
-def percentile_stats(columns: Sequence[str], probs: Mapping[str, float]) -> list[Column]:
-    """Built-in aggregates, one array per column, to be read with ``percentile_cells``."""
-    points = F.array(*[F.lit(float(p)) for p in probs.values()])
-    return [F.percentile(F.col(c).cast("double"), points).alias(f"_q{i}") for i, c in enumerate(columns)]
-
-
-def percentile_cells(i: int, probs: Mapping[str, float]) -> dict[str, Column]:
-    return {n: F.try_element_at(F.col(f"_q{i}"), F.lit(j + 1)) for j, n in enumerate(probs)}
-
-
-def exact_percentiles(
-    df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], small_bytes: int | None = None
-) -> DataFrame:
-    """One row per column: ``feature`` and one DOUBLE per entry of ``probs``.
-
-    A large input is sketched by a job of its own when this is called.
-    """
-    if not sizing.is_small(df, small_bytes):
-        return _bracketed(df, columns, probs)
-    rows = [
-        F.struct(F.lit(c).alias("feature"), *[v.alias(n) for n, v in percentile_cells(i, probs).items()])
-        for i, c in enumerate(columns)
-    ]
-    return df.agg(*percentile_stats(columns, probs)).select(F.inline(F.array(*rows)))
-
-
 def _brackets(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float]) -> list[tuple]:
     """``(id, feature, prob, lo, hi, rank, frac)`` of every wanted point that has values."""
     slack = 2.0 / ACCURACY
@@ -74,7 +46,11 @@ def _brackets(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float])
     return out
 
 
-def _bracketed(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+def exact_percentiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """One row per column: ``feature`` and one DOUBLE per entry of ``probs``.
+
+    The input is sketched by a job of its own when this is called.
+    """
     spark = df.sparkSession
     brackets = _brackets(df, columns, probs)
     # Columns times probabilities: as many rows as the caller wrote down.

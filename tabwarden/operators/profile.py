@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwarden import fixed
-from tabwarden.functions import sizing
 from tabwarden.operators.clean import feature_groups
-from tabwarden.operators.percentiles import exact_percentiles, percentile_cells, percentile_stats
+from tabwarden.operators.percentiles import exact_percentiles
 
 
 def _rows(wide: DataFrame, per_column: dict[str, dict[str, Column]], by: Sequence[str] = (), key: str = "feature") -> DataFrame:
@@ -53,20 +52,12 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
 
 
 def _with_percentiles(df: DataFrame, stats: list[Column], cells: dict[str, dict[str, Column]], columns: Sequence[str], probs, key: str) -> DataFrame:
-    """Aggregate ``stats`` and exact percentiles; one pass where the input fits the built-in."""
-    if sizing.is_small(df):
-        wide = df.agg(*stats, *percentile_stats(columns, probs))
-        merged = {c: {**cells[c], **percentile_cells(i, probs)} if c in columns else cells[c] for i, c in _numbered(cells, columns)}
-        return _rows(wide, merged, key=key)
+    """Aggregate ``stats`` and exact percentiles."""
     points = exact_percentiles(df, columns, probs).withColumnRenamed("feature", key)
     # One row per column on both sides.
     return _rows(df.agg(*stats), cells, key=key).join(F.broadcast(points), key, "left")
 
 
-def _numbered(cells, columns):
-    return [(list(columns).index(c) if c in columns else -1, c) for c in cells]
-
-
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Min, max, mean and exact median of numeric columns."""
     stats = []
@@ -90,9 +81,6 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
         none = F.lit(None).cast("double")
         for name, short in (("min", "a"), ("max", "b"), ("mean", "m")):
             cells[f.name][name] = F.col(f"{short}{i}") if f.name in numeric else none
-    if numeric and sizing.is_small(df):
-        for c in cells:
-            cells[c].setdefault("median", F.lit(None).cast("double"))
     profile = (
         _with_percentiles(df, stats, cells, numeric, {"median": 0.5}, "column")
         if numeric

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwarden.functions.cells import clean_path
-from tabwarden.functions.sizing import known_small
 
 SCHEMA = T.StructType(
     [
@@ -100,7 +99,8 @@ def load_artifact(path: str, pointers: DataFrame) -> DataFrame:
     named = pointers.select("name", "version").distinct().collect()
     stored = pointers.sparkSession.read.parquet(path)
     stored = stored.where(F.col("name").isin([r["name"] for r in named]) & F.col("version").isin([r["version"] for r in named]))
-    out = stored.join(known_small(pointers.select("name", "version")), ["name", "version"])
+    wanted = pointers.sparkSession.createDataFrame(named, "name string, version string")
+    out = stored.join(F.broadcast(wanted), ["name", "version"])
     missing = pointers.join(stored.select("name", "version").distinct(), ["name", "version"], "left_anti")
     if not missing.isEmpty():
         raise ValueError(f"no stored artifact for {[tuple(r) for r in missing.select('name', 'version').take(5)]}")

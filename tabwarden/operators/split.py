@@ -4,7 +4,7 @@ A row's place in its stratum is its rank by a seeded hash key. Instead of rankin
 ``hash_cuts`` finds the hash value at each cut rank: counts per (stratum, hash prefix) locate
 the prefix that holds the cut, counts per next digits narrow it down, and only the hashes that
 are left are ordered one by one. Rows are then compared with their stratum's cuts, in a
-map-side join once the cuts are counted and found few. The table is scanned three times and
+map-side join if the stored cuts are small. The table is scanned three times and
 never shuffled, however lopsided the strata are; hand in a stored table, not a long plan.
 Copies of one key share a hash and stay on one side of a cut.
 """
@@ -18,11 +18,10 @@ from pyspark.sql import functions as F
 
 from tabwarden import fixed
 from tabwarden.functions import cells
-from tabwarden.functions.sizing import is_small, known_small
+from tabwarden.functions.sizing import cut_lineage
 
-#: Hex digits of the hash that name a bucket. A large table is cut twice by this many.
+#: Hex digits of the hash that name a bucket. Buckets are cut twice by this many.
 PREFIX_DIGITS = 3
-SMALL_PREFIX_DIGITS = 2
 
 
 def _locate(counts: DataFrame, ranks: DataFrame, by: Sequence[str], order: str) -> DataFrame:
@@ -49,13 +48,10 @@ def _among(rows: DataFrame, wanted: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def hash_cuts(
-    df: DataFrame, stratum: str, key: Sequence[str], weights: Sequence[int], seed: int, digits: int | None = None
+    df: DataFrame, stratum: str, key: Sequence[str], weights: Sequence[int], seed: int, digits: int = PREFIX_DIGITS
 ) -> DataFrame:
     """One row per stratum: ``cuts``, the ascending hash values at which the parts after the
     first begin. A part that begins beyond the last row gets a cut above every hash."""
-    small = digits is None and is_small(df)
-    if digits is None:
-        digits = SMALL_PREFIX_DIGITS if small else PREFIX_DIGITS
     total = sum(weights)
     marks = [sum(weights[: i + 1]) for i in range(len(weights) - 1)]
     hashed = df.select(F.col(stratum).alias("_s"), cells.hash_key(seed, *[F.col(k) for k in key]).alias("_h"))
@@ -67,17 +63,14 @@ def hash_cuts(
         counts.groupBy("_s").agg(F.sum("_n").alias("_all")).select("_s", "_all", cut.alias("_c"))
         .select("_s", F.col("_c.i").alias("_i"), F.expr(f"(_all * _c.m) div {total}").alias("_rank"))
     )
-    # One row per (stratum, cut). Counted and held before the second scan, so that the scan is
-    # filtered by a broadcast and only rows of cut prefixes are shuffled.
-    at_prefix = known_small(_locate(counts, ranks, ["_s"], "_p"))
+    # One row per (stratum, cut). Stored before the second scan: Spark knows the size of the file
+    # and broadcasts it to the scan if it is small, so only rows of cut prefixes are shuffled.
+    at_prefix = cut_lineage(_locate(counts, ranks, ["_s"], "_p"), "cut-prefixes")
     # Copies of a key collapse into one row with their number.
     near = _among(rows, at_prefix, ["_s", "_p"]).groupBy("_s", "_p", "_q", "_h").agg(F.count(F.lit(1)).alias("_n"))
-    if small:
-        at_hash = _locate(near, at_prefix, ["_s", "_p"], "_h")
-    else:
-        finer = near.groupBy("_s", "_p", "_q").agg(F.sum("_n").alias("_n"))
-        at_finer = _locate(finer, at_prefix, ["_s", "_p"], "_q")
-        at_hash = _locate(_among(near, at_finer, ["_s", "_p", "_q"]), at_finer, ["_s", "_p", "_q"], "_h")
+    finer = near.groupBy("_s", "_p", "_q").agg(F.sum("_n").alias("_n"))
+    at_finer = _locate(finer, at_prefix, ["_s", "_p"], "_q")
+    at_hash = _locate(_among(near, at_finer, ["_s", "_p", "_q"]), at_finer, ["_s", "_p", "_q"], "_h")
     # 'g' sorts above every hex digit.
     slots = [F.coalesce(F.max(F.when(F.col("_i") == i, F.col("_h"))), F.lit("g")) for i in range(len(marks))]
     return at_hash.groupBy("_s").agg(F.array(*slots).alias("cuts"))
@@ -90,7 +83,7 @@ def stratified_split(
     weights: Mapping[str, int] | None = None,
     seed: int = fixed.SEED,
     into: str = "split",
-    digits: int | None = None,
+    digits: int = PREFIX_DIGITS,
 ) -> DataFrame:
     """Add ``into``: the part of each row. Exact per stratum up to the copies of one key.
 
@@ -98,7 +91,7 @@ def stratified_split(
     """
     weights = dict(weights or fixed.SPLIT_WEIGHTS)
     names = list(weights)
-    cuts = known_small(hash_cuts(df, stratum, key, list(weights.values()), seed, digits))
+    cuts = cut_lineage(hash_cuts(df, stratum, key, list(weights.values()), seed, digits), "cuts")
     joined = df.join(cuts, F.col(stratum).eqNullSafe(F.col("_s")), "left")
     h = cells.hash_key(seed, *[F.col(k) for k in key])
     part = F.lit(names[-1])

@@ -11,7 +11,7 @@ from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tabwarden import fixed
 from tabwarden.functions import sizing
 from tabwarden.operators import metrics
-from tabwarden.operators.encode import TabularEncoder
+from tabwarden.operators.encode import TabularEncoder, TabularEncoderModel
 
 #: Spark's trees stop here; an unlimited depth is asked for as this.
 MAX_TREE_DEPTH = 30
@@ -69,26 +69,42 @@ def classifier(name: str, params: Mapping[str, Any], rows: int, label: str, seed
     raise ValueError(f"unknown candidate: {name}")
 
 
-def build_pipeline(name: str, params: Mapping[str, Any], numeric, categorical, rows: int, label: str) -> Pipeline:
-    """Encoder and classifier; linear models get scaled inputs without the first category."""
-    linear = name == "logistic_regression"
-    encoder = TabularEncoder(numericCols=list(numeric), categoricalCols=list(categorical), scale=linear, dropFirst=linear)
-    return Pipeline(stages=[encoder, classifier(name, params, rows, label)])
+def is_linear(name: str) -> bool:
+    """Linear models get scaled inputs without the first category, trees plain ones with every category."""
+    return name == "logistic_regression"
 
 
-def fit(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
-    """Fit, and let go of the training summary.
+#: Fitted encoders by (linear, the fold left out or None for all rows).
+Encoders = Mapping[tuple[bool, int | None], TabularEncoderModel]
+
+
+def fit_encoders(
+    train: DataFrame, names: Sequence[str], numeric, categorical, fold: str, folds: int, parallelism: int = 4
+) -> Encoders:
+    """The encoders that all candidates share: one per kind of model and fold left out."""
+
+    def one(job):
+        linear, k = job
+        part = train if k is None else train.where(F.col(fold) != k)
+        return TabularEncoder(numericCols=list(numeric), categoricalCols=list(categorical), scale=linear, dropFirst=linear).fit(part)
+
+    jobs = list(itertools.product(sorted({is_linear(n) for n in names}), [*range(folds), None]))
+    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+        return dict(zip(jobs, pool.map(inheritable_thread_target(train.sparkSession)(one), jobs)))
+
+
+def fit(encoder: TabularEncoderModel, last, rows: DataFrame) -> PipelineModel:
+    """Fit a classifier behind a fitted encoder, and let go of the training summary.
 
     A summary holds its session; once the session has observed a query, a model that still
     has one can no longer be sent to executors. A stored model has none.
     """
-    model = pipeline.fit(rows)
-    last = model.stages[-1]
-    if getattr(last, "hasSummary", False):
+    model = last.fit(encoder.transform(rows))
+    if getattr(model, "hasSummary", False):
         path = sizing.run_dir(rows.sparkSession, "stage")
-        last.save(path)
-        model = PipelineModel([*model.stages[:-1], type(last).load(path)])
-    return model
+        model.save(path)
+        model = type(model).load(path)
+    return PipelineModel([encoder, model])
 
 
 def scored(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -105,7 +121,7 @@ class Candidate:
 
 
 def cross_validate(
-    train: DataFrame, name: str, draws: Sequence[Mapping], numeric, categorical, label: str, fold: str, folds: int, rows: int, parallelism: int
+    train: DataFrame, name: str, draws: Sequence[Mapping], encoders: Encoders, label: str, fold: str, folds: int, rows: int, parallelism: int
 ) -> list[list[tuple[int, float]]]:
     """Recall of every (draw, fold). Fits run side by side, each one a distributed job; all
     validation folds are measured in one pass."""
@@ -113,7 +129,7 @@ def cross_validate(
     def one(job):
         i, k = job
         part = train.where(F.col(fold) != k)
-        model = fit(build_pipeline(name, draws[i], numeric, categorical, rows * (folds - 1) // folds, label), part)
+        model = fit(encoders[is_linear(name), k], classifier(name, draws[i], rows * (folds - 1) // folds, label), part)
         out = scored(model, train.where(F.col(fold) == k), [F.col(label).alias("label")])
         return out.select(F.lit(i).alias("draw"), F.lit(k).alias("fold"), "label", "p")
 
@@ -131,8 +147,7 @@ def train_candidate(
     train: DataFrame,
     name: str,
     grid: Mapping[str, Sequence],
-    numeric: Sequence[str],
-    categorical: Sequence[str],
+    encoders: Encoders,
     label: str,
     fold: str = "fold",
     folds: int = fixed.N_FOLDS,
@@ -146,10 +161,10 @@ def train_candidate(
     """
     points = draw_parameters(grid, draws, seed)
     rows = train.count()
-    scores = cross_validate(train, name, points, numeric, categorical, label, fold, folds, rows, parallelism)
+    scores = cross_validate(train, name, points, encoders, label, fold, folds, rows, parallelism)
     means = [sum(s for _, s in per) / folds for per in scores]
     best = max(range(len(points)), key=lambda i: means[i])
-    model = fit(build_pipeline(name, points[best], numeric, categorical, rows, label), train)
+    model = fit(encoders[is_linear(name), None], classifier(name, points[best], rows, label), train)
     return Candidate(name, points[best], model, scores[best])
 
 

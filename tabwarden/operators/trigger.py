@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwarden import fixed
 
@@ -28,23 +30,30 @@ def action(drifted: Column, cooling: Column) -> Column:
 
 
 def replay(verdicts: DataFrame, monitor: Sequence[str], days: int = fixed.COOLDOWN_DAYS) -> DataFrame:
-    """Decisions for a whole history ``(monitor…, at, drifted)``.
+    """Decisions for a whole history ``(monitor…, at, drifted)``; a verdict without a value is healthy.
 
-    A suppressed verdict does not restart the clock, so the walk is a fold per monitor. Only
-    the times of drift enter it: at most one entry per monitoring window.
+    A suppressed verdict does not restart the clock, so the walk goes through a monitor's verdicts
+    in time order. Rows stream by in sorted Arrow batches and one timestamp is carried along: no
+    history is held, however long it is.
     """
-    cool = F.expr(f"INTERVAL {days} DAYS")
-    drifts = verdicts.where("drifted").groupBy(*monitor).agg(F.array_sort(F.collect_list("at")).alias("times"))
-
-    def step(fired, t):
-        last = F.try_element_at(fired, F.lit(-1))
-        return F.when(last.isNull() | (t >= last + cool), F.concat(fired, F.array(t))).otherwise(fired)
-
-    start = F.filter("times", lambda t: F.lit(False))
-    fires = drifts.select(*monitor, F.explode(F.aggregate("times", start, step)).alias("at")).withColumn("_fired", F.lit(True))
-    return (
-        verdicts.join(fires, [*monitor, "at"], "left")
-        .withColumn("action", action(F.col("drifted"), F.col("_fired").isNull()))
-        .withColumn("reason", F.when(F.col("action") == "fire", fixed.TRIGGER_REASON))
-        .drop("_fired")
-    )
+    monitor, pause = list(monitor), pd.Timedelta(days=days)
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at_hand, last = None, None
+        for frame in frames:
+            actions = []
+            for *key, t, bad in zip(*[frame[m] for m in monitor], frame["at"], frame["drifted"]):
+                if key != at_hand:
+                    at_hand, last = key, None
+                if bad is None or not bad:
+                    actions.append("healthy")
+                elif last is not None and t < last + pause:
+                    actions.append("suppressed")
+                else:
+                    actions.append("fire")
+                    last = t
+            yield frame.assign(action=actions)
+
+    schema = T.StructType([*verdicts.schema.fields, T.StructField("action", T.StringType())])
+    ordered = verdicts.repartition(*monitor).sortWithinPartitions(*monitor, "at")
+    return ordered.mapInPandas(walk, schema).withColumn("reason", F.when(F.col("action") == "fire", fixed.TRIGGER_REASON))

@@ -34,6 +34,7 @@ class TrainingRun:
     checks: DataFrame | None
     candidates: list[train.Candidate]
     cv: DataFrame
+    validation: DataFrame
     metrics: DataFrame
     decision: DataFrame
 
@@ -82,27 +83,30 @@ def run(
     parallelism: int = 8,
     skip: Sequence[str] = (),
 ) -> TrainingRun:
-    """Train every candidate on the stored training part and decide on the test part.
+    """Train every candidate on the stored training part, measure it on the validation part and
+    decide on the test part.
 
     ``parallelism`` bounds the fits that run side by side; each of them keeps its own copy of
     the training rows on the executors, so lower it when those do not fit.
     """
-    fit_rows, test_rows = (readers.read_part(spark, path, p) for p in ("train", "test"))
+    fit_rows, validation_rows, test_rows = (readers.read_part(spark, path, p) for p in ("train", "validation", "test"))
     fit_rows = deal(fit_rows)
     checks = gate(fit_rows.drop("fold", *skip), contract) if contract else None
     numeric, categorical = cleaning.feature_groups(fit_rows, exclude=[label, "fold", *skip], both=True)
+    encoders = train.fit_encoders(fit_rows, list(grids), numeric, categorical, "fold", folds, parallelism)
     lanes = max(1, min(len(grids), parallelism))
 
     def one(item):
         name, grid = item
         return train.train_candidate(
-            fit_rows, name, grid, numeric, categorical, label, folds=folds, draws=draws, parallelism=max(1, parallelism // lanes)
+            fit_rows, name, grid, encoders, label, folds=folds, draws=draws, parallelism=max(1, parallelism // lanes)
         )
 
     with ThreadPool(lanes) as pool:
         candidates = pool.map(inheritable_thread_target(spark)(one), list(grids.items()))
+    validation = train.evaluate(candidates, validation_rows, label)
     result = train.evaluate(candidates, test_rows, label)
     current = train.champion_metrics(champion, test_rows, label)
     decision = decide.champion_decision(decide.select_candidate(result), current)
     cv = metrics.fold_summary(train.fold_frame(spark, candidates), ["model", "params"])
-    return TrainingRun(path, checks, candidates, cv, result, decision)
+    return TrainingRun(path, checks, candidates, cv, validation, result, decision)

@@ -102,26 +102,27 @@ def scoring_job(
 def cooldown_actions(verdicts: DataFrame, monitor: str, at: str, drifted: str, days: int = fixed.COOLDOWN_DAYS) -> DataFrame:
     """Stateful cooldown on a stream of verdicts: state is the last fired time per monitor.
 
-    Verdicts are one row per monitor and window; those of one micro-batch are put in time
-    order inside their group.
+    Verdicts are one row per monitor and window. Healthy ones pass through; only the times of
+    drift in one micro-batch are held and put in order.
     """
     pause = pd.Timedelta(days=days)
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        rows = pd.concat(list(frames)).sort_values(at, kind="stable")
+        held = []
+        for frame in frames:
+            bad = frame[drifted].eq(True)
+            held.append(frame.loc[bad, at])
+            yield pd.DataFrame({monitor: key[0], at: frame.loc[~bad, at].to_numpy(), "action": "healthy"})
+        times = pd.concat(held).sort_values()
         actions = []
-        for t, bad in zip(rows[at], rows[drifted]):
-            if not bad:
-                actions.append("healthy")
-            elif last is not None and t < last + pause:
-                actions.append("suppressed")
-            else:
-                actions.append("fire")
-                last = t
+        for t in times:
+            cooling = last is not None and t < last + pause
+            actions.append("suppressed" if cooling else "fire")
+            last = last if cooling else t
         if last is not None:
             state.update((int(last.value // 1000),))
-        yield pd.DataFrame({monitor: key[0], at: rows[at].to_numpy(), "action": actions})
+        yield pd.DataFrame({monitor: key[0], at: times.to_numpy(), "action": actions})
 
     schema = f"{monitor} string, {at} timestamp, action string"
     grouped = verdicts.select(F.col(monitor).cast("string").alias(monitor), F.col(at).cast("timestamp").alias(at), drifted).groupBy(monitor)

@@ -68,12 +68,11 @@ def test_missing_mean_is_drift_only_if_asked(spark):
 FIVE = [("m", 0.9, 1), ("m", 0.8, 0), ("m", 0.7, 1), ("m", 0.4, 0), ("m", 0.4, 1)]
 
 
-@pytest.mark.parametrize("small_bytes", [None, 0])
-def test_areas(spark, small_bytes):
+def test_areas(spark):
     df = spark.createDataFrame(FIVE, "model string, p double, label int")
-    assert metrics.roc_auc(df, ["model"], small_bytes=small_bytes).first()["roc_auc"] == 0.583333
-    assert metrics.average_precision(df, ["model"], small_bytes=small_bytes).first()["pr_auc"] == 0.755556
-    every = metrics.class_metrics(df, ["model"], small_bytes=small_bytes).first()
+    assert metrics.roc_auc(df, ["model"]).first()["roc_auc"] == 0.583333
+    assert metrics.average_precision(df, ["model"]).first()["pr_auc"] == 0.755556
+    every = metrics.class_metrics(df, ["model"]).first()
     assert (every["roc_auc"], every["pr_auc"]) == (0.583333, 0.755556)
     assert (every["tn"], every["fp"], every["fn"], every["tp"]) == (1, 1, 1, 2)
 
@@ -91,15 +90,13 @@ def test_log_loss_is_finite_at_the_ends(spark):
 
 def test_percentiles(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,), (None,)], "x double")
-    for small_bytes in (None, 0):
-        row = percentiles.exact_percentiles(df, ["x"], {"a": 0.1, "b": 0.5, "c": 1.0}, small_bytes).first()
-        assert (round(row["a"], 9), row["b"], row["c"]) == (1.3, 2.5, 10.0)
+    row = percentiles.exact_percentiles(df, ["x"], {"a": 0.1, "b": 0.5, "c": 1.0}).first()
+    assert (round(row["a"], 9), row["b"], row["c"]) == (1.3, 2.5, 10.0)
 
 
 def test_percentiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
-    for small_bytes in (None, 0):
-        assert percentiles.exact_percentiles(df, ["x"], {"a": 0.5}, small_bytes).first()["a"] is None
+    assert percentiles.exact_percentiles(df, ["x"], {"a": 0.5}).first()["a"] is None
 
 
 def test_numbers(spark):

@@ -4,7 +4,6 @@ import pytest
 
 import __spark_entry__ as contract
 import oracle
-from tabwarden.functions import sizing
 
 ORACLES = contract.oracle_sql()
 
@@ -26,18 +25,6 @@ def test_has_rows(spark, sf, name):
     assert contract.queries()[name](spark, sf).count() > 0
 
 
-LARGE = [
-    "baseline_numeric", "baseline_report", "column_profile", "numeric_profile", "class_metrics", "roc_auc", "average_precision",
-    "stratified_split", "stratified_folds", "impute_scale", "current_stats",
-]
-
-
-@pytest.mark.parametrize("name", LARGE)
-def test_equal_with_the_plans_of_large_inputs(spark, con, sf, name, monkeypatch):
-    monkeypatch.setattr(sizing, "SMALL_INPUT_BYTES", 0)
-    assert oracle.compare(spark, con, contract.queries()[name], ORACLES[name], sf) is None
-
-
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(contract.queries())
 

@@ -5,10 +5,11 @@ from datetime import datetime, timedelta
 
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from tabwarden.functions import ordered, sizing
+from tabwarden.functions import ordered
 from tabwarden.operators import drift, encode, fingerprint, labels, metrics, percentiles, profile, registry, split
 
 
@@ -39,12 +40,15 @@ def test_split_does_not_depend_on_buckets(spark, lopsided, digits):
     assert parts_of(split.stratified_split(lopsided, "s", ["k"], digits=digits)) == parts_of(split.stratified_split(lopsided, "s", ["k"]))
 
 
-def test_split_with_more_strata_than_the_driver_holds(spark, monkeypatch):
+def test_split_with_more_strata_than_a_broadcast_holds(spark):
     df = spark.range(400).select(F.col("id").alias("k"), (F.col("id") % 40).cast("string").alias("s"))
     want = parts_of(split.stratified_split(df, "s", ["k"]))
-    small = sizing.known_small
-    monkeypatch.setattr(split, "known_small", lambda d: small(d, 3))
-    assert parts_of(split.stratified_split(df, "s", ["k"])) == want
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert parts_of(split.stratified_split(df, "s", ["k"])) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
 def test_copies_of_a_key_stay_together(spark):
@@ -79,7 +83,7 @@ def test_percentiles_match_pandas(spark, seed, monkeypatch):
     # Narrow brackets already on this many rows.
     monkeypatch.setattr(percentiles, "WIDE_ROWS", 2000)
     probs = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.77, "e": 1.0}
-    for row in percentiles.exact_percentiles(df, ["x", "y"], probs, small_bytes=0).collect():
+    for row in percentiles.exact_percentiles(df, ["x", "y"], probs).collect():
         for name, p in probs.items():
             assert row[name] == pytest.approx(pdf[row["feature"]].quantile(p), abs=1e-12)
 
@@ -118,10 +122,15 @@ def scores(spark, seed, hot):
 
 
 @pytest.mark.parametrize("hot", [0.0, 0.4])
-def test_bucketed_metrics_equal_one_window(spark, hot):
-    df = scores(spark, 1, hot)
-    key = lambda d: sorted(map(tuple, d.collect()))
-    assert key(metrics.class_metrics(df, ["model"], small_bytes=0)) == key(metrics.class_metrics(df, ["model"], small_bytes=1 << 62))
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_totals_in_pieces_equal_one_window(spark, hot, descending):
+    df = metrics.score_counts(scores(spark, 1, hot), ["model"])
+    order = F.col("score").desc() if descending else F.col("score")
+    whole = Window.partitionBy("model").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    want = sorted(map(tuple, df.withColumn("t", F.sum("pos").over(whole)).collect()))
+    for buckets in (2, 64):
+        got = ordered.running_totals(df, ["model"], "score", {"pos": "t"}, descending, buckets)
+        assert sorted(map(tuple, got.select(*df.columns, "t").collect())) == want
 
 
 def test_auc_ignores_monotone_maps(spark):
@@ -225,12 +234,6 @@ def test_scans_read_only_what_they_need(spark, sf):
     assert "text:string" not in plan(contract.queries()["confusion_by_model"](spark, sf))
 
 
-def test_broadcasts_are_checked(spark):
-    big = spark.range(10)
-    assert sizing.known_small(big, 9).count() == 10
-    assert sizing.input_bytes(spark.range(10)) > 0
-
-
 def test_encoder_holds_many_categories(spark):
     df = spark.range(50_000).select(F.col("id").cast("double").alias("x"), F.format_string("v%06d", "id").alias("c"))
     model = encode.TabularEncoder(numericCols=["x"], categoricalCols=["c"]).fit(df)
