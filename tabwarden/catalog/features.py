@@ -52,11 +52,11 @@ def one_hot_tree(spark, d):
 
 
 def encoder_metadata(spark, d):
-    return encode.cardinality(encode.fit_categories(_training_part(fr.churn(spark, d)), fr.CATEGORICAL))
+    return encode.cardinality(encode.fit_categories(fr.churn(spark, d), fr.CATEGORICAL))
 
 
 def encoder_outputs(spark, d):
-    categories = encode.fit_categories(_training_part(fr.churn(spark, d)), fr.CATEGORICAL)
+    categories = encode.fit_categories(fr.churn(spark, d), fr.CATEGORICAL)
     return encode.output_names(fr.NUMERIC, categories, drop_first=True)
 
 
@@ -65,12 +65,14 @@ QUERIES = {
     for f in (feature_groups, impute_median, impute_scale, one_hot_linear, one_hot_tree, encoder_metadata, encoder_outputs)
 }
 
-_CATS = f"""{fr.CHURN_SQL}, long AS (
+_LONG = fr.CHURN_SQL + """, long AS (
     SELECT c_custkey, n_name, 'c_mktsegment' AS feature, c_mktsegment AS category FROM churn
     UNION ALL SELECT c_custkey, n_name, 'n_name', n_name FROM churn
     UNION ALL SELECT c_custkey, n_name, 'last_priority', last_priority FROM churn),
-  cats AS (SELECT DISTINCT feature, category FROM long WHERE n_name < 'NATION_5'),
+  cats AS (SELECT DISTINCT feature, category FROM long{where}),
   kept AS (SELECT * FROM cats WHERE (feature, category) NOT IN (SELECT (feature, min(category)) FROM cats GROUP BY feature))"""
+_CATS = _LONG.replace("{where}", " WHERE n_name < 'NATION_5'")
+_ALL_CATS = _LONG.replace("{where}", "")
 
 
 def _scale(c):
@@ -91,7 +93,7 @@ ORACLES = {
     "impute_scale": f"WITH {fr.CHURN_SQL}, {_MED} SELECT c_custkey, {', '.join(_scale(c) for c in fr.NUMERIC)} FROM churn, med",
     "one_hot_linear": f"WITH {_CATS} SELECT c_custkey, feature || '_' || category AS output, 1.0::DOUBLE AS value FROM long JOIN kept USING (feature, category)",
     "one_hot_tree": f"WITH {_CATS} SELECT c_custkey, feature || '_' || category AS output, 1.0::DOUBLE AS value FROM long JOIN cats USING (feature, category)",
-    "encoder_metadata": f"WITH {_CATS} SELECT feature, count(*) AS categories, count(*) - 1 AS linear_outputs, count(*) AS tree_outputs FROM cats GROUP BY feature",
-    "encoder_outputs": f"WITH {_CATS} SELECT 1 AS block, feature, feature || '_' || category AS output FROM kept UNION ALL "
+    "encoder_metadata": f"WITH {_ALL_CATS} SELECT feature, count(*) AS categories, count(*) - 1 AS linear_outputs, count(*) AS tree_outputs FROM cats GROUP BY feature",
+    "encoder_outputs": f"WITH {_ALL_CATS} SELECT 1 AS block, feature, feature || '_' || category AS output FROM kept UNION ALL "
     + " UNION ALL ".join(f"SELECT 0, '{c}', '{c}' FROM (SELECT count(*) FROM churn)" for c in fr.NUMERIC),
 }
