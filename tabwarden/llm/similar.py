@@ -1,0 +1,130 @@
+"""All pairs of texts whose sets of 5-word runs have a Jaccard similarity of 0.8 or more.
+
+Exact, by prefixes: under any one order of all runs, two sets that are so alike share a run among
+the first fifth of each. So a text sends only this prefix, and texts that meet at a run are
+candidates if the places of the run in both leave room for the wanted overlap. Candidates are
+compared by their whole sets (of 63-bit hashes; a text's key is a 64-bit hash).
+
+Runs that a sample of the texts shows often stand last in the order, so a passage that many texts
+share rarely is in a prefix. The sample has no say in what is found. First each text is compared
+with one text per run it meets others at; then only pairs that are not in one component by then. A
+group of n near copies thus costs n comparisons, not all pairs.
+
+Words are cut and lower-cased as in the fingerprint; fewer than five make one run; texts without
+words are left out.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tabwarden.functions import sizing
+from tabwarden.llm import graph, words
+
+WIDTH = 5
+#: One text of so many is sampled; a run is frequent from this share of the sampled texts up, and at least so many.
+SAMPLE, SHARE, LEAST = 16, 1000, 4
+_LAST = np.uint64(1 << 63)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.xxhash64("text").alias("t"), "text")
+
+
+def _runs(texts, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct runs of each text in order: hashes with the frequent ones last, and their number per text."""
+    flat, counts = words.split_words(pc.ascii_lower(words.one_array(texts)))
+    at, distinct = words.coded(flat)
+    n = np.where(counts >= WIDTH, counts - WIDTH + 1, np.minimum(counts, 1))
+    doc = np.repeat(np.arange(len(counts)), n)
+    starts = words.ragged(np.cumsum(counts) - counts, n)
+    h = words.Spans(words.hashes(distinct)[at]).of(starts, np.minimum(counts, WIDTH)[doc]) >> np.uint64(1)
+    if len(frequent):
+        place = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
+        h = np.where(frequent[place] == h, h | _LAST, h)
+    order = np.lexsort((h, doc))
+    h, doc = h[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    return h[new], np.bincount(doc[new], minlength=len(counts)).astype(np.int64)
+
+
+def _frequent(texts: DataFrame) -> np.ndarray:
+    """Hashes of runs in at least one of ``SHARE`` sampled texts: at most ``SHARE`` times the runs of a mean text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in words.steps(batches, "text"):
+            yield pa.record_batch([pa.array(_runs(piece.column("text"), np.zeros(0, np.uint64))[0].view(np.int64))], ["h"])
+
+    sample = texts.where(F.pmod("t", F.lit(SAMPLE)) == 0)
+    least = max(LEAST, sample.count() // SHARE)
+    rows = sample.select("text").mapInArrow(run, "h bigint").groupBy("h").count().where(F.col("count") >= least).select("h").toArrow()
+    return np.sort(words.one_array(rows.column("h")).to_numpy().view(np.uint64))
+
+
+def prefixes(texts: DataFrame) -> DataFrame:
+    """``h``, ``t``, ``n`` (runs of the text), ``pos`` (place of the run), for the runs in a text's prefix."""
+    frequent = _frequent(texts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in words.steps(batches, "text"):
+            h, n = _runs(piece.column("text"), frequent)
+            sent = np.where(n > 0, n - (4 * n + 4) // 5 + 1, 0)
+            begins = np.cumsum(n) - n
+            at, doc = words.ragged(begins, sent), np.repeat(np.arange(len(n)), sent)
+            t = piece.column("t").to_numpy()[doc]
+            columns = [h[at].view(np.int64), t, n[doc].astype(np.int32), (at - begins[doc]).astype(np.int32)]
+            yield pa.record_batch([pa.array(c) for c in columns], ["h", "t", "n", "pos"])
+
+    return texts.mapInArrow(run, "h bigint, t bigint, n int, pos int")
+
+
+def _room(x: str, y: str) -> Column:
+    """Whether the overlap can be 4/9 of both sizes, if no earlier run is shared."""
+    return F.expr(f"9L * least({x}.n - {x}.pos, {y}.n - {y}.pos) >= 4L * ({x}.n + {y}.n)")
+
+
+def _alike(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` of text keys, with ``ra``, ``rb``, whose sets are as alike as wanted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in words.steps(batches, "text"):
+            h, n = _runs(piece.column("text"), np.zeros(0, np.uint64))
+            runs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(h.view(np.int64)))
+            yield pa.record_batch([piece.column("t"), runs], ["t", "runs"])
+
+    pairs = sizing.cut_lineage(pairs.distinct(), "alike_pairs")
+    wanted = pairs.select(F.col("a").alias("t")).unionByName(pairs.select(F.col("b").alias("t"))).distinct()
+    sets = texts.join(wanted, "t", "left_semi").dropDuplicates(["t"]).mapInArrow(run, "t bigint, runs array<bigint>")
+    sets = sizing.cut_lineage(sets, "alike_sets")
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    both = both.withColumn("common", F.size(F.array_intersect("x", "y")))
+    found = both.where(F.expr("5L * common >= 4L * (size(x) + size(y) - common)")).select("a", "b", "ra", "rb")
+    return sizing.cut_lineage(found, "alike")
+
+
+def links(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` between the roots of texts that are alike; ``rooted`` has ``t`` and ``root`` of each text."""
+    texts = keyed(docs)
+    rows = sizing.cut_lineage(prefixes(texts), "prefixes")
+    shared = rows.groupBy("h").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo <> hi").select("h")
+    met = sizing.cut_lineage(rows.join(shared, "h").distinct().join(rooted, "t"), "met")
+
+    lead = met.groupBy("h").agg(F.min(F.struct("t", "n", "pos", "root")).alias("y"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    star = met.alias("x").join(lead.where("lo <> hi"), "h").where(F.expr("x.root <> y.root") & _room("x", "y"))
+    one = _alike(texts, star.selectExpr("y.t AS a", "x.t AS b", "y.root AS ra", "x.root AS rb"))
+    one = one.select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+
+    up = graph.components(one, "alike_links").toDF("root", "up")
+    met = met.join(up, "root", "left").withColumn("up", F.coalesce("up", "root"))
+    most = met.groupBy("h").agg(F.mode("up").alias("most"), F.min("up").alias("lo"), F.max("up").alias("hi")).where("lo <> hi").select("h", "most")
+    rest = sizing.cut_lineage(met.join(most, "h"), "apart")
+    pairs = rest.where("up <> most").alias("x").join(rest.alias("y"), "h").where(F.expr("x.up <> y.up AND (y.up = y.most OR x.t < y.t)") & _room("x", "y"))
+    two = _alike(texts, pairs.selectExpr("least(x.t, y.t) AS a", "greatest(x.t, y.t) AS b", "if(x.t < y.t, x.root, y.root) AS ra", "if(x.t < y.t, y.root, x.root) AS rb"))
+    return one.unionByName(two.select(F.col("ra").alias("a"), F.col("rb").alias("b")))

@@ -159,6 +159,42 @@ def test_near_groups(spark):
     assert simhash_trie.near_groups(table(spark, [])).count() == 0
 
 
+def runs_of(text):
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def test_near_copies_by_similarity(spark):
+    """All pairs that are 0.8 alike, and chains of them, against brute force; a passage in every text links nothing."""
+    rng = random.Random(8)
+    passage, texts = " ".join(rng.choices("abcdefgh", k=40)), []
+    for _ in range(8):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(30, 300))]
+        for _ in range(7):
+            if rng.random() < 0.5:
+                base = list(base)  # the next copy is made of this one
+            copy = list(base)
+            for _ in range(rng.randint(0, len(base) // 40 + 1)):
+                copy[rng.randrange(len(copy))] = f"w{rng.randrange(5000)}"
+            texts.append(" ".join(copy if len(copy) < 100 else [*copy, passage]))
+            base = copy if rng.random() < 0.5 else base
+    texts += ["one two", "One  two", "one three", "", None]
+    fps, sets = [simhash_trie.fingerprint(t) for t in texts], [runs_of(t) if t and t.split() else set() for t in texts]
+    label, wide = list(range(len(texts))), 0
+    for i in range(len(texts)):
+        for j in range(i):
+            near = (fps[i] ^ fps[j]).bit_count() <= 4
+            alike = bool(sets[i]) and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+            wide += alike and not near
+            if near or alike:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert wide > 10
+    got = {r["doc_id"]: r["component_id"] for r in simhash_trie.near_groups(table(spark, texts), alike=True).collect()}
+    assert [got[i] for i in range(len(texts))] == label
+    assert sorted(r["doc_id"] for r in simhash_trie.one_of_each(table(spark, texts)).collect()) == sorted(set(label))
+
+
 @pytest.mark.parametrize("rows", [16_384, 40])
 def test_trie_finds_every_component(spark, monkeypatch, rows):
     """Clusters around random centres and uniform noise, with large and with small upper nodes."""
