@@ -16,7 +16,9 @@ rank of a tree's leaves is cut to the wanted number inside tasks before rows mee
 
 Defined cases: null texts and roles are empty; an unknown parent makes a root; messages on a cycle
 or below one reach no root and are left out; of messages with the same id in one tree the smallest
-(parent, role, text, score) counts; further columns are ignored; an empty table gives an empty result.
+(parent, role, text, score) counts; a null tree is a tree, and a null message of a tree is one message
+that none can answer, since a null parent makes a root; turns without a number come last in
+``from_turns``; further columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -52,6 +54,11 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(held, F.lit("\x00"), F.lit("\\")))
 
 
+def _wrapped(name: str) -> Column:
+    """A key for joins that is never null: a structure, whose null field equals another one."""
+    return F.struct(F.col(name).alias("key"))
+
+
 def _jumps(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Per message depth and score sum of its way up; and tables of jumps of 1, 2, 4, … messages.
 
@@ -74,9 +81,9 @@ def branches(messages: DataFrame, top: int = 1) -> tuple[DataFrame, DataFrame]:
     """Paths of the ``top`` branches of each tree: (``tree``, ``leaf``, ``rank``, ``pos``, ``msg``), and the messages used."""
     own = messages.groupBy("tree", "msg").agg(F.min(F.struct("parent", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))).alias("m"))
     own = sizing.cut_lineage(own.select("tree", "msg", "m.*"), "messages")
-    ids = own.select(F.col("tree"), F.col("msg").alias("parent"), F.lit(True).alias("known"))
-    nodes = own.select("tree", "msg", "parent", "score").join(ids, ["tree", "parent"], "left")
-    nodes = nodes.withColumn("parent", F.when(F.col("known"), F.col("parent"))).drop("known")
+    ids = own.select(F.col("tree").alias("in_tree"), F.col("msg").alias("known"))
+    nodes = own.select("tree", "msg", "parent", "score").join(ids, F.col("tree").eqNullSafe(F.col("in_tree")) & (F.col("parent") == F.col("known")), "left")
+    nodes = nodes.select(_wrapped("tree").alias("tree"), _wrapped("msg").alias("msg"), F.when(F.col("known").isNotNull(), _wrapped("known")).alias("parent"), "score")
     reach, steps = _jumps(nodes)
     leaves = reach.join(steps[0].where("up IS NOT NULL").select("tree", F.col("up").alias("msg")).distinct(), ["tree", "msg"], "left_anti")
     order = Window.partitionBy("tree").orderBy((F.col("total") / F.col("depth")).desc(), "msg")
@@ -93,13 +100,14 @@ def branches(messages: DataFrame, top: int = 1) -> tuple[DataFrame, DataFrame]:
             walk = walk.withColumn("base", F.lit(0).cast("long"))
         walk = walk.join(jump, ["tree", "msg"], "left")
         walk = walk.withColumn("part", F.explode(F.when(F.col("len") > reach_k, F.array(near, far)).otherwise(F.array(near)))).select("tree", "leaf", "rank", "part.*")
-    return walk.select("tree", "leaf", "rank", F.col("base").alias("pos"), "msg"), own
+    return walk.select(F.col("tree.key").alias("tree"), F.col("leaf.key").alias("leaf"), "rank", F.col("base").alias("pos"), F.col("msg.key").alias("msg")), own
 
 
 def format_paths(paths: DataFrame, own: DataFrame) -> DataFrame:
     """``tree``, ``leaf``, ``rank``, ``formatted``, ``loss`` (spans)."""
-    turns = paths.join(own, ["tree", "msg"]).select(
-        "tree", "leaf", "rank", F.struct("pos", F.col("role").alias("role"), escape_role(F.col("role")).alias("head"), escape(F.col("text")).alias("body")).alias("turn")
+    keys = {"tree": _wrapped("tree"), "msg": _wrapped("msg")}
+    turns = paths.withColumns(keys).join(own.withColumns(keys), ["tree", "msg"]).select(
+        F.col("tree.key").alias("tree"), "leaf", "rank", F.struct("pos", F.col("role").alias("role"), escape_role(F.col("role")).alias("head"), escape(F.col("text")).alias("body")).alias("turn")
     )
     joined = turns.groupBy("tree", "leaf", "rank").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
     shown = F.transform("turns", lambda x: F.concat(F.lit(START), x["head"], F.lit("\n"), x["body"], F.lit(END), F.lit("\n")))
@@ -138,8 +146,8 @@ def write(messages: DataFrame, path: str, top: int = 1) -> None:
 
 
 def from_turns(conversations: DataFrame) -> DataFrame:
-    """Linear conversations as reply trees: each row answers the one before (by turn, role, text)."""
-    order = Window.partitionBy("conv_id").orderBy("turn", F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
+    """Linear conversations as reply trees: each row answers the one before (by turn, role, text; no turn last)."""
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
     nr = F.row_number().over(order).cast("long")
     rows = conversations.select(F.col("conv_id").alias("tree"), nr.alias("msg"), "role", "text")
     return rows.withColumns({"parent": F.when(F.col("msg") > 1, F.col("msg") - 1), "score": F.when(F.col("role") == "assistant", 1.0).otherwise(0.0)})

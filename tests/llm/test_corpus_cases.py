@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -115,6 +116,24 @@ def test_reply_trees(spark):
     assert chat_trees.format_paths(*chat_trees.branches(df.limit(0))).count() == 0
 
 
+def test_reply_trees_without_keys(spark):
+    """A null tree is a tree, a null message a message, and a conversation without an id keeps its rows."""
+    rows = [(None, 1, None, "user", "q", 0.0), (None, 2, 1, "assistant", "a", 1.0), (None, 3, 2, "user", "t", 0.0), (4, None, None, "user", "alone", 0.0), (5, 1, None, "user", "root", 0.0), (5, None, 1, "assistant", "leaf", 1.0)]
+    df = spark.createDataFrame(rows, "tree bigint, msg bigint, parent bigint, role string, text string, score double")
+    got = {r["tree"]: r for r in chat_trees.parse(chat_trees.format_paths(*chat_trees.branches(df))).collect()}
+    assert {k: [t["text"] for t in r["turns"]] for k, r in got.items()} == {None: ["q", "a", "t"], 4: ["alone"], 5: ["root", "leaf"]}
+    assert got[None]["leaf"] == 3 and got[5]["leaf"] is None
+
+
+def test_conversations_without_keys(spark, tmp_path):
+    rows = [(None, k if k < 30 else None, "assistant" if k % 2 else "user", f"m{k}") for k in range(33)] + [(1, None, "user", "last"), (1, 0, "user", "first")]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    got = [tuple(r) for r in chat_trees.query(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(con.execute(chat_trees.ORACLE).fetchall(), key=str) and len(got) == 3
+
+
 def test_language(spark):
     net = language.learn(table(spark))
     rows = by_id(language.predict(table(spark), net))
