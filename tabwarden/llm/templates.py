@@ -1,10 +1,14 @@
 """Benchmark decontamination by templates, which also catches re-parameterised questions.
 
-Texts become tokens of letters or of digits. A number, a unit or a name is replaced by a placeholder
+Texts become tokens of letters or of digits; scripts written without spaces give a token per
+character. A number, a unit or a name is replaced by a placeholder
 of its type; other tokens are lower-cased. Names are words with a capital first letter, and since
 case may be lost in a copy, every window has two templates: with names as placeholders and without.
-A window is ``WINDOW`` tokens (a shorter item is one window of its own length, from ``SHORTEST`` up)
-of which at least half are words.
+A window is ``WINDOW`` tokens; a shorter item is one window of its own length. Templates need at least
+``SHORTEST`` tokens of which half are words. All other windows are literal: no placeholders, tokens as
+they are but for case. (A window that may be a template is one without names too, and an exact copy
+agrees with that; so every exact copy is found, and no window counts a third time.) Under ``SHORTEST``
+tokens the signs between the tokens must agree as well.
 
 Windows of a document that a Bloom filter of the benchmark's template hashes lets through are
 joined with the benchmark's windows by hash. Then the template itself must agree and the slots must
@@ -14,8 +18,9 @@ The filter has a fixed size whatever the benchmark's; a large benchmark lets mor
 to the join and loses none. The document side is not shuffled but for those windows. Benchmark
 windows with one template and one slot pattern are one row, so a window matches one row at most.
 
-Defined cases: null and empty texts hold no window; items under ``SHORTEST`` tokens cannot be told
-from chance and match nothing; repeated rows give repeated hits (``hits`` counts a document id's
+Defined cases: null and empty texts hold no window, nor do items without letters and digits; items
+under ``SHORTEST`` tokens match as a whole wherever they stand, by chance as well (an item of one word
+meets every document with that word); repeated rows give repeated hits (``hits`` counts a document id's
 windows over all its rows); further columns are ignored; empty tables give an empty result.
 """
 
@@ -44,8 +49,12 @@ UNITS = frozenset(
 FILTER_BITS = 1 << 23
 #: Text looked at in one step; each distinct word of a step is cut into tokens once.
 STEP_BYTES = 3 << 20
-_TOKEN = regex.compile(r"\p{L}[\p{L}\p{M}]*(?:['’-]\p{L}[\p{L}\p{M}]*)*|\d+(?:[.,]\d+)*")
-_NAMES, _PLAIN = 0, 1
+#: Letters of scripts that put no space between words.
+_UNSPACED = r"[[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}]&&[\p{L}\p{Nl}]]"
+_SPACED = rf"[\p{{L}}--{_UNSPACED}]"
+_WORD = rf"{_SPACED}(?:{_SPACED}|\p{{M}})*"
+_TOKEN = regex.compile(rf"(?V1){_WORD}(?:['’-]{_WORD})*|{_UNSPACED}\p{{M}}*|\d+(?:[.,]\d+)*")
+_NAMES, _PLAIN, _LITERAL = 0, 1, 2
 _SLOTS = ("<number>", "<unit>", "<name>")
 
 
@@ -63,8 +72,9 @@ class _Tokens:
 
     def __init__(self, texts):
         flat, counts = words.split_words(texts)
-        at, distinct = words.coded(flat)
-        found = [_TOKEN.findall(w) for w in distinct.to_pylist()]
+        self.at, distinct = words.coded(flat)
+        self.words, at = distinct.to_pylist(), self.at
+        found = [_TOKEN.findall(w) for w in self.words]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         tokens = [t for x in found for t in x]
         kinds = np.fromiter(map(_kind, tokens), np.int64, len(tokens))
@@ -78,15 +88,18 @@ class _Tokens:
         self.counts = np.diff(upto)
         self.doc = np.repeat(np.arange(len(self.counts)), self.counts)
         self.place, self.lower, self.kinds = place, lower, kinds
-        self.spans = [words.Spans(named[place]), words.Spans(plain[place])]
+        self.word_ends = np.cumsum(sizes[at])
+        self.spans = [words.Spans(named[place]), words.Spans(plain[place]), words.Spans(values[place])]
         slot = kinds[place]
         self.slots = [np.concatenate([[0], np.cumsum(slot < 3)]), np.concatenate([[0], np.cumsum(slot < 2)])]
 
     def windows(self, width: int, form: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of the windows that have enough words."""
+        """Starts and hashes of the windows that have enough words; literal ones: of those that have not."""
         starts = words.window_starts(self.counts, width)
-        filled = self.slots[form][starts + width] - self.slots[form][starts]
-        starts = starts[2 * filled <= width]
+        if width >= SHORTEST:
+            slots = self.slots[min(form, _PLAIN)]
+            filled = slots[starts + width] - slots[starts]
+            starts = starts[(2 * filled <= width) != (form == _LITERAL)]
         return starts, self.spans[form].of(starts, width)
 
     def describe(self, start: int, width: int, form: int) -> tuple[str, str]:
@@ -94,12 +107,27 @@ class _Tokens:
         text, values = [], []
         for p in self.place[start : start + width]:
             kind = int(self.kinds[p])
-            if kind < 2 or (kind == 2 and form == _NAMES):
+            if form != _LITERAL and (kind < 2 or (kind == 2 and form == _NAMES)):
                 text.append(_SLOTS[kind])
                 values.append(self.lower[p])
             else:
                 text.append(self.lower[p])
-        return " ".join(text), ",".join(str(values.index(v)) for v in values)
+        return " ".join(text), ",".join(str(values.index(v)) for v in values) if width >= SHORTEST else self.raw(start, width)
+
+    def raw(self, start: int, width: int) -> str:
+        """Text from the first to the last token, without white space."""
+        first, last = (int(np.searchsorted(self.word_ends, p, side="right")) for p in (start, start + width - 1))
+        spans = [[m.span() for m in _TOKEN.finditer(self.words[self.at[w]])] for w in (first, last)]
+        begin = spans[0][start - int(self.word_ends[first]) + len(spans[0])][0]
+        end = spans[1][start + width - 1 - int(self.word_ends[last]) + len(spans[1])][1]
+        pieces = [self.words[self.at[w]] for w in range(first, last + 1)]
+        pieces[-1] = pieces[-1][:end]
+        pieces[0] = pieces[0][begin:]
+        return "".join(pieces).lower()
+
+
+def _forms(width: int) -> tuple[int, ...]:
+    return (_NAMES, _PLAIN, _LITERAL) if width >= SHORTEST else (_LITERAL,)
 
 
 def _rows(tokens: _Tokens, ids: list, chosen: list[tuple[int, int, np.ndarray, np.ndarray]], id_name: str) -> pa.RecordBatch:
@@ -124,8 +152,8 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
             for row in range(piece.num_rows):
                 tokens = _Tokens(piece.column("text").slice(row, 1))
                 width = min(WINDOW, int(tokens.counts[0]))
-                if width >= SHORTEST:
-                    yield _rows(tokens, [piece.column("item_id")[row].as_py()], [(width, f, *tokens.windows(width, f)) for f in (_NAMES, _PLAIN)], "item_id")
+                if width:
+                    yield _rows(tokens, [piece.column("item_id")[row].as_py()], [(width, f, *tokens.windows(width, f)) for f in _forms(width)], "item_id")
 
     found = benchmark.select("item_id", "text").mapInArrow(run, _SCHEMA.format("item_id"))
     width = (F.size(F.split("template", " "))).alias("width")
@@ -147,14 +175,14 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``template``, for each window of a document that the benchmark holds."""
     words.small_batches(docs.sparkSession)
     index = sizing.cut_lineage(benchmark_windows(benchmark), "benchmark_windows")
-    widths = sorted(r["width"] for r in index.select("width").distinct().collect())  # WINDOW - SHORTEST + 1 at most
+    widths = sorted(r["width"] for r in index.select("width").distinct().collect())  # WINDOW at most
     bits = _bits(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in words.steps(batches, "text", STEP_BYTES):
             tokens, chosen = _Tokens(piece.column("text")), []
             for width in widths:
-                for form in (_NAMES, _PLAIN):
+                for form in _forms(width):
                     starts, h = tokens.windows(width, form)
                     maybe = bits[(h.view(np.int64) % FILTER_BITS)]
                     chosen.append((width, form, starts[maybe], h[maybe]))

@@ -268,6 +268,23 @@ def test_templates(spark):
     assert templates.contaminated(table(spark), bench.limit(0)).count() == 0 and templates.contaminated(table(spark, []), bench).count() == 0
 
 
+def test_literal_leaks(spark):
+    """Exact copies of items that are mostly numbers, short, or in a script without spaces; and no others."""
+    items = [
+        "3 + 4 + 12 + 9 + 7 + 22 + 31 + 8 + 5 + 41 + 6 + 17 + 2 + 90 = 257", "Row 1: 10 kg 20 kg 30 kg 40 kg", "What is 12 x 7?", "2 + 2 =",
+        "北京是哪个国家的首都城市呢请回答我", "日本の首都は？", "ประเทศไทยมีกี่จังหวัด", "?!", "",
+    ]
+    copies = [f"Before it. {x} And after" for x in items[:7]]
+    others = [
+        copies[0].replace("22", "23"), copies[1].replace("10", "11"), "what is 12 by 7", "2, 2", "2 - 2 = 0", "北京是哪个国家的城市", "日本の首相", "Before it. And after", "?!",
+    ]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    split = [copies[3].replace("2 + 2 =", "2\n+2="), copies[2].upper()]
+    rows = by_id(templates.contaminated(table(spark, [*copies, *split, *others]), bench))
+    assert {i: r["item_ids"] for i, r in rows.items()} == {**{i: [i] for i in range(7)}, 7: [3], 8: [2]}
+    assert templates.clean(table(spark, [*copies, *others]), bench).count() == len(others)
+
+
 def brute_dedup(rows):
     first = {}
     for i, text in rows:
