@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from tabwarden.llm import (
     chat_trees,
+    filter_audit,
     huffman,
     language,
     mixing,
     pairwise_quality,
     quality_rules,
     simhash_trie,
+    spelling,
     superkmer,
     templates,
     url_cascade,
@@ -26,6 +28,8 @@ QUERIES = {
     "op8_mix_sources": mixing.query,
     "op9_template_leaks": templates.query,
     "op10_superkmer_dedup": superkmer.query,
+    "op12_filter_audit": filter_audit.query,
+    "op13_spelling_variants": spelling.query,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
@@ -33,4 +37,5 @@ ORACLES = {
     "op4_chat_trees": chat_trees.ORACLE,
     "op8_mix_sources": mixing.ORACLE,
     "op10_superkmer_dedup": superkmer.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
 }
