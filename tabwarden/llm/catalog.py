@@ -10,6 +10,7 @@ from tabwarden.llm import (
     mixing,
     pairwise_quality,
     quality_rules,
+    secrets,
     simhash_trie,
     spelling,
     superkmer,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_mix_sources": mixing.query,
     "op9_template_leaks": templates.query,
     "op10_superkmer_dedup": superkmer.query,
+    "op11_secret_novelty": secrets.query,
     "op12_filter_audit": filter_audit.query,
     "op13_spelling_variants": spelling.query,
 }
