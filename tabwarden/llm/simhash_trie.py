@@ -15,10 +15,6 @@ pair of its node, and a group is two nodes at most. Below, a node is a range of
 pair that lies in one known component already is skipped, and only links that join two components
 of the unit are emitted: a group of n near copies gives n - 1 links, not all pairs.
 
-Four bits miss most texts that are 0.8 alike. With ``alike`` the groups also hold every pair of texts
-whose 5-word runs have a Jaccard similarity of 0.8 or more (module ``similar``, exact); the pipeline's
-stage asks for that, the query does not.
-
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; fewer than
 four words make one shingle; repeated rows are repeated results; a null ``doc_id`` counts for no
 smallest id (a component of such rows alone has a null id); further columns are ignored; an empty
@@ -36,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwarden.functions import sizing
-from tabwarden.llm import graph, similar, words
+from tabwarden.llm import graph, words
 
 SHINGLE, SEED, BUDGET = 4, 42, 4
 #: Turn of the bits, errors allowed in the first 32 of them.
@@ -269,8 +265,8 @@ def links(fps: DataFrame, turn: int, errors: int, total: int) -> DataFrame:
     return fps.select("fp").mapInArrow(send, "unit int, side tinyint, fp bigint").groupBy("unit").applyInArrow(work, "a bigint, b bigint")
 
 
-def near_groups(docs: DataFrame, alike: bool = False) -> DataFrame:
-    """``doc_id``, ``fp``, ``component_id`` (smallest id reachable over links, with ``alike`` also over similar texts)."""
+def near_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``t`` (hash of the text), ``fp``, ``root`` (a fingerprint that names the component), ``component_id`` (its smallest id)."""
     marked = sizing.cut_lineage(fingerprints(docs), "fingerprints")
     classes = sizing.cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     total = classes.count()
@@ -279,31 +275,34 @@ def near_groups(docs: DataFrame, alike: bool = False) -> DataFrame:
         part = links(classes, turn, errors, total)
         found = part if found is None else found.unionByName(part)
     roots = graph.components(found, "simhash_links")
-    if alike:
-        texts = marked.select("t", "fp").distinct().join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-        more = similar.links(docs, texts.select("t", F.coalesce("root", "fp").alias("root")))
-        roots = graph.components(more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), "near_links")
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("fp", "root", "component_id")
+    return marked.join(named, "fp").select("doc_id", "t", "fp", "root", "component_id")
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``fp``, ``component_id`` (smallest id reachable over links)."""
+    return near_rows(docs).select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each component stays, the one with the smallest id; columns as they were.
+    """One row of each component stays, the one with the smallest id; columns as they were.
 
-    Rows with one id are one document: it goes if any of its rows stands behind a smaller id, and
-    else its smallest text stays once. Rows without an id cannot be named; all of them stay.
+    Rows are judged one by one: rows of one id whose texts are in different components all can stay.
+    Among texts of the smallest id the one with the smallest hash stays, and of equal rows one; a row
+    without an id stays if no row of its component has one.
     """
-    groups = sizing.cut_lineage(near_groups(docs, alike=True).where("doc_id IS NOT NULL"), "groups")
-    ids = groups.groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("behind"), F.count(F.lit(1)).alias("n"))
-    gone = sizing.cut_lineage(ids.where("behind OR n > 1").select(F.col("doc_id").alias("gone_id"), "behind"), "gone")
-    rest = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    twice = gone.where("NOT behind").select("gone_id")
+    rows = near_rows(docs).groupBy("doc_id", "t", "root").agg(F.count(F.lit(1)).alias("n"))
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t", "n")).alias("best"))
+    best = sizing.cut_lineage(best.select(F.col("best.doc_id").alias("best_id"), F.col("best.t").alias("best_text"), F.col("best.n").alias("best_n")), "best")
+    mine = docs["doc_id"].eqNullSafe(best["best_id"]) & (F.xxhash64(docs["text"]) == best["best_text"])
+    once, twice = best.where("best_n = 1"), best.where("best_n > 1")
+    kept = docs.join(once, mine, "left_semi")
     if twice.isEmpty():
-        return rest
-    rows = docs.join(twice, docs["doc_id"] == twice["gone_id"], "left_semi")
+        return kept
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return rest.unionByName(rows.groupBy("doc_id").agg(F.min_by(whole, F.coalesce("text", F.lit(""))).alias("row")).select("row.*"))
+    repeated = docs.join(twice, mine, "left_semi").groupBy("doc_id", F.xxhash64("text").alias("same")).agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("row"))
+    return kept.unionByName(repeated.select("row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

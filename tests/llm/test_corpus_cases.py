@@ -178,40 +178,14 @@ def test_near_groups(spark):
     assert simhash_trie.near_groups(table(spark, [])).count() == 0
 
 
-def runs_of(text):
-    w = text.lower().split()
-    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
-
-
-def test_near_copies_by_similarity(spark):
-    """All pairs that are 0.8 alike, and chains of them, against brute force; a passage in every text links nothing."""
+def test_one_of_each_row(spark):
+    """Rows of one id, or of none, with different texts are judged one by one; of equal rows one stays."""
     rng = random.Random(8)
-    passage, texts = " ".join(rng.choices("abcdefgh", k=40)), []
-    for _ in range(8):
-        base = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(30, 300))]
-        for _ in range(7):
-            if rng.random() < 0.5:
-                base = list(base)  # the next copy is made of this one
-            copy = list(base)
-            for _ in range(rng.randint(0, len(base) // 40 + 1)):
-                copy[rng.randrange(len(copy))] = f"w{rng.randrange(5000)}"
-            texts.append(" ".join(copy if len(copy) < 100 else [*copy, passage]))
-            base = copy if rng.random() < 0.5 else base
-    texts += ["one two", "One  two", "one three", "", None]
-    fps, sets = [simhash_trie.fingerprint(t) for t in texts], [runs_of(t) if t and t.split() else set() for t in texts]
-    label, wide = list(range(len(texts))), 0
-    for i in range(len(texts)):
-        for j in range(i):
-            near = (fps[i] ^ fps[j]).bit_count() <= 4
-            alike = bool(sets[i]) and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
-            wide += alike and not near
-            if near or alike:
-                low, high = sorted((label[i], label[j]))
-                label = [low if x == high else x for x in label]
-    assert wide > 10
-    got = {r["doc_id"]: r["component_id"] for r in simhash_trie.near_groups(table(spark, texts), alike=True).collect()}
-    assert [got[i] for i in range(len(texts))] == label
-    assert sorted(r["doc_id"] for r in simhash_trie.one_of_each(table(spark, texts)).collect()) == sorted(set(label))
+    a, b, c, d = (" ".join(rng.choices([f"w{k}" for k in range(900)], k=80)) for _ in range(4))
+    rows = [(1, a), (1, b), (1, b), (2, b), (None, a), (None, c), (None, c), (None, d), (4, d), (5, ""), (None, None), (6, "")]
+    kept = simhash_trie.one_of_each(table(spark, [t for _, t in rows], [i for i, _ in rows]))
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted([("1", a), ("1", b), ("None", c), ("4", d), ("5", "")])
+    assert simhash_trie.one_of_each(table(spark, [])).count() == 0 and kept.columns == table(spark).columns
 
 
 @pytest.mark.parametrize("rows", [16_384, 40])
@@ -262,12 +236,74 @@ def test_templates(spark):
     }
     bench = spark.createDataFrame([(1, item, 3), (2, "short item here", 3), (3, None, 3), (9, item, 3)], "item_id bigint, text string, width int")
     rows = by_id(templates.contaminated(table(spark, list(docs.values()), list(docs)), bench))
-    assert set(rows) == {1, 2, 3} and rows[1]["item_ids"] == [1]
+    assert set(rows) == {1, 2, 3} and rows[1]["item_ids"] == [1] and rows[1]["members"] == [[1, 9]]
     kept = templates.clean(table(spark, list(docs.values()), list(docs)), bench)
     assert sorted(r["doc_id"] for r in kept.collect()) == [4, 5, 6, 7] and kept.columns == table(spark).columns
     assert templates.contaminated(table(spark), bench.limit(0)).count() == 0 and templates.contaminated(table(spark, []), bench).count() == 0
 
 
+def plain_leaks(docs, items):
+    """Hits, smallest items and items of several by comparing every window of a document with every window of an item."""
+    def windows(text, widths):
+        tokens = [(m.group(), m.start(), m.end()) for m in templates._TOKEN.finditer(text or "")]
+        for width in widths or {min(13, len(tokens))} - {0}:
+            for s in range(len(tokens) - width + 1):
+                part = tokens[s : s + width]
+                kinds = [templates._kind(t) for t, *_ in part]
+                if width < 8:
+                    raw = "".join((text or "")[part[0][1] : part[-1][2]].split()).lower()
+                    yield (width, s), (width, 2, tuple(t.lower() for t, *_ in part), raw)
+                    continue
+                for form, limit in ((0, 3), (1, 2), (2, 0)):
+                    few = 2 * sum(k < max(limit, 2) for k in kinds) <= width
+                    if few != (form == 2):
+                        values = [t.lower() for (t, *_), k in zip(part, kinds) if k < limit]
+                        yield (width, s), (width, form, tuple(t.lower() if k >= limit else k for (t, *_), k in zip(part, kinds)), tuple(map(values.index, values)))
+
+    classes = {}
+    for i, text in items:
+        for _, key in windows(text, None):
+            classes.setdefault(key, set()).add(i)
+    widths = {k[0] for k in classes}
+    hits, met = {}, {}
+    for d, text in docs:
+        for place, key in windows(text, widths) if widths else ():
+            if key in classes:
+                hits.setdefault(d, set()).add((text, place))
+                met.setdefault(d, set()).add(key)
+    order = sorted(met, key=lambda d: (d is None, d or 0))
+    first = {key: d for d in reversed(order) for key in met[d]}
+    known = lambda x: sorted(i for i in x if i is not None)
+    return {
+        d: (len(hits[d]), sorted({min(known(classes[k])) for k in met[d] if known(classes[k])}), sorted({tuple(known(classes[k])) for k, x in first.items() if x == d and len(known(classes[k])) > 1}))
+        for d in met
+    }
+
+
+def test_leaks_against_all_pairs(spark):
+    rng = random.Random(4)
+    word = lambda: rng.choice(["the", "sum", "of", "is", "pears", "Alice", "Bob", "kg", "3", "14", "Über", "day", "x-ray", "why?"])
+    items = [(i, " ".join(word() for _ in range(rng.choice([0, 2, 5, 9, 14, 20])))) for i in range(25)]
+    items += [(i + 30, t.replace("3", "8").replace("Alice", "Carla")) for i, t in items[:12]] + [(None, items[3][1]), (70, items[4][1]), (71, None), (72, "")]
+    docs = []
+    for i in range(60):
+        body = [word() for _ in range(rng.randint(0, 60))]
+        copied = rng.choice(items)[1] or ""
+        body[rng.randint(0, len(body)) : 0] = [copied.replace("Bob", "Otto").replace("14", "15") if i % 3 else copied.lower() if i % 2 else copied]
+        docs.append((i % 40 if i % 7 else None, " ".join(body)))
+    docs += [(80, None), (81, ""), (82, " ".join(["filler"] * 70_000 + [max((t or "" for _, t in items), key=len)])), docs[5], docs[5]]
+    ids, texts = [i for i, _ in docs], [t for _, t in docs]
+    bench = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id bigint, text string, start int")
+    got = templates.contaminated(table(spark, texts, ids), bench).collect()
+    want = plain_leaks(docs, items)
+    assert {r["doc_id"]: (r["hits"], r["item_ids"], [tuple(m) for m in r["members"]]) for r in got} == want and len(got) == len(want)
+    assert any(len(x[2]) for x in want.values()) and 82 in want
+    bad = {(d, t) for d, t in docs if plain_leaks([(d, t)], items)}
+    kept = templates.clean(table(spark, texts, ids), bench).collect()
+    assert sorted(str((r["doc_id"], r["text"])) for r in kept) == sorted(str(x) for x in docs if x not in bad)
+    assert any(d is None for d, _ in bad) and any(r["doc_id"] is None for r in kept)
+
+
 def test_literal_leaks(spark):
     """Exact copies of items that are mostly numbers, short, or in a script without spaces; and no others."""
     items = [
