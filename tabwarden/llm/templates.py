@@ -13,15 +13,19 @@ tokens the signs between the tokens must agree as well.
 Windows of a document that a Bloom filter of the benchmark's template hashes lets through are
 joined with the benchmark's windows by hash. Then the template itself must agree and the slots must
 be consistent: equal values fill the same slots on both sides, and different ones different slots.
+A place in a document counts as one hit, however many of its forms match.
 
 The filter has a fixed size whatever the benchmark's; a large benchmark lets more windows through
 to the join and loses none. The document side is not shuffled but for those windows. Benchmark
-windows with one template and one slot pattern are one row, so a window matches one row at most.
+windows with one template and one slot pattern are one class and one row, so a window matches one row
+a form at most. Documents name the smallest item of each class they meet; the items of a class are
+listed once, at the smallest document that meets it, so that no item is left out and none multiplied.
 
 Defined cases: null and empty texts hold no window, nor do items without letters and digits; items
 under ``SHORTEST`` tokens match as a whole wherever they stand, by chance as well (an item of one word
-meets every document with that word); repeated rows give repeated hits (``hits`` counts a document id's
-windows over all its rows); further columns are ignored; empty tables give an empty result.
+meets every document with that word); ``hits`` counts the places in the different texts of an id, so
+equal rows count once; null ids are one id, the last in order; null items are left out of lists;
+further columns are ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -130,22 +134,30 @@ def _forms(width: int) -> tuple[int, ...]:
     return (_NAMES, _PLAIN, _LITERAL) if width >= SHORTEST else (_LITERAL,)
 
 
-def _rows(tokens: _Tokens, ids: list, chosen: list[tuple[int, int, np.ndarray, np.ndarray]], id_name: str) -> pa.RecordBatch:
-    out: list[list] = [[], [], [], [], []]
+def _rows(tokens: _Tokens, chosen: list[tuple[int, int, np.ndarray, np.ndarray]], **keys: list) -> pa.RecordBatch:
+    """The chosen windows, with the cells of their rows in ``keys``."""
+    names = [x.split()[0] for x in _SCHEMA.split(", ")]
+    out: list[list] = [[] for _ in [*keys, *names]]
+    firsts = np.cumsum(tokens.counts) - tokens.counts
     for width, form, starts, found in chosen:
         for s, h in zip(starts.tolist(), found.view(np.int64).tolist()):
-            template, pattern = tokens.describe(s, width, form)
-            for into, value in zip(out, (ids[tokens.doc[s]], h, form, template, pattern)):
+            row = tokens.doc[s]
+            cells = (*(k[row] for k in keys.values()), h, form, width, s - int(firsts[row]), *tokens.describe(s, width, form))
+            for into, value in zip(out, cells):
                 into.append(value)
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string())
-    return pa.record_batch([pa.array(v, t) for v, t in zip(out, kinds)], [id_name, "h", "form", "template", "pattern"])
+    kinds = [*[pa.int64()] * len(keys), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.string()]
+    return pa.record_batch([pa.array(v, t) for v, t in zip(out, kinds)], [*keys, *names])
 
 
-_SCHEMA = "{} bigint, h bigint, form int, template string, pattern string"
+_SCHEMA = "h bigint, form int, width int, start bigint, template string, pattern string"
+_CLASS = ["h", "form", "width", "template", "pattern"]
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """One row per template and slot pattern: ``h``, ``form``, ``template``, ``pattern``, ``width``, the smallest ``item_id``."""
+    """One row per class of windows: ``class``, its template and pattern, the smallest ``item_id``, all its ``items``.
+
+    A class lists as many items as the benchmark has at most.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in words.steps(batches, "text"):
@@ -153,11 +165,11 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
                 tokens = _Tokens(piece.column("text").slice(row, 1))
                 width = min(WINDOW, int(tokens.counts[0]))
                 if width:
-                    yield _rows(tokens, [piece.column("item_id")[row].as_py()], [(width, f, *tokens.windows(width, f)) for f in _forms(width)], "item_id")
+                    yield _rows(tokens, [(width, f, *tokens.windows(width, f)) for f in _forms(width)], item_id=[piece.column("item_id")[row].as_py()])
 
-    found = benchmark.select("item_id", "text").mapInArrow(run, _SCHEMA.format("item_id"))
-    width = (F.size(F.split("template", " "))).alias("width")
-    return found.groupBy("h", "form", "template", "pattern").agg(F.min("item_id").alias("item_id")).select("*", width)
+    found = benchmark.select("item_id", "text").mapInArrow(run, f"item_id bigint, {_SCHEMA}")
+    classes = found.groupBy(*_CLASS).agg(F.min("item_id").alias("item_id"), F.sort_array(F.collect_set("item_id")).alias("items"))
+    return sizing.cut_lineage(classes.withColumn("class", F.monotonically_increasing_id()), "benchmark_windows")
 
 
 def _bits(index: DataFrame) -> np.ndarray:
@@ -171,10 +183,12 @@ def _bits(index: DataFrame) -> np.ndarray:
     return np.unpackbits(bits.view(np.uint8), bitorder="little").view(bool)
 
 
-def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id``, ``item_id``, ``template``, for each window of a document that the benchmark holds."""
+def hits(docs: DataFrame, index: DataFrame) -> DataFrame:
+    """``doc_id``, ``t`` (hash of the text), ``width``, ``start`` (token), ``class`` of each window and form that the index holds.
+
+    ``index``: from ``benchmark_windows``.
+    """
     words.small_batches(docs.sparkSession)
-    index = sizing.cut_lineage(benchmark_windows(benchmark), "benchmark_windows")
     widths = sorted(r["width"] for r in index.select("width").distinct().collect())  # WINDOW at most
     bits = _bits(index)
 
@@ -186,24 +200,38 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     starts, h = tokens.windows(width, form)
                     maybe = bits[(h.view(np.int64) % FILTER_BITS)]
                     chosen.append((width, form, starts[maybe], h[maybe]))
-            yield _rows(tokens, piece.column("doc_id").to_pylist(), chosen, "doc_id")
+            yield _rows(tokens, chosen, doc_id=piece.column("doc_id").to_pylist(), t=piece.column("t").to_pylist())
 
     if not widths:
-        return docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, template string")
-    found = docs.select("doc_id", "text").mapInArrow(run, _SCHEMA.format("doc_id"))
-    return found.join(index.drop("width"), ["h", "form", "template", "pattern"]).select("doc_id", "item_id", "template")
+        return docs.sparkSession.createDataFrame([], "doc_id bigint, t bigint, width int, start bigint, class bigint")
+    found = docs.select("doc_id", "text", F.xxhash64("text").alias("t")).mapInArrow(run, f"doc_id bigint, t bigint, {_SCHEMA}")
+    return found.join(index.select(*_CLASS, "class"), _CLASS).select("doc_id", "t", "width", "start", "class")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id``, ``hits`` (matching windows), ``item_ids`` (smallest item of each window met, sorted)."""
-    found = hits(docs, benchmark).groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
-    return found.groupBy("doc_id").agg(F.sum("n").alias("hits"), F.sort_array(F.collect_list("item_id")).alias("item_ids"))
+    """``doc_id``, ``hits`` (matching places), ``item_ids`` (smallest item of each class met, sorted), ``members``.
+
+    ``members`` has the items of each class of several items that no document with a smaller id meets.
+    """
+    index = benchmark_windows(benchmark)
+    found = sizing.cut_lineage(hits(docs, index), "leak_windows")
+    places = found.select("doc_id", "t", "width", "start").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("hits"))
+    met = sizing.cut_lineage(found.select("doc_id", "class").distinct().join(index.select("class", "item_id"), "class"), "leak_classes")
+    items = met.select("doc_id", "item_id").distinct().groupBy("doc_id").agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"))
+    first = met.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")).alias("first"))
+    listed = index.where(F.size("items") > 1).select("class", "items").join(first, "class").select(F.col("first.doc_id").alias("doc_id"), "items").distinct()
+    members = listed.groupBy("doc_id").agg(F.sort_array(F.collect_list("items")).alias("members"))
+    a, b, c = places.alias("a"), items.alias("b"), members.alias("c")
+    same = lambda x: F.col("a.doc_id").eqNullSafe(F.col(f"{x}.doc_id"))
+    none = F.array().cast("array<array<bigint>>")
+    return a.join(b, same("b")).join(c, same("c"), "left").select("a.doc_id", "hits", "item_ids", F.coalesce("members", none).alias("members"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a hit, columns as they were. Null ids are kept if no null id has a hit."""
-    bad = sizing.cut_lineage(contaminated(docs, benchmark).select(F.col("doc_id").alias("bad_id")), "leaks")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """The rows whose text has no hit, columns as they were; rows of one id, or of none, are judged one by one."""
+    found = hits(docs, benchmark_windows(benchmark)).select(F.col("doc_id").alias("bad_id"), F.col("t").alias("bad_text")).distinct()
+    bad = sizing.cut_lineage(found, "leaks")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs["text"]) == bad["bad_text"]), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
