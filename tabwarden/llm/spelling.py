@@ -11,7 +11,8 @@ beginning. In either case the untouched pivot is a bigram of the near word, at t
 start or from the end, and in its gram prefix if that prefix reaches at least as far in the global
 order. So pivots of the word with the lesser (last gram, word) meet gram prefixes of the other, under
 a key of direction, length of the other word, and the untouched piece, which fixes gram and position.
-Candidates are verified by edit distance. No pair is found twice and none is missed.
+Candidates are verified: the word is parted between its pivots, the part that the edit leaves alone must
+be equal, and the edit distance one. No pair is found twice and none is missed.
 
 Words are counted inside tasks before the shuffle. A popular key is a few bigrams at a word's very
 edge; it grows with the vocabulary, not with the corpus, and large partitions of the join are split.
@@ -120,7 +121,7 @@ def pivots(word: str, prefix: list[int], ranks: dict[str, tuple[int, int]]) -> t
     return two[1], two[2]
 
 
-PIVOT = "key string, word string, n bigint, last int, right string"
+PIVOT = "key string, word string, n bigint, last int, head string, tail string, ahead boolean"
 PREFIX = "key string, word string, n bigint, last int"
 
 
@@ -135,9 +136,11 @@ def near_pairs(vocab: DataFrame) -> DataFrame:
             for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
                 prefix, last = prefix_grams(word, ranks)
                 left, right = pivots(word, prefix, ranks)
+                middle = min(max(len(word) // 2, left + 2), right)
+                head, tail = word[:middle], word[middle:]
                 for length in (len(word) - 1, len(word), len(word) + 1):
-                    rows.append((key("<", length, word[: left + 2]), word, n, last, word[right:]))
-                    rows.append((key(">", length, word[right:]), word, n, last, None))
+                    rows.append((key("<", length, word[: left + 2]), word, n, last, head, tail, True))
+                    rows.append((key(">", length, word[right:]), word, n, last, head, tail, False))
             yield _batch(rows, PIVOT)
 
     def prefix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,16 +154,18 @@ def near_pairs(vocab: DataFrame) -> DataFrame:
             yield _batch(rows, PREFIX)
 
     a, b = vocab.mapInArrow(pivot_rows, PIVOT).alias("a"), vocab.mapInArrow(prefix_rows, PREFIX).alias("b")
-    first = F.struct("a.last", "a.word") < F.struct("b.last", "b.word")
-    once = F.col("a.right").isNull() | ~F.endswith(F.col("b.word"), F.col("a.right"))  # else the other direction has it
-    close = F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & first & once & close).select(
-        F.col("a.word").alias("word"), F.col("a.n").alias("n"), F.col("b.word").alias("near"), F.col("b.n").alias("near_n")
+    c = F.col
+    same_tail = F.endswith(c("b.word"), c("a.tail"))
+    untouched = (c("a.ahead") & F.startswith(c("b.word"), c("a.head")) & ~same_tail) | (~c("a.ahead") & same_tail)
+    first = (c("a.last") < c("b.last")) | ((c("a.last") == c("b.last")) & (c("a.word") < c("b.word")))
+    close = F.levenshtein(c("a.word"), c("b.word"), 1) == 1
+    return a.join(b, (c("a.key") == c("b.key")) & untouched & first & close).select(
+        c("a.word").alias("word"), c("a.n").alias("n"), c("b.word").alias("near"), c("b.n").alias("near_n")
     )
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
     names, types = zip(*(x.split() for x in schema.split(", ")))
     columns = list(zip(*rows)) or [()] * len(names)
     return pa.record_batch([pa.array(c, kinds[t]) for c, t in zip(columns, types)], list(names))
