@@ -7,7 +7,7 @@ blocks. A block holds whole documents and is decoded on its own: ``payload`` has
 block's stretches are decoded side by side by table. ``codebook`` (id, length) rebuilds the code.
 
 Where a tokenizer drops white space and never joins across it, texts are split at ASCII white space
-first and each distinct word is encoded once, with a bounded memory of words per Python worker; the
+first and each distinct piece of a word is encoded once, with a bounded memory of pieces per Python worker; the
 ids are those of whole texts. Any other tokenizer gets the whole texts.
 
 Documents are written in ascending ``doc_id`` order (nulls first; equal ids by checksum of their
@@ -21,6 +21,9 @@ table writes no block and reads back empty; columns other than ``doc_id`` and ``
 from __future__ import annotations
 
 import json
+import re
+import string
+import struct
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -40,7 +43,7 @@ END_ID = 1
 BLOCK_IDS, STRIDE, LIMIT = 1 << 16, 256, 18
 _READ_BLOCKS = 16
 #: Text tokenized in one step.
-TOKENIZE_BYTES = 6 << 20
+TOKENIZE_BYTES = 12 << 20
 
 BLOCK_SCHEMA = "part int, seq int, local_start bigint, n_ids bigint, doc_ids array<bigint>, n_tokens array<bigint>, checkpoints array<bigint>, payload binary"
 
@@ -52,20 +55,21 @@ def default_tokenizer() -> str:
 
 
 class WordCoder:
-    """Ids of single words, as little-endian 32-bit integers, remembered up to ``KEEP`` words.
+    """Ids of pieces of words, as little-endian 32-bit integers, remembered in two generations of ``KEEP`` pieces.
 
-    A word goes through the library's normalizer, pre-tokenizer and model one by one, which skips the
-    offsets that ``encode`` keeps. ASCII words come lower-cased and are cut by the pattern of the
-    tokenizer file directly. Words that may hold an added token are encoded whole.
+    A word is a piece, or a piece and the ASCII marks behind its last letter or digit, which the
+    tokenizer always cuts off. A new piece goes to the library's model; its normalizer and
+    pre-tokenizer are spared for ASCII and Latin letters. What may hold an added token stays whole.
     """
 
-    KEEP = 600_000
+    KEEP = 500_000
+    _LATIN = "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.model, self.known = self.whole.model, {}
+        self.model, self.young, self.old = self.whole.model, {}, {}
         spec = json.loads(Path(path).read_text())
         kinds = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
@@ -74,51 +78,61 @@ class WordCoder:
         self.by_word = bool(split) and "Lowercase" in kinds and split[0]["pattern"].get("Regex", "").endswith(r"[^\s\p{L}\p{N}]+")
         self.find = regex.compile(split[0]["pattern"]["Regex"]).findall if self.by_word else None
         self.added = tuple(x["content"] for x in spec.get("added_tokens", []))
-
-    def _model(self, pieces) -> bytes:
-        return np.array([t.id for piece in pieces for t in self.model.tokenize(piece)], "<u4").tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.known.get(piece)
-        if ids is None:
-            ids = self.known[piece] = self._model((piece,))
-        return ids
-
-    def _other(self, word: str) -> bytes:
-        ids = self.known.get(word)
-        if ids is None:
-            cut = self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(word))
-            ids = self.known[word] = self._model(piece for piece, _ in cut)
-        return ids
-
-    def word(self, word: str) -> bytes:
-        """Ids of a word whose ASCII letters are lower-cased if it is ASCII throughout."""
-        if word.isascii():
-            if word.isalpha():
-                return self._piece(word)
-            if word.isprintable() and not any(x in word for x in self.added):
-                return b"".join([self._piece(x) for x in self.find(word.lower())])
-        elif not any(x in word for x in self.added):
-            core = word.rstrip(".,;:!?")
-            if core[-1:].isalpha() and len(core) < len(word):  # the marks behind a letter are a piece of their own
-                return self._other(core) + self._piece(word[len(core) :])
-            return self._other(word)
-        return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def lower(self, flat: pa.Array) -> pa.Array:
-        """ASCII words in lower case, but for those that would become an added token."""
+        self.latin = re.compile(f"[a-z{self._LATIN}]+").fullmatch
+        self.spelled = {ord(c): self.whole.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in self._LATIN} if self.by_word else {}
+
+    def _model(self, piece: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _new(self, piece: str) -> bytes:
+        """Ids of a piece whose ASCII letters are lower-cased if it is ASCII throughout."""
+        if any(x in piece for x in self.added):
+            ids = self.whole.encode(piece, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        low = piece.lower()
+        if piece.isascii() and piece.isprintable():
+            cut = self.find(low)
+            return self._model(low) if len(cut) == 1 else b"".join(map(self.ids, cut))
+        if self.latin(low):
+            return self._model(low.translate(self.spelled))
+        return b"".join(self._model(x) for x, _ in self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(piece)))
+
+    def ids(self, piece: str) -> bytes:
+        found = self.young.get(piece)
+        if found is None:
+            found = self.old.get(piece)
+            self.young[piece] = found = self._new(piece) if found is None else found
+        return found
+
+    def lower(self, flat: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """ASCII words in lower case, but for those that hold, or would become, an added token; and which hold none."""
         lower = pc.ascii_lower(flat)
-        plain = pc.string_is_ascii(flat)
-        for x in self.added:
-            plain = pc.and_not(plain, pc.match_substring(lower, x.lower()))
-        return pc.if_else(plain, lower, flat)
-
-    def many(self, distinct: list[str]) -> list[bytes]:
-        if len(self.known) > self.KEEP:
-            self.known.clear()
-        return [self.word(w) for w in distinct]
-
-
+        held = pc.match_substring(lower, self.added[0].lower()) if self.added else pc.is_null(flat)
+        for x in self.added[1:]:
+            held = pc.or_(held, pc.match_substring(lower, x.lower()))
+        return pc.if_else(pc.and_not(pc.string_is_ascii(flat), held), lower, flat), pc.invert(held).to_numpy(zero_copy_only=False)
+
+    @staticmethod
+    def cut(flat: pa.Array, may: np.ndarray) -> pa.Array:
+        """Two pieces of each word that may be cut: up to its last ASCII or Latin letter or digit, and the ASCII marks behind it."""
+        offsets = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1]
+        raw = np.frombuffer(flat.buffers()[2] or b"", np.uint8)
+        ends = offsets[:-1] + pc.binary_length(pc.utf8_rtrim(flat, string.punctuation)).to_numpy(zero_copy_only=False)
+        last, before = raw[np.maximum(ends, 1) - 1], raw[np.maximum(ends, 2) - 2]
+        letter = _ALNUM[last] | ((before == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7) & (ends - offsets[:-1] > 1))
+        ends = np.where(may & letter & (ends > offsets[:-1]), ends, offsets[1:])
+        both = np.concatenate([np.stack([offsets[:-1], ends], axis=1).reshape(-1), offsets[-1:]]).astype(np.int32)
+        return pa.StringArray.from_buffers(2 * len(flat), pa.py_buffer(both), flat.buffers()[2])
+
+    def many(self, pieces: list[str]) -> list[bytes]:
+        if len(self.young) > self.KEEP:
+            self.old, self.young = self.young, {}
+        known = self.young
+        return [known.get(x) or self.ids(x) for x in pieces]
+
+
+_ALNUM = np.array([chr(c).isalnum() and c < 128 for c in range(256)])
 _CODERS: dict[str, WordCoder] = {}
 
 
@@ -135,12 +149,16 @@ def _document_ids(texts, coder: WordCoder) -> list[bytes]:
         whole = coder.whole.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() + end for x in whole]
     flat, counts = words.split_words(texts)
+    if not len(flat):
+        return [end] * len(counts)
     at, distinct = words.coded(flat)
-    lower_at, distinct = words.coded(coder.lower(distinct))
-    at = lower_at[at]
-    known = coder.many(distinct.to_pylist())
+    lower, may = coder.lower(distinct)
+    piece_at, pieces = words.coded(coder.cut(lower, may))
+    known = coder.many(pieces.to_pylist())
     sizes = np.fromiter((len(x) // 4 for x in known), np.int64, len(known))
-    table = np.frombuffer(b"".join(known), "<u4")
+    begins, sizes = (np.cumsum(sizes) - sizes)[piece_at], sizes[piece_at]
+    table = np.frombuffer(b"".join(known), "<u4")[words.ragged(begins, sizes)]  # the ids of each distinct word
+    sizes = sizes.reshape(-1, 2).sum(axis=1)
     per_word = sizes[at]
     ids = table[words.ragged((np.cumsum(sizes) - sizes)[at], per_word)]
     upto = np.concatenate([[0], np.cumsum(per_word)])[np.concatenate([[0], np.cumsum(counts)])]
@@ -158,9 +176,9 @@ def tokenize(docs: DataFrame, tokenizer: str, kind: str) -> DataFrame:
     """``doc_id``, ``crc`` of the ids as little-endian 32-bit integers, ``ids`` as bytes of ``kind``, the end id included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in words.steps(batches, "text", TOKENIZE_BYTES):
+        for piece in words.gathered(batches, "text", TOKENIZE_BYTES):
             out = _document_ids(piece.column("text"), _coder(tokenizer))
-            yield pa.record_batch([piece.column("doc_id"), pa.array([zlib.crc32(x) for x in out], pa.int64()), pa.array([np.frombuffer(x, "<u4").astype(kind).tobytes() for x in out], pa.binary())], ["doc_id", "crc", "ids"])
+            yield pa.record_batch([words.one_array(piece.column("doc_id")), pa.array([zlib.crc32(x) for x in out], pa.int64()), pa.array([np.frombuffer(x, "<u4").astype(kind).tobytes() for x in out], pa.binary())], ["doc_id", "crc", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, crc bigint, ids binary")
 
