@@ -14,13 +14,6 @@ from tabwarden.operators.contract import from_dict
 from tabwarden.plans import training
 from tabwarden.sources import readers, writers
 
-#: Grids of the default shape with fewer trees and iterations: each boosting round and each iteration is
-#: a Spark job of its own, so the drawn 300 rounds and 500 iterations are thousands of jobs on any table.
-GRIDS = {
-    "logistic_regression": {"C": [0.1, 1.0], "penalty": ["l1", "l2"], "max_iter": [50]},
-    "random_forest": {"n_estimators": [10, 20], "max_depth": [5, 8], "min_samples_leaf": [1, 4], "bootstrap": [True]},
-    "gradient_boosting": {"n_estimators": [5, 10], "learning_rate": [0.1], "max_depth": [3], "subsample": [0.8, 1.0]},
-}
 FEATURES = [*fr.NUMERIC, *fr.CATEGORICAL]
 TRAINED = [fr.KEY, *FEATURES, fr.LABEL]
 
@@ -43,7 +36,7 @@ def _run(spark, d) -> training.TrainingRun:
     at = (spark.sparkContext.applicationId, d)
     if at not in _runs:
         path = training.prepare(fr.churn(spark, d), CleanSpec(), fr.LABEL, [fr.KEY])
-        _runs[at] = training.run(path, spark, fr.LABEL, GRIDS, skip=[fr.KEY])
+        _runs[at] = training.run(path, spark, fr.LABEL, skip=[fr.KEY])
     return _runs[at]
 
 
@@ -147,6 +140,29 @@ def score_batch(spark, d):
     return good.select("logged", dead.alias("dead"), F.col("p").between(0, 1).alias("mean_in_range"))
 
 
+def candidate_metrics(spark, d):
+    """The figures behind ``train_candidates`` and ``validation_metrics``: no SQL repeats a fitted model."""
+    run = _run(spark, d)
+    parts = [m.withColumn("part", F.lit(part)) for part, m in (("validation", run.validation), ("test", run.metrics))]
+    return parts[0].unionByName(parts[1])
+
+
+def fold_recalls(spark, d):
+    """Recall of every candidate on every fold left out."""
+    return train.fold_frame(spark, _run(spark, d).candidates)
+
+
+def importances(spark, d):
+    """Importances and coefficients of every candidate, by output name."""
+    frames = [train.feature_importance(spark, c.model).withColumn("model", F.lit(c.name)) for c in _run(spark, d).candidates]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+def decision_figures(spark, d):
+    """The decision with its figures."""
+    return _run(spark, d).decision
+
+
 def foreign_model(spark, d):
     """A model that only knows pandas frames, scored through Arrow batches."""
 
@@ -161,6 +177,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         training_folds, train_candidates, validation_metrics, cv_summary, lineage_train, training_decision, feature_importance, champion_metrics, score_batch, foreign_model,
+        candidate_metrics, fold_recalls, importances, decision_figures,
     )
 }
 
@@ -170,9 +187,9 @@ _PARTS = f"""{fr.CHURN_SQL}, ranked AS (
   dealt AS (SELECT *, row_number() OVER (PARTITION BY split, churn ORDER BY md5('43|' || c_custkey::VARCHAR)) - 1 AS i, count(*) OVER (PARTITION BY split, churn) AS m FROM parted),
   parts AS (SELECT *, CAST((i >= m // 5)::INT + (i >= m * 2 // 5)::INT + (i >= m * 3 // 5)::INT + (i >= m * 4 // 5)::INT AS INTEGER) AS fold FROM dealt),
   drawn AS (SELECT * FROM (VALUES
-    ('logistic_regression', '{{"C": 0.1, "max_iter": 50, "penalty": "l1"}}'),
-    ('random_forest', '{{"bootstrap": true, "max_depth": 5, "min_samples_leaf": 4, "n_estimators": 10}}'),
-    ('gradient_boosting', '{{"learning_rate": 0.1, "max_depth": 3, "n_estimators": 5, "subsample": 0.8}}')) AS t(model, params))"""
+    ('logistic_regression', '{{"C": 10.0, "max_iter": 500, "penalty": "l1"}}'),
+    ('random_forest', '{{"bootstrap": true, "max_depth": 20, "min_samples_leaf": 2, "n_estimators": 100}}'),
+    ('gradient_boosting', '{{"learning_rate": 0.1, "max_depth": 3, "n_estimators": 300, "subsample": 0.8}}')) AS t(model, params))"""
 
 
 def _measured(part: str) -> str:

@@ -37,6 +37,7 @@ UNEXPECTED_COLUMN = "Unexpected column not defined in reference schema"
 
 UNLABELLED = "Inference_Unlabelled"
 TRIGGER_REASON = "Data Drift Detected"
+NO_IMPORTANCE = "Model type does not support native feature importance extraction."
 
 PARAMETER_GRIDS = {
     "logistic_regression": {

@@ -164,6 +164,14 @@ class TabularEncoderModel(Model, _EncoderParams, DefaultParamsReadable, DefaultP
     def fitted(self) -> dict:
         return json.loads(self.getOrDefault("state"))
 
+    def for_linear(self) -> "TabularEncoderModel":
+        """The same fit with scaled numbers and without the first category of each feature."""
+        fit = self.fitted()
+        model = TabularEncoderModel()
+        state = {"numeric": fit["numeric"], "levels": {c: v[1:] for c, v in fit["levels"].items()}}
+        model._set(state=json.dumps(state), scale=True, outputCol=self.getOrDefault("outputCol"))
+        return model
+
     def output_names(self) -> list[str]:
         fit = self.fitted()
         return list(fit["numeric"]) + [f"{c}_{v}" for c, vs in fit["levels"].items() for v in vs]

@@ -1,31 +1,25 @@
-"""Training candidates with stratified cross-validation on Spark ML."""
+"""Training candidates with stratified cross-validation."""
 
 from __future__ import annotations
 
 import itertools
 import json
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwarden import fixed
-from tabwarden.functions import sizing
-from tabwarden.operators import metrics
+from tabwarden.operators import grid, metrics
 from tabwarden.operators.encode import TabularEncoder, TabularEncoderModel
 
-#: Spark's trees stop here; an unlimited depth is asked for as this.
-MAX_TREE_DEPTH = 30
-
-
 def draw_parameters(grid: Mapping[str, Sequence], n: int, seed: int = fixed.SEED) -> list[dict[str, Any]]:
     """``n`` different random draws of a parameter grid."""
     names = list(grid)
@@ -33,42 +27,6 @@ def draw_parameters(grid: Mapping[str, Sequence], n: int, seed: int = fixed.SEED
     return random.Random(seed).sample(points, min(n, len(points)))
 
 
-def classifier(name: str, params: Mapping[str, Any], rows: int, label: str, seed: int = fixed.SEED):
-    """A Spark ML classifier for one candidate and one parameter draw.
-
-    ``C`` weighs the summed loss while Spark averages it, hence ``regParam = 1 / (C * rows)``.
-    """
-    common = {"labelCol": label, "featuresCol": "features"}
-    if name == "logistic_regression":
-        return LogisticRegression(
-            regParam=1.0 / (params.get("C", 1.0) * max(rows, 1)),
-            elasticNetParam=1.0 if params.get("penalty", "l2") == "l1" else 0.0,
-            maxIter=params.get("max_iter", 100),
-            standardization=False,
-            **common,
-        )
-    if name == "random_forest":
-        depth = params.get("max_depth")
-        return RandomForestClassifier(
-            numTrees=params.get("n_estimators", 100),
-            maxDepth=MAX_TREE_DEPTH if depth is None else min(depth, MAX_TREE_DEPTH),
-            minInstancesPerNode=params.get("min_samples_leaf", 1),
-            bootstrap=params.get("bootstrap", True),
-            seed=seed,
-            **common,
-        )
-    if name == "gradient_boosting":
-        return GBTClassifier(
-            maxIter=params.get("n_estimators", 100),
-            stepSize=params.get("learning_rate", 0.1),
-            maxDepth=params.get("max_depth", 3),
-            subsamplingRate=params.get("subsample", 1.0),
-            seed=seed,
-            **common,
-        )
-    raise ValueError(f"unknown candidate: {name}")
-
-
 def is_linear(name: str) -> bool:
     """Linear models get scaled inputs without the first category, trees plain ones with every category."""
     return name == "logistic_regression"
@@ -81,30 +39,19 @@ Encoders = Mapping[tuple[bool, int | None], TabularEncoderModel]
 def fit_encoders(
     train: DataFrame, names: Sequence[str], numeric, categorical, fold: str, folds: int, parallelism: int = 4
 ) -> Encoders:
-    """The encoders that all candidates share: one per kind of model and fold left out."""
+    """The encoders that all candidates share: one per kind of model and fold left out.
 
-    def one(job):
-        linear, k = job
-        part = train if k is None else train.where(F.col(fold) != k)
-        return TabularEncoder(numericCols=list(numeric), categoricalCols=list(categorical), scale=linear, dropFirst=linear).fit(part)
-
-    jobs = list(itertools.product(sorted({is_linear(n) for n in names}), [*range(folds), None]))
-    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
-        return dict(zip(jobs, pool.map(inheritable_thread_target(train.sparkSession)(one), jobs)))
+    Both kinds have the same medians and categories, so a fold is fitted once.
+    """
 
+    def one(k):
+        part = train if k is None else train.where(F.col(fold) != k)
+        return TabularEncoder(numericCols=list(numeric), categoricalCols=list(categorical)).fit(part)
 
-def fit(encoder: TabularEncoderModel, last, rows: DataFrame) -> PipelineModel:
-    """Fit a classifier behind a fitted encoder, and let go of the training summary.
-
-    A summary holds its session; once the session has observed a query, a model that still
-    has one can no longer be sent to executors. A stored model has none.
-    """
-    model = last.fit(encoder.transform(rows))
-    if getattr(model, "hasSummary", False):
-        path = sizing.run_dir(rows.sparkSession, "stage")
-        model.save(path)
-        model = type(model).load(path)
-    return PipelineModel([encoder, model])
+    parts, kinds = [*range(folds), None], sorted({is_linear(n) for n in names} | {False})
+    with ThreadPool(max(1, min(parallelism, len(parts)))) as pool:
+        fitted = dict(zip(parts, pool.map(inheritable_thread_target(train.sparkSession)(one), parts)))
+    return {(linear, k): model.for_linear() if linear else model for k, model in fitted.items() for linear in kinds}
 
 
 def scored(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -114,58 +61,51 @@ def scored(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFram
 
 @dataclass
 class Candidate:
+    """A candidate's best draw, fitted on all training rows, and its recall per fold."""
+
     name: str
     params: dict[str, Any]
     model: PipelineModel
     fold_scores: list[tuple[int, float]] = field(default_factory=list)
 
 
-def cross_validate(
-    train: DataFrame, name: str, draws: Sequence[Mapping], encoders: Encoders, label: str, fold: str, folds: int, rows: int, parallelism: int
-) -> list[list[tuple[int, float]]]:
-    """Recall of every (draw, fold). Fits run side by side, each one a distributed job; all
-    validation folds are measured in one pass."""
-
-    def one(job):
-        i, k = job
-        part = train.where(F.col(fold) != k)
-        model = fit(encoders[is_linear(name), k], classifier(name, draws[i], rows * (folds - 1) // folds, label), part)
-        out = scored(model, train.where(F.col(fold) == k), [F.col(label).alias("label")])
-        return out.select(F.lit(i).alias("draw"), F.lit(k).alias("fold"), "label", "p")
-
-    jobs = list(itertools.product(range(len(draws)), range(folds)))
-    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
-        frames = pool.map(inheritable_thread_target(train.sparkSession)(one), jobs)
-    every = frames[0]
-    for f in frames[1:]:
-        every = every.unionByName(f)
-    got = {(r["draw"], r["fold"]): r["recall"] for r in metrics.rates(metrics.confusion(every, ["draw", "fold"])).collect()}
-    return [[(k, got.get((i, k), 0.0)) for k in range(folds)] for i in range(len(draws))]
-
-
-def train_candidate(
+def search(
     train: DataFrame,
-    name: str,
-    grid: Mapping[str, Sequence],
+    grids: Mapping[str, Mapping[str, Sequence]],
     encoders: Encoders,
     label: str,
     fold: str = "fold",
     folds: int = fixed.N_FOLDS,
     draws: int = 1,
     seed: int = fixed.SEED,
-    parallelism: int = 4,
-) -> Candidate:
-    """Random search over the grid by cross-validated recall, then a refit on all rows.
+) -> list[Candidate]:
+    """Random search over each grid by cross-validated recall; the best draw comes fitted on all rows.
 
-    ``train`` is read many times: hand in a stored table, not a long plan.
+    All fits of all candidates run together: see ``grid``.
     """
-    points = draw_parameters(grid, draws, seed)
-    rows = train.count()
-    scores = cross_validate(train, name, points, encoders, label, fold, folds, rows, parallelism)
-    means = [sum(s for _, s in per) / folds for per in scores]
-    best = max(range(len(points)), key=lambda i: means[i])
-    model = fit(encoders[is_linear(name), None], classifier(name, points[best], rows, label), train)
-    return Candidate(name, points[best], model, scores[best])
+    unknown = set(grids) - set(grid.CANDIDATES)
+    if unknown:
+        raise ValueError(f"unknown candidate: {', '.join(sorted(unknown))}")
+    table = grid.store(train, encoders[False, None], label, fold)
+    points = {name: draw_parameters(g, draws, seed) for name, g in grids.items()}
+    jobs = [(name, i, k) for name, own in points.items() for i in range(len(own)) for k in [*range(folds), None]]
+    fits = [grid.Fit(slot, name, points[name][i], k, encoders[is_linear(name), k].fitted(), seed) for slot, (name, i, k) in enumerate(jobs)]
+    found = grid.run(table, fits)
+    recall = {(name, i, k): _recall(found[slot][1]) for slot, (name, i, k) in enumerate(jobs) if k is not None}
+    candidates = []
+    for name, own in points.items():
+        scores = [[(k, recall[name, i, k]) for k in range(folds)] for i in range(len(own))]
+        best = max(range(len(own)), key=lambda i: sum(s for _, s in scores[i]))
+        whole = fits[jobs.index((name, best, None))]
+        model = grid.fitted_model(table, whole, found[whole.slot][0])
+        candidates.append(Candidate(name, own[best], PipelineModel([encoders[is_linear(name), None], model]), scores[best]))
+    return candidates
+
+
+def _recall(counts: Sequence[int]) -> float:
+    """Of tn, fp, fn, tp; without positives 0."""
+    *_, fn, tp = counts
+    return round(tp / (fn + tp), 6) if fn + tp else 0.0
 
 
 def fold_frame(spark: SparkSession, candidates: Sequence[Candidate]) -> DataFrame:
@@ -191,13 +131,17 @@ def evaluate(candidates: Sequence[Candidate], test: DataFrame, label: str) -> Da
 METRICS_SCHEMA = "n_samples bigint, recall double, precision double, f1 double, roc_auc double, pr_auc double, log_loss double"
 
 
-def champion_metrics(model: PipelineModel | None, test: DataFrame, label: str) -> DataFrame:
-    """Metrics of the champion on the same rows; no rows if it is absent or fails on them in any way."""
+def champion_metrics(model: PipelineModel | Callable[[], PipelineModel] | None, test: DataFrame, label: str) -> DataFrame:
+    """Metrics of the champion on the same rows; no rows if it is absent, or fails in any way.
+
+    A champion may come as a function that loads it, so that one that cannot be loaded is no champion.
+    """
     names = [part.split()[0] for part in METRICS_SCHEMA.split(", ")]
     none = test.sparkSession.createDataFrame([], METRICS_SCHEMA)
     if model is None:
         return none
     try:
+        model = model() if callable(model) else model
         rows = scored(model, test, [F.col(label).alias("label")])
         found = metrics.class_metrics(rows.withColumn("model", F.lit("champion")), ["model"]).select(*names).collect()  # one row
     except Exception:  # noqa: BLE001  a champion that cannot be scored is no champion
@@ -205,16 +149,20 @@ def champion_metrics(model: PipelineModel | None, test: DataFrame, label: str) -
     return test.sparkSession.createDataFrame(found, METRICS_SCHEMA)
 
 
+IMPORTANCE_SCHEMA = "feature string, importance double, message string"
+
+
 def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """Importances, or coefficients of a linear model, by output name, largest first."""
+    """Importances, or coefficients of a linear model, by output name, largest first; a message for other models."""
     names = model.stages[0].output_names()
     last = model.stages[-1]
-    if hasattr(last, "featureImportances"):
+    if hasattr(last, "importances"):
+        values = last.importances()
+    elif hasattr(last, "featureImportances"):
         values = last.featureImportances.toArray()
     elif hasattr(last, "coefficients"):
         values = last.coefficients.toArray()
     else:
-        return spark.createDataFrame([], "feature string, importance double")
-    rows = [(n, float(v)) for n, v in zip(names, values)]
-    out = spark.createDataFrame(rows, "feature string, importance double")
-    return out.select("feature", F.round("importance", 5).alias("importance")).orderBy(F.desc("importance"), "feature")
+        return spark.createDataFrame([(None, None, fixed.NO_IMPORTANCE)], IMPORTANCE_SCHEMA)
+    out = spark.createDataFrame([(n, float(v), None) for n, v in zip(names, values)], IMPORTANCE_SCHEMA)
+    return out.withColumn("importance", F.round("importance", 5)).orderBy(F.desc("importance"), "feature")

@@ -6,11 +6,9 @@ that table, so nothing is recomputed from the raw source and lost executors cost
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,7 +75,7 @@ def run(
     label: str,
     grids: Mapping[str, Mapping] = fixed.PARAMETER_GRIDS,
     contract: contracts.Contract | None = None,
-    champion: PipelineModel | None = None,
+    champion: PipelineModel | Callable[[], PipelineModel] | None = None,
     folds: int = fixed.N_FOLDS,
     draws: int = 1,
     parallelism: int = 8,
@@ -86,24 +84,14 @@ def run(
     """Train every candidate on the stored training part, measure it on the validation part and
     decide on the test part.
 
-    ``parallelism`` bounds the fits that run side by side; each of them keeps its own copy of
-    the training rows on the executors, so lower it when those do not fit.
+    ``parallelism`` bounds the encoders that are fitted side by side.
     """
     fit_rows, validation_rows, test_rows = (readers.read_part(spark, path, p) for p in ("train", "validation", "test"))
     fit_rows = deal(fit_rows)
     checks = gate(fit_rows.drop("fold", *skip), contract) if contract else None
     numeric, categorical = cleaning.feature_groups(fit_rows, exclude=[label, "fold", *skip], both=True)
     encoders = train.fit_encoders(fit_rows, list(grids), numeric, categorical, "fold", folds, parallelism)
-    lanes = max(1, min(len(grids), parallelism))
-
-    def one(item):
-        name, grid = item
-        return train.train_candidate(
-            fit_rows, name, grid, encoders, label, folds=folds, draws=draws, parallelism=max(1, parallelism // lanes)
-        )
-
-    with ThreadPool(lanes) as pool:
-        candidates = pool.map(inheritable_thread_target(spark)(one), list(grids.items()))
+    candidates = train.search(fit_rows, grids, encoders, label, folds=folds, draws=draws)
     validation = train.evaluate(candidates, validation_rows, label)
     result = train.evaluate(candidates, test_rows, label)
     current = train.champion_metrics(champion, test_rows, label)

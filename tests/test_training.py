@@ -75,5 +75,5 @@ def test_draws_are_reproducible():
     grid = fixed.PARAMETER_GRIDS["random_forest"]
     assert train.draw_parameters(grid, 3) == train.draw_parameters(grid, 3)
     assert len(train.draw_parameters({"a": [1, 2]}, 9)) == 2
-    for name, g in fixed.PARAMETER_GRIDS.items():
-        assert train.classifier(name, train.draw_parameters(g, 1)[0], 100, "y") is not None
+    for g in fixed.PARAMETER_GRIDS.values():
+        assert len(train.draw_parameters(g, 1)) == 1
