@@ -10,7 +10,7 @@ from tabwarden.functions import sizing
 from tabwarden.operators import profile
 from tabwarden.operators.clean import CleanSpec
 from tabwarden.operators.contract import from_dict
-from tabwarden.streaming import jobs
+from tabwarden.streaming import jobs, windows
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 DELAY = "1 hour"
@@ -69,14 +69,14 @@ def stream_score_dlq(spark, d):
 
 
 def stream_cooldown(spark, d):
-    """The verdict history as a stream through the stateful cooldown."""
+    """The verdict history as a stream through the cooldown: healthy verdicts, and drift that the watermark has passed."""
     verdicts = verdict_history(spark, d)
     path = sizing.run_dir(spark, "verdicts")
     verdicts.write.parquet(path)
     stream = spark.readStream.schema(verdicts.schema).parquet(path)
     out, checkpoint = jobs.folders(verdicts, "cooldown")
-    jobs.run_to_end(jobs.append_job(jobs.cooldown_actions(stream, "monitor", "at", "drifted"), out, checkpoint))
-    return spark.read.parquet(f"{out}/batch=*").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    jobs.run_to_end(jobs.append_job(jobs.cooldown_actions(stream, "monitor", "at", "drifted", DELAY), out, checkpoint, rocksdb=True))
+    return spark.read.parquet(f"{out}/batch=*").withColumn("at", windows.wall_time(F.col("at")))
 
 
 QUERIES = {f.__name__: f for f in (stream_windows, stream_drift, stream_score_dlq, stream_cooldown)}
@@ -106,5 +106,6 @@ ORACLES = {
         SELECT event_id, CASE WHEN n_errors = 0 THEN 'scored' ELSE 'dead' END AS branch, n_errors FROM e""",
     "stream_cooldown": f"""WITH RECURSIVE {HISTORY_SQL}, {FIRES_SQL}
         SELECT monitor, h."at", CASE WHEN NOT drifted THEN 'healthy' WHEN f."at" IS NULL THEN 'suppressed' ELSE 'fire' END AS action
-        FROM history h LEFT JOIN (SELECT DISTINCT monitor, "at" FROM fires) f USING (monitor, "at")""",
+        FROM history h LEFT JOIN (SELECT DISTINCT monitor, "at" FROM fires) f USING (monitor, "at")
+        WHERE NOT drifted OR h."at" <= (SELECT max("at") FROM history) - INTERVAL 1 HOUR""",
 }

@@ -7,11 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from tabwarden import fixed
 from tabwarden.functions import sizing
@@ -25,9 +24,22 @@ def batch_path(path: str, batch_id: int) -> str:
     return f"{path}/batch={batch_id}"
 
 
-def start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, rocksdb: bool = False) -> StreamingQuery:
+    """Start a query; a query keeps the settings of its start, so the session's store setting is put back."""
+    conf = stream.sparkSession.conf
+    before = conf.get(_STORE, None)
+    if rocksdb:
+        conf.set(_STORE, _ROCKSDB)
+    try:
+        writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        return writer.trigger(availableNow=True).start()
+    finally:
+        if rocksdb:
+            conf.unset(_STORE) if before is None else conf.set(_STORE, before)
 
 
 def run_to_end(query: StreamingQuery) -> None:
@@ -99,38 +111,67 @@ def scoring_job(
     return start(stream, handle, checkpoint)
 
 
-def cooldown_actions(verdicts: DataFrame, monitor: str, at: str, drifted: str, days: int = fixed.COOLDOWN_DAYS) -> DataFrame:
-    """Stateful cooldown on a stream of verdicts: state is the last fired time per monitor.
+class _Cooldown(StatefulProcessor):
+    """Holds drift times until the watermark has passed them, then decides in order of time.
+
+    State of a monitor: the last fired time, and the times that wait, by their millisecond. A timer stands
+    at each of these, so state is bounded by the watermark's delay.
+    """
 
-    Verdicts are one row per monitor and window. Healthy ones pass through; only the times of
-    drift in one micro-batch are held and put in order.
+    def __init__(self, days: int):
+        self.pause = days * 86_400_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "us bigint")
+        self.waiting = handle.getMapState("waiting", "ms bigint", "us array<bigint>")
+
+    def _row(self, key, us: int, action: str) -> Row:
+        return Row(monitor=key[0], us=us, action=action)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        held: dict[int, list[int]] = {}
+        for row in rows:
+            if row["drifted"]:
+                held.setdefault(-(-row["us"] // 1000), []).append(row["us"])
+            else:
+                yield self._row(key, row["us"], "healthy")
+        for ms, times in held.items():
+            if self.waiting.containsKey((ms,)):
+                times = [*self.waiting.getValue((ms,))[0], *times]
+            else:
+                self.handle.registerTimer(ms)
+            self.waiting.updateValue((ms,), (times,))
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        ms = expiredTimerInfo.getExpiryTimeInMs()
+        last = self.last.get()[0] if self.last.exists() else None
+        for us in sorted(self.waiting.getValue((ms,))[0]):
+            cooling = last is not None and us < last + self.pause
+            last = last if cooling else us
+            yield self._row(key, us, "suppressed" if cooling else "fire")
+        self.last.update((last,))
+        self.waiting.removeKey((ms,))
+
+    def close(self) -> None:
+        pass
+
+
+def cooldown_actions(verdicts: DataFrame, monitor: str, at: str, drifted: str, delay: str = "1 hour", days: int = fixed.COOLDOWN_DAYS) -> DataFrame:
+    """Cooldown on a stream of verdicts, one row per monitor and window, which may come late by ``delay``.
+
+    Healthy verdicts pass through; drift is decided, in order of time, once the watermark has passed it.
+    Needs the RocksDB state store: start it with ``append_job(…, rocksdb=True)``.
     """
-    pause = pd.Timedelta(days=days)
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        held = []
-        for frame in frames:
-            bad = frame[drifted].eq(True)
-            held.append(frame.loc[bad, at])
-            yield pd.DataFrame({monitor: key[0], at: frame.loc[~bad, at].to_numpy(), "action": "healthy"})
-        times = pd.concat(held).sort_values()
-        actions = []
-        for t in times:
-            cooling = last is not None and t < last + pause
-            actions.append("suppressed" if cooling else "fire")
-            last = last if cooling else t
-        if last is not None:
-            state.update((int(last.value // 1000),))
-        yield pd.DataFrame({monitor: key[0], at: times.to_numpy(), "action": actions})
-
-    schema = f"{monitor} string, {at} timestamp, action string"
-    grouped = verdicts.select(F.col(monitor).cast("string").alias(monitor), F.col(at).cast("timestamp").alias(at), drifted).groupBy(monitor)
-    return grouped.applyInPandasWithState(step, schema, "last_us bigint", "append", GroupStateTimeout.NoTimeout)
-
-
-def append_job(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    return start(stream, lambda df, i: df.write.mode("overwrite").parquet(batch_path(out, i)), checkpoint)
+    timed = windows.event_time(verdicts, at).select(F.col(monitor).cast("string").alias("monitor"), F.col(at).cast("timestamp").alias("at"), F.coalesce(drifted, F.lit(False)).alias("drifted"))
+    timed = timed.where("at IS NOT NULL").withWatermark("at", delay).withColumn("us", F.unix_micros("at"))
+    processor = _Cooldown(days)
+    decided = timed.groupBy("monitor").transformWithState(processor, "monitor string, us bigint, action string", "append", "EventTime")
+    return decided.select(F.col("monitor").alias(monitor), F.timestamp_micros("us").alias(at), "action")
+
+
+def append_job(stream: DataFrame, out: str, checkpoint: str, rocksdb: bool = False) -> StreamingQuery:
+    return start(stream, lambda df, i: df.write.mode("overwrite").parquet(batch_path(out, i)), checkpoint, rocksdb)
 
 
 def folders(df: DataFrame, name: str) -> tuple[str, str]:

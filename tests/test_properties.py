@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tabwarden.functions import ordered
-from tabwarden.operators import drift, encode, fingerprint, labels, metrics, percentiles, profile, registry, split
+from tabwarden.operators import drift, encode, fingerprint, labels, metrics, percentiles, profile, registry, split, trigger
 
 
 @pytest.fixture(scope="module")
@@ -241,3 +241,23 @@ def test_encoder_holds_many_categories(spark):
     probe = spark.createDataFrame([(1.0, "v000007"), (2.0, "unseen"), (3.0, None)], "x double, c string")
     vectors = [r["features"] for r in model.transform(probe).orderBy("x").collect()]
     assert [(v.size, v.indices.tolist()) for v in vectors] == [(50_001, [0, 8]), (50_001, [0]), (50_001, [0])]
+
+
+def test_replay_is_a_walk(spark):
+    """Pointers reach what a walk in order of time fires, over long histories, with NULLs and repeats."""
+    rng = random.Random(9)
+    begin, rows = datetime(2024, 1, 1), []
+    for name, n, span in (("a", 300, 9000), (None, 40, 400), ("b", 60, 60_000), ("c", 1, 1)):
+        rows += [(name, "x" if k % 2 else None, begin + timedelta(minutes=rng.randrange(span)), rng.choice([True, True, False, None])) for k in range(n)]
+    rows += [rows[0], rows[0], ("a", "x", None, True), ("a", "x", None, False)]
+    want = []
+    for key in {r[:2] for r in rows}:
+        last = None
+        for _, _, at, bad in sorted((r for r in rows if r[:2] == key), key=lambda r: (r[2] is None, r[2] or begin)):
+            fire = bool(bad) and at is not None and (last is None or at >= last + timedelta(days=1))
+            last = at if fire else last
+            want.append((*key, at, "fire" if fire else "suppressed" if bad else "healthy"))
+    df = spark.createDataFrame(rows, "monitor string, part string, at timestamp, drifted boolean")
+    got = [tuple(r) for r in trigger.replay(df, ["monitor", "part"]).select("monitor", "part", "at", "action").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and sum(x[3] == "fire" for x in want) > 30
+    assert trigger.replay(df.where("part = 'none'"), ["monitor"]).count() == 0
