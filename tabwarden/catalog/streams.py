@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabwarden.catalog import frames as fr
+from tabwarden.catalog import profiling
 from tabwarden.catalog.lifecycle import FIRES_SQL, HISTORY_SQL, verdict_history
 from tabwarden.functions import sizing
 from tabwarden.operators import profile
@@ -54,6 +55,31 @@ def stream_drift(spark, d):
     return spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
 
 
+def stream_window_drift(spark, d):
+    """Closed daily windows, each judged against the day before it."""
+    out, checkpoint = jobs.folders(fr.table(spark, d, "events"), "window-drift")
+    jobs.run_to_end(
+        jobs.window_drift_job(_stream(spark, d), "ts", ["event_type"], ["value"], "1 day", None, "1 DAY", DELAY, out, f"{checkpoint}-state", checkpoint)
+    )
+    return spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
+
+
+def stream_labelled_predictions(spark, d):
+    """Purchases and errors as late labels of the last view of the same user within a day."""
+    kinds = F.col("event_type")
+    facts = _stream(spark, d).where(kinds.isin("purchase", "error")).select("user_id", "ts", "event_id", (kinds == "purchase").cast("int").alias("label"))
+    views = _stream(spark, d).where(kinds == "view").select("user_id", "ts", F.least(F.col("value") / 100.0, F.lit(1.0)).alias("p"))
+    out, checkpoint = jobs.folders(fr.table(spark, d, "events"), "labelled")
+    joined = jobs.labelled_predictions(facts, views, ["user_id"], "ts", "p", "1 DAY", DELAY)
+    jobs.run_to_end(jobs.append_job(joined, out, checkpoint))
+    return spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
+
+
+def stream_unmatched_labels(spark, d):
+    """Labels of either class that found no prediction."""
+    return stream_labelled_predictions(spark, d).groupBy("label").agg(F.count(F.lit(1)).alias("n_labels"), F.count_if(~F.col("matched")).alias("n_unmatched"))
+
+
 def stream_score_dlq(spark, d):
     """Micro-batches validated and scored by a formula; both branches side by side."""
     base = sizing.run_dir(spark, "stream-scoring")
@@ -79,8 +105,12 @@ def stream_cooldown(spark, d):
     return spark.read.parquet(f"{out}/batch=*").withColumn("at", windows.wall_time(F.col("at")))
 
 
-QUERIES = {f.__name__: f for f in (stream_windows, stream_drift, stream_score_dlq, stream_cooldown)}
+QUERIES = {f.__name__: f for f in (stream_windows, stream_drift, stream_score_dlq, stream_cooldown, stream_window_drift, stream_labelled_predictions, stream_unmatched_labels)}
 
+_LABELLED = """l AS (SELECT user_id, ts, event_id, (event_type = 'purchase')::INTEGER AS label FROM events WHERE event_type IN ('purchase', 'error')),
+  v AS (SELECT user_id, ts, least(value / 100.0::DOUBLE, 1.0::DOUBLE) AS p FROM events WHERE event_type = 'view'),
+  joined AS (SELECT l.*, arg_max(v.p, v.ts) AS p, count(v.ts) > 0 AS matched FROM l LEFT JOIN v ON l.user_id = v.user_id AND v.ts <= l.ts AND v.ts >= l.ts - INTERVAL 1 DAY GROUP BY ALL),
+  closed AS (SELECT * FROM joined WHERE ts <= least((SELECT max(ts) FROM l), (SELECT max(ts) FROM v)) - INTERVAL 1 HOUR - INTERVAL 1 DAY)"""
 _CLOSED = "window_start + INTERVAL {size} DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
 
 ORACLES = {
@@ -104,6 +134,9 @@ ORACLES = {
         UNION ALL SELECT window_start, 'value', 'numerical', 'relative_mean_shift', score, score > 0.1 FROM shift""",
     "stream_score_dlq": """WITH e AS (SELECT event_id, ((value < 1)::INT + (value > 200)::INT + (event_type = 'error')::INT)::INTEGER AS n_errors FROM events)
         SELECT event_id, CASE WHEN n_errors = 0 THEN 'scored' ELSE 'dead' END AS branch, n_errors FROM e""",
+    "stream_window_drift": f"SELECT * FROM ({profiling.ORACLES['window_over_window_drift']}) WHERE {_CLOSED.format(size=1)}",
+    "stream_labelled_predictions": f"WITH {_LABELLED} SELECT * FROM closed",
+    "stream_unmatched_labels": f"WITH {_LABELLED} SELECT label, count(*) AS n_labels, count(*) FILTER (NOT matched) AS n_unmatched FROM closed GROUP BY label",
     "stream_cooldown": f"""WITH RECURSIVE {HISTORY_SQL}, {FIRES_SQL}
         SELECT monitor, h."at", CASE WHEN NOT drifted THEN 'healthy' WHEN f."at" IS NULL THEN 'suppressed' ELSE 'fire' END AS action
         FROM history h LEFT JOIN (SELECT DISTINCT monitor, "at" FROM fires) f USING (monitor, "at")

@@ -91,6 +91,66 @@ def drift_job(
     return start(stats, judge, checkpoint)
 
 
+def window_drift_job(
+    stream: DataFrame,
+    at: str,
+    categorical: Sequence[str],
+    numeric: Sequence[str],
+    size: str,
+    slide: str | None,
+    step: str,
+    watermark: str,
+    out: str,
+    state: str,
+    checkpoint: str,
+) -> StreamingQuery:
+    """Judge every closed window against the one ``step`` before it, once.
+
+    State is the statistics of the windows that later ones are compared with: those less than ``step``
+    older than the last closed one, as a table a micro-batch. A batch that runs again reads the table of
+    the batch before it and overwrites its own.
+    """
+    stats = windows.windowed_stats(stream, at, categorical, numeric, size, slide, watermark)
+
+    def judge(df: DataFrame, batch_id: int) -> None:
+        closed = sizing.cut_lineage(df, "closed-windows")
+        known = closed.withColumn("_new", F.lit(True))
+        if batch_id:
+            before = df.sparkSession.read.schema(closed.schema).parquet(batch_path(state, batch_id - 1))
+            known = known.unionByName(before.withColumn("_new", F.lit(False)))
+        known = sizing.cut_lineage(known, "known-windows")
+        verdicts = windows.drift_against_previous(known.drop("_new"), step)
+        fresh = known.where("_new").select("window_start").distinct()
+        verdicts.join(F.broadcast(fresh), "window_start", "left_semi").write.mode("overwrite").parquet(batch_path(out, batch_id))  # a row a window
+        last = known.agg(F.max("window_start") - F.expr(f"INTERVAL {step}")).scalar()
+        known.drop("_new").where(F.col("window_start") > last).write.mode("overwrite").parquet(batch_path(state, batch_id))
+
+    return start(stats, judge, checkpoint)
+
+
+def labelled_predictions(
+    labels: DataFrame, predictions: DataFrame, key: Sequence[str], at: str, value: str, interval: str, delay: str
+) -> DataFrame:
+    """A stream of labels, each with the latest ``value`` of its key in the ``interval`` up to it, or NULL.
+
+    The streams are joined on key and interval; either side is kept until the watermark says that nothing
+    can match it any more, and a label comes out once, when its interval is closed. Each of the two may come
+    late by ``delay``. A label without a key or without a prediction comes out with NULL and
+    ``matched = false``; labels without a time are no events and are left out.
+    """
+    of_label = list(labels.columns)
+    facts = windows.event_time(labels, at).withWatermark(at, delay)
+    known = windows.event_time(predictions, at).withWatermark(at, delay)
+    known = known.select(*[F.col(k).alias(f"_{k}") for k in key], F.col(at).alias("_at"), F.struct(F.col(value).alias("v")).alias("_v"))
+    near = (F.col("_at") <= F.col(at)) & (F.col("_at") >= F.col(at) - F.expr(f"INTERVAL {interval}"))
+    for k in key:
+        near = near & (F.col(k) == F.col(f"_{k}"))
+    joined = facts.join(known, near, "leftOuter")
+    latest = joined.groupBy(*of_label).agg(F.max_by("_v", "_at").alias("_v"))
+    when = windows.wall_time(F.col(at)) if windows.zone_less(labels, at) else F.col(at)
+    return latest.select(*[when.alias(c) if c == at else c for c in of_label], F.col("_v.v").alias(value), F.col("_v").isNotNull().alias("matched"))
+
+
 def scoring_job(
     stream: DataFrame,
     contract: Contract,

@@ -14,7 +14,7 @@ from tabwarden.operators import drift
 
 def event_time(df: DataFrame, at: str) -> DataFrame:
     """Zone-less times as UTC instants, whatever the session zone: watermarks need instants."""
-    if not _zone_less(df, at):
+    if not zone_less(df, at):
         return df
     return df.withColumn(at, F.from_utc_timestamp(F.col(at).cast("timestamp"), F.current_timezone()))
 
@@ -24,7 +24,7 @@ def wall_time(c: Column) -> Column:
     return F.to_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz")
 
 
-def _zone_less(df: DataFrame, at: str) -> bool:
+def zone_less(df: DataFrame, at: str) -> bool:
     return isinstance(df.schema[at].dataType, T.TimestampNTZType)
 
 
@@ -65,7 +65,7 @@ def windowed_stats(
         frame = F.window(at, size, slide) if slide else F.window(at, size)
         grouped = long.groupBy(frame.alias("w"), *keys).agg(*counts)
     start, end = F.col("w.start"), F.col("w.end")
-    if watermark and _zone_less(df, at):
+    if watermark and zone_less(df, at):
         start, end = wall_time(start), wall_time(end)
     return grouped.select(start.alias("window_start"), end.alias("window_end"), *keys, "n", "total")
 

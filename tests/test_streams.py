@@ -1,7 +1,9 @@
 """Streams give what the batch gives, and re-running a batch changes nothing."""
 
+import time
 from datetime import datetime, timedelta
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabwarden.catalog import streams
@@ -94,3 +96,49 @@ def test_csv_batches_land_once(spark, tmp_path):
     run()
     assert sorted(r["k"] for r in spark.read.parquet(f"{base}/scored/batch=*").collect()) == ["a", "d", "e"]
     assert sorted(r["k"] for r in spark.read.parquet(f"{base}/dead/batch=*").collect()) == ["b", "c"]
+
+
+def parts_in_order(spark, sf, n=6):
+    """The events as ``n`` files in order of time, each with a few rows that belong to the file before it."""
+    path = sizing.run_dir(spark, "parts")
+    events = spark.read.parquet(f"{sf}/events.parquet").withColumn("r", F.ntile(n).over(Window.orderBy(F.col("ts") + F.when(F.col("event_id") % 9 == 0, F.expr("INTERVAL 2 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS")))))
+    for k in range(1, n + 1):
+        events.where(F.col("r") == k).drop("r").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.02)  # files are read in order of their time
+    return path
+
+
+def stream_of(spark, path):
+    return spark.readStream.schema(streams.EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_window_drift_over_many_batches(spark, sf):
+    path = parts_in_order(spark, sf)
+    out, checkpoint = jobs.folders(spark.range(1), "drift-test")
+    jobs.run_to_end(jobs.window_drift_job(stream_of(spark, path), "ts", ["event_type"], ["value"], "2 days", "1 day", "2 DAYS", "3 hours", out, f"{checkpoint}-state", checkpoint))
+    events = spark.read.parquet(path)
+    end = events.agg(F.max("ts") - F.expr("INTERVAL 3 HOURS")).scalar()
+    batch = windows.drift_against_previous(windows.windowed_stats(events, "ts", ["event_type"], ["value"], "2 days", "1 day"), "2 DAYS")
+    want = batch.where(F.col("window_start") + F.expr("INTERVAL 2 DAYS") <= end)
+    got = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
+    key = lambda d: sorted(map(tuple, d.select(F.col("window_start").cast("string"), "feature", "score", "is_drifted").collect()))
+    assert key(got) == key(want) and len(key(want)) > 20 and got.select("batch").distinct().count() > 2
+
+
+def test_late_labels_over_many_batches(spark, sf):
+    path = parts_in_order(spark, sf)
+    wide = stream_of(spark, path).withColumn("user_id", F.when(F.col("event_id") % 7 > 0, F.col("user_id") % 5))
+    facts = wide.where("event_type IN ('purchase', 'error')").select("user_id", "ts", "event_id")
+    views = wide.where("event_type = 'view'").select("user_id", "ts", F.when(F.col("event_id") % 4 > 0, F.col("value")).alias("p"))
+    out, checkpoint = jobs.folders(spark.range(1), "labels-test")
+    joined = jobs.labelled_predictions(facts, views, ["user_id"], "ts", "p", "5 HOURS", "3 hours")
+    jobs.run_to_end(jobs.append_job(joined, out, checkpoint))
+    got = {r["event_id"]: (r["ts"], r["p"], r["matched"]) for r in spark.read.parquet(f"{out}/batch=*").collect()}
+    rows = [(r["event_id"], r["event_type"], r["ts"], None if r["event_id"] % 7 == 0 else r["user_id"] % 5, r["value"] if r["event_id"] % 4 else None) for r in spark.read.parquet(path).collect()]
+    end = min(max(t for _, kind, t, *_ in rows if kind in kinds) for kinds in (("purchase", "error"), ("view",))) - timedelta(hours=8)
+    want = {}
+    for i, kind, at, user, _ in rows:
+        if kind in ("purchase", "error") and at <= end:
+            near = [(t, p) for _, k, t, u, p in rows if k == "view" and u is not None and u == user and at - timedelta(hours=5) <= t <= at]
+            want[i] = (at, max(near, key=lambda x: x[0])[1] if near else None, bool(near))
+    assert got == want and len({x[2] for x in want.values()}) == 2 and any(x[2] and x[1] is None for x in want.values())
