@@ -42,8 +42,8 @@ END_ID = 1
 #: Ids in a block at least (the last document is never cut), ids between checkpoints, longest code.
 BLOCK_IDS, STRIDE, LIMIT = 1 << 16, 256, 18
 _READ_BLOCKS = 16
-#: Text tokenized in one step.
-TOKENIZE_BYTES = 12 << 20
+#: Text tokenized in one step, and words whose ids are laid out at once.
+TOKENIZE_BYTES, EXPAND_WORDS = 12 << 20, 1 << 18
 
 BLOCK_SCHEMA = "part int, seq int, local_start bigint, n_ids bigint, doc_ids array<bigint>, n_tokens array<bigint>, checkpoints array<bigint>, payload binary"
 
@@ -62,7 +62,7 @@ class WordCoder:
     pre-tokenizer are spared for ASCII and Latin letters. What may hold an added token stays whole.
     """
 
-    KEEP = 500_000
+    KEEP = 250_000
     _LATIN = "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
 
     def __init__(self, path: str):
@@ -159,10 +159,17 @@ def _document_ids(texts, coder: WordCoder) -> list[bytes]:
     begins, sizes = (np.cumsum(sizes) - sizes)[piece_at], sizes[piece_at]
     table = np.frombuffer(b"".join(known), "<u4")[words.ragged(begins, sizes)]  # the ids of each distinct word
     sizes = sizes.reshape(-1, 2).sum(axis=1)
-    per_word = sizes[at]
-    ids = table[words.ragged((np.cumsum(sizes) - sizes)[at], per_word)]
-    upto = np.concatenate([[0], np.cumsum(per_word)])[np.concatenate([[0], np.cumsum(counts)])]
-    return [ids[a:b].tobytes() + end for a, b in zip(upto[:-1], upto[1:])]
+    begins, ends = np.cumsum(sizes) - sizes, np.concatenate([[0], np.cumsum(counts)])
+    out, first = [], 0
+    while first < len(counts):  # the ids of a few documents at a time
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + EXPAND_WORDS, side="right")) - 1)
+        word = at[ends[first] : ends[last]]
+        per_word = sizes[word]
+        ids = table[words.ragged(begins[word], per_word)]
+        upto = np.concatenate([[0], np.cumsum(per_word)])[ends[first : last + 1] - ends[first]]
+        out += [ids[a:b].tobytes() + end for a, b in zip(upto[:-1], upto[1:])]
+        first = last
+    return out
 
 
 def id_type(tokenizer: str) -> str:
