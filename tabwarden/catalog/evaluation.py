@@ -18,6 +18,15 @@ def class_metrics(spark, d):
     return metrics.class_metrics(fr.scored_documents(spark, d), MODEL)
 
 
+def class_metrics_null_scores(spark, d):
+    """Scores and labels missing, and a model without a name: such rows are counted apart."""
+    i = F.col("doc_id")
+    rows = fr.scored_documents(spark, d).withColumns({
+        "label": F.when(i % 13 > 0, F.col("label")), "p": F.when(i % 7 > 0, F.col("p")), "model": F.when(F.col("model") != "middle", F.col("model"))
+    })
+    return metrics.class_metrics(rows, MODEL)
+
+
 def roc_auc(spark, d):
     return metrics.roc_auc(fr.scored_documents(spark, d), MODEL)
 
@@ -78,7 +87,7 @@ def registry_version_metrics(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        confusion_by_model, class_metrics, roc_auc, average_precision, log_loss, threshold_predictions, fold_scores,
+        confusion_by_model, class_metrics, class_metrics_null_scores, roc_auc, average_precision, log_loss, threshold_predictions, fold_scores,
         rank_candidates, select_candidate, champion_decision, lineage_evaluate, registry_version_metrics,
     )
 }
@@ -125,8 +134,14 @@ ORACLES = {
         SELECT model, r.recall, r.precision, f1 FROM rates r JOIN best ON best_model = model""",
     "confusion_by_model": f"{_BY_MODEL} SELECT model, tn, fp, fn, tp FROM cells",
     "class_metrics": f"""{_BY_MODEL}, {_AUC}, {_AP}, {_LL}
-        SELECT model, n_samples, tn, fp, fn, tp, accuracy, precision, recall, f1, 0.5::DOUBLE AS threshold, roc_auc, pr_auc, log_loss
+        SELECT model, n_samples, 0::BIGINT AS n_unscored, tn, fp, fn, tp, accuracy, precision, recall, f1, 0.5::DOUBLE AS threshold, roc_auc, pr_auc, log_loss
         FROM rates JOIN auc USING (model) JOIN ap USING (model) JOIN ll USING (model)""",
+    "class_metrics_null_scores": f"""WITH {fr.SCORED_SQL.replace('scored AS (', 'every AS (', 1)},
+        holes AS (SELECT CASE WHEN doc_id % 13 > 0 THEN label END AS label, CASE WHEN doc_id % 7 > 0 THEN p END AS p, CASE model WHEN 'middle' THEN '~' ELSE model END AS model FROM every),
+        scored AS (SELECT * FROM holes WHERE label IS NOT NULL AND p IS NOT NULL), {fr.CONFUSION_SQL.format(by='model')}, {_AUC}, {_AP}, {_LL},
+        lost AS (SELECT model, count(*) FILTER (label IS NULL OR p IS NULL) AS n_unscored FROM holes GROUP BY model)
+        SELECT nullif(model, '~') AS model, n_samples, n_unscored, tn, fp, fn, tp, accuracy, precision, recall, f1, 0.5::DOUBLE AS threshold, roc_auc, pr_auc, log_loss
+        FROM rates JOIN auc USING (model) JOIN ap USING (model) JOIN ll USING (model) JOIN lost USING (model)""",
     "roc_auc": f"WITH {fr.SCORED_SQL}, {_AUC} SELECT * FROM auc",
     "average_precision": f"WITH {fr.SCORED_SQL}, {_AP} SELECT * FROM ap",
     "log_loss": f"WITH {fr.SCORED_SQL}, {_LL} SELECT * FROM ll",

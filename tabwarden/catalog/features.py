@@ -51,6 +51,13 @@ def one_hot_tree(spark, d):
     return _one_hot(spark, d, False)
 
 
+def one_hot_null_and_nan(spark, d):
+    """A missing segment and the text ``nan`` are two categories with an output each."""
+    k, segment = F.col("c_custkey"), F.col("c_mktsegment")
+    frame = fr.table(spark, d, "customer").select("c_custkey", F.when(k % 5 == 1, "nan").when(k % 5 > 1, segment).alias("segment"))
+    return encode.one_hot_rows(frame, ["c_custkey"], ["segment"], encode.fit_categories(frame, ["segment"]), False)
+
+
 def encoder_metadata(spark, d):
     return encode.cardinality(encode.fit_categories(fr.churn(spark, d), fr.CATEGORICAL))
 
@@ -62,7 +69,7 @@ def encoder_outputs(spark, d):
 
 QUERIES = {
     f.__name__: f
-    for f in (feature_groups, impute_median, impute_scale, one_hot_linear, one_hot_tree, encoder_metadata, encoder_outputs)
+    for f in (feature_groups, impute_median, impute_scale, one_hot_linear, one_hot_tree, one_hot_null_and_nan, encoder_metadata, encoder_outputs)
 }
 
 _LONG = fr.CHURN_SQL + """, long AS (
@@ -93,6 +100,8 @@ ORACLES = {
     "impute_scale": f"WITH {fr.CHURN_SQL}, {_MED} SELECT c_custkey, {', '.join(_scale(c) for c in fr.NUMERIC)} FROM churn, med",
     "one_hot_linear": f"WITH {_CATS} SELECT c_custkey, feature || '_' || category AS output, 1.0::DOUBLE AS value FROM long JOIN kept USING (feature, category)",
     "one_hot_tree": f"WITH {_CATS} SELECT c_custkey, feature || '_' || category AS output, 1.0::DOUBLE AS value FROM long JOIN cats USING (feature, category)",
+    "one_hot_null_and_nan": """SELECT c_custkey, 'segment_' || CASE c_custkey % 5 WHEN 0 THEN 'nan' WHEN 1 THEN '''nan''' ELSE c_mktsegment END AS output,
+        1.0::DOUBLE AS value FROM customer""",
     "encoder_metadata": f"WITH {_ALL_CATS} SELECT feature, count(*) AS categories, count(*) - 1 AS linear_outputs, count(*) AS tree_outputs FROM cats GROUP BY feature",
     "encoder_outputs": f"WITH {_ALL_CATS} SELECT 1 AS block, feature, feature || '_' || category AS output FROM kept UNION ALL "
     + " UNION ALL ".join(f"SELECT 0, '{c}', '{c}' FROM (SELECT count(*) FROM churn)" for c in fr.NUMERIC),

@@ -37,6 +37,13 @@ def csv_reordered_batch(spark, d):
     return readers.read_batch(spark, path, "c_custkey bigint, c_mktsegment string, c_acctbal double")
 
 
+def csv_first_file(spark, d):
+    """A folder with a file a segment, of which the alphabetically first is the batch."""
+    path = sizing.run_dir(spark, "first-file")
+    fr.table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment").repartition("c_mktsegment").write.partitionBy("c_mktsegment").option("header", True).csv(path)
+    return readers.read_csv(spark, path, "c_custkey bigint, c_acctbal double", first_file=True)
+
+
 def csv_null_tokens(spark, d):
     """Every missing token in turn as segment, and one text that only looks like a token."""
     path = sizing.run_dir(spark, "tokens")
@@ -168,7 +175,7 @@ def union_documents(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_window_flatten, io_roundtrip, csv_reordered_batch, csv_null_tokens, batch_missing_column, report_roundtrip, load_overwrite_append, split_part_train,
+        scan_window_flatten, io_roundtrip, csv_reordered_batch, csv_first_file, csv_null_tokens, batch_missing_column, report_roundtrip, load_overwrite_append, split_part_train,
         clean_customer_train, clean_customer_score, dedupe_rows, dedupe_on_key, duplicate_count, dataset_fingerprint,
         stratified_sample, stratified_split, stratified_folds, split_counts, target_distribution, class_gate, union_documents,
     )
@@ -188,6 +195,7 @@ _ORDERS = _RANKED.format(key="o_orderkey", stratum="o_orderstatus", seed=42, sou
 _CHURN = fr.CHURN_SQL + ", " + _RANKED.format(key="c_custkey", stratum="churn", seed=42, source="churn")
 
 ORACLES = {
+    "csv_first_file": "SELECT c_custkey, c_acctbal FROM customer WHERE c_mktsegment = (SELECT min(c_mktsegment) FROM customer)",
     "union_documents": """SELECT event_id, event_type, CASE WHEN event_type IN ('view', 'click') THEN value END AS value,
         CASE WHEN event_type NOT IN ('view', 'click') THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k FROM events""",
     "scan_window_flatten": f"""SELECT event_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k

@@ -35,6 +35,16 @@ def labelled_predictions(spark, d):
     return _joined(spark, d)
 
 
+def labelled_predictions_null_keys(spark, d):
+    """The same with users and times missing on either side: no label is lost."""
+    e = fr.table(spark, d, "events")
+    i = F.col("event_id")
+    e = e.withColumn("user_id", F.when(i % 5 > 0, F.col("user_id"))).withColumn("ts", F.when(i % 11 > 0, F.col("ts")))
+    facts = e.where(F.col("event_type").isin("purchase", "error")).select("user_id", "ts", "event_id")
+    history = e.where("event_type = 'view'").select("user_id", "ts", F.col("value").alias("p"))
+    return lab.latest_before(facts, history, ["user_id"], "ts", "p")
+
+
 def delayed_label_performance(spark, d):
     known = _joined(spark, d).where("p IS NOT NULL").withColumn("model", F.lit("live"))
     rates = metrics.rates(metrics.confusion(known, ["model"]))
@@ -50,7 +60,7 @@ def curated_set(spark, d):
 
 
 QUERIES = {
-    f.__name__: f for f in (new_labels, label_counts, labelled_predictions, delayed_label_performance, curated_set)
+    f.__name__: f for f in (new_labels, label_counts, labelled_predictions, labelled_predictions_null_keys, delayed_label_performance, curated_set)
 }
 
 _NEW = "SELECT l.doc_id, quality, toxic FROM labels l WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en')"
@@ -62,6 +72,12 @@ ORACLES = {
     "new_labels": _NEW,
     "label_counts": f"SELECT count(*) AS unprocessed_labels, (SELECT count(*) FROM labels) AS all_labels FROM ({_NEW})",
     "labelled_predictions": f"WITH {_JOINED} SELECT * FROM joined",
+    "labelled_predictions_null_keys": """WITH e AS (SELECT event_id, event_type, value, CASE WHEN event_id % 5 > 0 THEN user_id ELSE -1 END AS u, CASE WHEN event_id % 11 > 0 THEN ts END AS ts FROM events),
+        h AS (SELECT u, ts, value AS p FROM e WHERE event_type = 'view' AND ts IS NOT NULL),
+        f AS (SELECT u, ts, event_id FROM e WHERE event_type IN ('purchase', 'error')),
+        j AS (SELECT f.u, f.ts, event_id, p FROM (SELECT * FROM f WHERE ts IS NOT NULL) f ASOF LEFT JOIN h ON f.u = h.u AND f.ts >= h.ts
+          UNION ALL SELECT u, ts, event_id, NULL FROM f WHERE ts IS NULL)
+        SELECT nullif(u, -1) AS user_id, ts, event_id, p FROM j""",
     "delayed_label_performance": f"""WITH {_JOINED}, scored AS (SELECT 'live' AS model, label, p FROM joined WHERE p IS NOT NULL),
         {fr.CONFUSION_SQL.format(by='model')} SELECT model, tn, fp, fn, tp, accuracy, precision, recall, f1, f1 < 0.5::DOUBLE AS retraining_required FROM rates""",
     "curated_set": """SELECT text_md5, doc_id, quality, toxic FROM (

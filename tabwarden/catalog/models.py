@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tabwarden.catalog import frames as fr
 from tabwarden.functions import sizing
 from tabwarden.operators import lineage, metrics, score, train
 from tabwarden.operators.clean import CleanSpec
-from tabwarden.operators.contract import from_dict
+from tabwarden.operators.contract import from_dict, load
 from tabwarden.plans import training
 from tabwarden.sources import readers, writers
 
@@ -28,6 +30,8 @@ CONTRACT = from_dict(
     }
 )
 
+CUSTOMERS = load(str(Path(__file__).resolve().parents[2] / "contracts" / "customers.yaml"))
+
 _runs: dict[tuple[str, str], training.TrainingRun] = {}
 
 
@@ -36,7 +40,7 @@ def _run(spark, d) -> training.TrainingRun:
     at = (spark.sparkContext.applicationId, d)
     if at not in _runs:
         path = training.prepare(fr.churn(spark, d), CleanSpec(), fr.LABEL, [fr.KEY])
-        _runs[at] = training.run(path, spark, fr.LABEL, skip=[fr.KEY])
+        _runs[at] = training.run(path, spark, fr.LABEL, contract=CUSTOMERS, skip=[fr.KEY])
     return _runs[at]
 
 
@@ -46,6 +50,21 @@ def training_folds(spark, d):
     return stored.groupBy("split", fr.LABEL, "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
+def training_gate(spark, d):
+    """The training rows against their YAML contract, which let the run begin."""
+    return _run(spark, d).checks.withColumn("details", F.concat_ws("; ", "details"))
+
+
+def made_up_keys(spark, d):
+    """A batch without a key column is logged under fresh ids, one a row."""
+    rows = fr.churn(spark, d).drop(fr.KEY).withColumn("p", F.lit(0.25))
+    at = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    path = sizing.run_dir(spark, "made-up-keys")
+    writers.append_log(score.prediction_log(rows, F.lit("req-1"), F.lit("v1"), at, FEATURES, fr.KEY), path)
+    key = F.col("prediction_output.key")
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys"), F.max(F.length(key)).alias("key_length"))
+
+
 def _checked(measured):
     """Counts of a metrics table that SQL can repeat, and whether its rates follow from them."""
     rates = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
@@ -176,7 +195,7 @@ def foreign_model(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        training_folds, train_candidates, validation_metrics, cv_summary, lineage_train, training_decision, feature_importance, champion_metrics, score_batch, foreign_model,
+        training_folds, training_gate, made_up_keys, train_candidates, validation_metrics, cv_summary, lineage_train, training_decision, feature_importance, champion_metrics, score_batch, foreign_model,
         candidate_metrics, fold_recalls, importances, decision_figures,
     )
 }
@@ -199,6 +218,14 @@ def _measured(part: str) -> str:
 
 ORACLES = {
     "training_folds": f"WITH {_PARTS} SELECT split, churn, fold, count(*) AS n FROM parts GROUP BY ALL",
+    "training_gate": f"""WITH {_PARTS}, s AS (SELECT min(c_acctbal) AS low, max(n_orders) AS high FROM parts WHERE split = 'train')
+        SELECT 'c_acctbal' AS "column", CASE WHEN low < 100 THEN 'warning' ELSE 'pass' END AS status, CASE WHEN low < 100 THEN 'Observed min below expected min' ELSE '' END AS details FROM s
+        UNION ALL SELECT 'n_orders', CASE WHEN high > 8 THEN 'warning' ELSE 'pass' END, CASE WHEN high > 8 THEN 'Observed max above expected max' ELSE '' END FROM s
+        UNION ALL SELECT 'avg_price', 'warning', 'Invalid dtype ''double'', expected semantic type ''integer''' FROM s
+        UNION ALL SELECT 'phone', 'warning', 'Missing optional column' FROM s
+        UNION ALL SELECT 'last_priority', 'warning', 'Unexpected column not defined in reference schema' FROM s
+        UNION ALL SELECT name, 'pass', '' FROM s, (VALUES ('total_price'), ('c_mktsegment'), ('n_name'), ('churn')) AS v(name)""",
+    "made_up_keys": f"WITH {fr.CHURN_SQL} SELECT count(*) AS n_rows, count(*) AS n_keys, 36 AS key_length FROM churn",
     "train_candidates": _measured("test"),
     "validation_metrics": _measured("validation"),
     "cv_summary": f"WITH {_PARTS} SELECT model, params, true AS mean_in_range, true AS std_in_range FROM drawn",

@@ -52,25 +52,25 @@ def running_totals(
     each task sums one (group, bucket), and a table with one row per (group, bucket) carries the
     sums of the buckets before. The number of buckets follows the session's shuffle partitions.
     """
-    by = list(by)
+    group = F.struct(*by) if by else F.lit(0)  # equal where its cells are, NULLs too
     direction = F.col(order).desc() if descending else F.col(order).asc()
     if buckets is None:
         buckets = PIECES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = value_bucket(df, order, buckets)
+    cut = value_bucket(df, order, buckets).withColumn("_group", group)
     bucket_dir = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    before = Window.partitionBy(*by).orderBy(bucket_dir).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_group").orderBy(bucket_dir).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        cut.groupBy(*by, "_bucket")
+        cut.groupBy("_group", "_bucket")
         .agg(*[F.sum(src).alias(f"_sum_{src}") for src in totals])
         .select(
-            *by,
+            "_group",
             "_bucket",
             *[F.coalesce(F.sum(f"_sum_{src}").over(before), F.lit(0)).alias(f"_before_{src}") for src in totals],
         )
     )
-    inside = Window.partitionBy(*by, "_bucket").orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_group", "_bucket").orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumns({name: F.sum(src).over(inside) for src, name in totals.items()})
-    joined = local.join(offsets, [*by, "_bucket"])
+    joined = local.join(offsets, ["_group", "_bucket"])
     return joined.withColumns({name: F.col(name) + F.col(f"_before_{src}") for src, name in totals.items()}).drop(
-        "_bucket", *[f"_before_{src}" for src in totals]
+        "_group", "_bucket", *[f"_before_{src}" for src in totals]
     )

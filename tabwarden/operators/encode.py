@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -16,8 +17,20 @@ from pyspark.sql import functions as F
 
 from tabwarden.operators.percentiles import exact_percentiles
 
-#: Name of the category that stands for a missing value; it sorts last.
+#: Name of the category that stands for a missing value; it sorts last. A text that reads so is quoted.
 MISSING = "nan"
+_QUOTED = f"^('*{MISSING}'*)$"
+
+
+def category(column: str) -> Column:
+    """A cell as the name of its category: missing cells and the text ``nan`` are two categories."""
+    text = F.col(f"`{column}`").cast("string")
+    return F.coalesce(F.regexp_replace(text, _QUOTED, "'$1'"), F.lit(MISSING))
+
+
+def unquoted(name: str) -> str:
+    """The text behind the name of a category."""
+    return name[1:-1] if re.fullmatch(f"'('*{MISSING}'*)'", name) else name
 
 
 def fit_numeric(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, float]]:
@@ -64,12 +77,13 @@ def impute_and_scale(df: DataFrame, columns: Sequence[str], fits: dict[str, dict
 
 def fit_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature, category)``: the distinct values of each column, the missing one included."""
-    text = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in columns])
+    text = df.select(*[category(c).alias(c) for c in columns])
     return text.unpivot([], list(columns), "feature", "category").distinct()
 
 
 def _sort_key() -> Column:
-    return F.struct((F.col("category") == MISSING).alias("last"), F.col("category").alias("category"))
+    text = F.regexp_replace("category", f"^'('*{MISSING}'*)'$", "$1")
+    return F.struct((F.col("category") == MISSING).alias("last"), text.alias("text"), F.col("category").alias("category"))
 
 
 def encoded_categories(categories: DataFrame, drop_first: bool) -> DataFrame:
@@ -89,7 +103,7 @@ def one_hot_rows(df: DataFrame, key: Sequence[str], columns: Sequence[str], cate
     the all-zeros encoding.
     """
     outputs = encoded_categories(categories, drop_first)
-    text = df.select(*key, *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in columns])
+    text = df.select(*key, *[category(c).alias(c) for c in columns])
     long = text.unpivot(list(key), list(columns), "feature", "category")
     return long.join(outputs, ["feature", "category"]).select(
         *key, F.concat_ws("_", "feature", "category").alias("output"), F.lit(1.0).alias("value")
@@ -143,7 +157,7 @@ class TabularEncoder(Estimator, _EncoderParams, DefaultParamsReadable, DefaultPa
         for r in kept.collect():  # a name per output of the model, which holds them anyway
             levels[r["feature"]].append(r["category"])
         for c in categorical:
-            levels[c].sort(key=lambda v: (v == MISSING, v))
+            levels[c].sort(key=lambda v: (v == MISSING, unquoted(v)))
         # A column without any value has no median and gives no output.
         fits = {c: f for c, f in fit_numeric(dataset, numeric).items() if f["median"] is not None}
         model = TabularEncoderModel()
@@ -187,7 +201,7 @@ class TabularEncoderModel(Model, _EncoderParams, DefaultParamsReadable, DefaultP
         wide = dataset.select("*", *[c.alias(n) for c, n in zip(cells, names)])
         marks = [f"{i}:{v}" for i, values in enumerate(fit["levels"].values()) for v in values]
         if marks:
-            held = [F.concat(F.lit(f"{i}:"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(MISSING))) for i, c in enumerate(fit["levels"])]
+            held = [F.concat(F.lit(f"{i}:"), category(c)) for i, c in enumerate(fit["levels"])]
             one_hot = CountVectorizerModel.from_vocabulary(marks, inputCol="_marks", outputCol="_one_hot")
             wide = one_hot.setBinary(True).transform(wide.withColumn("_marks", F.array(*held))).drop("_marks")
             names.append("_one_hot")

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tabwarden import fixed
 from tabwarden.functions import sizing, trees
-from tabwarden.operators.encode import MISSING, TabularEncoderModel
+from tabwarden.operators.encode import TabularEncoderModel, category
 
 #: Bins of a numeric column, rows of a block, rows that one task may hold, outputs of a logistic regression.
 BINS, BLOCK_ROWS, TASK_ROWS, WIDEST = 64, 1 << 15, 200_000, 2_000
@@ -92,7 +92,7 @@ def store(train: DataFrame, encoder: TabularEncoderModel, label: str, fold: str)
     edges = [sorted(set(bounds[f"q{i}"])) for i in range(len(numeric))]
     table = Table(numeric, list(levels), edges, list(levels.values()), bounds["rows"])
     cells = [F.col(f"`{c}`").cast("double").alias(f"n{i}") for i, c in enumerate(numeric)]
-    cells += [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(MISSING)).alias(f"c{i}") for i, c in enumerate(levels)]
+    cells += [category(c).alias(f"c{i}") for i, c in enumerate(levels)]
     wide = train.select(*cells, F.col(label).cast("int").alias("y"), F.col(fold).cast("int").alias("fold"))
     wide = wide.withColumn("h", F.xxhash64(*wide.columns))
 

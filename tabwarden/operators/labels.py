@@ -21,8 +21,13 @@ def latest_before(
     No pairs are built. Both sides are stacked and cut into (key, time bucket) pieces, so a
     key that holds a third of all rows is spread over its buckets; a table with one row per
     piece carries the last value into the pieces after it.
+
+    NULL is a key like any other. A fact without a time keeps its row and gets no value; history
+    without a time is at no time.
     """
     key = list(key)
+    timeless = facts.where(F.col(at).isNull())
+    facts, history = facts.where(F.col(at).isNotNull()), history.where(F.col(at).isNotNull())
     # The history value is wrapped, so that its NULL differs from "no history".
     h = history.select(*key, at, F.struct(F.col(value).alias("v")).alias("_h"), F.lit(None).alias("_f"), F.lit(0).alias("_side"))
     f = facts.select(
@@ -32,19 +37,21 @@ def latest_before(
     h = h.withColumn("_f", F.lit(None).cast(f.schema["_f"].dataType))
     f = f.withColumn("_h", F.lit(None).cast(h.schema["_h"].dataType))
     both = f.select(*key, at, "_h", "_f", "_side").unionByName(h).withColumn("_b", F.date_trunc(bucket, F.col(at)).cast("timestamp"))
+    both = both.withColumn("_k", F.struct(*key)).drop(*key)  # equal where its cells are, NULLs too
 
-    inside = Window.partitionBy(*key, "_b").orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_k", "_b").orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
     local = both.withColumn("_local", F.last("_h", ignorenulls=True).over(inside)).where("_side = 1")
 
-    before = Window.partitionBy(*key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        both.groupBy(*key, "_b")
+        both.groupBy("_k", "_b")
         .agg(F.max_by("_h", F.when(F.col("_h").isNotNull(), F.col(at))).alias("_end"))
         .withColumn("_carry", F.last("_end", ignorenulls=True).over(before))
         .drop("_end")
     )
-    joined = local.join(carry, [*key, "_b"])
-    return joined.select(*key, at, "_f.*", F.coalesce("_local", "_carry")["v"].alias(value))
+    joined = local.join(carry, ["_k", "_b"])
+    found = joined.select("_k.*", at, "_f.*", F.coalesce("_local", "_carry")["v"].alias(value))
+    return found.unionByName(timeless.select(*found.columns[:-1], F.lit(None).cast(found.schema[value].dataType).alias(value)))
 
 
 def performance_gate(metrics: DataFrame, min_f1: float) -> DataFrame:

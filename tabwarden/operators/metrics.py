@@ -1,4 +1,8 @@
-"""Classification metrics over scored rows, grouped by model."""
+"""Classification metrics over scored rows, grouped by model.
+
+One rule for all of them: a row counts if its score is a number and its label is 0 or 1. Other rows
+are in no metric; ``class_metrics`` says how many there are. A NULL group is a group like any other.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwarden import fixed
-from tabwarden.functions import cells, stats
+from tabwarden.functions import cells, sizing, stats
 from tabwarden.functions.ordered import running_totals
 
 
@@ -16,6 +20,11 @@ def predicted(p: Column, threshold: float = fixed.DECISION_THRESHOLD) -> Column:
     return (p >= threshold).cast("int")
 
 
+def counts(label: Column, p: Column) -> Column:
+    """Whether a row enters the metrics."""
+    return F.coalesce(label.isin(0, 1) & ~F.isnan(p.cast("double")) & p.isNotNull(), F.lit(False))
+
+
 def confusion_cells(label: Column, yhat: Column) -> list[Column]:
     return [
         F.count_if((label == 0) & (yhat == 0)).alias("tn"),
@@ -28,7 +37,8 @@ def confusion_cells(label: Column, yhat: Column) -> list[Column]:
 def confusion(
     scored: DataFrame, by: Sequence[str], label: str = "label", p: str = "p", threshold: float = fixed.DECISION_THRESHOLD
 ) -> DataFrame:
-    return scored.groupBy(*by).agg(*confusion_cells(F.col(label), predicted(F.col(p), threshold)))
+    known = F.when(counts(F.col(label), F.col(p)), F.col(p))
+    return scored.groupBy(*by).agg(*confusion_cells(F.col(label), predicted(known, threshold)))
 
 
 def rates(counts: DataFrame) -> DataFrame:
@@ -45,10 +55,16 @@ def rates(counts: DataFrame) -> DataFrame:
 
 
 def score_counts(scored: DataFrame, by: Sequence[str], label: str = "label", p: str = "p") -> DataFrame:
-    """One row per distinct score: positives and negatives. Ties collapse before any order."""
-    return scored.groupBy(*by, F.col(p).alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
+    """One row per distinct score: positives and negatives. Ties collapse before any order.
+
+    Rows that do not count share a row without a score. The table is stored, as it is read several
+    times and far smaller than its input: one scan of the input for all that follows.
+    """
+    known = counts(F.col(label), F.col(p))
+    table = scored.groupBy(*by, F.when(known, F.col(p)).alias("score")).agg(
+        F.count_if(known & (F.col(label) == 1)).alias("pos"), F.count_if(known & (F.col(label) == 0)).alias("neg"), F.count_if(~known).alias("unscored")
     )
+    return sizing.cut_lineage(table, "score-counts")
 
 
 def roc_auc(scored: DataFrame, by: Sequence[str], label: str = "label", p: str = "p") -> DataFrame:
@@ -70,7 +86,8 @@ def average_precision(scored: DataFrame, by: Sequence[str], label: str = "label"
 
 
 def log_loss(scored: DataFrame, by: Sequence[str], label: str = "label", p: str = "p") -> DataFrame:
-    return scored.groupBy(*by).agg(F.round(F.avg(stats.log_loss_term(F.col(label), F.col(p))), 6).alias("log_loss"))
+    known = counts(F.col(label), F.col(p))
+    return scored.groupBy(*by).agg(F.round(F.avg(F.when(known, stats.log_loss_term(F.col(label), F.col(p)))), 6).alias("log_loss"))
 
 
 def class_metrics(
@@ -83,7 +100,8 @@ def class_metrics(
     """Every metric in one row per model, from one shuffle on (model, score).
 
     Rows collapse to one per distinct score. Confusion counts, log loss and both areas are all
-    functions of that smaller table, so the input is read and shuffled once.
+    functions of that smaller table, so the input is read and shuffled once. ``n_samples`` are the
+    rows that count, ``n_unscored`` the others.
     """
     counted = score_counts(scored, by, label, p).withColumn("n", F.col("pos") + F.col("neg"))
     ranked = running_totals(counted, by, "score", {"pos": "ctp", "n": "cn"}, descending=True)
@@ -94,6 +112,7 @@ def class_metrics(
     passed_neg = F.col("cn") - F.col("ctp")
     out = ranked.groupBy(*by).agg(
         F.sum("n").alias("n_samples"),
+        F.sum("unscored").alias("n_unscored"),
         F.sum(F.when(hit, zero).otherwise(neg)).alias("tn"),
         F.sum(F.when(hit, neg).otherwise(zero)).alias("fp"),
         F.sum(F.when(hit, zero).otherwise(pos)).alias("fn"),

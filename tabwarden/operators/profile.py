@@ -196,6 +196,8 @@ def baseline_report(
     """
     if not df.columns:
         raise ValueError("baseline of a frame without columns")
+    if df.isEmpty():
+        raise ValueError("baseline of no rows")
     if target:
         _require(df, target)
     keep = [c for c in df.columns if c not in exclude]

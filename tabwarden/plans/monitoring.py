@@ -37,7 +37,7 @@ def against_stored(
 ) -> MonitoringRun:
     """Drift of live rows against a stored baseline report.
 
-    No live rows is an error: an empty window says nothing about drift. A feature whose type has
+    No live rows is an error: an empty window says nothing about drift, and has no baseline. A feature whose type has
     changed between the two sides is drifted, by the metric ``type_changed``.
     """
     if live.isEmpty():

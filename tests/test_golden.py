@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwarden.functions import cells, stats
-from tabwarden.operators import clean, contract, decide, drift, metrics, percentiles, registry, rules, score, trigger
+from tabwarden.operators import clean, contract, decide, drift, encode, labels, metrics, percentiles, registry, rules, score, trigger
 from tabwarden.operators.profile import baseline_report, column_profile, numeric_summary
 from tabwarden.plans import monitoring, training
 from tabwarden.sources import readers, writers
@@ -304,3 +304,42 @@ def test_load_counts(spark, tmp_path):
     assert writers.load_table(df.limit(0), str(tmp_path / "t"), replace=False) == 0
     assert writers.load_table(df.limit(3), str(tmp_path / "t")) == 3
     assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+
+
+def test_rows_without_a_score_or_label_are_counted_apart(spark):
+    rows = [("m", 0.9, 1), ("m", 0.2, 0), ("m", None, 1), ("m", float("nan"), 0), ("m", 0.7, None), (None, 0.6, 1), ("none", None, 1)]
+    df = spark.createDataFrame(rows, "model string, p double, label int")
+    got = {r["model"]: r for r in metrics.class_metrics(df, ["model"]).collect()}
+    assert [got["m"][c] for c in ("n_samples", "n_unscored", "tn", "fp", "fn", "tp", "recall", "roc_auc")] == [2, 3, 1, 0, 0, 1, 1.0, 1.0]
+    assert got["m"]["log_loss"] == pytest.approx(0.164252, abs=1e-6) and got[None]["tp"] == 1 and got["none"]["n_samples"] == 0
+    again = {r["model"]: tuple(r)[1:] for r in metrics.confusion(df, ["model"]).collect()}
+    assert again == {k: (r["tn"], r["fp"], r["fn"], r["tp"]) for k, r in got.items()}
+    assert {r["model"]: r["log_loss"] for r in metrics.log_loss(df, ["model"]).collect()} == {k: r["log_loss"] for k, r in got.items()}
+    for one, name in ((metrics.roc_auc, "roc_auc"), (metrics.average_precision, "pr_auc")):
+        assert {r["model"]: r[name] for r in one(df, ["model"]).collect()} == {k: r[name] for k, r in got.items()}
+
+
+def test_no_fact_is_lost(spark):
+    day = "timestamp_ntz'2024-01-0{}'".format
+    facts = spark.sql(f"SELECT * FROM VALUES (1, {day(3)}, 'a'), (NULL, {day(3)}, 'b'), (1, NULL, 'c'), (NULL, NULL, 'd'), (2, {day(1)}, 'e') AS t(k, at, name)")
+    history = spark.sql(f"SELECT * FROM VALUES (1, {day(2)}, 10), (NULL, {day(1)}, 20), (1, NULL, 30), (NULL, NULL, 40), (2, {day(2)}, 50) AS t(k, at, v)")
+    got = labels.latest_before(facts, history, ["k"], "at", "v")
+    assert got.columns == ["k", "at", "name", "v"]
+    assert {r["name"]: r["v"] for r in got.collect()} == {"a": 10, "b": 20, "c": None, "d": None, "e": None}
+
+
+def test_a_missing_cell_is_not_the_text_nan(spark):
+    df = spark.createDataFrame([("nan",), (None,), ("'nan'",), ("a",), ("a",)], "c string")
+    model = encode.TabularEncoder(numericCols=["x"], categoricalCols=["c"]).fit(df.withColumn("x", F.lit(0.0)))
+    assert model.output_names() == ["x", "c_''nan''", "c_a", "c_'nan'", "c_nan"] and model.for_linear().output_names() == ["x", "c_a", "c_'nan'", "c_nan"]
+    vectors = [tuple(r["features"].toArray()) for r in model.transform(df.withColumn("x", F.lit(0.0))).collect()]
+    assert len(set(vectors)) == 4 and all(sum(v) == 1 for v in vectors)
+    hot = encode.one_hot_rows(df.withColumn("k", F.monotonically_increasing_id()), ["k"], ["c"], encode.fit_categories(df, ["c"]), True)
+    assert sorted(r["output"] for r in hot.collect()) == ["c_'nan'", "c_a", "c_a", "c_nan"]
+
+
+def test_a_baseline_needs_rows(spark):
+    df = spark.createDataFrame([(1.0, "a")], "x double, c string")
+    with pytest.raises(ValueError, match="no rows"):
+        baseline_report(df.limit(0))
+    assert baseline_report(df).count() > 0
