@@ -360,3 +360,26 @@ def test_equal_hashes_are_told_apart(monkeypatch):
 def test_digest_of_nothing(spark):
     row = superkmer.dedup(table(spark, [None])).select(F.sha2("kept_text", 256).alias("s")).first()
     assert row["s"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_samples_are_bounded_when_ids_repeat(spark, monkeypatch):
+    """One id, or none, behind most rows: the training samples stay bounded, and every language is learned."""
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 20)
+    monkeypatch.setattr(pairwise_quality, "SAMPLE_DOCS", 20)
+    hot = next(i for i in range(9) if not spark.sql(f"SELECT crc32('{i}') % 3 = 1").first()[0])
+    rows = [(hot if i % 3 else None, f"the words of text {i} number {i * i}" if i % 2 else f"la palabra {i} del texto {i * i}", "en" if i % 2 else "es") for i in range(900)]
+    rows += [(hot, "one and the same", "en")] * 600
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda passages: seen.append(passages))
+    language.learn(docs)
+    assert {lang for lang, _ in seen[0]} == {"en", "es"} and all(sum(x[0] == lang for x in seen[0]) <= 20 for lang in ("en", "es"))
+    monkeypatch.setattr(pairwise_quality, "fit", lambda x, good, share: seen.append(x))
+    pairwise_quality.learn(docs, spark.createDataFrame([(hot, 1), (hot, 0), (hot, 1)], "doc_id bigint, quality int"))
+    assert 10 < len(seen[1]) < 200
+
+
+def test_numbered_control_strings_are_broken(spark):
+    text = "<|reserved_special_token_0|> [INST] <|im_end|>"
+    made = spark.range(1).select(chat_trees.escape(F.lit(text)).alias("e")).select("e", chat_trees.unescape(F.col("e")).alias("u")).first()
+    assert "<|reserved" not in made["e"] and made["u"] == text
