@@ -187,15 +187,19 @@ def fit(passages: list[tuple[str, str]], seed: int = 7, updates: int = UPDATES)
 
 
 def learn(docs: DataFrame) -> Network:
-    """Network of the labelled rows that are not held out, from a bounded sample."""
+    """Network of the labelled rows that are not held out, from a bounded sample.
+
+    Rows are picked by the hash of their id and text, and equal rows are one, so the sample is bounded
+    whichever id or text is repeated how often.
+    """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
-    rows = rows.select("lang", "doc_id", "text", F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("sample")), 1).alias("h"))
+    rows = rows.select("lang", "doc_id", "text", F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit("sample")), 1).alias("h"))
     counts = dict(rows.groupBy("lang").count().collect())  # one row per language
     if not counts:
         return Network([])
     share = F.element_at(F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, min(1.0, 1.5 * SAMPLE_DOCS / n + 50 / n))]), F.col("lang"))
     at = (F.pmod("h", F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))) + 1).cast("int")
-    picked = rows.where(F.col("h") / float(1 << 63) < share).select("lang", "h", F.col("text").substr(at, F.lit(SAMPLE_CHARS)).alias("passage")).collect()
+    picked = rows.where(F.col("h") / float(1 << 63) < share).select("lang", "h", F.col("text").substr(at, F.lit(SAMPLE_CHARS)).alias("passage")).distinct().collect()
     found: dict[str, list] = {}
     for r in sorted(picked, key=lambda r: (r["lang"], r["h"], r["passage"])):
         found.setdefault(r["lang"], []).append((r["lang"], r["passage"]))
