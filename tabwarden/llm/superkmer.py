@@ -67,7 +67,9 @@ def blocks(docs: DataFrame) -> DataFrame:
 def _joined(flat: pa.Array, counts: np.ndarray) -> pa.Array:
     """One string per row of the ragged words."""
     ends = np.concatenate([[0], np.cumsum(counts)])
-    if len(flat) and ends[-1] < 1 << 31:
+    if ends[-1] >= 1 << 31:
+        raise ValueError("a block of 2**31 words or more")
+    if len(flat):
         return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), _SPACE)
     return pa.array([""] * len(counts))
 
