@@ -32,7 +32,7 @@ from tabwarden.functions import sizing
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: What is broken inside texts: an opening character, then one of these bodies.
-CONTROL = r"\|[A-Za-z_]+\|>|/?s>|/?INST\]|</?SYS>>|/SYS>>|SYS>>"
+CONTROL = r"\|[A-Za-z0-9_]+\|>|/?s>|/?INST\]|</?SYS>>|/SYS>>|SYS>>"
 _BREAK, _MEND = rf"([<\[])(\\*)({CONTROL})", rf"([<\[])\\(\\*)({CONTROL})"
 
 
