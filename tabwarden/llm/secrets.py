@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwarden.llm import words
@@ -44,6 +44,7 @@ _MIXED = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])|(?=.*[a-z])(?=.*[A-Z])")
 AROUND, PIECE, NOVELTY = 128, 32, 0.8
 LEVEL = 19
 DICTIONARY_WORDS, WORD_DOCS = 4096, 3
+_SLICES = 32
 #: Words of program text and settings.
 CODE_WORDS = (
     "abstract access account address array async authorization await backend base64 basic bearer boolean bucket build byte cache callback "
@@ -113,7 +114,10 @@ def identifiers(docs: DataFrame, most: int = DICTIONARY_WORDS) -> list[str]:
     """The words of most documents, rarest first; never a word of fewer than ``WORD_DOCS`` documents."""
     each = docs.where("text IS NOT NULL").select(F.explode(F.array_distinct(F.split("text", "[^A-Za-z_]+", -1))).alias("word"))
     counted = each.where(F.length("word") >= 4).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= WORD_DOCS)
-    return [r["word"] for r in reversed(counted.orderBy(F.desc("n"), "word").limit(most).collect())]
+    # The first of each of a few slices, then the first of these: what is gathered does not grow with the tasks.
+    rank = F.row_number().over(Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(_SLICES))).orderBy(F.desc("n"), "word"))
+    first = counted.withColumn("rank", rank).where(F.col("rank") <= most)
+    return [r["word"] for r in reversed(first.orderBy(F.desc("n"), "word").limit(most).collect())]
 
 
 def _joined(spans: list[tuple[int, int, str]]) -> str:
