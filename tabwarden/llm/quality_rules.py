@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
-#: A line fails ``navigation`` with this many separators, or with any and no longer word run between them.
+#: A line fails ``navigation`` if it holds two of these separators.
 NAVIGATION = r"(\||»|•)[^|»•]*(\||»|•)"
 #: A line fails ``punctuation`` if it holds this many doubled marks after words, or closes no sentence.
 DOUBLED = r"([!?#*$%&]{2,}[^!?#*$%&]*){3}"
