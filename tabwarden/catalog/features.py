@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabwarden.catalog import frames as fr
+from tabwarden.functions import sizing
 from tabwarden.operators import clean, encode
 
 
@@ -31,7 +32,7 @@ def impute_median(spark, d):
 
 
 def impute_scale(spark, d):
-    frame = fr.churn(spark, d).select(fr.KEY, *fr.NUMERIC)
+    frame = sizing.cut_lineage(fr.churn(spark, d).select(fr.KEY, *fr.NUMERIC), "churn")
     fits = encode.fit_numeric(frame, fr.NUMERIC)
     scaled = encode.impute_and_scale(frame, fr.NUMERIC, fits)
     return scaled.withColumns({c: F.round(c, 6) for c in fr.NUMERIC})

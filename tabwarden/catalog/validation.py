@@ -40,7 +40,8 @@ ASOF = "2024-01-31 00:00:00"
 
 
 def _checks(spark, d):
-    return contract.check_profile(profile.column_profile(fr.churn(spark, d)), CHURN_CONTRACT)
+    stored = sizing.cut_lineage(fr.churn(spark, d), "churn")
+    return contract.check_profile(profile.column_profile(stored), CHURN_CONTRACT)
 
 
 def contract_check(spark, d):

@@ -15,7 +15,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwarden.operators.percentiles import exact_percentiles
+from tabwarden.operators.percentiles import percentiles_and
 
 #: Name of the category that stands for a missing value; it sorts last. A text that reads so is quoted.
 MISSING = "nan"
@@ -37,14 +37,14 @@ def fit_numeric(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, fl
     """Median, and mean and population deviation after imputation, per column.
 
     Imputation adds copies of the median, so both follow from the moments of the present
-    values: no pass over imputed rows.
+    values: no pass over imputed rows, and two scans in all.
     """
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.var_pop(v).alias(f"v{i}")]
-    row = df.agg(*aggs).first()
-    medians = {r["feature"]: r["median"] for r in exact_percentiles(df, columns, {"median": 0.5}).collect()}
+    points, row = percentiles_and(df, columns, {"median": 0.5}, aggs)
+    medians = {r["feature"]: r["median"] for r in points.collect()}
     fits = {}
     for i, c in enumerate(columns):
         n, rows, mid = row[f"n{i}"], row["rows"], medians[c]

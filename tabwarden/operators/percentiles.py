@@ -1,9 +1,9 @@
 """Exact interpolated percentiles at any size.
 
 The built-in ``percentile`` keeps a map of all distinct values in one task. Here a sketch first
-brackets every wanted rank; then rows below each
-bracket are counted and the values inside are counted, cut into slices and sorted slice by
-slice. Two passes after the sketch, and only values near a wanted rank are shuffled.
+brackets every wanted rank; then one scan counts the rows below each bracket and the values inside,
+which are stored, cut into slices and sorted slice by slice. The input is scanned twice, and only
+values near a wanted rank are shuffled. Other statistics can ride along with the sketch.
 """
 
 from __future__ import annotations
@@ -11,9 +11,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 
+from tabwarden.functions import sizing
+
 #: The sketch is off by at most 1/ACCURACY of the rows; brackets are twice as wide.
 ACCURACY = 1000
 SLICES = 1024
@@ -21,42 +23,44 @@ SLICES = 1024
 WIDE_ROWS = 50 * ACCURACY
 
 
-def _brackets(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float]) -> list[tuple]:
-    """``(id, feature, prob, lo, hi, rank, frac)`` of every wanted point that has values."""
+def _brackets(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], others: Sequence[Column]) -> tuple[list[tuple], Row]:
+    """``(id, feature, prob, lo, hi, rank, frac)`` of every wanted point that has values, and the other aggregates."""
     slack = 2.0 / ACCURACY
     lows = [max(p - slack, 0.0) for p in probs.values()]
     highs = [min(p + slack, 1.0) for p in probs.values()]
-    stats = []
+    stats = list(others)
     for i, name in enumerate(columns):
         c = F.col(name).cast("double")
-        stats += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"a{i}"), F.max(c).alias(f"b{i}")]
-        stats.append(F.percentile_approx(c, lows + highs, ACCURACY).alias(f"q{i}"))
+        stats += [F.count(c).alias(f"_n{i}"), F.min(c).alias(f"_a{i}"), F.max(c).alias(f"_b{i}")]
+        stats.append(F.percentile_approx(c, lows + highs, ACCURACY).alias(f"_q{i}"))
     row = df.agg(*stats).first()
     out = []
     for i, name in enumerate(columns):
-        n = row[f"n{i}"]
+        n = row[f"_n{i}"]
         if not n:
             continue
         for j, (prob, p) in enumerate(probs.items()):
             narrow = n > WIDE_ROWS
-            lo = row[f"q{i}"][j] if narrow and lows[j] > 0 else row[f"a{i}"]
-            hi = row[f"q{i}"][j + len(probs)] if narrow and highs[j] < 1 else row[f"b{i}"]
+            lo = row[f"_q{i}"][j] if narrow and lows[j] > 0 else row[f"_a{i}"]
+            hi = row[f"_q{i}"][j + len(probs)] if narrow and highs[j] < 1 else row[f"_b{i}"]
             place = float(p) * (n - 1)
             out.append((len(out), name, prob, float(lo), float(hi), math.floor(place), place - math.floor(place)))
-    return out
+    return out, row
 
 
 def exact_percentiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
-    """One row per column: ``feature`` and one DOUBLE per entry of ``probs``.
+    """One row per column: ``feature`` and one DOUBLE per entry of ``probs``. Both scans run when this is called."""
+    return percentiles_and(df, columns, probs, [])[0]
+
 
-    The input is sketched by a job of its own when this is called.
-    """
+def percentiles_and(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], others: Sequence[Column]) -> tuple[DataFrame, Row]:
+    """``exact_percentiles``, and other aggregates of the same rows from the first of the two scans."""
     spark = df.sparkSession
-    brackets = _brackets(df, columns, probs)
+    brackets, row = _brackets(df, columns, probs, others)
     # Columns times probabilities: as many rows as the caller wrote down.
     every = spark.createDataFrame([(c,) for c in columns], "feature string")
     if not brackets:
-        return every.select("feature", *[F.lit(None).cast("double").alias(p) for p in probs])
+        return every.select("feature", *[F.lit(None).cast("double").alias(p) for p in probs]), row
     table = F.broadcast(
         spark.createDataFrame(brackets, "id int, feature string, prob string, lo double, hi double, rank bigint, frac double")
     )
@@ -64,10 +68,8 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str,
     def value(name: str) -> Column:
         return F.col(name).cast("double")
 
-    below = df.agg(*[F.count_if(value(name) < lo).alias(f"_{i}") for i, name, _, lo, *_ in brackets])
-    below = below.select(
-        F.inline(F.array(*[F.struct(F.lit(i).alias("id"), F.col(f"_{i}").alias("below")) for i, *_ in brackets]))
-    )
+    seen = Observation()
+    watched = df.observe(seen, *[F.count_if(value(name) < lo).alias(f"_{i}") for i, name, _, lo, *_ in brackets])
     inside = [value(name).between(lo, hi) for _, name, _, lo, hi, *_ in brackets]
     any_inside = inside[0]
     for hit in inside[1:]:
@@ -77,7 +79,9 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str,
             *[F.when(hit, F.struct(F.lit(b[0]).alias("id"), value(b[1]).alias("value"))) for hit, b in zip(inside, brackets)]
         )
     )
-    counted = df.where(any_inside).select(F.inline(hits)).groupBy("id", "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = watched.where(any_inside).select(F.inline(hits)).groupBy("id", "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = sizing.cut_lineage(counted, "percentiles")
+    below = spark.createDataFrame([(i, seen.get[f"_{i}"]) for i, *_ in brackets], "id int, below bigint")
     width = F.col("hi") - F.col("lo")
     piece = F.when(width <= 0, 0).otherwise(
         F.least(F.floor((F.col("value") - F.col("lo")) / width * SLICES), F.lit(SLICES - 1))
@@ -110,4 +114,4 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str,
     point = F.col("a") + (F.coalesce(F.col("b"), F.col("a")) - F.col("a")) * F.col("frac")
     points = pairs.select("id", point.alias("v")).join(table, "id")
     wide = points.groupBy("feature").agg(*[F.max(F.when(F.col("prob") == p, F.col("v"))).alias(p) for p in probs])
-    return every.join(F.broadcast(wide), "feature", "left")
+    return every.join(F.broadcast(wide), "feature", "left"), row

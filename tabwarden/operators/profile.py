@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwarden import fixed
+from tabwarden.functions import sizing
 from tabwarden.operators.clean import feature_groups
-from tabwarden.operators.percentiles import exact_percentiles
+from tabwarden.operators.percentiles import exact_percentiles, percentiles_and
 
 
 def _rows(wide: DataFrame, per_column: dict[str, dict[str, Column]], by: Sequence[str] = (), key: str = "feature") -> DataFrame:
@@ -52,10 +53,12 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
 
 
 def _with_percentiles(df: DataFrame, stats: list[Column], cells: dict[str, dict[str, Column]], columns: Sequence[str], probs, key: str) -> DataFrame:
-    """Aggregate ``stats`` and exact percentiles."""
-    points = exact_percentiles(df, columns, probs).withColumnRenamed("feature", key)
+    """``stats`` and exact percentiles, from two scans."""
+    points, row = percentiles_and(df, columns, probs, stats)
+    schema = df.agg(*stats).schema
+    wide = df.sparkSession.createDataFrame([tuple(row[n] for n in schema.names)], schema)
     # One row per column on both sides.
-    return _rows(df.agg(*stats), cells, key=key).join(F.broadcast(points), key, "left")
+    return _rows(wide, cells, key=key).join(F.broadcast(points.withColumnRenamed("feature", key)), key, "left")
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -192,35 +195,59 @@ def baseline_report(
     """The full baseline: numeric statistics, category shares and the target, long format.
 
     ``stat`` names the statistic; category shares have ``stat='ratio'`` and their category in
-    ``value``. Live statistics are the same call on live data, the target left out.
+    ``value``. Live statistics are the same call on live data, the target left out. All but the
+    percentiles come from one scan, whose result is stored; no rows are an error (``NoRows``).
     """
     if not df.columns:
         raise ValueError("baseline of a frame without columns")
-    if df.isEmpty():
-        raise ValueError("baseline of no rows")
     if target:
         _require(df, target)
     keep = [c for c in df.columns if c not in exclude]
     frame = df.select(*keep)
     numeric, categorical = feature_groups(frame, exclude=[target] if target else [])
+    told = sizing.cut_lineage(_told(frame, numeric, [*categorical, *([target] if target else [])]), "statistics")
+    if told.isEmpty():
+        raise NoRows("baseline of no rows")
     parts = []
     if numeric:
-        summary = numeric_baseline(frame, numeric) if percentiles else numeric_summary(frame, numeric)
+        summary = told.where("numeric").select("feature", *SUMMARY)
+        if percentiles:
+            # One row per column on both sides.
+            summary = summary.join(F.broadcast(exact_percentiles(frame, numeric, fixed.QUANTILES)), "feature")
         stats = [c for c in summary.columns if c != "feature"]
         long = summary.unpivot(["feature"], stats, "stat", "number")
         parts.append(_section(long, "features", "numerical", F.lit(None).cast("string")))
-    for section, names in (("features", categorical), ("target", [target] if target else [])):
-        if names:
-            shares = value_distribution(frame, names).select(
-                "feature", "value", F.lit("ratio").alias("stat"), F.col("ratio").alias("number")
-            )
-            parts.append(_section(shares, section, "categorical", F.col("value")))
+    shares = told.where("NOT numeric")
+    total = shares.agg(F.expr(f"sum(n) div {max(1, len(categorical) + bool(target))}")).scalar()  # missing cells are counted: every column has it
+    for section, is_target in (("features", False), ("target", True)):
+        if target if is_target else categorical:
+            of = shares.where((F.col("feature") == F.lit(target)) == F.lit(is_target) if target else F.lit(True))
+            rows = of.select("feature", "value", F.lit("ratio").alias("stat"), (F.col("n") / total).alias("number"))
+            parts.append(_section(rows, section, "categorical", F.col("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+class NoRows(ValueError):
+    """Statistics were asked of no rows."""
+
+
+SUMMARY = ("missing_ratio", "mean", "std", "min", "max")
+
+
+def _told(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """One row per value of a categorical column, with its count, and one per numeric column, with its summary."""
+    none = F.lit(None)
+    cells = [F.struct(F.lit(c).alias("feature"), F.lit(True).alias("numeric"), none.cast("string").alias("value"), F.col(c).cast("double").alias("x")) for c in numeric]
+    cells += [F.struct(F.lit(c).alias("feature"), F.lit(False).alias("numeric"), F.col(c).cast("string").alias("value"), none.cast("double").alias("x")) for c in categorical]
+    x = F.col("x")
+    figures = (F.avg(x.isNull().cast("int")), F.avg(x), F.stddev_samp(x), F.min(x), F.max(x))
+    long = df.select(F.inline(F.array(*cells))).groupBy("feature", "numeric", "value")
+    return long.agg(F.count(F.lit(1)).alias("n"), *[f.alias(n) for f, n in zip(figures, SUMMARY)])
+
+
 def _section(df: DataFrame, section: str, kind: str, value: Column) -> DataFrame:
     return df.select(
         F.lit(section).alias("section"), "feature", F.lit(kind).alias("feature_type"), "stat", value.alias("value"), "number"

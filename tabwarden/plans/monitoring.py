@@ -40,9 +40,10 @@ def against_stored(
     No live rows is an error: an empty window says nothing about drift, and has no baseline. A feature whose type has
     changed between the two sides is drifted, by the metric ``type_changed``.
     """
-    if live.isEmpty():
-        raise ValueError("no live rows to compare with the baseline")
-    c = profile.baseline_report(live, exclude=exclude, percentiles=False)
+    try:
+        c = profile.baseline_report(live, exclude=exclude, percentiles=False)
+    except profile.NoRows:
+        raise profile.NoRows("no live rows to compare with the baseline") from None
     verdicts = drift.detect(report, c, **thresholds)
     if types is None:  # one row per feature of the stored report
         types = dict(report.where("section = 'features'").select("feature", "feature_type").distinct().collect())
