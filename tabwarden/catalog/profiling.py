@@ -8,7 +8,7 @@ from tabwarden import fixed
 from tabwarden.catalog import frames as fr
 from tabwarden.functions import sizing
 from tabwarden.functions.stats import psi_term
-from tabwarden.operators import drift, profile
+from tabwarden.operators import drift, profile, states
 from tabwarden.plans import monitoring
 from tabwarden.streaming import windows
 
@@ -149,12 +149,41 @@ def fast_lane_summary(spark, d):
     )
 
 
+def _event_states(spark, d):
+    """Daily states of the events, stored."""
+    path = sizing.run_dir(spark, "states")
+    states.store(states.daily(fr.table(spark, d, "events"), "ts", ["value"], ["event_type"]), path)
+    return path
+
+
+def window_from_states(spark, d):
+    """Seven days put together from daily states; estimates left out."""
+    state = states.merged(states.window(spark, _event_states(spark, d), "2024-01-10", "2024-01-16"))
+    known = states.report(state).where(~F.col("stat").isin(*fixed.QUANTILES, "unique_values"))
+    return _rounded(known, 6, "number")
+
+
+def window_percentiles_refined(spark, d):
+    """Percentiles of these days, bracketed by the merged sketch and settled by one scan."""
+    state = states.merged(states.window(spark, _event_states(spark, d), "2024-01-10", "2024-01-16"))
+    rows = fr.table(spark, d, "events").where(F.to_date("ts").between("2024-01-10", "2024-01-16"))
+    return _rounded(states.refined(state, rows), 6, *fixed.QUANTILES)
+
+
+def drift_from_states(spark, d):
+    """Seven days against the seven before them, from states alone."""
+    path = _event_states(spark, d)
+    old, new = (states.report(states.merged(states.window(spark, path, a, b))) for a, b in (("2024-01-03", "2024-01-09"), ("2024-01-10", "2024-01-16")))
+    return drift.detect(old, new)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         table_shape, null_counts, column_profile, numeric_profile, distinct_counts, baseline_numeric, baseline_categorical,
         baseline_target, baseline_report, current_stats, value_counts, psi_by_feature, mean_shift_by_feature, drift_report,
         drift_summary, drift_against_stored, skipped_features, target_drift, sliding_window_distribution, window_over_window_drift, fast_lane_summary,
+        window_from_states, window_percentiles_refined, drift_from_states,
     )
 }
 
@@ -327,3 +356,23 @@ ORACLES = {
 
 ORACLES["fast_lane_summary"] = f"""SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, count(*) AS features_analyzed,
     bool_or(is_drifted) AS drift_detected FROM ({ORACLES["window_over_window_drift"]}) GROUP BY window_start"""
+
+_DAYS = "e AS (SELECT event_type, value FROM events WHERE ts::DATE BETWEEN DATE '{}' AND DATE '{}')"
+ORACLES["window_from_states"] = f"""WITH {_DAYS.format("2024-01-10", "2024-01-16")}, s AS (
+        SELECT avg((value IS NULL)::INT)::DOUBLE AS missing_ratio, avg(value) AS mean, stddev_samp(value) AS std, min(value)::DOUBLE AS min, max(value)::DOUBLE AS max FROM e),
+      u AS (UNPIVOT s ON missing_ratio, mean, std, min, max INTO NAME stat VALUE number)
+    SELECT 'features' AS section, 'value' AS feature, 'numerical' AS feature_type, stat, NULL::VARCHAR AS value, round(number, 6) AS number FROM u
+    UNION ALL SELECT 'features', 'event_type', 'categorical', 'ratio', event_type, round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) FROM e GROUP BY event_type"""
+ORACLES["window_percentiles_refined"] = (
+    f"WITH {_DAYS.format('2024-01-10', '2024-01-16')} SELECT 'value' AS feature, "
+    + ", ".join(f"round(quantile_cont(value::DOUBLE, {p}), 6) AS {n}" for n, p in fixed.QUANTILES.items())
+    + " FROM e"
+)
+ORACLES["drift_from_states"] = f"""WITH {_DAYS.format("2024-01-03", "2024-01-09").replace("e AS", "old AS")}, {_DAYS.format("2024-01-10", "2024-01-16").replace("e AS", "new AS")},
+      x AS (SELECT event_type, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS r FROM old GROUP BY event_type),
+      y AS (SELECT event_type, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS r FROM new GROUP BY event_type),
+      p AS (SELECT round(sum((a - e) * ln(a / e)), 4) AS score FROM (
+        SELECT greatest(coalesce(x.r, 0), 1e-4::DOUBLE) AS e, greatest(coalesce(y.r, 0), 1e-4::DOUBLE) AS a FROM x FULL JOIN y USING (event_type))),
+      m AS (SELECT round(CASE WHEN e <> 0 THEN abs(a - e) / abs(e) ELSE abs(a) END, 4) AS score FROM (SELECT avg(value) AS e FROM old), (SELECT avg(value) AS a FROM new))
+    SELECT 'event_type' AS feature, 'categorical' AS type, 'psi' AS metric, score, score > 0.2 AS is_drifted FROM p
+    UNION ALL SELECT 'value', 'numerical', 'relative_mean_shift', score, score > 0.1 FROM m"""

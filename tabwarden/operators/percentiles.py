@@ -43,11 +43,16 @@ def _brackets(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float],
             narrow = n > WIDE_ROWS
             lo = row[f"_q{i}"][j] if narrow and lows[j] > 0 else row[f"_a{i}"]
             hi = row[f"_q{i}"][j + len(probs)] if narrow and highs[j] < 1 else row[f"_b{i}"]
-            place = float(p) * (n - 1)
-            out.append((len(out), name, prob, float(lo), float(hi), math.floor(place), place - math.floor(place)))
+            out.append(bracket(len(out), name, prob, lo, hi, p, n))
     return out, row
 
 
+def bracket(i: int, column: str, prob: str, lo: float, hi: float, p: float, n: int) -> tuple:
+    """A wanted point: the values that hold it, its rank among ``n`` values, and how far it lies towards the next."""
+    place = float(p) * (n - 1)
+    return i, column, prob, float(lo), float(hi), math.floor(place), place - math.floor(place)
+
+
 def exact_percentiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
     """One row per column: ``feature`` and one DOUBLE per entry of ``probs``. Both scans run when this is called."""
     return percentiles_and(df, columns, probs, [])[0]
@@ -55,12 +60,21 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str,
 
 def percentiles_and(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], others: Sequence[Column]) -> tuple[DataFrame, Row]:
     """``exact_percentiles``, and other aggregates of the same rows from the first of the two scans."""
-    spark = df.sparkSession
     brackets, row = _brackets(df, columns, probs, others)
+    return settled(df, columns, probs, brackets), row
+
+
+def settled(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], brackets: list[tuple], bounds: Mapping[str, tuple] | None = None) -> DataFrame:
+    """The points that the brackets hold, from one scan.
+
+    With ``bounds`` (least and largest value of a column) brackets may be wrong: one that does not hold
+    its point is replaced by the bounds, at the price of another scan.
+    """
+    spark = df.sparkSession
     # Columns times probabilities: as many rows as the caller wrote down.
     every = spark.createDataFrame([(c,) for c in columns], "feature string")
     if not brackets:
-        return every.select("feature", *[F.lit(None).cast("double").alias(p) for p in probs]), row
+        return every.select("feature", *[F.lit(None).cast("double").alias(p) for p in probs])
     table = F.broadcast(
         spark.createDataFrame(brackets, "id int, feature string, prob string, lo double, hi double, rank bigint, frac double")
     )
@@ -81,6 +95,11 @@ def percentiles_and(df: DataFrame, columns: Sequence[str], probs: Mapping[str, f
     )
     counted = watched.where(any_inside).select(F.inline(hits)).groupBy("id", "value").agg(F.count(F.lit(1)).alias("n"))
     counted = sizing.cut_lineage(counted, "percentiles")
+    if bounds:
+        inside_ = dict(counted.groupBy("id").agg(F.sum("n")).collect())  # a row a bracket
+        wrong = {b[0] for b in brackets if not seen.get[f"_{b[0]}"] <= b[5] <= b[5] + (b[6] > 0) < seen.get[f"_{b[0]}"] + inside_.get(b[0], 0)}
+        if wrong:
+            return settled(df, columns, probs, [(*b[:3], *map(float, bounds[b[1]]), *b[5:]) if b[0] in wrong else b for b in brackets])
     below = spark.createDataFrame([(i, seen.get[f"_{i}"]) for i, *_ in brackets], "id int, below bigint")
     width = F.col("hi") - F.col("lo")
     piece = F.when(width <= 0, 0).otherwise(
@@ -114,4 +133,4 @@ def percentiles_and(df: DataFrame, columns: Sequence[str], probs: Mapping[str, f
     point = F.col("a") + (F.coalesce(F.col("b"), F.col("a")) - F.col("a")) * F.col("frac")
     points = pairs.select("id", point.alias("v")).join(table, "id")
     wide = points.groupBy("feature").agg(*[F.max(F.when(F.col("prob") == p, F.col("v"))).alias(p) for p in probs])
-    return every.join(F.broadcast(wide), "feature", "left"), row
+    return every.join(F.broadcast(wide), "feature", "left")
