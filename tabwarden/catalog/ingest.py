@@ -37,6 +37,24 @@ def csv_reordered_batch(spark, d):
     return readers.read_batch(spark, path, "c_custkey bigint, c_mktsegment string, c_acctbal double")
 
 
+def _three_headers(spark, d):
+    """Customers in files of two column orders, and files that lack the balance."""
+    path, customer = sizing.run_dir(spark, "headers"), fr.table(spark, d, "customer")
+    for k, columns in enumerate((["c_custkey", "c_mktsegment", "c_acctbal"], ["c_acctbal", "c_name", "c_custkey", "c_mktsegment"], ["c_mktsegment", "c_custkey"])):
+        customer.where(F.col("c_custkey") % 3 == k).select(*columns).write.mode("append").option("header", True).csv(path)
+    return readers.read_files(spark, path, "c_custkey bigint, c_mktsegment string, c_acctbal double", required=["c_acctbal"])
+
+
+def csv_header_per_file(spark, d):
+    """Each file goes by its own header; those without a required column are refused alone."""
+    return _three_headers(spark, d)[0]
+
+
+def csv_refused_files(spark, d):
+    """What the refused files lack."""
+    return _three_headers(spark, d)[1].select(F.explode("missing").alias("missing")).distinct()
+
+
 def csv_first_file(spark, d):
     """A folder with a file a segment, of which the alphabetically first is the batch."""
     path = sizing.run_dir(spark, "first-file")
@@ -175,7 +193,7 @@ def union_documents(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_window_flatten, io_roundtrip, csv_reordered_batch, csv_first_file, csv_null_tokens, batch_missing_column, report_roundtrip, load_overwrite_append, split_part_train,
+        scan_window_flatten, io_roundtrip, csv_reordered_batch, csv_header_per_file, csv_refused_files, csv_first_file, csv_null_tokens, batch_missing_column, report_roundtrip, load_overwrite_append, split_part_train,
         clean_customer_train, clean_customer_score, dedupe_rows, dedupe_on_key, duplicate_count, dataset_fingerprint,
         stratified_sample, stratified_split, stratified_folds, split_counts, target_distribution, class_gate, union_documents,
     )
@@ -195,6 +213,8 @@ _ORDERS = _RANKED.format(key="o_orderkey", stratum="o_orderstatus", seed=42, sou
 _CHURN = fr.CHURN_SQL + ", " + _RANKED.format(key="c_custkey", stratum="churn", seed=42, source="churn")
 
 ORACLES = {
+    "csv_header_per_file": "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_custkey % 3 < 2",
+    "csv_refused_files": "SELECT DISTINCT 'c_acctbal' AS missing FROM customer WHERE c_custkey % 3 = 2",
     "csv_first_file": "SELECT c_custkey, c_acctbal FROM customer WHERE c_mktsegment = (SELECT min(c_mktsegment) FROM customer)",
     "union_documents": """SELECT event_id, event_type, CASE WHEN event_type IN ('view', 'click') THEN value END AS value,
         CASE WHEN event_type NOT IN ('view', 'click') THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k FROM events""",

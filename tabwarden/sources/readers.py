@@ -56,9 +56,14 @@ def read_csv(
     ``rules.require_columns`` can refuse the batch; further columns are left out. Missing tokens,
     empty cells and cells that are not of their type are NULL. ``first_file`` keeps the rows of the
     alphabetically first file of a folder. ``corrupt`` names a column that keeps the raw text of lines
-    with too few or too many cells (NULL elsewhere).
+    with too few or too many cells (NULL elsewhere). Each file of a folder goes by its own header: see
+    ``read_files``.
     """
     declared, opts = _declared(schema), _text_options(options)
+    if not first_file:
+        found = spark.read.options(**opts).schema(_text_schema(declared.names, None)).csv(path).inputFiles()
+        if len(found) > 1:
+            return read_files(spark, path, declared, (), corrupt, **options)[0]
     if first_file:
         path = sorted(spark.read.options(**opts).schema(_text_schema(declared.names, None)).csv(path).inputFiles())[0]
     names = spark.read.options(**opts).csv(path).columns
@@ -69,6 +74,46 @@ def read_csv(
     return _typed(spark.read.schema(_text_schema(names, corrupt)).options(**opts).csv(path), declared, corrupt, options)
 
 
+def file_headers(spark: SparkSession, path: str | Sequence[str], **options) -> DataFrame:
+    """``line``, ``files``: the distinct header lines of a folder and the files that begin with them; one pass over the text."""
+    only = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup")}
+    lines = spark.read.options(**only).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    # A file's first block is read in order by one task, so its least number is its first line.
+    first = lines.withColumn("i", F.monotonically_increasing_id()).where("start = 0 AND trim(value) <> ''").groupBy("file").agg(F.min_by("value", "i").alias("line"))
+    return first.groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files"))
+
+
+def read_files(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, required: Sequence[str] = (), corrupt: str | None = None, **options
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of CSV files, each by its own header, and the files that were refused (``file``, ``missing``).
+
+    Files may order their columns differently. One that lacks a ``required`` column is refused alone;
+    another declared column that it lacks is NULL in its rows. A declared column that no file has is
+    absent from the result. Files of one header are one scan; the driver knows a name per file, as a
+    listing does.
+    """
+    declared, opts = _declared(schema), _text_options(options)
+    if corrupt:
+        opts["columnNameOfCorruptRecord"] = corrupt
+    plain = {k: v for k, v in opts.items() if k not in ("pathGlobFilter", "recursiveFileLookup")}  # files are named
+    refused, frames = [], []
+    for r in sorted(file_headers(spark, path, **options).collect(), key=lambda r: r["line"]):
+        names = spark.read.options(**plain).csv(r["files"][0]).columns
+        missing = sorted(set(required) - set(names))
+        if missing:
+            refused += [(f, missing) for f in r["files"]]
+        elif names:
+            rows = spark.read.schema(_text_schema(names, corrupt)).options(**plain).csv(r["files"])
+            frames.append(_typed(rows, declared, corrupt, options))
+    out = frames[0] if frames else spark.createDataFrame([], declared)
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    order = [n for n in declared.names if n in out.columns]
+    turned = spark.createDataFrame(refused, "file string, missing array<string>")
+    return out.select(*order, *([corrupt] if corrupt and corrupt in out.columns else [])), turned
+
+
 def read_batch(spark: SparkSession, path: str, schema: T.StructType | str, **options) -> DataFrame:
     """A scoring batch; only ``.csv`` files are taken, and a batch without rows is refused."""
     df = read_csv(spark, path, schema, pathGlobFilter="*.csv", **options)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
@@ -17,6 +17,7 @@ from tabwarden.functions import sizing
 from tabwarden.operators import clean as cleaning
 from tabwarden.operators import rules
 from tabwarden.operators.contract import Contract
+from tabwarden.sources import readers
 from tabwarden.streaming import windows
 
 
@@ -151,6 +152,33 @@ def labelled_predictions(
     return latest.select(*[when.alias(c) if c == at else c for c in of_label], F.col("_v.v").alias(value), F.col("_v").isNotNull().alias("matched"))
 
 
+def landing_job(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    each: Callable[[DataFrame, DataFrame, int], None],
+    checkpoint: str,
+    required: Sequence[str] = (),
+    max_files: int | None = None,
+    corrupt: str | None = None,
+    **options,
+) -> StreamingQuery:
+    """A landing folder of CSV files as a stream, each file by its own header.
+
+    ``each`` gets the rows, the files refused (``file``, ``missing``) and the number of a micro-batch.
+    The stream tells which files are new; a micro-batch reads them by ``readers.read_files``.
+    """
+    new = spark.readStream.option("pathGlobFilter", "*.csv")
+    lines = (new.option("maxFilesPerTrigger", max_files) if max_files else new).text(path)
+
+    def handle(df: DataFrame, batch_id: int) -> None:
+        files = [r["file"] for r in df.select("file").distinct().collect()]  # a name per file of the micro-batch
+        rows, refused = readers.read_files(df.sparkSession, files, schema, required, corrupt, **options)
+        each(rows, refused, batch_id)
+
+    return start(lines.select(F.col("_metadata.file_path").alias("file")), handle, checkpoint)
+
+
 def scoring_job(
     stream: DataFrame,
     contract: Contract,

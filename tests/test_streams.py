@@ -142,3 +142,23 @@ def test_late_labels_over_many_batches(spark, sf):
             near = [(t, p) for _, k, t, u, p in rows if k == "view" and u is not None and u == user and at - timedelta(hours=5) <= t <= at]
             want[i] = (at, max(near, key=lambda x: x[0])[1] if near else None, bool(near))
     assert got == want and len({x[2] for x in want.values()}) == 2 and any(x[2] and x[1] is None for x in want.values())
+
+
+def test_landing_files_go_by_their_own_header(spark, tmp_path):
+    landing, seen = tmp_path / "in", []
+    landing.mkdir()
+    (landing / "a.csv").write_text("k,x\na,1\n")
+    (landing / "b.csv").write_text("x,note,k\n2,\"q,r\",b\n3,,c\n")
+    (landing / "c.csv").write_text("x\n4\n")
+    (landing / "d.csv").write_text("")
+
+    def each(rows, refused, batch_id):
+        seen.append(([tuple(r) for r in rows.collect()], [(r["file"].rsplit("/", 1)[1], r["missing"]) for r in refused.collect()]))
+
+    def run():
+        jobs.run_to_end(jobs.landing_job(spark, str(landing), "k string, x double, note string", each, sizing.run_dir(spark, "landing"), required=["k"]))
+
+    run()
+    assert sorted(seen[0][0]) == [("a", 1.0, None), ("b", 2.0, "q,r"), ("c", 3.0, None)] and seen[0][1] == [("c.csv", ["k"])]
+    rows = readers.read_csv(spark, str(landing), "k string, x double, y int")
+    assert rows.columns == ["k", "x"] and sorted(map(str, rows.collect())) == sorted(["Row(k='a', x=1.0)", "Row(k='b', x=2.0)", "Row(k='c', x=3.0)", "Row(k=None, x=4.0)"])
