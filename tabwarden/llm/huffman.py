@@ -43,7 +43,7 @@ END_ID = 1
 BLOCK_IDS, STRIDE, LIMIT = 1 << 16, 256, 18
 _READ_BLOCKS = 16
 #: Text tokenized in one step, and words whose ids are laid out at once.
-TOKENIZE_BYTES, EXPAND_WORDS = 12 << 20, 1 << 18
+TOKENIZE_BYTES, EXPAND_WORDS = 8 << 20, 1 << 18
 
 BLOCK_SCHEMA = "part int, seq int, local_start bigint, n_ids bigint, doc_ids array<bigint>, n_tokens array<bigint>, checkpoints array<bigint>, payload binary"
 
@@ -62,7 +62,7 @@ class WordCoder:
     pre-tokenizer are spared for ASCII and Latin letters. What may hold an added token stays whole.
     """
 
-    KEEP = 250_000
+    KEEP = 120_000
     _LATIN = "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]))
 
     def __init__(self, path: str):
@@ -186,6 +186,7 @@ def tokenize(docs: DataFrame, tokenizer: str, kind: str) -> DataFrame:
         for piece in words.gathered(batches, "text", TOKENIZE_BYTES):
             out = _document_ids(piece.column("text"), _coder(tokenizer))
             yield pa.record_batch([words.one_array(piece.column("doc_id")), pa.array([zlib.crc32(x) for x in out], pa.int64()), pa.array([np.frombuffer(x, "<u4").astype(kind).tobytes() for x in out], pa.binary())], ["doc_id", "crc", "ids"])
+        words.trim()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, crc bigint, ids binary")
 

@@ -247,6 +247,7 @@ def accepted(docs: DataFrame, net: Network) -> DataFrame:
         for piece in words.steps(batches, "text"):
             lang, score = judge(net, piece.column("text").to_pylist())
             yield piece.filter(pc.and_(pa.array([x != UNKNOWN for x in lang]), pa.array(score >= MIN_SCORE)))
+        words.trim()
 
     words.small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -201,6 +201,7 @@ def hits(docs: DataFrame, index: DataFrame) -> DataFrame:
                     maybe = bits[(h.view(np.int64) % FILTER_BITS)]
                     chosen.append((width, form, starts[maybe], h[maybe]))
             yield _rows(tokens, chosen, doc_id=piece.column("doc_id").to_pylist(), t=piece.column("t").to_pylist())
+        words.trim()
 
     if not widths:
         return docs.sparkSession.createDataFrame([], "doc_id bigint, t bigint, width int, start bigint, class bigint")

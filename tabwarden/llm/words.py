@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,15 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iter
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def trim() -> None:
+    """Give memory that a step has let go of back to the system: Python workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def one_array(column) -> pa.Array:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
