@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabwarden import fixed
 from tabwarden.catalog import frames as fr
 from tabwarden.functions import sizing
-from tabwarden.operators import clean, fingerprint, rules, split
+from tabwarden.operators import clean, fingerprint, rules, split, versions
 from tabwarden.operators.contract import from_dict
 from tabwarden.sources import readers, writers
 
@@ -146,6 +146,17 @@ def dataset_fingerprint(spark, d):
     return c.select(F.lit("customer").alias("dataset"), "*").unionByName(o.select(F.lit("orders").alias("dataset"), "*"))
 
 
+def changed_rows(spark, d):
+    """Orders against a later version: prices changed, orders removed and orders added."""
+    orders, k = fr.table(spark, d, "orders"), F.col("o_orderkey")
+    later = orders.where(k % 101 > 0).withColumn("o_totalprice", F.when(k % 97 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    later = later.unionByName(orders.where(k % 103 == 0).withColumn("o_orderkey", k + 1_000_000_000))
+    old, new = sizing.run_dir(spark, "version"), sizing.run_dir(spark, "version")
+    versions.store(orders, ["o_orderkey"], old)
+    versions.store(later, ["o_orderkey"], new)
+    return versions.changed_rows(spark, old, new, ["o_orderkey"])
+
+
 SAMPLE = {"F": 0.5, "O": 0.2, "P": 0.1}
 
 
@@ -194,7 +205,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_window_flatten, io_roundtrip, csv_reordered_batch, csv_header_per_file, csv_refused_files, csv_first_file, csv_null_tokens, batch_missing_column, report_roundtrip, load_overwrite_append, split_part_train,
-        clean_customer_train, clean_customer_score, dedupe_rows, dedupe_on_key, duplicate_count, dataset_fingerprint,
+        clean_customer_train, clean_customer_score, dedupe_rows, dedupe_on_key, duplicate_count, dataset_fingerprint, changed_rows,
         stratified_sample, stratified_split, stratified_folds, split_counts, target_distribution, class_gate, union_documents,
     )
 }
@@ -215,6 +226,8 @@ _CHURN = fr.CHURN_SQL + ", " + _RANKED.format(key="c_custkey", stratum="churn",
 ORACLES = {
     "csv_header_per_file": "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_custkey % 3 < 2",
     "csv_refused_files": "SELECT DISTINCT 'c_acctbal' AS missing FROM customer WHERE c_custkey % 3 = 2",
+    "changed_rows": """SELECT o_orderkey, CASE WHEN o_orderkey % 101 = 0 THEN 'removed' ELSE 'changed' END AS change FROM orders WHERE o_orderkey % 101 = 0 OR o_orderkey % 97 = 0
+        UNION ALL SELECT o_orderkey + 1000000000, 'added' FROM orders WHERE o_orderkey % 103 = 0""",
     "csv_first_file": "SELECT c_custkey, c_acctbal FROM customer WHERE c_mktsegment = (SELECT min(c_mktsegment) FROM customer)",
     "union_documents": """SELECT event_id, event_type, CASE WHEN event_type IN ('view', 'click') THEN value END AS value,
         CASE WHEN event_type NOT IN ('view', 'click') THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k FROM events""",

@@ -80,6 +80,18 @@ def stream_unmatched_labels(spark, d):
     return stream_labelled_predictions(spark, d).groupBy("label").agg(F.count(F.lit(1)).alias("n_labels"), F.count_if(~F.col("matched")).alias("n_unmatched"))
 
 
+def stream_logged_once(spark, d):
+    """Events that are delivered in order of time in three files, and a fourth time in part: each is logged once."""
+    path, events = sizing.run_dir(spark, "deliveries"), fr.table(spark, d, "events").drop("props")
+    third = F.dayofmonth("ts") % 31 / 11
+    for part in (third < 1, (third >= 1) & (third < 2), third >= 2, F.col("event_id") % 3 == 0):
+        events.where(part).coalesce(1).write.mode("append").parquet(path)
+    out, checkpoint = jobs.folders(events, "once")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    jobs.run_to_end(jobs.append_job(jobs.once(stream, ["event_id"], "ts", "60 days"), out, checkpoint))
+    return spark.read.option("basePath", out).parquet(f"{out}/batch=*").select("event_id", "ts", "user_id")
+
+
 def stream_score_dlq(spark, d):
     """Micro-batches validated and scored by a formula; both branches side by side."""
     base = sizing.run_dir(spark, "stream-scoring")
@@ -105,7 +117,7 @@ def stream_cooldown(spark, d):
     return spark.read.parquet(f"{out}/batch=*").withColumn("at", windows.wall_time(F.col("at")))
 
 
-QUERIES = {f.__name__: f for f in (stream_windows, stream_drift, stream_score_dlq, stream_cooldown, stream_window_drift, stream_labelled_predictions, stream_unmatched_labels)}
+QUERIES = {f.__name__: f for f in (stream_windows, stream_drift, stream_score_dlq, stream_cooldown, stream_logged_once, stream_window_drift, stream_labelled_predictions, stream_unmatched_labels)}
 
 _LABELLED = """l AS (SELECT user_id, ts, event_id, (event_type = 'purchase')::INTEGER AS label FROM events WHERE event_type IN ('purchase', 'error')),
   v AS (SELECT user_id, ts, least(value / 100.0::DOUBLE, 1.0::DOUBLE) AS p FROM events WHERE event_type = 'view'),
@@ -134,6 +146,7 @@ ORACLES = {
         UNION ALL SELECT window_start, 'value', 'numerical', 'relative_mean_shift', score, score > 0.1 FROM shift""",
     "stream_score_dlq": """WITH e AS (SELECT event_id, ((value < 1)::INT + (value > 200)::INT + (event_type = 'error')::INT)::INTEGER AS n_errors FROM events)
         SELECT event_id, CASE WHEN n_errors = 0 THEN 'scored' ELSE 'dead' END AS branch, n_errors FROM e""",
+    "stream_logged_once": "SELECT event_id, ts, user_id FROM events",
     "stream_window_drift": f"SELECT * FROM ({profiling.ORACLES['window_over_window_drift']}) WHERE {_CLOSED.format(size=1)}",
     "stream_labelled_predictions": f"WITH {_LABELLED} SELECT * FROM closed",
     "stream_unmatched_labels": f"WITH {_LABELLED} SELECT label, count(*) AS n_labels, count(*) FILTER (NOT matched) AS n_unmatched FROM closed GROUP BY label",

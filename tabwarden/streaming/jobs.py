@@ -258,6 +258,15 @@ def cooldown_actions(verdicts: DataFrame, monitor: str, at: str, drifted: str, d
     return decided.select(F.col("monitor").alias(monitor), F.timestamp_micros("us").alias(at), "action")
 
 
+def once(stream: DataFrame, key: Sequence[str], at: str, delay: str) -> DataFrame:
+    """Rows of a stream by their first delivery, however often and in whichever micro-batch they come again.
+
+    A key is remembered until the watermark has passed it by ``delay``; a copy that comes after that is late.
+    """
+    timed = windows.event_time(stream, at).withWatermark(at, delay).dropDuplicatesWithinWatermark(list(key))
+    return timed.withColumn(at, windows.wall_time(F.col(at))) if windows.zone_less(stream, at) else timed
+
+
 def append_job(stream: DataFrame, out: str, checkpoint: str, rocksdb: bool = False) -> StreamingQuery:
     return start(stream, lambda df, i: df.write.mode("overwrite").parquet(batch_path(out, i)), checkpoint, rocksdb)
 

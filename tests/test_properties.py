@@ -9,8 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from tabwarden.functions import ordered
-from tabwarden.operators import drift, encode, fingerprint, labels, metrics, percentiles, profile, registry, split, trigger
+from tabwarden.functions import ordered, sizing
+from tabwarden.operators import drift, encode, fingerprint, labels, metrics, percentiles, profile, registry, split, trigger, versions
 
 
 @pytest.fixture(scope="module")
@@ -261,3 +261,25 @@ def test_replay_is_a_walk(spark):
     got = [tuple(r) for r in trigger.replay(df, ["monitor", "part"]).select("monitor", "part", "at", "action").collect()]
     assert sorted(map(str, got)) == sorted(map(str, want)) and sum(x[3] == "fire" for x in want) > 30
     assert trigger.replay(df.where("part = 'none'"), ["monitor"]).count() == 0
+
+
+def test_versions_are_compared_where_they_differ(spark):
+    """Random edits, NULL and repeated keys; leaves without a change are not opened."""
+    rng = random.Random(4)
+    rows = [(i if i % 50 else None, rng.choice("ab"), rng.randrange(5)) for i in range(2000)] + [(7, "a", 1), (7, "a", 1), (8, "b", None)]
+    later = [r for r in rows if rng.random() > 0.01]
+    later = [(k, c, (v or 0) + 9) if rng.random() < 0.01 else (k, c, v) for k, c, v in later] + [(5000 + i, "z", None) for i in range(8)] + [(None, "a", 77)]
+    bags = []
+    for part in (rows, later):
+        bag = {}
+        for k, c, v in part:
+            bag.setdefault((k, c), []).append(str(v))
+        bags.append({k: sorted(v) for k, v in bag.items()})
+    want = {k: "added" if k not in bags[0] else "removed" if k not in bags[1] else "changed" for k in bags[0].keys() | bags[1].keys() if bags[0].get(k) != bags[1].get(k)}
+    paths = [sizing.run_dir(spark, "version") for _ in range(3)]
+    for path, part in zip(paths, (rows, later, list(reversed(rows)))):
+        versions.store(spark.createDataFrame(part, "k bigint, c string, v int").repartition(3), ["k", "c"], path, 3)
+    got = {(r["k"], r["c"]): r["change"] for r in versions.changed_rows(spark, paths[0], paths[1], ["k", "c"], 3).collect()}
+    assert got == want and set(want.values()) == {"added", "removed", "changed"}
+    assert versions.changed_leaves(spark, paths[0], paths[1], 3).count() <= len(want)
+    assert versions.changed_rows(spark, paths[0], paths[2], ["k", "c"], 3).count() == 0
