@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwarden.functions import sizing
 from tabwarden.operators import fingerprint as fp
 
 
@@ -15,19 +16,22 @@ def ingestion(raw: DataFrame, split: DataFrame, split_col: str, columns: Sequenc
     every part.
 
     The cleaned table is the union of its parts: its fingerprint and its counts are added up from
-    theirs. Target counts are ``value=n`` texts in the order of the values; the raw table, whose
+    theirs, and those from one stored row per part and class, so the split is scanned once. Target counts are ``value=n`` texts in the order of the values; the raw table, whose
     target is not cleaned yet, has none.
     """
     raw_row = fp.fingerprint(raw).select(F.lit("raw").alias("dataset"), "n_rows", "hash_sum", "hash_xor")
-    parts = fp.fingerprint(split, columns, by=[split_col]).select(F.col(split_col).alias("dataset"), "n_rows", "hash_sum", "hash_xor")
-    whole = parts.agg(
+    label = F.coalesce(F.col(target).cast("string"), F.lit("null"))
+    tagged = split.withColumns({"_dataset": F.col(split_col), "_value": label})
+    per = sizing.cut_lineage(fp.fingerprint(tagged, columns, by=["_dataset", "_value"]), "lineage")
+    sums = [
         F.sum("n_rows").alias("n_rows"),
         F.sum(F.col("hash_sum").cast("decimal(38,0)")).cast("decimal(38,0)").cast("string").alias("hash_sum"),
         F.bit_xor("hash_xor").alias("hash_xor"),
-    ).select(F.lit("cleaned").alias("dataset"), "n_rows", "hash_sum", "hash_xor")
-    total = parts.agg(F.sum("n_rows")).scalar()
-    label = F.coalesce(F.col(target).cast("string"), F.lit("null"))
-    per_class = split.groupBy(F.col(split_col).alias("dataset"), label.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    ]
+    parts = per.groupBy(F.col("_dataset").alias("dataset")).agg(*sums)
+    whole = per.agg(*sums).select(F.lit("cleaned").alias("dataset"), "n_rows", "hash_sum", "hash_xor")
+    total = per.agg(F.sum("n_rows")).scalar()
+    per_class = per.select(F.col("_dataset").alias("dataset"), F.col("_value").alias("value"), F.col("n_rows").alias("n"))
     every = per_class.unionByName(per_class.groupBy("value").agg(F.sum("n").alias("n")).withColumn("dataset", F.lit("cleaned")))
     cell = F.struct("value", F.concat_ws("=", "value", F.col("n").cast("string")).alias("text"))
     # One entry per class of the target.
