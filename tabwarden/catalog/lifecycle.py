@@ -185,7 +185,7 @@ ORACLES = {
         SELECT monitor, "at", drifted, last_trigger, CASE WHEN NOT drifted THEN 'healthy' WHEN "at" < last_trigger + INTERVAL 2 DAY THEN 'suppressed' ELSE 'fire' END AS action
         FROM latest LEFT JOIN state USING (monitor)""",
     "monitoring_decision": f"""WITH {profiling.EV}, v AS (SELECT score > CASE type WHEN 'numerical' THEN 0.001 ELSE 0.2 END AS is_drifted FROM ({profiling.EVENT_VERDICTS}))
-        SELECT count(*) AS total_features_evaluated, count(*) FILTER (is_drifted) AS drifted_features_count, bool_or(is_drifted) AS drift_detected,
+        SELECT count(*) AS total_features_evaluated, count(*) FILTER (is_drifted) AS drifted_features_count, 0::BIGINT AS features_not_judged, bool_or(is_drifted) AS drift_detected,
           (SELECT max(ts) FROM events WHERE event_type = 'error') AS last_trigger,
           CASE WHEN NOT bool_or(is_drifted) THEN 'healthy'
                WHEN TIMESTAMP '2024-01-31 12:00:00' < (SELECT max(ts) FROM events WHERE event_type = 'error') + INTERVAL 1 DAY THEN 'suppressed' ELSE 'fire' END AS action

@@ -117,6 +117,15 @@ def drift_against_stored(spark, d):
     return monitoring.against_stored(stored, second.select(*keep)).verdicts
 
 
+def missing_ratio_drift(spark, d):
+    """Shares of missing cells, which the late events have more of."""
+    first, second = fr.halves(fr.events(spark, d), "ts", fr.EVENT_CUT)
+    i = F.col("event_id")
+    second = second.withColumns({"value": F.when(i % 4 > 0, F.col("value")), "event_type": F.when(i % 25 > 0, F.col("event_type"))})
+    run = monitoring.compare_windows(first, second, exclude=["event_id", "ts", "user_id"], missing_threshold=0.1)
+    return run.verdicts.where("metric = 'missing_ratio_shift'")
+
+
 def skipped_features(spark, d):
     """Baseline features that the live half no longer delivers."""
     first, second = fr.halves(fr.events(spark, d), "ts", fr.EVENT_CUT)
@@ -182,7 +191,7 @@ QUERIES = {
     for f in (
         table_shape, null_counts, column_profile, numeric_profile, distinct_counts, baseline_numeric, baseline_categorical,
         baseline_target, baseline_report, current_stats, value_counts, psi_by_feature, mean_shift_by_feature, drift_report,
-        drift_summary, drift_against_stored, skipped_features, target_drift, sliding_window_distribution, window_over_window_drift, fast_lane_summary,
+        drift_summary, drift_against_stored, missing_ratio_drift, skipped_features, target_drift, sliding_window_distribution, window_over_window_drift, fast_lane_summary,
         window_from_states, window_percentiles_refined, drift_from_states,
     )
 }
@@ -331,8 +340,16 @@ ORACLES = {
     "mean_shift_by_feature": f"WITH {_LINES} " + _shift_sql(LINE_NUMERIC, "early", "late"),
     "drift_report": f"WITH {EV} {EVENT_VERDICTS}",
     "drift_summary": f"""WITH {EV} SELECT count(*) AS total_features_evaluated, count(*) FILTER (is_drifted) AS drifted_features_count,
-        bool_or(is_drifted) AS drift_detected FROM ({EVENT_VERDICTS})""",
+        count(*) FILTER (score IS NULL) AS features_not_judged, bool_or(is_drifted) AS drift_detected FROM ({EVENT_VERDICTS})""",
     "drift_against_stored": f"WITH {_LINES} " + _verdict_sql(LINE_CATEGORICAL, LINE_NUMERIC, "early", "late"),
+    "missing_ratio_drift": f"""WITH {fr.EVENTS_SQL},
+        m AS (SELECT ts >= TIMESTAMP '{fr.EVENT_CUT}' AS late, CASE WHEN ts < TIMESTAMP '{fr.EVENT_CUT}' OR event_id % 4 > 0 THEN value END AS value,
+            CASE WHEN ts < TIMESTAMP '{fr.EVENT_CUT}' OR event_id % 25 > 0 THEN event_type END AS event_type, k FROM ev),
+        r AS (SELECT late, avg((value IS NULL)::INT) AS v, avg((event_type IS NULL)::INT) AS t, avg((k IS NULL)::INT) AS k FROM m GROUP BY late),
+        s AS (SELECT abs(b.v - a.v) AS v, abs(b.t - a.t) AS t, abs(b.k - a.k) AS k FROM r a, r b WHERE NOT a.late AND b.late)
+        SELECT 'value' AS feature, 'numerical' AS type, 'missing_ratio_shift' AS metric, round(v, 4) AS score, round(v, 4) > 0.1 AS is_drifted FROM s
+        UNION ALL SELECT 'event_type', 'categorical', 'missing_ratio_shift', round(t, 4), round(t, 4) > 0.1 FROM s
+        UNION ALL SELECT 'k', 'numerical', 'missing_ratio_shift', round(k, 4), round(k, 4) > 0.1 FROM s""",
     "skipped_features": "SELECT 'k' AS feature FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL GROUP BY 1",
     "target_drift": f"""WITH {ORDERS} SELECT feature, 'categorical' AS type, 'psi' AS metric, score, score > 0.2 AS is_drifted
         FROM ({_psi_sql(["o_orderstatus"], "early", "late")})""",

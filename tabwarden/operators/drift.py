@@ -96,10 +96,23 @@ def verdicts(
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def detect(baseline: DataFrame, current: DataFrame, section: str = "features", **options) -> DataFrame:
+def missing_shift(baseline: DataFrame, current: DataFrame, section: str, threshold: float) -> DataFrame:
+    """Verdicts on the share of missing cells: how far it has moved, either way."""
+
+    def ratios(report: DataFrame, name: str) -> DataFrame:
+        cell = F.when((F.col("stat") == "missing_ratio") | ((F.col("stat") == "ratio") & F.col("value").isNull()), F.col("number"))
+        return report.where(F.col("section") == section).groupBy("feature", "feature_type").agg(F.coalesce(F.max(cell), F.lit(0.0)).alias(name))
+
+    both = ratios(baseline, "e").join(ratios(current, "a").drop("feature_type"), "feature")  # a row a feature
+    score = F.round(F.abs(F.col("a") - F.col("e")), 4)
+    return both.select("feature", F.col("feature_type").alias("type"), F.lit("missing_ratio_shift").alias("metric"), score.alias("score"), (score > threshold).alias("is_drifted"))
+
+
+def detect(baseline: DataFrame, current: DataFrame, section: str = "features", missing_threshold: float | None = None, **options) -> DataFrame:
     """Verdict per feature from two long baseline reports.
 
-    The type comes from the baseline; features without current statistics are left out.
+    The type comes from the baseline; features without current statistics are left out. With
+    ``missing_threshold`` each feature also gets a verdict on its share of missing cells.
     """
     def shares(report: DataFrame) -> DataFrame:
         # The type is a literal in each branch of a fresh report: the other branch is pruned.
@@ -110,7 +123,8 @@ def detect(baseline: DataFrame, current: DataFrame, section: str = "features", *
         rows = report.where((F.col("section") == section) & (F.col("feature_type") == "numerical") & (F.col("stat") == "mean"))
         return rows.select("feature", F.col("number").alias("mean"))
 
-    return verdicts(psi(shares(baseline), shares(current)), mean_shift(means(baseline), means(current)), **options)
+    found = verdicts(psi(shares(baseline), shares(current)), mean_shift(means(baseline), means(current)), **options)
+    return found if missing_threshold is None else found.unionByName(missing_shift(baseline, current, section, missing_threshold))
 
 
 def skipped_features(baseline: DataFrame, current: DataFrame) -> DataFrame:
@@ -119,9 +133,11 @@ def skipped_features(baseline: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def summary(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Counts of verdicts; one without a score, whose live cells are all missing, was not judged unless it is drift."""
     aggs: list[Column] = [
         F.count(F.lit(1)).alias("total_features_evaluated"),
         F.count_if("is_drifted").alias("drifted_features_count"),
+        F.count_if(F.col("score").isNull() & ~F.col("is_drifted")).alias("features_not_judged"),
         F.coalesce(F.bool_or("is_drifted"), F.lit(False)).alias("drift_detected"),
     ]
     return report.groupBy(*by).agg(*aggs) if by else report.agg(*aggs)

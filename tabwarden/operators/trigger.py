@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tabwarden import fixed
@@ -47,9 +47,11 @@ def replay(verdicts: DataFrame, monitor: Sequence[str], days: int = fixed.COOLDO
     key = F.struct(*monitor).alias("_m")  # equal where its cells are, NULLs too
     rows = sizing.cut_lineage(verdicts.withColumn("_m", key), "verdicts")
     times = rows.where("drifted AND at IS NOT NULL").select("_m", "at").distinct()
-    pointers = sizing.cut_lineage(_first_after(times, pause), "pointers")
-    spans = pointers.groupBy("_m").agg(F.min("at").alias("at"), ((F.max("at").cast("date") - F.min("at").cast("date")).cast("int") if days else F.lit(0)).alias("days"))
-    reached, steps = spans.select("_m", "at"), (spans.agg(F.max("days")).first()[0] or 0) // max(days, 1) + 2
+    seen = Observation()
+    watched = _first_after(times, pause).observe(seen, F.min("at").cast("date").alias("a"), F.max("at").cast("date").alias("b"))
+    pointers = sizing.cut_lineage(watched, "pointers")
+    reached = pointers.groupBy("_m").agg(F.min("at").alias("at"))
+    steps = (seen.get["b"] - seen.get["a"]).days // max(days, 1) + 2 if seen.get.get("a") else 1
     while steps > 1:
         found = [reached]
         for _ in range(RADIX - 1):
