@@ -9,7 +9,7 @@ from tabwarden.catalog import frames as fr
 from tabwarden.functions import sizing
 from tabwarden.operators import clean, fingerprint, rules, split, versions
 from tabwarden.operators.contract import from_dict
-from tabwarden.sources import readers, writers
+from tabwarden.sources import claims, readers, writers
 
 ASOF = "2024-01-31 00:00:00"
 ORDER_SCHEMA = (
@@ -116,6 +116,14 @@ def split_part_train(spark, d):
     return readers.read_part(spark, path, "train")
 
 
+def table_reload(spark, d):
+    """Customers reloaded behind a pointer: the second load is what a reader gets."""
+    path, customer = sizing.run_dir(spark, "reload"), fr.table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    claims.reload_table(customer, path)
+    claims.reload_table(customer.where("c_acctbal > 0"), path)
+    return claims.read_table(spark, path)
+
+
 def clean_customer_train(spark, d):
     cleaned = clean.clean(clean.strip_strings(fr.dirty(spark, d)), fr.DIRTY_SPEC, "train")
     return clean.require_target(cleaned, "left")
@@ -204,7 +212,7 @@ def union_documents(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_window_flatten, io_roundtrip, csv_reordered_batch, csv_header_per_file, csv_refused_files, csv_first_file, csv_null_tokens, batch_missing_column, report_roundtrip, load_overwrite_append, split_part_train,
+        scan_window_flatten, io_roundtrip, csv_reordered_batch, csv_header_per_file, csv_refused_files, csv_first_file, csv_null_tokens, batch_missing_column, report_roundtrip, load_overwrite_append, table_reload, split_part_train,
         clean_customer_train, clean_customer_score, dedupe_rows, dedupe_on_key, duplicate_count, dataset_fingerprint, changed_rows,
         stratified_sample, stratified_split, stratified_folds, split_counts, target_distribution, class_gate, union_documents,
     )
@@ -228,6 +236,7 @@ ORACLES = {
     "csv_refused_files": "SELECT DISTINCT 'c_acctbal' AS missing FROM customer WHERE c_custkey % 3 = 2",
     "changed_rows": """SELECT o_orderkey, CASE WHEN o_orderkey % 101 = 0 THEN 'removed' ELSE 'changed' END AS change FROM orders WHERE o_orderkey % 101 = 0 OR o_orderkey % 97 = 0
         UNION ALL SELECT o_orderkey + 1000000000, 'added' FROM orders WHERE o_orderkey % 103 = 0""",
+    "table_reload": "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0",
     "csv_first_file": "SELECT c_custkey, c_acctbal FROM customer WHERE c_mktsegment = (SELECT min(c_mktsegment) FROM customer)",
     "union_documents": """SELECT event_id, event_type, CASE WHEN event_type IN ('view', 'click') THEN value END AS value,
         CASE WHEN event_type NOT IN ('view', 'click') THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k FROM events""",

@@ -10,6 +10,7 @@ from tabwarden.functions import sizing
 from tabwarden.functions.stats import mean_shift
 from tabwarden.operators import clean, encode, lineage, profile, registry, split, trigger
 from tabwarden.plans import monitoring
+from tabwarden.sources import claims
 
 
 def _registry(spark, d):
@@ -99,6 +100,14 @@ def verdict_history(spark, d):
     )
 
 
+def registry_claims(spark, d):
+    """A version claimed by each of two writers for every order priority."""
+    path = sizing.run_dir(spark, "claims")
+    names = [r[0] for r in fr.table(spark, d, "orders").select("o_orderpriority").distinct().collect()]  # a few models
+    rows = [(n, claims.claim_version(spark, path, n, owner)) for owner in ("one", "two") for n in names]
+    return spark.createDataFrame(rows, "name string, version string")
+
+
 def trigger_cooldown(spark, d):
     return trigger.replay(verdict_history(spark, d), ["monitor"])
 
@@ -138,7 +147,7 @@ def lineage_transform(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        registry_next_version, registry_pointer, registry_version_artifacts, registry_register, registry_stored_baseline, trigger_cooldown, trigger_decide,
+        registry_next_version, registry_pointer, registry_version_artifacts, registry_register, registry_stored_baseline, registry_claims, trigger_cooldown, trigger_decide,
         monitoring_decision, lineage_ingest, lineage_transform,
     )
 }
@@ -176,6 +185,7 @@ ORACLES = {
         SELECT name, 'v' || num::VARCHAR AS version FROM (
           SELECT name, max(num) AS num FROM reg WHERE promoted AND name NOT IN (SELECT name FROM a) GROUP BY name
           UNION ALL SELECT name, coalesce((SELECT max(num) FROM reg r WHERE r.name = a.name), 0) + 1 FROM a)""",
+    "registry_claims": "SELECT DISTINCT o_orderpriority AS name, version FROM orders, (VALUES ('v1'), ('v2')) AS t(version)",
     "trigger_cooldown": f"""WITH RECURSIVE {HISTORY_SQL}, {FIRES_SQL}
         SELECT monitor, h."at", drifted, CASE WHEN NOT drifted THEN 'healthy' WHEN f."at" IS NULL THEN 'suppressed' ELSE 'fire' END AS action,
           CASE WHEN drifted AND f."at" IS NOT NULL THEN 'Data Drift Detected' END AS reason

@@ -2,6 +2,7 @@
 
 import random
 from datetime import datetime, timedelta
+from multiprocessing.pool import ThreadPool
 
 import pandas as pd
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from tabwarden.functions import ordered, sizing
 from tabwarden.operators import drift, encode, fingerprint, labels, metrics, percentiles, profile, registry, split, trigger, versions
+from tabwarden.sources import claims
 
 
 @pytest.fixture(scope="module")
@@ -283,3 +285,23 @@ def test_versions_are_compared_where_they_differ(spark):
     assert got == want and set(want.values()) == {"added", "removed", "changed"}
     assert versions.changed_leaves(spark, paths[0], paths[1], 3).count() <= len(want)
     assert versions.changed_rows(spark, paths[0], paths[2], ["k", "c"], 3).count() == 0
+
+
+def test_writers_claim_different_versions(spark):
+    path = sizing.run_dir(spark, "claims")
+    with ThreadPool(8) as pool:
+        got = pool.map(lambda i: claims.claim_version(spark, path, "m", str(i)), range(24))
+    assert sorted(got, key=lambda v: int(v[1:])) == [f"v{i}" for i in range(1, 25)] == [f"v{i}" for i in claims.versions(spark, path, "m")]
+    assert claims.claim_version(spark, path, "other") == "v1"
+
+
+def test_readers_see_a_table_whole_during_reloads(spark):
+    path, seen = sizing.run_dir(spark, "reload"), []
+    load = lambda i: claims.reload_table(spark.range(100).withColumn("load", F.lit(i)).repartition(3), path)
+    load(0)
+    with ThreadPool(2) as pool:
+        writing = pool.map_async(load, range(1, 7), chunksize=6)
+        while not writing.ready():
+            seen.append([tuple(r) for r in claims.read_table(spark, path).groupBy("load").count().collect()])
+        writing.get()
+    assert all(len(x) == 1 and x[0][1] == 100 for x in seen) and claims.read_table(spark, path).first()["load"] == 6
