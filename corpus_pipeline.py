@@ -3,6 +3,10 @@
 ``STAGES`` lists the stages in order. Each takes (spark, docs, sf_dir) and returns a DataFrame; all
 but the last return the columns of ``documents``. ``run`` writes each result as Parquet to the
 shared folder and reads it again as the next stage's input.
+
+Defined cases: stages follow their operators. Null and empty texts have no language and go in the first
+stage; rows are judged one by one, so repeated or null ids lose nothing that is unlike; an empty table
+stays empty to the end.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ rank of a tree's leaves is cut to the wanted number inside tasks before rows mee
 
 Defined cases: null texts and roles are empty; an unknown parent makes a root; messages on a cycle
 or below one reach no root and are left out; of messages with the same id in one tree the smallest
-(parent, role, text, score) counts; a null tree is a tree, and a null message of a tree is one message
+(parent, role, text, score) counts; of branches with equal means the one with the smallest leaf ranks first, and a score
+that is no number ranks above all numbers; a null score is 0; repeated rows are one message; a null tree is a tree, and a null message of a tree is one message
 that none can answer, since a null parent makes a root; turns without a number come last in
 ``from_turns``; further columns are ignored; an empty table gives an empty result.
 """

@@ -13,7 +13,8 @@ one set of numpy calls.
 
 Defined cases: null texts and texts without a letter get ``und`` with score 0; repeated rows give
 repeated results; without any labelled row everything is ``und``; with one language that one is
-predicted; columns other than ``doc_id``, ``text`` (and ``lang`` for learning) are passed over.
+predicted; of languages with equal probability the first by name; texts of any length are read whole; an empty table
+gives no rows; columns other than ``doc_id``, ``text`` (and ``lang`` for learning) are passed over.
 """
 
 from __future__ import annotations

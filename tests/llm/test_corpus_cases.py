@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tabwarden.llm import chat_trees, graph, huffman, language, mixing, pairwise_quality, quality_rules, simhash_trie, superkmer, templates, url_cascade, words
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, size string, kept string, carry int, fp string"
@@ -383,3 +384,31 @@ def test_numbered_control_strings_are_broken(spark):
     text = "<|reserved_special_token_0|> [INST] <|im_end|>"
     made = spark.range(1).select(chat_trees.escape(F.lit(text)).alias("e")).select("e", chat_trees.unescape(F.col("e")).alias("u")).first()
     assert "<|reserved" not in made["e"] and made["u"] == text
+
+
+def test_long_and_repeated_urls(spark):
+    long = "http://" + "a." * 2_000 + "example.com/en/" + "x/" * 20_000 + "?q#f"
+    pages = spark.createDataFrame([(1, long), (1, long), (2, long.replace("/en/", "/de/"))], "page_id bigint, url string")
+    rows = [tuple(r) for r in url_cascade.judge(pages).select("page_id", "rule", "verdict").collect()]
+    assert sorted(rows) == [(1, "example.com/en/", "block")] * 2 + [(2, "com/", "allow")]
+
+
+def test_ranks_of_equal_and_odd_scores(spark):
+    rows = [(1, 1, None, 0.0), (1, 5, 1, 1.0), (1, 4, 1, 1.0), (1, 4, 1, 1.0), (2, 1, None, 0.0), (2, 2, 1, 9.0), (2, 3, 1, float("nan")), (2, 4, 1, None)]
+    df = spark.createDataFrame([(t, m, p, "assistant", "long " * 60_000 if m == 4 else str(m), s) for t, m, p, s in rows], "tree bigint, msg bigint, parent bigint, role string, text string, score double")
+    got = {(r["tree"], r["rank"]): r for r in chat_trees.parse(chat_trees.format_paths(*chat_trees.branches(df, top=3))).collect()}
+    assert [got[1, k]["leaf"] for k in (1, 2)] == [4, 5] and [got[2, k]["leaf"] for k in (1, 2, 3)] == [3, 2, 4] and len(got) == 5
+    assert got[1, 1]["learned"] == "1" + "long " * 60_000
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Nulls, empty texts and empty tables through the stages of the pipeline."""
+    net = language.learn(table(spark))
+    kept = language.accepted(table(spark, [None, "", "12 34", "one two three"], [None, 1, 2, None]), net)
+    assert kept.columns == table(spark).columns and [r["text"] for r in kept.collect()] == ["one two three"]
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine")], "item_id bigint, text string")
+    assert templates.clean(table(spark, []), bench).count() == 0 and templates.clean(table(spark), bench.limit(0)).count() == len(TEXTS)
+    docs = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
