@@ -20,6 +20,8 @@ from tabwarden.operators.fingerprint import row_hash
 
 #: Hexadecimal digits of a leaf and of a folder.
 LEAF_DIGITS, FOLDER_DIGITS = 4, 1
+#: Rows that one task sorts or groups.
+PIECE_ROWS = 250_000
 _NODE = "level int, prefix string, n bigint, s decimal(38,0), x bigint"
 
 
@@ -27,12 +29,16 @@ def _figures(n: Column, s: Column, x: Column) -> list[Column]:
     return [F.sum(n).alias("n"), F.sum(s).cast("decimal(38,0)").alias("s"), F.bit_xor(x).alias("x")]
 
 
+def _pieces(rows: int) -> int:
+    return max(1, -(-rows // PIECE_ROWS))
+
+
 def store(df: DataFrame, key: Sequence[str], path: str, digits: int = LEAF_DIGITS) -> None:
     """Write a version: ``path/rows`` and ``path/nodes``."""
     spark, columns = df.sparkSession, list(df.columns)
     h = F.md5(cells.canonical_text([F.col(k) for k in key]))
     rows = df.withColumns({"_leaf": F.substring(h, 1, digits), "_folder": F.substring(h, 1, FOLDER_DIGITS), "_row": row_hash([F.col(c) for c in columns])})
-    rows.repartitionByRange("_folder", "_leaf").sortWithinPartitions("_folder", "_leaf").write.partitionBy("_folder").parquet(f"{path}/rows")
+    rows.repartitionByRange(_pieces(df.count()), "_folder", "_leaf").sortWithinPartitions("_folder", "_leaf").write.partitionBy("_folder").parquet(f"{path}/rows")
     written = spark.read.schema(rows.schema).parquet(f"{path}/rows")
     nodes = written.groupBy(F.lit(digits).alias("level"), F.col("_leaf").alias("prefix")).agg(*_figures(F.lit(1), F.col("_row").cast("decimal(38,0)"), F.col("_row")))
     leaves = sizing.cut_lineage(nodes, "leaves")
@@ -68,13 +74,21 @@ def changed_rows(spark: SparkSession, old: str, new: str, key: Sequence[str], di
     leaves = changed_leaves(spark, old, new, digits)
     folders = [r[0] for r in leaves.select(F.substring("prefix", 1, FOLDER_DIGITS)).distinct().collect()]  # 16 at most
 
+    stored = _nodes(spark, old, digits).unionByName(_nodes(spark, new, digits))
+    size = stored.join(leaves, "prefix", "left_semi").agg(F.sum("n")).first()[0] or 0
+
     def side(path: str, name: str) -> DataFrame:
         rows = spark.read.parquet(f"{path}/rows").where(F.col("_folder").cast("string").isin(folders))
         rows = rows.join(leaves, rows["_leaf"] == leaves["prefix"], "left_semi")
-        return rows.groupBy(F.struct(*key).alias("_k")).agg(*_figures(F.lit(1), F.col("_row").cast("decimal(38,0)"), F.col("_row"))).withColumn("_side", F.lit(name))
-
-    both = side(old, "old").unionByName(side(new, "new")).groupBy("_k").agg(
-        F.count_if(F.col("_side") == "old").alias("o"), F.count_if(F.col("_side") == "new").alias("w"), F.count_distinct("n", "s", "x").alias("kinds")
-    )
-    change = F.when(F.col("o") == 0, "added").when(F.col("w") == 0, "removed").when(F.col("kinds") > 1, "changed")
+        return rows.select(F.struct(*key).alias("_k"), F.lit(name).alias("_side"), "_row")
+
+    # Both sides of a key meet in one task, which has about PIECE_ROWS rows whatever the size.
+    both = side(old, "old").unionByName(side(new, "new")).repartition(_pieces(size), "_k")
+    figures = []
+    for name in ("old", "new"):
+        row = F.when(F.col("_side") == name, F.col("_row"))
+        figures.append(F.struct(F.count(row), F.sum(row.cast("decimal(38,0)")), F.bit_xor(row)).alias(f"_{name}"))
+    both = both.groupBy("_k").agg(*figures)
+    n_old, n_new = F.col("_old.col1"), F.col("_new.col1")
+    change = F.when(n_old == 0, "added").when(n_new == 0, "removed").when(~F.col("_old").eqNullSafe(F.col("_new")), "changed")
     return both.select("_k.*", change.alias("change")).where("change IS NOT NULL")

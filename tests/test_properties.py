@@ -287,6 +287,20 @@ def test_versions_are_compared_where_they_differ(spark):
     assert versions.changed_rows(spark, paths[0], paths[2], ["k", "c"], 3).count() == 0
 
 
+def test_pieces_of_versions_do_not_grow_with_them(spark, monkeypatch):
+    monkeypatch.setattr(versions, "PIECE_ROWS", 100)
+    most = {}
+    for n in (400, 2000):
+        old, new = (sizing.run_dir(spark, "version") for _ in range(2))
+        versions.store(spark.range(n), ["id"], old, 2)
+        versions.store(spark.range(3, n + 3), ["id"], new, 2)
+        changed = versions.changed_rows(spark, old, new, ["id"], 2)
+        assert sorted((r["id"], r["change"]) for r in changed.collect()) == [(i, "removed") for i in range(3)] + [(n + i, "added") for i in range(3)]
+        files = spark.read.parquet(f"{old}/rows").groupBy(F.input_file_name()).count()
+        most[n] = files.agg(F.max("count")).first()[0]
+    assert max(most.values()) <= 300
+
+
 def test_writers_claim_different_versions(spark):
     path = sizing.run_dir(spark, "claims")
     with ThreadPool(8) as pool:
