@@ -63,6 +63,20 @@ def test_tasks_and_levels_give_the_same_models(rows, encoders, monkeypatch):
     assert all(right[n, 0] > 0.85 for n in NAMES[1:])
 
 
+def test_trees_of_folds_stay_in_tasks_and_levels_take_one_stage(spark, rows, encoders, monkeypatch):
+    table = grid.store(rows, encoders[False, None], "y", "fold")
+    fits = [grid.Fit(i, n, PARAMS[n][0], k, encoders[False, k].fitted()) for i, (n, k) in enumerate([("random_forest", 0), ("random_forest", None), ("gradient_boosting", 1)])]
+    monkeypatch.setattr(grid, "TASK_ROWS", 200)
+    spark.sparkContext.setJobGroup("levels", "a search in levels")
+    found = grid.run(table, fits)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    levels = [j for j in tracker.getJobIdsForGroup("levels") if (i := tracker.getJobInfo(j)) and len(i.stageIds) <= 2]
+    assert found[0][0] is None and len(found[1][0]) == 7 and all(isinstance(t, trees.Grown) for t in found[1][0])
+    assert sum(found[0][1]) == sum(found[2][1]) == 300 and len(found[2][0].trees) == 23
+    assert len(levels) >= 23  # a round's levels read its kept state
+
+
 def test_models_give_the_probabilities_of_their_fit(spark, rows, encoders, tmp_path):
     table, fits = grid.store(rows, encoders[False, None], "y", "fold"), [f for f in fits_of(encoders) if f.fold is None]
     found, cells = grid.run(table, fits), [r.asDict() for r in table.blocks.collect()]
