@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -412,3 +413,43 @@ def test_stages_on_odd_tables(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     bench.write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_quality_is_learned_from_every_labelled_row(spark, monkeypatch):
+    """All rows and all their pairs count: weights, threshold and spread are those of brute force, whatever the sample."""
+    rng = random.Random(4)
+    texts, labels = [], []
+    for i in range(400):
+        good = rng.random() < 0.7
+        marks = rng.choices(["calm", "text", "of", "words.", "NO!!", "|x|", "9"], [9, 9, 9, 4, 1, 1, 1] if good else [5, 5, 5, 1, 4, 4, 4], k=rng.randint(3, 60))
+        texts.append(" ".join(marks))
+        labels.append((i, int(good)))
+    docs, marked = table(spark, texts).union(table(spark, texts)), spark.createDataFrame([*labels, (9_999, 0), (3, None)], "doc_id bigint, quality int")
+    made = []
+    for size in (5, 3000):
+        monkeypatch.setattr(pairwise_quality, "SAMPLE_DOCS", size)
+        made.append(pairwise_quality.learn(docs, marked))
+    out = {r["doc_id"] for r in docs.where(language.held_out(F.col("doc_id"))).collect()}
+    used = [i for i in range(400) if i not in out]
+    x, good = pairwise_quality.features(pa.array([texts[i] for i in used])), np.array([labels[i][1] == 1 for i in used])
+    z = (x - x.mean(0)) / (x.std(0) + 1e-3)
+    d = (z[good][:, None] - z[~good][None]).reshape(-1, z.shape[1])
+    w = np.zeros(z.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(d @ w))
+        curve = (d * (p * (1 - p))[:, None]).T @ d / len(d) + pairwise_quality.RIDGE * np.eye(len(w))
+        w = w + np.linalg.solve(curve, d.T @ p / len(d) - pairwise_quality.RIDGE * w)
+    s = z @ w
+    for model in made:
+        assert np.allclose(model.centre, x.mean(0)) and np.abs((x - model.centre) / model.scale @ model.weights - s).max() < 0.02
+        own = np.sort(model.raw(x))
+        assert model.threshold == pytest.approx(own[(~good).sum() - 1 : (~good).sum() + 1].mean(), abs=1e-9)
+        assert model.spread == pytest.approx(own.std(), abs=1e-6)
+
+
+def test_ranks_are_exact_among_equal_scores(spark):
+    values = [0.25] * 700 + [float(i) for i in range(1, 200)] + [-1.0]
+    scores = spark.createDataFrame([(v,) for v in values], "s double").repartition(3)
+    values.sort()
+    for rank in (0, 1, 699, 700, 701, 898, 899):
+        assert pairwise_quality._at_rank(scores, rank, len(values)) == (values[rank], values[min(rank + 1, 899)])
