@@ -143,3 +143,25 @@ def test_what_cannot_be_searched(spark, rows, encoders):
         raise OSError("no such file")
 
     assert train.champion_metrics(broken, rows, "y").count() == 0
+
+
+def test_joint_histograms_and_searched_splits_are_the_same():
+    rng = np.random.default_rng(6)
+    for sizes, numeric in (([64, 64, 40, 5, 25], 3), ([1, 3, 2], 1), ([9, 4], 2), ([70, 80], 0)):
+        layout, n = trees.Layout(sizes, numeric), 3_000
+        columns = np.stack([rng.integers(0, s, n) for s in sizes])
+        codes, node = columns.T + layout.starts, rng.integers(0, 7, n)
+        weights = [rng.integers(-(1 << 26), 1 << 26, n).astype(float), rng.integers(0, 1 << 24, n).astype(float)]
+        want = trees.histogram(layout, codes, node, 7, [np.ones(n), *weights])
+        assert np.array_equal(want, trees.joint_histogram(layout, layout.joint(columns.astype(np.uint8)), node, 7, [None, *weights]))
+        for sampled in (0, 2):
+            tree = trees.Tree(11, 6, 2, sampled)
+            tree.keys = list(range(5, 12))
+            allowed = tree.allowed(layout.outputs, range(7))
+            best = trees.best_splits(layout, want, trees.UNIT, 2, allowed)
+            got = trees.searched(layout, codes, node, 7, [np.ones(n), *weights], trees.UNIT, 2, allowed)
+            split = best[0] >= 0
+            assert split.any() and all(np.array_equal(a, b) for a, b in zip(best[:2], got[:2]))
+            assert np.array_equal(best[2][:, split], got[2][:, split]) and np.array_equal(best[3], got[3])
+        deep = trees.grown(trees.Tree(3, 6, 2), layout, codes, [np.ones(n), *weights], trees.UNIT)
+        assert np.array_equal(trees.placed(deep, layout, columns.astype(np.uint8)), deep.route(layout, codes))
