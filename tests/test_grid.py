@@ -165,3 +165,30 @@ def test_joint_histograms_and_searched_splits_are_the_same():
             assert np.array_equal(best[2][:, split], got[2][:, split]) and np.array_equal(best[3], got[3])
         deep = trees.grown(trees.Tree(3, 6, 2), layout, codes, [np.ones(n), *weights], trees.UNIT)
         assert np.array_equal(trees.placed(deep, layout, columns.astype(np.uint8)), deep.route(layout, codes))
+
+
+def test_packed_counts_and_tabled_draws_are_exact():
+    rng = np.random.default_rng(8)
+    u = np.concatenate([rng.random(50_000), trees._POISSON[:9], np.nextafter(trees._POISSON[:9], 0), [0.0, np.nextafter(1.0, 0)]])
+    assert np.array_equal(trees.poisson(u), np.searchsorted(trees._POISSON, u, side="right"))
+    layout, n = trees.Layout([6, 9, 4, 25], 2), 4_000
+    columns = np.stack([rng.integers(0, s, n) for s in layout.sizes]).astype(np.uint8)
+    codes, node, w = columns.T + layout.starts, rng.integers(0, 30, n), rng.integers(0, 6, n)
+    weights = [w, w * rng.integers(0, 2, n)]
+    assert trees.packed(weights) is not None and trees.packed([w * trees.PACKED, w]) is None and trees.packed([w, -w]) is None
+    hist = trees.histogram(layout, codes, node, 30, weights)
+    assert np.array_equal(hist, trees.joint_histogram(layout, layout.joint(columns), node, 30, weights))
+    allowed = trees.outputs_of(np.arange(30, dtype=np.uint64), layout.outputs, 5)
+    best, got = trees.best_splits(layout, hist, 1.0, 2, allowed), trees.searched(layout, codes, node, 30, weights, 1.0, 2, allowed)
+    split = best[0] >= 0
+    assert split.any() and all(np.array_equal(a, b) for a, b in zip(best[:2], got[:2])) and np.array_equal(best[2][:, split], got[2][:, split])
+    level, at = trees.Tree(9, 7, 2, 5), np.zeros(n, np.int64)  # level by level, as nodes of many rows grow
+    while level.growing:
+        place = np.full(len(level.split), -1)
+        place[level.frontier] = np.arange(len(level.frontier))
+        here = place[at] >= 0
+        sums = trees.histogram(layout, codes[here], place[at][here], len(level.frontier), [x[here] for x in weights])
+        level.grow(*trees.best_splits(layout, sums, 1.0, 2, level.allowed(layout.outputs, level.frontier)))
+        at = level.route(layout, codes, at)
+    whole = trees.grown_arrays(trees.Tree(9, 7, 2, 5), layout, columns, weights, 1.0)
+    assert len(level.split) > 50 and level.split == whole.split.tolist() and level.child == whole.child.tolist() and level.sums == whole.sums and level.gain == whole.gain.tolist()
