@@ -192,3 +192,19 @@ def test_packed_counts_and_tabled_draws_are_exact():
         at = level.route(layout, codes, at)
     whole = trees.grown_arrays(trees.Tree(9, 7, 2, 5), layout, columns, weights, 1.0)
     assert len(level.split) > 50 and level.split == whole.split.tolist() and level.child == whole.child.tolist() and level.sums == whole.sums and level.gain == whole.gain.tolist()
+
+
+def test_equal_columns_are_kept_once_and_margins_come_from_held_rounds(rows, encoders, monkeypatch):
+    a, b, known = np.arange(5, dtype=np.uint8), np.arange(5, dtype=np.uint8), []
+    assert grid._shared(a, known) is a and grid._shared(b, known) is a and grid._shared(a + 1, known) is not a and len(known) == 2
+    assert grid._stacked([], slice(None), 4).shape == (0, 4) and grid._stacked([a, b], np.array([1, 3]), 2).tolist() == [[1, 3], [1, 3]]
+    table = grid.store(rows, encoders[False, None], "y", "fold")
+    fits = [grid.Fit(i, "gradient_boosting", p, None, encoders[False, None].fitted()) for i, p in enumerate([{"n_estimators": 4, "max_depth": 2, "subsample": 0.8}, {"n_estimators": 7, "max_depth": 3, "subsample": 0.8}])]
+    monkeypatch.setattr(grid, "TASK_ROWS", 200)
+    found = []
+    for held in (1, 3):
+        monkeypatch.setattr(grid, "ROUNDS_HELD", held)
+        found.append(grid.run(table, fits))
+    for fit in fits:
+        one, other = (f[fit.slot][0].trees for f in found)
+        assert len(one) == fit.params["n_estimators"] and [(t.split, t.sums) for t in one] == [(t.split, t.sums) for t in other]
