@@ -6,7 +6,6 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tabwarden.functions import trees
@@ -215,18 +214,22 @@ def test_siblings_follow_from_their_parent_and_pieces_join_blocks(rows, encoders
     tree = trees.Tree(1, 3, 1)
     tree.grow(np.array([0]), np.array([1.0]), np.array([[30.0], [5.0]]), np.array([[100.0], [9.0]]))
     assert tree.frontier == [1, 2] and grid._siblings(tree, {}) == {} and grid._siblings(tree, {0: None}) == {2: (0, 1)}
-    tree.frontier = [2]  # the other one has too few rows to split
-    assert grid._siblings(tree, {0: None}) == {}
-    cells = [Row(n=n) for n in (3, 4, 1, 9, 2)]
+    assert grid._asked(tree, {}) == [1, 2] and grid._asked(tree, {0: None}) == [1]
+    tree.frontier = [2]  # of the other one all rows go to one task
+    assert grid._siblings(tree, {0: None}) == {2: (0, 1)} and grid._asked(tree, {0: None}) == [1]
+    tree.frontier = [1]
+    assert grid._siblings(tree, {0: None}) == {} and grid._asked(tree, {0: None}) == [1]
+    cells = [{"n": n} for n in (3, 4, 1, 9, 2)]
     assert [[c["n"] for c in piece] for piece in grid._pieces(cells, 5)] == [[3, 4], [1, 9], [2]] and not list(grid._pieces([], 5))
     table = grid.store(rows, encoders[False, None], "y", "fold")
     fits = [grid.Fit(i, "gradient_boosting", {"n_estimators": 6, "max_depth": d, "subsample": 0.8}, k, encoders[False, k].fitted()) for i, (d, k) in enumerate([(2, None), (4, 1), (9, None)])]
+    fits += [grid.Fit(3 + i, "random_forest", {"n_estimators": 4, "min_samples_leaf": 2, "bootstrap": bool(i)}, k, encoders[False, k].fitted()) for i, k in enumerate([None, 2])]
     here = grid.run(table, fits)
     monkeypatch.setattr(grid, "TASK_ROWS", 200)
     counted = []
-    monkeypatch.setattr(grid, "_siblings", lambda tree, known, real=grid._siblings: counted.append((len(tree.frontier), len(out := real(tree, known)))) or out)
+    monkeypatch.setattr(grid, "_siblings", lambda tree, known, real=grid._siblings: counted.append((len(tree.frontier), len(out := real(tree, known)), bool(known))) or out)
     for most in (1, 1 << 17):
         monkeypatch.setattr(grid, "PIECE_ROWS", most)
         there = grid.run(table, fits)
         assert all(here[f.slot][1] == there[f.slot][1] for f in fits) and all(same(here[f.slot][0], there[f.slot][0], f.name) for f in fits if f.fold is None)
-    assert sum(n for _, n in counted) > 0.3 * sum(n for n, _ in counted) and all(2 * n <= of for of, n in counted)
+    assert all(n <= of and (n > 0) == below for of, n, below in counted) and sum(below for *_, below in counted) > 20
